@@ -16,6 +16,7 @@ from pyspark.sql.types import DecimalType
 from freightlens import operators as op
 from freightlens.functions.labels import lane_label
 from freightlens.plans.joins import join_dims
+from freightlens.plans.materialize import write_checkpoint_table
 from freightlens.sources import testdata as td
 
 # Parameters of the registered queries (chosen for the test data, where the
@@ -24,15 +25,25 @@ RAG_GOOD, RAG_AT_RISK = 67.0, 65.0
 
 
 class Inputs:
-    """Lazily built core tables for one test-data folder."""
+    """Core tables for one test-data folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    With ``materialize`` the shipment facts (the result of the four
+    fact-to-fact joins), the monthly history and the rate card are written
+    once as parquet into ``spark.checkpoint.dir`` and every query scans
+    them: the joins run once per application instead of once per query,
+    and the lineage of each query starts at a parquet scan.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
         self._cache: dict[str, DataFrame] = {}
 
-    def _get(self, name, build):
+    def _get(self, name, build, store: bool = False):
         if name not in self._cache:
-            self._cache[name] = build()
+            df = build()
+            if store and self.materialize:
+                df = write_checkpoint_table(df, name)
+            self._cache[name] = df
         return self._cache[name]
 
     @property
@@ -43,18 +54,22 @@ class Inputs:
     def routes(self):
         return self._get("routes", lambda: td.routes(self.spark, self.sf_dir))
 
+    @property
+    def facts(self):
+        return self._get("facts", lambda: td.shipment_facts(self.spark, self.sf_dir), store=True)
+
     @property
     def shipments(self):
-        return self._get("shipments", lambda: td.shipments(self.spark, self.sf_dir))
+        return self._get("shipments", lambda: td.shipments_from_facts(self.facts))
 
     @property
     def quotes(self):
-        return self._get("quotes", lambda: td.quotes(self.spark, self.sf_dir))
+        return self._get("quotes", lambda: td.quotes_from_facts(self.facts), store=True)
 
     @property
     def history(self):
         return self._get("history", lambda: op.roll_up_history(self.shipments, self.providers,
-                                                               lead_days=td.lead_time_days()))
+                                                               lead_days=td.lead_time_days()), store=True)
 
     @property
     def v_scorecard(self):
@@ -64,9 +79,20 @@ class Inputs:
     def v_trend(self):
         return self._get("v_trend", lambda: op.v_trend(self.history, self.providers, self.routes))
 
-    def v_detail(self, with_commodity: bool = True):
-        return op.v_detail(td.shipments(self.spark, self.sf_dir, with_commodity=with_commodity),
-                           self.providers, self.routes)
+    @property
+    def v_detail(self):
+        return self._get("v_detail", lambda: op.v_detail(self.shipments, self.providers, self.routes))
+
+
+_INPUTS: dict[tuple[str, str], Inputs] = {}
+
+
+def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The application's ``Inputs`` for ``sf_dir`` (built on first use)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _INPUTS:
+        _INPUTS[key] = Inputs(spark, sf_dir)
+    return _INPUTS[key]
 
 
 def finish(df: DataFrame) -> DataFrame:
@@ -77,7 +103,7 @@ def finish(df: DataFrame) -> DataFrame:
 
 def _q(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return finish(build(Inputs(spark, sf_dir)))
+        return finish(build(inputs(spark, sf_dir)))
     run.__doc__ = build.__doc__
     return run
 
@@ -110,7 +136,7 @@ def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
         "rolling_on_time": lambda i: op.rolling_on_time(i.history, i.providers, i.routes),
         "v_scorecard": lambda i: i.v_scorecard,
         "v_trend": lambda i: i.v_trend,
-        "v_detail": lambda i: i.v_detail(),
+        "v_detail": lambda i: i.v_detail,
         "kpi_cards": lambda i: op.kpis(i.v_scorecard),
         "measure_scores": lambda i: op.measure_scores(i.v_scorecard),
         "mom_change": lambda i: op.mom_change(i.v_trend),
@@ -122,12 +148,12 @@ def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
         "report_summary": lambda i: op.report_summary(i.v_scorecard, good=RAG_GOOD, at_risk=RAG_AT_RISK),
         "report_radar": lambda i: op.report_radar(op.measure_scores(i.v_scorecard)),
         "report_trend": lambda i: op.report_trend(i.history, i.providers, i.routes),
-        "shipment_log": lambda i: op.shipment_log(i.v_detail(with_commodity=False), _worst_provider(i)),
-        "status_breakdown": lambda i: op.status_breakdown(i.v_detail(with_commodity=False)),
-        "complaints": lambda i: op.complaints(i.v_detail(with_commodity=False)),
+        "shipment_log": lambda i: op.shipment_log(i.v_detail, _worst_provider(i)),
+        "status_breakdown": lambda i: op.status_breakdown(i.v_detail),
+        "complaints": lambda i: op.complaints(i.v_detail),
         "dim_provider": lambda i: op.dim_values("provider_name", i.v_scorecard, i.v_trend,
-                                                i.v_detail(with_commodity=False)),
-        "dim_lane": lambda i: op.dim_values("lane", i.v_scorecard, i.v_trend, i.v_detail(with_commodity=False)),
+                                                i.v_detail),
+        "dim_lane": lambda i: op.dim_values("lane", i.v_scorecard, i.v_trend, i.v_detail),
         "integrity": lambda i: op.integrity_report(i.shipments, i.providers, i.routes),
     }
 

@@ -14,15 +14,22 @@ from pyspark.sql import functions as F
 # A dimension above this many rows is joined by shuffle instead of broadcast.
 DIM_BROADCAST_MAX_ROWS = 1_000_000
 
+# (application id, plan hash, bound) -> fits; a dimension is measured once
+# per application.  Inputs are treated as immutable while it runs.
+_CHECKED: dict[tuple[str, int, int], bool] = {}
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
     The check reads at most ``max_rows + 1`` rows, so it stays cheap even
-    when the table is large.
+    when the table is large, and its answer is remembered per plan.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    fits = _CHECKED.get(key)
+    if fits is None:
+        fits = _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if fits else df
 
 
 def join_dims(fact: DataFrame, providers: DataFrame | None = None, routes: DataFrame | None = None,

@@ -17,7 +17,9 @@ Mapping (kept fixed so results stay comparable between rounds):
   integrity report shows it.
 * quotes    = a rate card per provider x route x weight band, derived from
   the shipments of that band: lowest price per unit, highest tax as fuel
-  surcharge, highest discount as volume discount.
+  surcharge, highest discount as volume discount.  Bands by quantity:
+  ``0-15``, ``15-35``, ``35+`` with minima 0, 15, 35.
+* commodity_type = the part type of the line.
 * performance_history = the monthly roll-up of the shipments (C13).
 
 Every table is a lazy DataFrame over the parquet files, so Catalyst prunes
@@ -56,12 +58,14 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("dest_city"))
 
 
-def enriched_lines(spark: SparkSession, sf_dir: str, with_commodity: bool = False) -> DataFrame:
-    """Lineitems with provider, route and order attributes attached.
+def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitems with provider, route, order and part attributes attached.
 
-    ``orders ⋈ customer`` and ``lineitem ⋈ orders`` are fact-to-fact joins:
-    the planner shuffles both sides on the key (or broadcasts a side that
-    AQE measures as small); only the 25-row nation lookup is broadcast by us.
+    ``orders ⋈ customer``, ``lineitem ⋈ orders``, ``lineitem ⋈ supplier``
+    and ``lineitem ⋈ part`` are joins between tables that grow with the
+    data: the planner shuffles both sides on the key, or broadcasts a side
+    that its size estimate (or AQE, at run time) finds small.  Only the
+    25-row nation lookup is broadcast by us, behind a size check.
     """
     li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
@@ -70,21 +74,27 @@ def enriched_lines(spark: SparkSession, sf_dir: str, with_commodity: bool = Fals
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     nr = _read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
     s = _read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    p = _read(spark, sf_dir, "part", "p_partkey", "p_type")
     order_route = (o.join(c, o.o_custkey == c.c_custkey)
                    .join(bounded_broadcast(nr), F.col("c_nationkey") == F.col("n_nationkey"))
                    .select("o_orderkey", "o_orderdate", "o_orderpriority",
                            F.col("n_regionkey").cast("int").alias("route_id")))
-    e = (li.join(order_route, li.l_orderkey == order_route.o_orderkey)
-         .join(s, li.l_suppkey == s.s_suppkey)
-         .withColumn("provider_id", F.col("s_nationkey").cast("int")))
-    if with_commodity:
-        p = _read(spark, sf_dir, "part", "p_partkey", "p_type")
-        e = e.join(p, e.l_partkey == p.p_partkey, "left")
-    return e
+    return (li.join(order_route, li.l_orderkey == order_route.o_orderkey)
+            .join(s, li.l_suppkey == s.s_suppkey)
+            .join(p, li.l_partkey == p.p_partkey, "left")
+            .withColumn("provider_id", F.col("s_nationkey").cast("int")))
 
 
-def shipments(spark: SparkSession, sf_dir: str, with_commodity: bool = False) -> DataFrame:
-    e = enriched_lines(spark, sf_dir, with_commodity)
+SHIPMENT_COLUMNS = ("shipment_id", "provider_id", "route_id", "shipment_date", "weight_kg", "volume_cbm",
+                    "commodity_type", "promised_delivery", "actual_delivery", "freight_cost_eur",
+                    "fuel_surcharge_eur", "total_cost_eur", "status", "delay_reason", "customer_complaint")
+RATE_COLUMNS = ("l_quantity", "l_extendedprice", "l_tax", "l_discount")
+
+
+def shipment_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per lineitem: the shipments columns plus the raw price,
+    quantity, tax and discount the rate card is derived from."""
+    e = enriched_lines(spark, sf_dir)
     delayed = F.col("l_returnflag") == "R"
     return e.select(
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("shipment_id"),
@@ -93,7 +103,7 @@ def shipments(spark: SparkSession, sf_dir: str, with_commodity: bool = False) ->
         F.to_date("l_shipdate").alias("shipment_date"),
         F.col("l_quantity").cast("decimal(10,2)").alias("weight_kg"),
         F.lit(None).cast("decimal(8,3)").alias("volume_cbm"),
-        (F.col("p_type") if with_commodity else F.lit(None).cast("string")).alias("commodity_type"),
+        F.col("p_type").alias("commodity_type"),
         F.to_date("o_orderdate").alias("promised_delivery"),
         F.to_date("l_shipdate").alias("actual_delivery"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(12,2)").alias("freight_cost_eur"),
@@ -102,9 +112,18 @@ def shipments(spark: SparkSession, sf_dir: str, with_commodity: bool = False) ->
         F.when(delayed, F.lit("Delayed")).otherwise(F.lit("Delivered")).alias("status"),
         F.when(delayed, F.col("o_orderpriority")).alias("delay_reason"),
         (F.col("l_linestatus") == "O").alias("customer_complaint"),
+        *RATE_COLUMNS,
     )
 
 
+def shipments_from_facts(facts: DataFrame) -> DataFrame:
+    return facts.select(*SHIPMENT_COLUMNS)
+
+
+def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shipments_from_facts(shipment_facts(spark, sf_dir))
+
+
 def weight_band(qty, bounds=BAND_BOUNDS):
     """Band label and band minimum for a quantity: ``0-a``, ``a-b``, ``b+``."""
     q = F.col(qty) if isinstance(qty, str) else qty
@@ -116,19 +135,24 @@ def weight_band(qty, bounds=BAND_BOUNDS):
     return label, minimum
 
 
-def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = enriched_lines(spark, sf_dir)
+def quotes_from_facts(facts: DataFrame) -> DataFrame:
+    """Rate card per provider x route x weight band (partial aggregation
+    map-side, so a hot provider does not concentrate rows in one task)."""
     band, minimum = weight_band("l_quantity")
-    return (e.withColumn("weight_band_kg", band).withColumn("min_shipment_kg", minimum)
+    return (facts.withColumn("weight_band_kg", band).withColumn("min_shipment_kg", minimum)
             .groupBy("provider_id", "route_id", "weight_band_kg", "min_shipment_kg")
             .agg(round_half_up(F.min(safe_div("l_extendedprice", "l_quantity")), 4).alias("base_rate_eur_per_kg"),
                  round_half_up(F.max("l_tax") * 100, 2).alias("fuel_surcharge_pct"),
                  round_half_up(F.max("l_discount") * 100, 2).alias("volume_discount_pct"),
-                 F.to_date(F.min("l_shipdate")).alias("effective_date"),
-                 F.to_date(F.max("l_shipdate")).alias("expiry_date"))
+                 F.min("shipment_date").alias("effective_date"),
+                 F.max("shipment_date").alias("expiry_date"))
             .withColumn("quote_source", F.lit("shipment history")))
 
 
+def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes_from_facts(shipment_facts(spark, sf_dir))
+
+
 def lead_time_days():
     """Lead time per shipment in the test data: |actual - promised| in days."""
     return F.abs(F.datediff("actual_delivery", "promised_delivery"))
