@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference workload has no stream, watermark, event-time window or
+state: all of its inputs are inserted rows and files.  Nothing is built
+here; incremental refresh of the materialised tables is a batch rebuild
+(``catalog.Inputs``), see README "Not built".
+"""
