@@ -22,4 +22,10 @@ from freightlens.operators.reports import (  # noqa: F401
 )
 from freightlens.operators.scoring import measure_scores, scorecard, sensitivity  # noqa: F401
 from freightlens.operators.service import delay_pareto, monthly_trend, on_time_rate, roll_up_history  # noqa: F401
-from freightlens.operators.views import register_views, v_detail, v_scorecard, v_trend  # noqa: F401
+from freightlens.operators.views import (  # noqa: F401
+    register_sql_surface,
+    register_views,
+    v_detail,
+    v_scorecard,
+    v_trend,
+)

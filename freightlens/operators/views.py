@@ -52,3 +52,26 @@ def register_views(history: DataFrame, shipments: DataFrame, providers: DataFram
     v_scorecard(history, providers, routes).createOrReplaceTempView("vw_provider_scorecard")
     v_trend(history, providers, routes).createOrReplaceTempView("vw_monthly_trend")
     v_detail(shipments, providers, routes).createOrReplaceTempView("vw_shipment_detail")
+
+
+ALERT_COLUMNS = ("provider_name STRING, lane STRING, rolling_3m_otd DOUBLE, sla_threshold DOUBLE, "
+                 "breach_status STRING, recommended_action STRING")
+
+
+def register_sql_surface(history: DataFrame, shipments: DataFrame, providers: DataFrame,
+                         routes: DataFrame) -> None:
+    """The reference's SQL surface: the three views plus the alert as a
+    table function, ``SELECT * FROM check_sla_breach_alerts()`` (S5, S6, G1).
+
+    The function body selects from a temp view of the ``sla_alerts``
+    DataFrame, so SQL and DataFrame users get the same plan.
+    """
+    from freightlens.operators.alerts import sla_alerts
+
+    spark = history.sparkSession
+    register_views(history, shipments, providers, routes)
+    alerts = sla_alerts(history, providers, routes)
+    alerts.select(*[F.col(c).cast(t) for c, t in (x.split() for x in ALERT_COLUMNS.split(", "))]) \
+        .createOrReplaceTempView("freightlens_sla_alerts")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION check_sla_breach_alerts() RETURNS TABLE ({ALERT_COLUMNS}) "
+              "RETURN SELECT * FROM freightlens_sla_alerts")

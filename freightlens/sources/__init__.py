@@ -1,6 +1,8 @@
 from freightlens.sources import schemas  # noqa: F401
 from freightlens.sources.tables import (  # noqa: F401
+    append_rows,
     apply_defaults,
+    inline_rows,
     read_table,
     read_view_csv,
     write_view_csv,

@@ -16,6 +16,20 @@ def apply_defaults(df: DataFrame, table: str) -> DataFrame:
     return df
 
 
+def inline_rows(spark: SparkSession, table: str, rows) -> DataFrame:
+    """Typed DataFrame from literal rows (S2), tuples in schema order or
+    dicts by column name; missing columns take their declared default."""
+    schema = schemas.TABLES[table]
+    names = [f.name for f in schema.fields]
+    data = [tuple(r.get(n) for n in names) if isinstance(r, dict) else tuple(r) for r in rows]
+    return apply_defaults(spark.createDataFrame(data, schema), table)
+
+
+def append_rows(df: DataFrame, path: str) -> None:
+    """``INSERT INTO``: append the rows to the table stored at ``path``."""
+    df.write.mode("append").parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet") -> DataFrame:
     """Typed scan of one core table (S1): explicit schema, no inference."""
     schema = schemas.TABLES[table]

@@ -63,3 +63,17 @@ def test_mom_change_gap_is_null_or_blank_as_zero(spark, providers, routes):
     dax = dict((r.month_year, r.mom_otd_change) for r in
                mom_change(t, blank_as_zero=True).filter("provider_name = 'Alpha Freight'").collect())
     assert dax[dt.date(2024, 4, 1)] == 95.0
+
+
+def test_alert_as_sql_table_function(spark, providers, routes):
+    from conftest import D, d, make
+    from freightlens.operators import register_sql_surface
+
+    s = make(spark, "shipments", [{"shipment_id": 1, "provider_id": 1, "route_id": 1,
+                                   "shipment_date": d("2024-01-01"), "weight_kg": D("1"),
+                                   "total_cost_eur": D("1.00"), "status": "Delivered"}])
+    register_sql_surface(_history(spark), s, providers, routes)
+    got = spark.sql("SELECT provider_name, breach_status FROM check_sla_breach_alerts() "
+                    "ORDER BY rolling_3m_otd").collect()
+    assert [r.provider_name for r in got] == ["Alpha Freight", "Gamma Cargo", "Beta Logistics"]
+    assert spark.sql("SELECT count(*) FROM vw_provider_scorecard").first()[0] == 3

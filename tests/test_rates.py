@@ -56,3 +56,9 @@ def test_volume_scenarios_band_rule_both_branches_and_ties(spark, providers, rou
     # equal quotes share the rank; half a cent rounds up
     assert ("500kg", "Groningen → Bremen", "Beta Logistics", 182.88, 1) in got
     assert ("500kg", "Groningen → Bremen", "Gamma Cargo", 182.88, 1) in got
+
+
+def test_volume_scenario_below_every_minimum_gives_no_rows(spark, providers, routes):
+    out = volume_scenarios(_quotes(spark), providers, routes, scenarios=((100, "100kg"),), boundary=2000,
+                           band_at_or_below="500-2000", band_above="2000+")
+    assert out.count() == 0

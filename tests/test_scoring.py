@@ -47,9 +47,13 @@ def test_scorecard_ties_share_rank_and_null_ranks_last(spark, providers):
                             (3, "0.3000", 10, 10, "2.00")])
     got = sorted(rows(scorecard(tied, providers), "provider_name", "final_rank"))
     assert got == [("Alpha Freight", 2), ("Beta Logistics", 2), ("Gamma Cargo", 1)]
-    # a provider whose months all have zero shipments has a NULL on-time mean
-    blank = _history(spark, SPEC + [(3, "0.3500", 0, 0, "2.50")])
-    assert scorecard(blank, providers).count() == 3
+    # a provider whose months all have zero shipments: NULL score, ranked last
+    blank = _history(spark, [(1, "0.4000", 9, 10, "3.00"), (2, "0.3000", 10, 10, "2.00"),
+                             (3, "0.3500", 0, 0, "2.50")])
+    got = rows(scorecard(blank, providers), "provider_name", "reliability_score", "weighted_total_score",
+               "final_rank")
+    assert got == [("Beta Logistics", 100.0, 100.0, 1), ("Alpha Freight", 0.0, 0.0, 2),
+                   ("Gamma Cargo", None, None, 3)]
 
 
 def _vsc(spark):

@@ -38,3 +38,16 @@ def test_defaults_and_typed_table_round_trip(spark):
     back = read_table(spark, path, "shipments")
     assert back.count() == 1 and back.first().customer_complaint is False
     assert dict(back.dtypes)["weight_kg"] == "decimal(10,2)"
+
+
+def test_inline_rows_and_append(spark):
+    from freightlens.sources import append_rows, inline_rows
+
+    df = inline_rows(spark, "providers", [{"provider_id": 1, "provider_name": "Alpha Freight"},
+                                          (2, "Beta Logistics", None, None, None, False, D("90.00"), None)])
+    got = sorted((r.provider_id, r.eu_presence) for r in df.collect())
+    assert got == [(1, True), (2, False)]
+    path = os.path.join(tempfile.mkdtemp(prefix="fl-app-"), "providers")
+    write_table(df, path)
+    append_rows(inline_rows(spark, "providers", [{"provider_id": 3, "provider_name": "Gamma Cargo"}]), path)
+    assert read_table(spark, path, "providers").count() == 3
