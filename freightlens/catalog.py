@@ -151,6 +151,7 @@ def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
         "shipment_log": lambda i: op.shipment_log(i.v_detail, _worst_provider(i)),
         "status_breakdown": lambda i: op.status_breakdown(i.v_detail),
         "complaints": lambda i: op.complaints(i.v_detail),
+        "lane_overview": lambda i: op.lane_overview(i.v_scorecard, i.v_detail, i.v_trend),
         "dim_provider": lambda i: op.dim_values("provider_name", i.v_scorecard, i.v_trend,
                                                 i.v_detail),
         "dim_lane": lambda i: op.dim_values("lane", i.v_scorecard, i.v_trend, i.v_detail),

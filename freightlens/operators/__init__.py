@@ -14,6 +14,7 @@ from freightlens.operators.reports import (  # noqa: F401
     dim_values,
     drill_through,
     integrity_report,
+    lane_overview,
     report_radar,
     report_summary,
     report_trend,

@@ -93,6 +93,28 @@ def complaints(v_detail: DataFrame, providers=None) -> DataFrame:
         F.count_if(F.col("customer_complaint")).alias("complaints"))
 
 
+def lane_overview(v_scorecard: DataFrame, v_detail: DataFrame, v_trend: DataFrame) -> DataFrame:
+    """One row per provider x lane combining the three facts.
+
+    The facts meet only through the conformed keys (provider name, lane).
+    Each is first aggregated to that grain, so joining them cannot fan out,
+    and the full outer joins keep a pair that appears in one fact only.
+    """
+    card = v_scorecard.select("provider_name", "lane", "avg_cost_per_kg", "avg_on_time_pct")
+    det = v_detail.groupBy("provider_name", "lane").agg(
+        F.count(F.lit(1)).alias("shipments"),
+        F.count_if(F.col("status") == "Delayed").alias("delayed"),
+        F.count_if(F.col("customer_complaint")).alias("complaints"),
+        round_half_up(F.sum("delay_days").cast("double") / F.nullif(F.count("delay_days").cast("double"),
+                                                                     F.lit(0.0)), 2).alias("avg_delay_days"),
+        F.sum("total_cost_eur").alias("spend_eur"))
+    tr = v_trend.groupBy("provider_name", "lane").agg(
+        F.count(F.lit(1)).alias("months"), F.min("month_year").alias("first_month"),
+        F.max("month_year").alias("last_month"))
+    keys = ["provider_name", "lane"]
+    return card.join(det, keys, "full").join(tr, keys, "full")
+
+
 def dim_values(col: str, *facts: DataFrame) -> DataFrame:
     """Conformed dimension from the facts (S11): distinct values of ``col``
     across all given DataFrames, each pre-aggregated before the union."""

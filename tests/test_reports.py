@@ -82,3 +82,20 @@ def test_report_trend(spark, providers, routes):
     assert got == [("2024-01", "Alpha Freight", 70.0, 0.4, 40, D("92.00"))]
     sliced = rows(report_trend(h, providers, routes, lanes=["Groningen → Bremen"]), "avg_on_time_pct", "shipments")
     assert sliced == [(50.0, 30)]
+
+
+def test_lane_overview_keeps_pairs_from_any_fact(spark):
+    from freightlens.operators import lane_overview
+
+    card = spark.createDataFrame([("A", "L1", 0.3, 90.0)], "provider_name string, lane string, "
+                                 "avg_cost_per_kg double, avg_on_time_pct double")
+    det = spark.createDataFrame([("A", "L1", "Delayed", True, 2, 10.0), ("A", "L1", "Delivered", False, 1, 5.0),
+                                 ("B", "L2", "Delivered", None, None, 1.0)],
+                                "provider_name string, lane string, status string, customer_complaint boolean, "
+                                "delay_days int, total_cost_eur double")
+    tr = spark.createDataFrame([("A", "L1", dt.date(2024, 1, 1)), ("A", "L1", dt.date(2024, 2, 1))],
+                               "provider_name string, lane string, month_year date")
+    got = {r.provider_name: r for r in lane_overview(card, det, tr).collect()}
+    a, b = got["A"], got["B"]
+    assert (a.shipments, a.delayed, a.complaints, a.avg_delay_days, a.spend_eur, a.months) == (2, 1, 1, 1.5, 15.0, 2)
+    assert (b.avg_cost_per_kg, b.shipments, b.avg_delay_days, b.months) == (None, 1, None, None)
