@@ -28,9 +28,9 @@ class Inputs:
     """Core tables for one test-data folder.
 
     With ``materialize`` the shipment facts (the result of the four
-    fact-to-fact joins), the monthly history and the rate card are written
-    once as parquet into ``spark.checkpoint.dir`` and every query scans
-    them: the joins run once per application instead of once per query,
+    fact-to-fact joins), the monthly history, the rate card and the two
+    dimensions are written once as parquet into ``spark.checkpoint.dir`` and
+    every query scans them: the joins run once per application instead of once per query,
     and the lineage of each query starts at a parquet scan.
     """
 
@@ -48,11 +48,11 @@ class Inputs:
 
     @property
     def providers(self):
-        return self._get("providers", lambda: td.providers(self.spark, self.sf_dir))
+        return self._get("providers", lambda: td.providers(self.spark, self.sf_dir), store=True)
 
     @property
     def routes(self):
-        return self._get("routes", lambda: td.routes(self.spark, self.sf_dir))
+        return self._get("routes", lambda: td.routes(self.spark, self.sf_dir), store=True)
 
     @property
     def facts(self):
