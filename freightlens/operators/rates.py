@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.labels import lane_label
 from freightlens.functions.numeric import mean_exact, round_half_up
 from freightlens.plans.joins import join_dims
+from freightlens.plans.ranking import rank_over
 
 RATE = "base_rate_eur_per_kg"
 
@@ -73,9 +74,10 @@ def volume_scenarios(quotes: DataFrame, providers: DataFrame, routes: DataFrame,
          .join(F.broadcast(sc), "weight_band_kg")
          .filter(F.col("scenario_kg") >= F.col("min_shipment_kg")))
     cost = _with_discount(_with_fuel(F.col("scenario_kg") * F.col(RATE)))
-    w = Window.partitionBy("scenario_label", "route_id").orderBy(cost)
-    return (j.select("scenario_label", "provider_name", lane_label().alias("lane"), "weight_band_kg", RATE,
-                     "fuel_surcharge_pct", "volume_discount_pct",
-                     round_half_up(cost, 2).alias("total_cost_eur"),
-                     F.rank().over(w).alias("cost_rank"))
+    # The rank orders by the unrounded cost; a route holding a large share of
+    # all quotes is ranked without sorting it in one task (plans.ranking).
+    ranked = rank_over(j.withColumn("_cost", cost), ["scenario_label", "route_id"], "_cost", out="cost_rank")
+    return (ranked.select("scenario_label", "provider_name", lane_label().alias("lane"), "weight_band_kg", RATE,
+                          "fuel_surcharge_pct", "volume_discount_pct",
+                          round_half_up("_cost", 2).alias("total_cost_eur"), "cost_rank")
             .orderBy("scenario_label", "lane", "total_cost_eur"))

@@ -62,3 +62,17 @@ def test_volume_scenario_below_every_minimum_gives_no_rows(spark, providers, rou
     out = volume_scenarios(_quotes(spark), providers, routes, scenarios=((100, "100kg"),), boundary=2000,
                            band_at_or_below="500-2000", band_above="2000+")
     assert out.count() == 0
+
+
+def test_volume_scenarios_bucketed_rank_equals_window(spark, providers, routes, monkeypatch):
+    import freightlens.plans.ranking as rk
+
+    sc = ((500, "500kg"), (2000, "2000kg"), (2500, "2500kg"))
+    args = dict(scenarios=sc, boundary=2000, band_at_or_below="500-2000", band_above="2000+")
+    plain = sorted(map(tuple, volume_scenarios(_quotes(spark), providers, routes, **args).collect()))
+    monkeypatch.setattr(rk, "MAX_ROWS_PER_RANK_TASK", 0)
+    monkeypatch.setattr(rk, "_CHECKED", {})
+    import freightlens.operators.rates as rates
+    monkeypatch.setattr(rates, "rank_over", lambda df, p, v, out: rk.rank_over(df, p, v, out, max_rows=0))
+    split = sorted(map(tuple, volume_scenarios(_quotes(spark), providers, routes, **args).collect()))
+    assert plain == split
