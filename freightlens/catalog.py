@@ -17,6 +17,7 @@ from freightlens import operators as op
 from freightlens.functions.labels import lane_label
 from freightlens.plans.joins import join_dims
 from freightlens.plans.materialize import write_checkpoint_table
+from freightlens.plans.sizing import scaled_shuffle
 from freightlens.sources import testdata as td
 
 # Parameters of the registered queries (chosen for the test data, where the
@@ -56,6 +57,11 @@ class Inputs:
 
     @property
     def facts(self):
+        if "facts" not in self._cache and self.materialize:
+            # The build shuffles whole fact tables: size the partitions from the input.
+            paths = [f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in td.FACT_SOURCES]
+            with scaled_shuffle(self.spark, paths):
+                return self._get("facts", lambda: td.shipment_facts(self.spark, self.sf_dir), store=True)
         return self._get("facts", lambda: td.shipment_facts(self.spark, self.sf_dir), store=True)
 
     @property

@@ -34,6 +34,9 @@ from pyspark.sql import functions as F
 from freightlens.functions.numeric import round_half_up, safe_div
 from freightlens.plans.joins import bounded_broadcast
 
+# Tables read by the shipment-fact build.
+FACT_SOURCES = ("lineitem", "orders", "customer", "supplier", "part", "nation")
+
 # Weight bands of the derived rate card: upper bounds of the first two bands.
 BAND_BOUNDS = (15, 35)
 
