@@ -23,6 +23,10 @@ from freightlens.sources import testdata as td
 # Parameters of the registered queries (chosen for the test data, where the
 # on-time rate is about two thirds).
 RAG_GOOD, RAG_AT_RISK = 67.0, 65.0
+# Shipment sizes of the test data run from 1 to 50 units; the derived rate
+# card has bands 0-15, 15-35 and 35+, so 15 and 40 exercise both branches.
+SCENARIOS = dict(scenarios=((15, "15kg scenario"), (40, "40kg scenario")), boundary=35,
+                 band_at_or_below="15-35", band_above="35+")
 
 
 class Inputs:
@@ -133,7 +137,7 @@ def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
         "landed_rate": lambda i: op.landed_rate(i.quotes, i.providers, i.routes),
         "on_time": lambda i: op.on_time_rate(i.shipments, i.providers, i.routes),
         "quote_spread": lambda i: op.quote_spread(i.quotes, i.providers, i.routes),
-        "volume_scenarios": lambda i: op.volume_scenarios(i.quotes, i.providers, i.routes),
+        "volume_scenarios": lambda i: op.volume_scenarios(i.quotes, i.providers, i.routes, **SCENARIOS),
         "delay_pareto": lambda i: op.delay_pareto(i.shipments),
         "monthly_rollup": lambda i: i.history,
         "monthly_trend": lambda i: op.monthly_trend(i.history, i.providers, i.routes),

@@ -53,10 +53,16 @@ def quote_spread(quotes: DataFrame, providers: DataFrame, routes: DataFrame) ->
         .orderBy("lane", "weight_band_kg"))
 
 
+# The reference's scenarios and band rule (defaults of C4).
+DEFAULT_SCENARIOS = ((500, "500kg scenario"), (2000, "2000kg scenario"))
+DEFAULT_BAND_BOUNDARY = 2000
+DEFAULT_BANDS = ("500-2000", "2000+")
+
+
 def volume_scenarios(quotes: DataFrame, providers: DataFrame, routes: DataFrame,
-                     scenarios=((15, "15kg scenario"), (40, "40kg scenario")),
-                     boundary: float = 35, band_at_or_below: str = "15-35",
-                     band_above: str = "35+") -> DataFrame:
+                     scenarios=DEFAULT_SCENARIOS, boundary: float = DEFAULT_BAND_BOUNDARY,
+                     band_at_or_below: str = DEFAULT_BANDS[0],
+                     band_above: str = DEFAULT_BANDS[1]) -> DataFrame:
     """Total cost of each quote for each shipment size, ranked per route (C4).
 
     The reference joins on ``scenario_kg >= min_shipment_kg`` and then keeps

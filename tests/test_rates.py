@@ -76,3 +76,9 @@ def test_volume_scenarios_bucketed_rank_equals_window(spark, providers, routes,
     monkeypatch.setattr(rates, "rank_over", lambda df, p, v, out: rk.rank_over(df, p, v, out, max_rows=0))
     split = sorted(map(tuple, volume_scenarios(_quotes(spark), providers, routes, **args).collect()))
     assert plain == split
+
+
+def test_volume_scenarios_reference_defaults(spark, providers, routes):
+    out = volume_scenarios(_quotes(spark), providers, routes)
+    labels = sorted({r.scenario_label for r in out.collect()})
+    assert labels == ["2000kg scenario", "500kg scenario"] and out.count() == 10
