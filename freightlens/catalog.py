@@ -35,8 +35,9 @@ class Inputs:
     With ``materialize`` the shipment facts (the result of the four
     fact-to-fact joins), the monthly history, the rate card and the two
     dimensions are written once as parquet into ``spark.checkpoint.dir`` and
-    every query scans them: the joins run once per application instead of once per query,
-    and the lineage of each query starts at a parquet scan.
+    every query scans them: the joins run once per application instead of
+    once per query, and the lineage of each query starts at a parquet scan.
+    The source tables are treated as immutable while the application runs.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
@@ -61,12 +62,15 @@ class Inputs:
 
     @property
     def facts(self):
-        if "facts" not in self._cache and self.materialize:
-            # The build shuffles whole fact tables: size the partitions from the input.
-            paths = [f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in td.FACT_SOURCES]
-            with scaled_shuffle(self.spark, paths):
-                return self._get("facts", lambda: td.shipment_facts(self.spark, self.sf_dir), store=True)
-        return self._get("facts", lambda: td.shipment_facts(self.spark, self.sf_dir), store=True)
+        def build():
+            return td.shipment_facts(self.spark, self.sf_dir)
+
+        if "facts" in self._cache or not self.materialize:
+            return self._get("facts", build, store=True)
+        # The build shuffles whole fact tables: size the partitions from the input.
+        paths = [f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in td.FACT_SOURCES]
+        with scaled_shuffle(self.spark, paths):
+            return self._get("facts", build, store=True)
 
     @property
     def shipments(self):
