@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -44,21 +45,23 @@ class Inputs:
         self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
         self._cache: dict[str, DataFrame] = {}
 
-    def _get(self, name, build, store: bool = False):
+    def _get(self, name, build, store: bool = False, keep: bool = False):
         if name not in self._cache:
             df = build()
             if store and self.materialize:
                 df = write_checkpoint_table(df, name)
+                if keep:  # small tables: keep in memory, re-read from the parquet if lost
+                    df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._cache[name] = df
         return self._cache[name]
 
     @property
     def providers(self):
-        return self._get("providers", lambda: td.providers(self.spark, self.sf_dir), store=True)
+        return self._get("providers", lambda: td.providers(self.spark, self.sf_dir), store=True, keep=True)
 
     @property
     def routes(self):
-        return self._get("routes", lambda: td.routes(self.spark, self.sf_dir), store=True)
+        return self._get("routes", lambda: td.routes(self.spark, self.sf_dir), store=True, keep=True)
 
     @property
     def facts(self):
@@ -78,12 +81,13 @@ class Inputs:
 
     @property
     def quotes(self):
-        return self._get("quotes", lambda: td.quotes_from_facts(self.facts), store=True)
+        return self._get("quotes", lambda: td.quotes_from_facts(self.facts), store=True, keep=True)
 
     @property
     def history(self):
         return self._get("history", lambda: op.roll_up_history(self.shipments, self.providers,
-                                                               lead_days=td.lead_time_days()), store=True)
+                                                               lead_days=td.lead_time_days()), store=True,
+                         keep=True)
 
     @property
     def v_scorecard(self):
