@@ -100,3 +100,66 @@ def test_alerts_do_not_depend_on_row_order(spark, items, rnd):
     key = lambda x: (x.provider_name, x.lane)
     assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
     assert {key(x) for x in a} <= {(PROVIDERS[i][0], ROUTES[j]) for i in PROVIDERS for j in ROUTES}
+
+
+hist_row = st.fixed_dictionaries({
+    "provider_id": st.sampled_from([1, 2, 3]),
+    "route_id": st.sampled_from([1, 2]),
+    "month": st.integers(1, 12),
+    "total": st.integers(0, 30),
+    "on_time_frac": st.floats(0, 1),
+    "cost_cents": st.integers(20, 60),
+    "lead": st.integers(100, 400),
+})
+
+
+def _hist(spark, items):
+    seen, rows_ = set(), []
+    for it in items:
+        k = (it["provider_id"], it["route_id"], it["month"])
+        if k in seen:
+            continue
+        seen.add(k)
+        rows_.append({"perf_id": len(rows_), "provider_id": k[0], "route_id": k[1],
+                      "month_year": dt.date(2024, k[2], 1), "total_shipments": it["total"],
+                      "on_time_count": int(it["total"] * it["on_time_frac"]),
+                      "avg_cost_per_kg": Decimal(it["cost_cents"]) / 100, "avg_lead_time_days": Decimal(it["lead"]) / 100,
+                      "total_revenue_eur": Decimal("1.00"), "sla_breached": False})
+    return make(spark, "performance_history", rows_)
+
+
+@SETTINGS
+@given(st.lists(hist_row, min_size=2, max_size=30))
+def test_scorecard_invariants(spark, items):
+    from freightlens.operators import scorecard, sensitivity
+
+    p, _ = _dims(spark)
+    sc = scorecard(_hist(spark, items), p)
+    out = sc.collect()
+    for x in out:
+        for s in (x.cost_score, x.reliability_score, x.lead_time_score, x.weighted_total_score):
+            assert s is None or 0.0 <= s <= 100.0
+    ranks = sorted(x.final_rank for x in out)
+    assert ranks[0] == 1
+    scored = sorted((x for x in out if x.weighted_total_score is not None), key=lambda x: x.final_rank)
+    assert [x.weighted_total_score for x in scored] == sorted((x.weighted_total_score for x in scored),
+                                                              reverse=True)
+    sens = sensitivity(sc).collect()
+    assert len(sens) == 10 * len(out)
+    assert {x.weight_set for x in sens if x.score_rank == 1} == set(range(1, 11))
+
+
+@SETTINGS
+@given(st.lists(hist_row, min_size=1, max_size=30))
+def test_alert_is_the_latest_rolling_value(spark, items):
+    from freightlens.operators import rolling_on_time
+
+    p, rt = _dims(spark)
+    h = _hist(spark, items)
+    latest = {}
+    for x in rolling_on_time(h, p, rt).collect():
+        k = (x.provider_name, x.lane)
+        if k not in latest or x.month_year > latest[k][0]:
+            latest[k] = (x.month_year, x.rolling_3m_otd)
+    alerts = {(x.provider_name, x.lane): x.rolling_3m_otd for x in sla_alerts(h, p, rt).collect()}
+    assert alerts == {k: v[1] for k, v in latest.items()}
