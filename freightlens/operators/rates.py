@@ -71,9 +71,9 @@ def volume_scenarios(quotes: DataFrame, providers: DataFrame, routes: DataFrame,
     (hash join) followed by the ``>=`` filter.  The scenario list is an
     argument, so its size is known and it is broadcast.
     """
-    spark = quotes.sparkSession
-    sc = spark.createDataFrame([(float(kg), str(label)) for kg, label in scenarios],
-                               "scenario_kg double, scenario_label string")
+    rows = F.array(*[F.struct(F.lit(float(kg)).alias("scenario_kg"), F.lit(str(label)).alias("scenario_label"))
+                     for kg, label in scenarios])
+    sc = quotes.sparkSession.range(1).select(F.inline(rows))
     sc = sc.withColumn("weight_band_kg", F.when(F.col("scenario_kg") <= F.lit(float(boundary)),
                                                 F.lit(band_at_or_below)).otherwise(F.lit(band_above)))
     j = (join_dims(quotes, providers, routes)
