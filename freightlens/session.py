@@ -43,9 +43,17 @@ def get_session(master: str | None = None, app: str = "freightlens",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, a laptop) without the setting gets a
+    temporary folder; on a cluster a machine-local folder would be lost with
+    its executor, so a missing setting is an error there.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(e.g. on HDFS or an object store)")
         d = os.path.join(tempfile.gettempdir(), "freightlens-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
