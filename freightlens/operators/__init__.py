@@ -19,6 +19,7 @@ from freightlens.operators.reports import (  # noqa: F401
     report_summary,
     report_trend,
     shipment_log,
+    slice_by,
     status_breakdown,
 )
 from freightlens.operators.scoring import measure_scores, scorecard, sensitivity  # noqa: F401

@@ -41,12 +41,24 @@ def report_radar(scores: DataFrame) -> DataFrame:
     return renamed.unpivot("provider_name", list(SCORE_CATEGORIES), "category", "score")
 
 
+def slice_by(df: DataFrame, lanes: list[str] | None = None, providers: list[str] | None = None) -> DataFrame:
+    """Report slicers (P11): keep the chosen lanes and/or providers."""
+    if lanes:
+        df = df.filter(F.col("lane").isin(list(lanes)))
+    if providers:
+        df = df.filter(F.col("provider_name").isin(list(providers)))
+    return df
+
+
 def report_trend(history: DataFrame, providers: DataFrame, routes: DataFrame,
-                 lanes: list[str] | None = None) -> DataFrame:
+                 lanes: list[str] | None = None, provider_names: list[str] | None = None) -> DataFrame:
     """On-time %, cost per kg and shipment volume per month x provider, with
     the provider's SLA line (C23).  Volume is ``total_shipments`` of the
-    history; an optional lane slicer filters the history rows first."""
+    history; optional lane and provider slicers filter the rows first."""
     h = history
+    if provider_names:
+        ids = providers.filter(F.col("provider_name").isin(list(provider_names))).select("provider_id")
+        h = h.join(bounded_broadcast(ids), "provider_id", "left_semi")
     if lanes:
         h = join_dims(h, providers.select("provider_id", *[c for c in ("origin_city",) if c in providers.columns]),
                       routes).filter(lane_label().isin(lanes))

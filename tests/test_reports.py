@@ -82,6 +82,17 @@ def test_report_trend(spark, providers, routes):
     assert got == [("2024-01", "Alpha Freight", 70.0, 0.4, 40, D("92.00"))]
     sliced = rows(report_trend(h, providers, routes, lanes=["Groningen → Bremen"]), "avg_on_time_pct", "shipments")
     assert sliced == [(50.0, 30)]
+    assert report_trend(h, providers, routes, provider_names=["Beta Logistics"]).count() == 0
+    assert report_trend(h, providers, routes, provider_names=["Alpha Freight"]).count() == 1
+
+
+def test_slice_by(spark):
+    from freightlens.operators import slice_by
+
+    df = spark.createDataFrame([("A", "L1"), ("A", "L2"), ("B", "L1")], "provider_name string, lane string")
+    assert slice_by(df, lanes=["L1"]).count() == 2
+    assert slice_by(df, lanes=["L1"], providers=["B"]).count() == 1
+    assert slice_by(df).count() == 3
 
 
 def test_lane_overview_keeps_pairs_from_any_fact(spark):
