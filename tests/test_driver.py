@@ -52,3 +52,12 @@ def test_entry_smoke(spark):
     assert df.columns == ["provider_name", "lane", "rolling_3m_otd", "sla_threshold", "breach_status",
                           "recommended_action"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_cross_product_and_no_python(spark, name):
+    df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                 "FlatMapGroupsInPandas", "MapInPandas"):
+        assert node not in plan, f"{name}: {node}"
