@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from freightlens.sources import schemas
 
@@ -30,13 +31,28 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def _as_boolean(c):
+    v = F.lower(F.trim(F.col(c)))
+    return (F.when(v.isin("1", "true", "t", "yes"), F.lit(True))
+            .when(v.isin("0", "false", "f", "no"), F.lit(False)).alias(c))
+
+
 def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """Typed scan of one core table (S1): explicit schema, no inference."""
+    """Typed scan of one core table (S1): explicit schema, no inference.
+
+    In CSV, booleans may be written ``0``/``1`` (MySQL) or ``true``/``false``;
+    a boolean read schema would turn the former into NULL without a word,
+    so boolean columns are read as text and converted.
+    """
     schema = schemas.TABLES[table]
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("nullValue", "NULL")
-    return apply_defaults(reader.format(fmt).load(path), table)
+    if fmt != "csv":
+        return apply_defaults(spark.read.schema(schema).format(fmt).load(path), table)
+    text = StructType([StructField(f.name, StringType() if isinstance(f.dataType, BooleanType) else f.dataType,
+                                   True) for f in schema.fields])
+    df = spark.read.option("header", True).option("nullValue", "NULL").schema(text).csv(path)
+    df = df.select(*[_as_boolean(f.name) if isinstance(f.dataType, BooleanType) else F.col(f.name)
+                     for f in schema.fields])
+    return apply_defaults(df, table)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

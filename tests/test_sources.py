@@ -51,3 +51,18 @@ def test_inline_rows_and_append(spark):
     write_table(df, path)
     append_rows(inline_rows(spark, "providers", [{"provider_id": 3, "provider_name": "Gamma Cargo"}]), path)
     assert read_table(spark, path, "providers").count() == 3
+
+
+def test_core_table_csv_with_zero_one_booleans(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="fl-core-csv-"), "shipments.csv")
+    with open(path, "w", newline="") as f:
+        f.write("shipment_id,provider_id,route_id,shipment_date,weight_kg,volume_cbm,commodity_type,"
+                "promised_delivery,actual_delivery,freight_cost_eur,fuel_surcharge_eur,total_cost_eur,status,"
+                "delay_reason,customer_complaint\r\n")
+        f.write("1,1,1,2024-01-02,550.00,NULL,Textiles,2024-01-04,2024-01-04,180.00,13.05,193.05,Delivered,NULL,0\r\n")
+        f.write("2,1,1,2024-01-03,100.00,NULL,NULL,2024-01-04,2024-01-06,30.00,2.00,32.00,Delayed,Customs,1\r\n")
+        f.write("3,1,1,2024-01-03,100.00,NULL,NULL,2024-01-04,2024-01-04,30.00,2.00,32.00,Delivered,NULL,NULL\r\n")
+    got = {r.shipment_id: r for r in read_table(spark, path, "shipments", "csv").collect()}
+    assert [got[i].customer_complaint for i in (1, 2, 3)] == [False, True, False]
+    assert got[2].delay_reason == "Customs" and got[1].delay_reason is None
+    assert got[1].total_cost_eur == D("193.05") and got[1].shipment_date == d("2024-01-02")
