@@ -18,8 +18,27 @@ from freightlens import catalog  # noqa: E402
 from freightlens.session import get_session  # noqa: E402
 from freightlens.sources import testdata as td  # noqa: E402
 
-SHOW = ["on_time", "delay_pareto", "sla_alerts", "volume_scenarios", "quote_spread", "v_detail", "scorecard",
-        "lane_overview", "integrity"]
+NOTES = {
+    "build": "Three sort-merge joins move lineitem rows (on order key, supplier key, part key) and one more joins "
+             "orders to customers; the 25-row nation lookup is the only broadcast. This runs once per "
+             "application, with shuffle partitions sized from the input, and is written to the checkpoint folder.",
+    "on_time": "Partial count per (provider, route) before the first exchange, so a hot provider leaves one row per "
+               "task; labels come from two broadcast dimensions; the second aggregation merges equal labels over "
+               "a few hundred rows.",
+    "delay_pareto": "One partial aggregation over the fact; the share of total is a window over the aggregated "
+                    "rows (one per reason), the only single-partition step.",
+    "sla_alerts": "WindowGroupLimit keeps the 3 latest months per pair on the map side before the exchange; the "
+                  "average reuses the window's partitioning (no second exchange).",
+    "volume_scenarios": "The range join is a broadcast hash join on the band with the `>=` as a join condition; "
+                        "the rank partitions by scenario x route (bucketed exact rank above 2M rows per partition).",
+    "quote_spread": "The ordered provider list is built per lane x band, bounded by the providers of the lane.",
+    "v_detail": "Map-only: the fact scan joins two broadcast dimensions; no exchange.",
+    "scorecard": "Means per provider from the history, then windows over one row per provider.",
+    "lane_overview": "Each fact is aggregated to provider x lane before the facts are joined, so no join fans out.",
+    "integrity": "Nulls and orphans in one pass (broadcast dimensions with a marker column); duplicate keys by a "
+                 "partial count per key.",
+}
+SHOW = [k for k in NOTES if k != "build"]
 
 
 def tree(df) -> str:
@@ -43,10 +62,12 @@ def main() -> None:
           "shown as they run on large inputs. Broadcasts that remain are the dimensions passed through "
           "`plans.joins.bounded_broadcast` (row count checked) and the argument-sized scenario list.\n")
     print("## Shipment fact build (once per application)\n")
+    print(NOTES["build"] + "\n")
     print("```\n" + tree(td.shipment_facts(spark, sf_dir)) + "\n```\n")
     q = catalog.queries()
     for name in SHOW:
         print(f"## {name}\n")
+        print(NOTES[name] + "\n")
         print("```\n" + tree(q[name](spark, sf_dir)) + "\n```\n")
     spark.stop()
 
