@@ -29,6 +29,14 @@ SCORE_CATEGORIES = ("Cost Score", "Reliability Score", "Lead Time Score")
 # DAX volume assumption for the max-min saving.
 DEFAULT_WEIGHTS = (0.40, 0.35, 0.25)
 DEFAULT_ANNUAL_VOLUME_KG = 2_400_000
+# Shipment-size scenarios of the volume model, its band boundary and the two
+# bands it selects (at or below the boundary, above it).
+DEFAULT_SCENARIOS = ((500, "500kg scenario"), (2000, "2000kg scenario"))
+DEFAULT_BAND_BOUNDARY = 2000
+DEFAULT_BANDS = ("500-2000", "2000+")
+# RAG bounds of the SLA status flag and the SLA-alert margin.
+RAG_DEFAULT_GOOD, RAG_DEFAULT_AT_RISK = 95.0, 90.0
+ALERT_MARGIN = 3.0
 # ---------------------------------------------------------------------------
 
 

@@ -14,7 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from freightlens import operators as op
-from freightlens.functions.labels import DEFAULT_ANNUAL_VOLUME_KG, DEFAULT_WEIGHTS
+from freightlens.functions.labels import (
+    ALERT_MARGIN,
+    DEFAULT_ANNUAL_VOLUME_KG,
+    DEFAULT_WEIGHTS,
+    RAG_DEFAULT_AT_RISK,
+    RAG_DEFAULT_GOOD,
+)
 from freightlens.sources.tables import read_table, write_view_csv
 
 TABLES = ("providers", "routes", "quotes", "shipments", "performance_history")
@@ -55,7 +61,7 @@ class ProcurementModel:
         return op.scorecard(self.history, self.providers, weights, on_zero_range)
 
     # --- alert function and views ---------------------------------------
-    def sla_alerts(self, window: int = 3, margin: float = 3.0) -> DataFrame:
+    def sla_alerts(self, window: int = 3, margin: float = ALERT_MARGIN) -> DataFrame:
         return op.sla_alerts(self.history, self.providers, self.routes, window, margin)
 
     def v_scorecard(self) -> DataFrame:
@@ -97,7 +103,7 @@ class ProcurementModel:
     def potential_saving(self, volume_kg: float = DEFAULT_ANNUAL_VOLUME_KG) -> DataFrame:
         return op.potential_saving(self.v_scorecard(), volume_kg)
 
-    def rag_status(self, good: float = 95.0, at_risk: float = 90.0) -> DataFrame:
+    def rag_status(self, good: float = RAG_DEFAULT_GOOD, at_risk: float = RAG_DEFAULT_AT_RISK) -> DataFrame:
         return op.rag_status(self.v_scorecard(), good, at_risk)
 
     def sensitivity(self, grid=None) -> DataFrame:

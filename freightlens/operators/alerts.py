@@ -11,6 +11,7 @@ from freightlens.functions.labels import (
     ACTION_OK,
     ALERT_AT_RISK,
     ALERT_BREACH,
+    ALERT_MARGIN,
     ALERT_OK,
     lane_label,
 )
@@ -37,7 +38,7 @@ def rolling_on_time(history: DataFrame, providers: DataFrame, routes: DataFrame,
 
 
 def sla_alerts(history: DataFrame, providers: DataFrame, routes: DataFrame, window: int = 3,
-               margin: float = 3.0) -> DataFrame:
+               margin: float = ALERT_MARGIN) -> DataFrame:
     """Latest rolling on-time % per provider x route against the SLA.
 
     The rolling mean at the latest month is the mean of the last

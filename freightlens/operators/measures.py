@@ -7,7 +7,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlens.functions.labels import DEFAULT_ANNUAL_VOLUME_KG, RAG_AT_RISK, RAG_BREACH, RAG_GOOD
+from freightlens.functions.labels import (
+    DEFAULT_ANNUAL_VOLUME_KG,
+    RAG_AT_RISK,
+    RAG_BREACH,
+    RAG_DEFAULT_AT_RISK,
+    RAG_DEFAULT_GOOD,
+    RAG_GOOD,
+)
 from freightlens.functions.numeric import mean_exact, round_half_up
 
 
@@ -22,14 +29,15 @@ def kpis(v_scorecard: DataFrame, by: list[str] | None = None) -> DataFrame:
     return v_scorecard.groupBy(*(by or [])).agg(*aggs)
 
 
-def rag(value, good: float = 95.0, at_risk: float = 90.0) -> Column:
+def rag(value, good: float = RAG_DEFAULT_GOOD, at_risk: float = RAG_DEFAULT_AT_RISK) -> Column:
     """Red/amber/green label: ``>= good``, ``>= at_risk``, else breach."""
     v = F.col(value) if isinstance(value, str) else value
     return (F.when(v >= F.lit(float(good)), F.lit(RAG_GOOD))
             .when(v >= F.lit(float(at_risk)), F.lit(RAG_AT_RISK)).otherwise(F.lit(RAG_BREACH)))
 
 
-def rag_status(v_scorecard: DataFrame, good: float = 95.0, at_risk: float = 90.0) -> DataFrame:
+def rag_status(v_scorecard: DataFrame, good: float = RAG_DEFAULT_GOOD,
+               at_risk: float = RAG_DEFAULT_AT_RISK) -> DataFrame:
     """Mean on-time % per provider over its lanes and its RAG flag."""
     g = v_scorecard.groupBy("provider_name").agg(mean_exact("avg_on_time_pct", 2).alias("avg_otd_pct"))
     return g.withColumn("sla_status", rag("avg_otd_pct", good, at_risk))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.labels import lane_label
+from freightlens.functions.labels import DEFAULT_BAND_BOUNDARY, DEFAULT_BANDS, DEFAULT_SCENARIOS, lane_label
 from freightlens.functions.numeric import mean_exact, round_half_up
 from freightlens.plans.joins import join_dims
 from freightlens.plans.ranking import rank_over
@@ -53,12 +53,6 @@ def quote_spread(quotes: DataFrame, providers: DataFrame, routes: DataFrame) ->
         .orderBy("lane", "weight_band_kg"))
 
 
-# The reference's scenarios and band rule (defaults of C4).
-DEFAULT_SCENARIOS = ((500, "500kg scenario"), (2000, "2000kg scenario"))
-DEFAULT_BAND_BOUNDARY = 2000
-DEFAULT_BANDS = ("500-2000", "2000+")
-
-
 def volume_scenarios(quotes: DataFrame, providers: DataFrame, routes: DataFrame,
                      scenarios=DEFAULT_SCENARIOS, boundary: float = DEFAULT_BAND_BOUNDARY,
                      band_at_or_below: str = DEFAULT_BANDS[0],

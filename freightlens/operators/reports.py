@@ -8,7 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlens.functions.labels import DEFAULT_WEIGHTS, SCORE_CATEGORIES, lane_label, month_label
+from freightlens.functions.labels import (
+    DEFAULT_WEIGHTS,
+    RAG_DEFAULT_AT_RISK,
+    RAG_DEFAULT_GOOD,
+    SCORE_CATEGORIES,
+    lane_label,
+    month_label,
+)
 from freightlens.functions.numeric import mean_exact, pct, round_half_up
 from freightlens.operators.measures import rag
 from freightlens.operators.scoring import SCORES, measure_scores
@@ -16,7 +23,7 @@ from freightlens.plans.joins import bounded_broadcast, join_dims
 
 
 def report_summary(v_scorecard: DataFrame, weights=DEFAULT_WEIGHTS, lanes: list[str] | None = None,
-                   good: float = 95.0, at_risk: float = 90.0) -> DataFrame:
+                   good: float = RAG_DEFAULT_GOOD, at_risk: float = RAG_DEFAULT_AT_RISK) -> DataFrame:
     """Provider summary table: cost, on-time %, lead time, score, rank, flag."""
     keep = F.col("lane").isin(lanes) if lanes else F.lit(True)
     v = v_scorecard.filter(keep)
