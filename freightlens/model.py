@@ -74,7 +74,12 @@ class ProcurementModel:
         return op.v_detail(self.shipments, self.providers, self.routes)
 
     def register_sql(self) -> None:
-        """Temp views ``vw_*`` and ``SELECT * FROM check_sla_breach_alerts()``."""
+        """Temp views for the five core tables (under their own names), the
+        three ``vw_*`` views and ``SELECT * FROM check_sla_breach_alerts()``,
+        so SQL written against the original schema runs as Spark SQL."""
+        for name, df in (("providers", self.providers), ("routes", self.routes), ("quotes", self.quotes),
+                         ("shipments", self.shipments), ("performance_history", self.history)):
+            df.createOrReplaceTempView(name)
         op.register_sql_surface(self.history, self.shipments, self.providers, self.routes)
 
     def export_views(self, out_dir: str) -> None:
