@@ -1,6 +1,8 @@
 from freightlens.functions.numeric import (  # noqa: F401
     dax_divide,
     mean_exact,
+    mean_half_up,
+    mean_parts,
     pct,
     round_half_up,
     safe_div,

@@ -63,3 +63,26 @@ def dax_divide(num, den, alternate: float = 0.0) -> Column:
     """DAX ``DIVIDE(num, den, alternate)``: the alternate only when ``den`` is 0."""
     n, d = _c(num).cast("double"), _c(den).cast("double")
     return F.when(d == 0, F.lit(float(alternate))).otherwise(n / F.nullif(d, F.lit(0.0)))
+
+
+def mean_parts(x, scale: int, name: str) -> list[Column]:
+    """Aggregates for an exactly rounded mean of values with ``scale``
+    decimals: the sum of ``value * 10^scale`` as an integer, and the count.
+    Finish with ``mean_half_up(name, scale)`` after the aggregation."""
+    c = _c(x)
+    return [F.sum((c * F.lit(Decimal(10) ** scale)).cast("decimal(38,0)")).alias(f"_{name}_s"),
+            F.count(c).alias(f"_{name}_n")]
+
+
+def mean_half_up(name: str, scale: int) -> Column:
+    """``ROUND(AVG(x), scale)`` with exact decimal semantics, as DOUBLE.
+
+    With S the integer sum and n the count from ``mean_parts``, the rounded
+    mean times ``10^scale`` is ``sign(S) * ((2|S| + n) div 2n)``: integer
+    arithmetic, so a mean lying exactly half-way rounds away from zero,
+    as decimal AVG + ROUND do.  Dividing the mean as a double first would
+    round about one in eleven such ties the wrong way.
+    """
+    s, n = f"_{name}_s", f"_{name}_n"
+    q = F.expr(f"(2 * abs({s}) + {n}) div nullif(2 * {n}, 0)")
+    return (F.signum(F.col(s)) * q).cast("double") / F.lit(float(10 ** scale)) + F.lit(0.0)

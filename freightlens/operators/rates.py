@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.labels import DEFAULT_BAND_BOUNDARY, DEFAULT_BANDS, DEFAULT_SCENARIOS, lane_label
-from freightlens.functions.numeric import mean_exact, round_half_up
+from freightlens.functions.numeric import mean_half_up, mean_parts, round_half_up
 from freightlens.plans.joins import join_dims
 from freightlens.plans.ranking import rank_over
 
@@ -46,10 +46,12 @@ def quote_spread(quotes: DataFrame, providers: DataFrame, routes: DataFrame) ->
     return (q.groupBy("lane", "weight_band_kg").agg(
         round_half_up(lo, 4).alias("cheapest_rate"),
         round_half_up(hi, 4).alias("priciest_rate"),
-        round_half_up(mean_exact(RATE, 4), 4).alias("avg_rate"),
+        *mean_parts(RATE, 4, "rate"),
         round_half_up(hi - lo, 4).alias("rate_spread"),
         round_half_up((hi - lo) / F.nullif(lo, F.lit(0)) * 100, 2).alias("spread_pct"),
         F.expr(f"listagg(_item, ' | ') WITHIN GROUP (ORDER BY {RATE}, provider_name)").alias("provider_rates"))
+        .select("lane", "weight_band_kg", "cheapest_rate", "priciest_rate", mean_half_up("rate", 4).alias("avg_rate"),
+                "rate_spread", "spread_pct", "provider_rates")
         .orderBy("lane", "weight_band_kg"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.functions.labels import DEFAULT_WEIGHTS
-from freightlens.functions.numeric import dax_divide, mean_exact, pct, round_half_up
+from freightlens.functions.numeric import dax_divide, mean_exact, mean_half_up, mean_parts, pct, round_half_up
 from freightlens.plans.joins import bounded_broadcast
 
 SCORES = ("cost_score", "reliability_score", "lead_time_score")
@@ -48,14 +48,14 @@ def weighted(weights=DEFAULT_WEIGHTS, cols=SCORES) -> Column:
 def provider_metrics(history: DataFrame, providers: DataFrame) -> DataFrame:
     """Unweighted means of the monthly metrics per provider, rounded 4/2/2."""
     g = history.groupBy("provider_id").agg(
-        mean_exact("avg_cost_per_kg", 4).alias("avg_cost_per_kg"),
+        *mean_parts("avg_cost_per_kg", 4, "cost"),
         F.avg(pct("on_time_count", "total_shipments")).alias("avg_on_time_pct"),
-        mean_exact("avg_lead_time_days", 2).alias("avg_lead_days"))
+        *mean_parts("avg_lead_time_days", 2, "lead"))
     return (g.join(bounded_broadcast(providers.select("provider_id", "provider_name")), "provider_id")
             .select("provider_id", "provider_name",
-                    round_half_up("avg_cost_per_kg", 4).alias("avg_cost_per_kg"),
+                    mean_half_up("cost", 4).alias("avg_cost_per_kg"),
                     round_half_up("avg_on_time_pct", 2).alias("avg_on_time_pct"),
-                    round_half_up("avg_lead_days", 2).alias("avg_lead_days")))
+                    mean_half_up("lead", 2).alias("avg_lead_days")))
 
 
 def add_scores(metrics: DataFrame, cost: str, otd: str, lead: str, on_zero_range: str = "null",

@@ -42,3 +42,16 @@ def test_lane_and_month_labels(spark):
                                "o string, t string, m string").withColumn("m", F.to_date("m"))
     out = [tuple(r) for r in df.select(lane_label("o", "t"), month_label("m")).collect()]
     assert out == [("Utrecht → Lyon", "2024-03"), (None, "2023-12")]
+
+
+def test_mean_half_up_rounds_exact_ties_away_from_zero(spark):
+    from freightlens.functions import mean_half_up, mean_parts
+
+    df = spark.createDataFrame([("a", Decimal("0.2537")), ("a", Decimal("0.2538")),
+                                ("b", Decimal("-0.2537")), ("b", Decimal("-0.2538")),
+                                ("c", None), ("d", Decimal("1.5000"))], "k string, x decimal(8,4)")
+    got = dict((r.k, r.m) for r in df.groupBy("k").agg(*mean_parts("x", 4, "x"))
+               .select("k", mean_half_up("x", 4).alias("m")).collect())
+    # 0.5075 / 2 = 0.25375 exactly: decimal ROUND gives 0.2538; a double mean would give 0.2537
+    assert got == {"a": 0.2538, "b": -0.2538, "c": None, "d": 1.5}
+    assert spark.range(1).select(round_half_up(F.lit(0.5075 / 2), 4)).first()[0] == 0.2537

@@ -42,3 +42,13 @@ def test_register_views(spark, providers, routes):
     assert spark.sql("SELECT count(*) FROM vw_shipment_detail").first()[0] == 2
     assert spark.sql("SELECT count(*) FROM vw_monthly_trend").first()[0] == 2
     assert spark.sql("SELECT count(*) FROM vw_provider_scorecard").first()[0] == 2
+
+
+def test_v_scorecard_rounds_a_tied_mean_like_decimal_avg(spark, providers, routes):
+    h = make(spark, "performance_history", [
+        {"perf_id": i, "provider_id": 1, "route_id": 1, "month_year": dt.date(2024, 1 + i, 1), "total_shipments": 10,
+         "on_time_count": 9, "avg_cost_per_kg": D(c), "avg_lead_time_days": D(lt), "total_revenue_eur": D("1.00"),
+         "sla_breached": False}
+        for i, (c, lt) in enumerate([("0.2537", "2.01"), ("0.2538", "2.02")])])
+    r = v_scorecard(h, providers, routes).first()
+    assert (r.avg_cost_per_kg, r.avg_lead_time_days) == (0.2538, 2.02)   # 0.25375 and 2.015, half up
