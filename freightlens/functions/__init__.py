@@ -4,6 +4,7 @@ from freightlens.functions.numeric import (  # noqa: F401
     mean_half_up,
     mean_parts,
     pct,
+    pct_half_up,
     round_half_up,
     safe_div,
 )

@@ -86,3 +86,17 @@ def mean_half_up(name: str, scale: int) -> Column:
     s, n = f"_{name}_s", f"_{name}_n"
     q = F.expr(f"(2 * abs({s}) + {n}) div nullif(2 * {n}, 0)")
     return (F.signum(F.col(s)) * q).cast("double") / F.lit(float(10 ** scale)) + F.lit(0.0)
+
+
+def pct_half_up(part: str, whole: str, digits: int = 2) -> Column:
+    """``ROUND(part * 100.0 / NULLIF(whole, 0), digits)`` for integer counts,
+    computed exactly: ``sign * ((2 * 100 * 10^d * |part| + |whole|) div
+    (2 * |whole|)) / 10^d``.  Counts give ratios such as 7.5 % of 40 whose
+    decimal value is a tie that a DOUBLE quotient can miss; integer
+    arithmetic rounds it away from zero, as the decimal SQL does.
+    ``part`` and ``whole`` are column names of integral columns.
+    """
+    k = 2 * 100 * 10 ** digits
+    q = F.expr(f"(CAST({k} AS BIGINT) * abs({part}) + abs({whole})) div nullif(2 * abs({whole}), 0)")
+    sign = F.signum(F.col(part)) * F.signum(F.col(whole))
+    return (sign * q).cast("double") / F.lit(float(10 ** digits)) + F.lit(0.0)

@@ -15,7 +15,7 @@ from freightlens.functions.labels import (
     ALERT_OK,
     lane_label,
 )
-from freightlens.functions.numeric import pct, round_half_up
+from freightlens.functions.numeric import pct, pct_half_up, round_half_up
 from freightlens.plans.joins import join_dims
 
 PAIR = ("provider_id", "route_id")
@@ -30,10 +30,10 @@ def rolling_on_time(history: DataFrame, providers: DataFrame, routes: DataFrame,
     """
     w = Window.partitionBy(*PAIR).orderBy("month_year").rowsBetween(-(window - 1), 0)
     p = pct("on_time_count", "total_shipments")
-    h = history.select(*PAIR, "month_year", p.alias("_pct"))
+    h = history.select(*PAIR, "month_year", p.alias("_pct"),
+                       pct_half_up("on_time_count", "total_shipments", 2).alias("on_time_pct"))
     j = join_dims(h, providers, routes)
-    return j.select("provider_name", lane_label().alias("lane"), "month_year",
-                    round_half_up("_pct", 2).alias("on_time_pct"),
+    return j.select("provider_name", lane_label().alias("lane"), "month_year", "on_time_pct",
                     round_half_up(F.avg("_pct").over(w), 2).alias("rolling_3m_otd"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +69,10 @@ def volume_scenarios(quotes: DataFrame, providers: DataFrame, routes: DataFrame,
     (hash join) followed by the ``>=`` filter.  The scenario list is an
     argument, so its size is known and it is broadcast.
     """
-    rows = F.array(*[F.struct(F.lit(float(kg)).alias("scenario_kg"), F.lit(str(label)).alias("scenario_label"))
+    # Sizes are DECIMAL literals: with DECIMAL rates the cost stays exact, as
+    # in the original arithmetic; with DOUBLE rates it is DOUBLE.
+    rows = F.array(*[F.struct(F.lit(Decimal(str(kg))).cast("decimal(12,3)").alias("scenario_kg"),
+                              F.lit(str(label)).alias("scenario_label"))
                      for kg, label in scenarios])
     sc = quotes.sparkSession.range(1).select(F.inline(rows))
     sc = sc.withColumn("weight_band_kg", F.when(F.col("scenario_kg") <= F.lit(float(boundary)),

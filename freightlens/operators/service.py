@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.functions.labels import NO_DELAY, SLA_BREACHED, SLA_MET, lane_label, month_label
-from freightlens.functions.numeric import pct, round_half_up
+from freightlens.functions.numeric import pct, pct_half_up, round_half_up
 from freightlens.plans.joins import bounded_broadcast, join_dims
 
 DELIVERED, DELAYED, DAMAGED = "Delivered", "Delayed", "Damaged"
@@ -29,7 +29,7 @@ def on_time_rate(shipments: DataFrame, providers: DataFrame, routes: DataFrame)
         F.sum("total_shipments").alias("total_shipments"),
         F.sum("on_time").alias("on_time"),
         F.sum("delayed").alias("delayed"))
-    on_time_pct = round_half_up(pct("on_time", "total_shipments"), 2)
+    on_time_pct = pct_half_up("on_time", "total_shipments", 2)
     return (out.withColumn("on_time_pct", on_time_pct)
             .withColumn("sla_status", F.when(F.col("on_time_pct") >= F.col("sla_threshold"), F.lit(SLA_MET))
                         .otherwise(F.lit(SLA_BREACHED)))
@@ -50,11 +50,12 @@ def delay_pareto(shipments: DataFrame, no_delay_label: str = NO_DELAY) -> DataFr
         F.sum("total_cost_eur").alias("total_freight_affected_eur"),
         F.count_if(F.col("customer_complaint")).alias("complaints"))
     everything = Window.partitionBy()
-    return (g.select(F.coalesce(F.col("delay_reason"), F.lit(no_delay_label)).alias("delay_reason"),
-                     "frequency",
-                     round_half_up(pct("frequency", F.sum("frequency").over(everything)), 2).alias("pct_of_total"),
-                     "total_freight_affected_eur",
-                     "complaints")
+    return (g.withColumn("_total", F.sum("frequency").over(everything))
+            .select(F.coalesce(F.col("delay_reason"), F.lit(no_delay_label)).alias("delay_reason"),
+                    "frequency",
+                    pct_half_up("frequency", "_total", 2).alias("pct_of_total"),
+                    "total_freight_affected_eur",
+                    "complaints")
             .orderBy(F.col("frequency").desc()))
 
 
@@ -102,5 +103,5 @@ def monthly_trend(history: DataFrame, providers: DataFrame, routes: DataFrame) -
     return (j.orderBy("month_year", "provider_name", lane_label())
             .select(month_label().alias("month"), "provider_name", lane_label().alias("lane"),
                     "total_shipments", "on_time_count", "delayed_count",
-                    round_half_up(pct("on_time_count", "total_shipments"), 2).alias("on_time_pct"),
+                    pct_half_up("on_time_count", "total_shipments", 2).alias("on_time_pct"),
                     "avg_lead_time_days", "avg_cost_per_kg", "total_revenue_eur", "sla_breached"))

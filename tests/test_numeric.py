@@ -55,3 +55,13 @@ def test_mean_half_up_rounds_exact_ties_away_from_zero(spark):
     # 0.5075 / 2 = 0.25375 exactly: decimal ROUND gives 0.2538; a double mean would give 0.2537
     assert got == {"a": 0.2538, "b": -0.2538, "c": None, "d": 1.5}
     assert spark.range(1).select(round_half_up(F.lit(0.5075 / 2), 4)).first()[0] == 0.2537
+
+
+def test_pct_half_up_is_exact_on_count_ties(spark):
+    from freightlens.functions import pct_half_up
+
+    df = spark.createDataFrame([(23, 4000), (1, 8), (2, 3), (5, 0), (None, 7)], "a bigint, b bigint")
+    got = [r[0] for r in df.select(pct_half_up("a", "b", 2)).collect()]
+    assert got == [0.58, 12.5, 66.67, None, None]
+    # 23 of 4000 is 0.575 % exactly; the DOUBLE quotient rounds down
+    assert spark.range(1).select(round_half_up(pct(F.lit(23), F.lit(4000)), 2)).first()[0] == 0.57

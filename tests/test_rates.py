@@ -82,3 +82,13 @@ def test_volume_scenarios_reference_defaults(spark, providers, routes):
     out = volume_scenarios(_quotes(spark), providers, routes)
     labels = sorted({r.scenario_label for r in out.collect()})
     assert labels == ["2000kg scenario", "500kg scenario"] and out.count() == 10
+
+
+def test_volume_scenarios_exact_on_decimal_rates(spark, providers, routes):
+    # 2000 * 0.3125 * 1.13 * 0.94 = 663.875 exactly: decimal rounding gives 663.88,
+    # the same product in DOUBLE rounds to 663.87
+    q = make(spark, "quotes", [{"quote_id": 1, "provider_id": 1, "route_id": 1, "weight_band_kg": "500-2000",
+                                "base_rate_eur_per_kg": D("0.3125"), "fuel_surcharge_pct": D("13.00"),
+                                "volume_discount_pct": D("6.00"), "min_shipment_kg": D("500")}])
+    r = volume_scenarios(q, providers, routes).filter("scenario_label = '2000kg scenario'").first()
+    assert r.total_cost_eur == 663.88
