@@ -4,7 +4,9 @@ from freightlens.functions.numeric import (  # noqa: F401
     mean_half_up,
     mean_parts,
     pct,
+    pct_decimal,
     pct_half_up,
+    pct_units,
     round_half_up,
     safe_div,
 )

@@ -74,29 +74,49 @@ def mean_parts(x, scale: int, name: str) -> list[Column]:
             F.count(c).alias(f"_{name}_n")]
 
 
-def mean_half_up(name: str, scale: int) -> Column:
-    """``ROUND(AVG(x), scale)`` with exact decimal semantics, as DOUBLE.
-
-    With S the integer sum and n the count from ``mean_parts``, the rounded
-    mean times ``10^scale`` is ``sign(S) * ((2|S| + n) div 2n)``: integer
-    arithmetic, so a mean lying exactly half-way rounds away from zero,
-    as decimal AVG + ROUND do.  Dividing the mean as a double first would
-    round about one in eleven such ties the wrong way.
+def mean_half_up(name: str, scale: int, digits: int | None = None) -> Column:
+    """``ROUND(AVG(x), digits)`` with exact decimal semantics, as DOUBLE.
+
+    With S the integer sum (units of ``10^-scale``) and n the count from
+    ``mean_parts``, the mean in units of ``10^-digits`` rounded half away
+    from zero is ``sign(S) * ((2|S| + n*f) div (2*n*f))`` with
+    ``f = 10^(scale - digits)``: integer arithmetic, so a mean lying exactly
+    half-way rounds away from zero, as decimal AVG + ROUND do.  Dividing
+    the mean as a double first would round about one in eleven such ties
+    the wrong way.
     """
+    d = scale if digits is None else digits
+    f = 10 ** (scale - d)
     s, n = f"_{name}_s", f"_{name}_n"
-    q = F.expr(f"(2 * abs({s}) + {n}) div nullif(2 * {n}, 0)")
-    return (F.signum(F.col(s)) * q).cast("double") / F.lit(float(10 ** scale)) + F.lit(0.0)
+    q = F.expr(f"(2 * abs({s}) + {n} * {f}) div nullif(2 * {n} * {f}, 0)")
+    return (F.signum(F.col(s)) * q).cast("double") / F.lit(float(10 ** d)) + F.lit(0.0)
 
 
-def pct_half_up(part: str, whole: str, digits: int = 2) -> Column:
-    """``ROUND(part * 100.0 / NULLIF(whole, 0), digits)`` for integer counts,
-    computed exactly: ``sign * ((2 * 100 * 10^d * |part| + |whole|) div
-    (2 * |whole|)) / 10^d``.  Counts give ratios such as 7.5 % of 40 whose
-    decimal value is a tie that a DOUBLE quotient can miss; integer
-    arithmetic rounds it away from zero, as the decimal SQL does.
-    ``part`` and ``whole`` are column names of integral columns.
-    """
+# Fixed value: percentages of two counts carry 5 decimal places, as the
+# original MySQL arithmetic gives for ``a * 100.0 / b``.
+PCT_SCALE = 5
+
+
+def pct_units(part: str, whole: str, digits: int) -> Column:
+    """``ROUND(part * 100.0 / NULLIF(whole, 0), digits) * 10^digits`` as an
+    exact LONG: ``(2 * 100 * 10^d * |part| + |whole|) div (2 * |whole|)``
+    with the sign of the quotient.  ``part`` and ``whole`` are column names
+    of integral columns."""
     k = 2 * 100 * 10 ** digits
     q = F.expr(f"(CAST({k} AS BIGINT) * abs({part}) + abs({whole})) div nullif(2 * abs({whole}), 0)")
-    sign = F.signum(F.col(part)) * F.signum(F.col(whole))
-    return (sign * q).cast("double") / F.lit(float(10 ** digits)) + F.lit(0.0)
+    return F.when((F.col(part) < 0) != (F.col(whole) < 0), -q).otherwise(q)
+
+
+def pct_half_up(part: str, whole: str, digits: int = 2) -> Column:
+    """``ROUND(part * 100.0 / NULLIF(whole, 0), digits)`` for integer counts,
+    exactly, as DOUBLE.  Counts give ratios such as 23 of 4000 = 0.575 %
+    whose decimal value is a tie that a DOUBLE quotient misses; integer
+    arithmetic rounds it away from zero, as the decimal SQL does."""
+    return pct_units(part, whole, digits).cast("double") / F.lit(float(10 ** digits)) + F.lit(0.0)
+
+
+def pct_decimal(part: str, whole: str, digits: int = PCT_SCALE) -> Column:
+    """The percentage of two counts as an exact DECIMAL with ``digits``
+    places (5 by default, the original's precision)."""
+    unit = F.lit(Decimal(1).scaleb(-digits))
+    return (pct_units(part, whole, digits).cast("decimal(20,0)") * unit).cast(f"decimal(20,{digits})")

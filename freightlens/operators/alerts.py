@@ -15,7 +15,14 @@ from freightlens.functions.labels import (
     ALERT_OK,
     lane_label,
 )
-from freightlens.functions.numeric import pct, pct_half_up, round_half_up
+from freightlens.functions.numeric import (
+    PCT_SCALE,
+    mean_half_up,
+    mean_parts,
+    pct_decimal,
+    pct_half_up,
+    pct_units,
+)
 from freightlens.plans.joins import join_dims
 
 PAIR = ("provider_id", "route_id")
@@ -29,12 +36,13 @@ def rolling_on_time(history: DataFrame, providers: DataFrame, routes: DataFrame,
     per pair (months of history).
     """
     w = Window.partitionBy(*PAIR).orderBy("month_year").rowsBetween(-(window - 1), 0)
-    p = pct("on_time_count", "total_shipments")
-    h = history.select(*PAIR, "month_year", p.alias("_pct"),
-                       pct_half_up("on_time_count", "total_shipments", 2).alias("on_time_pct"))
+    units = pct_units("on_time_count", "total_shipments", PCT_SCALE)
+    h = (history.select(*PAIR, "month_year", units.alias("_u"),
+                        pct_half_up("on_time_count", "total_shipments", 2).alias("on_time_pct"))
+         .withColumn("_r_s", F.sum("_u").over(w)).withColumn("_r_n", F.count("_u").over(w)))
     j = join_dims(h, providers, routes)
     return j.select("provider_name", lane_label().alias("lane"), "month_year", "on_time_pct",
-                    round_half_up(F.avg("_pct").over(w), 2).alias("rolling_3m_otd"))
+                    mean_half_up("r", PCT_SCALE, 2).alias("rolling_3m_otd"))
 
 
 def sla_alerts(history: DataFrame, providers: DataFrame, routes: DataFrame, window: int = 3,
@@ -47,10 +55,11 @@ def sla_alerts(history: DataFrame, providers: DataFrame, routes: DataFrame, wind
     instead of a rolling window plus a second, opposite sort.
     """
     latest_first = Window.partitionBy(*PAIR).orderBy(F.col("month_year").desc())
-    last = (history.select(*PAIR, "month_year", pct("on_time_count", "total_shipments").alias("_pct"))
+    last = (history.select(*PAIR, "month_year", pct_decimal("on_time_count", "total_shipments").alias("_pct"))
             .withColumn("_rn", F.row_number().over(latest_first))
             .filter(F.col("_rn") <= window))
-    r = last.groupBy(*PAIR).agg(round_half_up(F.avg("_pct"), 2).alias("rolling_3m_otd"))
+    r = (last.groupBy(*PAIR).agg(*mean_parts("_pct", PCT_SCALE, "r"))
+         .select(*PAIR, mean_half_up("r", PCT_SCALE, 2).alias("rolling_3m_otd")))
     j = join_dims(r, providers, routes)
     below = F.col("rolling_3m_otd") < F.col("sla_threshold")
     near = F.col("rolling_3m_otd") < F.col("sla_threshold") + F.lit(float(margin))

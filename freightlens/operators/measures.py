@@ -15,7 +15,7 @@ from freightlens.functions.labels import (
     RAG_DEFAULT_GOOD,
     RAG_GOOD,
 )
-from freightlens.functions.numeric import mean_exact, round_half_up
+from freightlens.functions.numeric import PCT_SCALE, mean_exact, round_half_up
 
 
 def kpis(v_scorecard: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -45,7 +45,7 @@ def rag_status(v_scorecard: DataFrame, good: float = RAG_DEFAULT_GOOD,
 
 def _monthly(trend: DataFrame, by: list[str]) -> DataFrame:
     return trend.groupBy(*by, "month_year").agg(
-        F.avg("on_time_pct").alias("avg_on_time_pct"),
+        mean_exact("on_time_pct", PCT_SCALE).alias("avg_on_time_pct"),
         mean_exact("avg_cost_per_kg", 4).alias("avg_cost_per_kg"))
 
 
@@ -81,11 +81,12 @@ def rolling_calendar(trend: DataFrame, months: int = 3, by: list[str] | None = N
     respected) divides the summed sums by the summed counts.
     """
     by = list(by or ["provider_name"])
-    m = trend.groupBy(*by, "month_year").agg(F.sum("on_time_pct").alias("_s"), F.count("on_time_pct").alias("_n"))
+    exact = F.col("on_time_pct").cast(f"decimal(30,{PCT_SCALE})")
+    m = trend.groupBy(*by, "month_year").agg(F.sum(exact).alias("_s"), F.count(exact).alias("_n"))
     idx = F.year("month_year") * 12 + F.month("month_year")
     w = Window.partitionBy(*by).orderBy(idx).rangeBetween(-(months - 1), 0)
-    return m.select(*by, "month_year",
-                    round_half_up(F.sum("_s").over(w) / F.sum("_n").over(w), 2).alias("rolling_3m_otd"))
+    mean = F.sum("_s").over(w).cast("double") / F.nullif(F.sum("_n").over(w).cast("double"), F.lit(0.0))
+    return m.select(*by, "month_year", round_half_up(mean, 2).alias("rolling_3m_otd"))
 
 
 def lane_savings(v_scorecard: DataFrame, volumes: DataFrame, current: DataFrame | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from freightlens.functions.labels import (
     lane_label,
     month_label,
 )
-from freightlens.functions.numeric import mean_exact, pct, round_half_up
+from freightlens.functions.numeric import PCT_SCALE, mean_exact, mean_half_up, mean_parts, pct_decimal, round_half_up
 from freightlens.operators.measures import rag
 from freightlens.operators.scoring import SCORES, measure_scores
 from freightlens.plans.joins import bounded_broadcast, join_dims
@@ -70,12 +70,12 @@ def report_trend(history: DataFrame, providers: DataFrame, routes: DataFrame,
         h = join_dims(h, providers.select("provider_id", *[c for c in ("origin_city",) if c in providers.columns]),
                       routes).filter(lane_label().isin(lanes))
     g = h.groupBy("provider_id", "month_year").agg(
-        F.avg(pct("on_time_count", "total_shipments")).alias("_otd"),
+        *mean_parts(pct_decimal("on_time_count", "total_shipments"), PCT_SCALE, "otd"),
         mean_exact("avg_cost_per_kg", 4).alias("_cost"),
         F.sum("total_shipments").alias("shipments"))
     j = join_dims(g, providers.select("provider_id", "provider_name", "sla_threshold"))
     return j.select(month_label().alias("month"), "month_year", "provider_name",
-                    round_half_up("_otd", 2).alias("avg_on_time_pct"),
+                    mean_half_up("otd", PCT_SCALE, 2).alias("avg_on_time_pct"),
                     round_half_up("_cost", 4).alias("avg_cost_per_kg"),
                     "shipments", "sla_threshold")
 

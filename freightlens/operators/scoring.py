@@ -13,7 +13,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.functions.labels import DEFAULT_WEIGHTS
-from freightlens.functions.numeric import dax_divide, mean_exact, mean_half_up, mean_parts, pct, round_half_up
+from freightlens.functions.numeric import (
+    PCT_SCALE,
+    dax_divide,
+    mean_exact,
+    mean_half_up,
+    mean_parts,
+    pct_decimal,
+    round_half_up,
+)
 from freightlens.plans.joins import bounded_broadcast
 
 SCORES = ("cost_score", "reliability_score", "lead_time_score")
@@ -49,12 +57,12 @@ def provider_metrics(history: DataFrame, providers: DataFrame) -> DataFrame:
     """Unweighted means of the monthly metrics per provider, rounded 4/2/2."""
     g = history.groupBy("provider_id").agg(
         *mean_parts("avg_cost_per_kg", 4, "cost"),
-        F.avg(pct("on_time_count", "total_shipments")).alias("avg_on_time_pct"),
+        *mean_parts(pct_decimal("on_time_count", "total_shipments"), PCT_SCALE, "otd"),
         *mean_parts("avg_lead_time_days", 2, "lead"))
     return (g.join(bounded_broadcast(providers.select("provider_id", "provider_name")), "provider_id")
             .select("provider_id", "provider_name",
                     mean_half_up("cost", 4).alias("avg_cost_per_kg"),
-                    round_half_up("avg_on_time_pct", 2).alias("avg_on_time_pct"),
+                    mean_half_up("otd", PCT_SCALE, 2).alias("avg_on_time_pct"),
                     mean_half_up("lead", 2).alias("avg_lead_days")))
 
 

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.labels import lane_label, month_label
-from freightlens.functions.numeric import mean_half_up, mean_parts, pct, round_half_up, safe_div
+from freightlens.functions.numeric import (
+    PCT_SCALE,
+    mean_half_up,
+    mean_parts,
+    pct_decimal,
+    round_half_up,
+    safe_div,
+)
 from freightlens.plans.joins import join_dims
 
 
@@ -18,21 +25,22 @@ def v_scorecard(history: DataFrame, providers: DataFrame, routes: DataFrame) ->
     j = join_dims(history, providers, routes).withColumn("lane", lane_label())
     return j.groupBy("provider_name", "lane").agg(
         *mean_parts("avg_cost_per_kg", 4, "cost"),
-        round_half_up(F.avg(pct("on_time_count", "total_shipments")), 2).alias("avg_on_time_pct"),
+        *mean_parts(pct_decimal("on_time_count", "total_shipments"), PCT_SCALE, "otd"),
         *mean_parts("avg_lead_time_days", 2, "lead"),
         F.sum("total_shipments").alias("total_shipments_ytd"),
         F.sum("total_revenue_eur").alias("total_spend_eur"),
         F.sum(F.col("sla_breached").cast("int")).alias("sla_breach_months")).select(
-        "provider_name", "lane", mean_half_up("cost", 4).alias("avg_cost_per_kg"), "avg_on_time_pct",
+        "provider_name", "lane", mean_half_up("cost", 4).alias("avg_cost_per_kg"),
+        mean_half_up("otd", PCT_SCALE, 2).alias("avg_on_time_pct"),
         mean_half_up("lead", 2).alias("avg_lead_time_days"), "total_shipments_ytd", "total_spend_eur",
         "sla_breach_months")
 
 
 def v_trend(history: DataFrame, providers: DataFrame, routes: DataFrame) -> DataFrame:
-    """View 2: one row per history row, on-time % unrounded."""
+    """View 2: one row per history row, on-time % at the original's 5 places."""
     j = join_dims(history, providers, routes)
     return j.select(month_label().alias("month"), "month_year", "provider_name", lane_label().alias("lane"),
-                    pct("on_time_count", "total_shipments").alias("on_time_pct"),
+                    pct_decimal("on_time_count", "total_shipments").alias("on_time_pct"),
                     "avg_cost_per_kg", "avg_lead_time_days", "total_revenue_eur")
 
 

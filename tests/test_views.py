@@ -33,7 +33,17 @@ def test_v_scorecard_sums_the_stored_breach_flag(spark, providers, routes):
     assert (r.total_shipments_ytd, r.total_spend_eur, r.sla_breach_months) == (30, D("301.50"), 1)
     assert (r.avg_cost_per_kg, r.avg_on_time_pct) == (0.3001, 73.33)
     t = v_trend(h, providers, routes).orderBy("month_year").collect()
-    assert t[0].month == "2024-01" and abs(t[2].on_time_pct - 70.0) < 1e-12
+    assert t[0].month == "2024-01" and t[2].on_time_pct == D("70.00000")
+
+
+def test_v_trend_keeps_the_percentage_at_five_places(spark, providers, routes):
+    h = make(spark, "performance_history", [
+        {"perf_id": 1, "provider_id": 1, "route_id": 1, "month_year": dt.date(2024, 1, 1), "total_shipments": 9,
+         "on_time_count": 7},
+        {"perf_id": 2, "provider_id": 1, "route_id": 1, "month_year": dt.date(2024, 2, 1), "total_shipments": 0,
+         "on_time_count": 0}])
+    got = [r.on_time_pct for r in v_trend(h, providers, routes).orderBy("month_year").collect()]
+    assert got == [D("77.77778"), None]
 
 
 def test_register_views(spark, providers, routes):
