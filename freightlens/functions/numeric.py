@@ -103,7 +103,8 @@ def pct_units(part: str, whole: str, digits: int) -> Column:
     with the sign of the quotient.  ``part`` and ``whole`` are column names
     of integral columns."""
     k = 2 * 100 * 10 ** digits
-    q = F.expr(f"(CAST({k} AS BIGINT) * abs({part}) + abs({whole})) div nullif(2 * abs({whole}), 0)")
+    a, b = (f"abs(CAST({c} AS DECIMAL(38,0)))" for c in (part, whole))  # no overflow at any count
+    q = F.expr(f"(CAST({k} AS DECIMAL(38,0)) * {a} + {b}) div nullif(2 * {b}, 0)")
     return F.when((F.col(part) < 0) != (F.col(whole) < 0), -q).otherwise(q)
 
 
