@@ -163,3 +163,26 @@ def test_alert_is_the_latest_rolling_value(spark, items):
             latest[k] = (x.month_year, x.rolling_3m_otd)
     alerts = {(x.provider_name, x.lane): x.rolling_3m_otd for x in sla_alerts(h, p, rt).collect()}
     assert alerts == {k: v[1] for k, v in latest.items()}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 5000), st.integers(0, 5000)), min_size=1, max_size=25))
+def test_exact_percentages_and_means_equal_decimal_arithmetic(spark, pairs):
+    from decimal import ROUND_HALF_UP
+
+    from freightlens.functions import mean_half_up, mean_parts, pct_decimal, pct_half_up
+
+    rows_ = [(min(a, b), b) for a, b in pairs]
+    df = spark.createDataFrame(rows_, "a bigint, b bigint")
+    got = df.select(pct_decimal("a", "b").alias("p5"), pct_half_up("a", "b", 2).alias("p2")).collect()
+    want5 = [None if b == 0 else (Decimal(a) * 100 / Decimal(b)).quantize(Decimal("0.00001"), ROUND_HALF_UP)
+             for a, b in rows_]
+    want2 = [None if b == 0 else float((Decimal(a) * 100 / Decimal(b)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+             for a, b in rows_]
+    assert [r.p5 for r in got] == want5
+    assert [r.p2 for r in got] == want2
+    m = (df.agg(*mean_parts(pct_decimal("a", "b"), 5, "p"))
+         .select(mean_half_up("p", 5, 2).alias("m")).first().m)
+    vals = [v for v in want5 if v is not None]
+    expect = None if not vals else float((sum(vals) / len(vals)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+    assert m == expect
