@@ -86,19 +86,70 @@ def add_scores(metrics: DataFrame, cost: str, otd: str, lead: str, on_zero_range
     return out
 
 
+# Weights are applied as integers of 10^-6 (0.40 -> 400000).
+WEIGHT_SCALE = 6
+
+
+def _units(col, scale: int) -> Column:
+    """A value with ``scale`` decimals (DOUBLE or DECIMAL) as an exact integer of 10^-scale."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.round(c * F.lit(float(10 ** scale))).cast("long")
+
+
+def add_exact_scores(metrics: DataFrame, specs, on_zero_range: str = "null") -> DataFrame:
+    """Min-max scores computed exactly, as decimal SQL does.
+
+    ``specs`` is (score name, metric column, metric decimals, higher is
+    better).  Metrics are rounded means, i.e. integers in their units, so
+    ``ROUND((hi - x) / (hi - lo) * 100, 2)`` is the integer division
+    ``(20000 (hi - x) + (hi - lo)) div 2 (hi - lo)`` in units of 0.01.
+    The bounds are windows over the rows (one per provider).  Each score
+    also keeps its integer form in ``_<name>_u`` for exact weighting.
+    """
+    if on_zero_range not in ("null", "zero"):
+        raise ValueError("on_zero_range must be 'null' or 'zero'")
+    everything = Window.partitionBy()
+    out = metrics
+    for name, col, scale, better in specs:
+        x, lo, hi = f"_{name}_x", f"_{name}_lo", f"_{name}_hi"
+        out = (out.withColumn(x, _units(col, scale))
+               .withColumn(lo, F.min(x).over(everything)).withColumn(hi, F.max(x).over(everything)))
+        num = f"({x} - {lo})" if better else f"({hi} - {x})"
+        rng = f"({hi} - {lo})"
+        q = F.expr(f"(20000 * CAST({num} AS DECIMAL(38,0)) + {rng}) div nullif(2 * CAST({rng} AS DECIMAL(38,0)), 0)")
+        if on_zero_range == "zero":  # DAX DIVIDE(.., 0, 0): fraction 0
+            q = F.when(F.col(hi) == F.col(lo), F.lit(0 if better else 10000)).otherwise(q)
+        out = (out.withColumn(f"_{name}_u", q)
+               .withColumn(name, F.col(f"_{name}_u").cast("double") / F.lit(100.0))
+               .drop(x, lo, hi))
+    return out
+
+
+def exact_weighted_units(weight_cols: dict[str, str]) -> Column:
+    """Sum of score units (0.01) times weight units (10^-WEIGHT_SCALE): the
+    exact weighted total in units of 10^-(2 + WEIGHT_SCALE)."""
+    terms = [f"CAST(_{score}_u AS DECIMAL(38,0)) * {w}" for score, w in weight_cols.items()]
+    return F.expr(" + ".join(terms))
+
+
 def scorecard(history: DataFrame, providers: DataFrame, weights=DEFAULT_WEIGHTS,
               on_zero_range: str = "null") -> DataFrame:
     """Provider ranking by weighted min-max scores.
 
     Scores are rounded before weighting; the rank orders by the unrounded
-    weighted sum of the rounded scores, NULLs last.
+    weighted sum of the rounded scores, NULLs last.  All of it is exact
+    integer arithmetic on the rounded means, as in the decimal SQL.
     """
-    m = add_scores(provider_metrics(history, providers), "avg_cost_per_kg", "avg_on_time_pct",
-                   "avg_lead_days", on_zero_range)
-    total = weighted(weights)
+    specs = (("cost_score", "avg_cost_per_kg", 4, False), ("reliability_score", "avg_on_time_pct", 2, True),
+             ("lead_time_score", "avg_lead_days", 2, False))
+    m = add_exact_scores(provider_metrics(history, providers), specs, on_zero_range)
+    wu = {s: int(round(float(w) * 10 ** WEIGHT_SCALE)) for s, w in zip(SCORES, weights)}
+    f = 10 ** WEIGHT_SCALE
+    m = m.withColumn("_t", exact_weighted_units(wu))
+    rounded = F.expr(f"sign(_t) * ((2 * abs(_t) + {f}) div {2 * f})").cast("double") / F.lit(100.0) + F.lit(0.0)
     return (m.select("provider_name", "avg_cost_per_kg", "avg_on_time_pct", "avg_lead_days", *SCORES,
-                     round_half_up(total, 2).alias("weighted_total_score"),
-                     F.rank().over(Window.orderBy(total.desc_nulls_last())).alias("final_rank"))
+                     rounded.alias("weighted_total_score"),
+                     F.rank().over(Window.orderBy(F.col("_t").desc_nulls_last())).alias("final_rank"))
             .orderBy(F.col("weighted_total_score").desc_nulls_last()))
 
 
@@ -137,16 +188,24 @@ def sensitivity(scores: DataFrame, grid=DEFAULT_GRID) -> DataFrame:
 
     The grid is an argument of known length; it is attached to each
     provider row by exploding a literal array, so the output has
-    providers x len(grid) rows and no join is needed.
+    providers x len(grid) rows and no join is needed.  Totals are exact
+    integers (2-place scores times weights in 10^-6), as in ``scorecard``.
     """
     sets = F.array(*[F.struct(F.lit(i + 1).alias("weight_set"), F.lit(float(a)).alias("w_cost"),
                               F.lit(float(b)).alias("w_reliability"), F.lit(float(c)).alias("w_lead_time"))
                      for i, (a, b, c) in enumerate(grid)])
     x = scores.select("provider_name", *SCORES, F.explode(sets).alias("_w")).select(
         "provider_name", *SCORES, "_w.*")
-    total = (F.col("cost_score") * F.col("w_cost") + F.col("reliability_score") * F.col("w_reliability")
-             + F.col("lead_time_score") * F.col("w_lead_time"))
-    w = Window.partitionBy("weight_set").orderBy(total.desc_nulls_last())
+    for sc in SCORES:
+        x = x.withColumn(f"_{sc}_u", _units(sc, 2))
+    for wc in ("w_cost", "w_reliability", "w_lead_time"):
+        x = x.withColumn(f"_{wc}_u", _units(wc, WEIGHT_SCALE))
+    f = 10 ** WEIGHT_SCALE
+    x = x.withColumn("_t", F.expr(" + ".join(
+        f"CAST(_{sc}_u AS DECIMAL(38,0)) * _{wc}_u"
+        for sc, wc in zip(SCORES, ("w_cost", "w_reliability", "w_lead_time")))))
+    rounded = F.expr(f"sign(_t) * ((2 * abs(_t) + {f}) div {2 * f})").cast("double") / F.lit(100.0) + F.lit(0.0)
+    w = Window.partitionBy("weight_set").orderBy(F.col("_t").desc_nulls_last())
     return x.select("weight_set", "w_cost", "w_reliability", "w_lead_time", "provider_name",
-                    round_half_up(total, 2).alias("weighted_score"),
+                    rounded.alias("weighted_score"),
                     F.rank().over(w).alias("score_rank"))
