@@ -1,5 +1,6 @@
 from freightlens.functions.numeric import (  # noqa: F401
     dax_divide,
+    div_half_up,
     mean_exact,
     mean_half_up,
     mean_parts,

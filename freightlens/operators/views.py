@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from freightlens.functions.labels import lane_label, month_label
 from freightlens.functions.numeric import (
     PCT_SCALE,
+    div_half_up,
     mean_half_up,
     mean_parts,
     pct_decimal,
     round_half_up,
-    safe_div,
 )
 from freightlens.plans.joins import join_dims
 
@@ -54,7 +54,7 @@ def v_detail(shipments: DataFrame, providers: DataFrame, routes: DataFrame) -> D
                     "commodity_type", "promised_delivery", "actual_delivery",
                     F.datediff("actual_delivery", "promised_delivery").alias("delay_days"),
                     "total_cost_eur",
-                    round_half_up(safe_div("total_cost_eur", "weight_kg"), 4).alias("actual_cost_per_kg"),
+                    div_half_up("total_cost_eur", "weight_kg", 4).alias("actual_cost_per_kg"),
                     "status", "delay_reason", "customer_complaint")
 
 

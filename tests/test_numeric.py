@@ -65,3 +65,13 @@ def test_pct_half_up_is_exact_on_count_ties(spark):
     assert got == [0.58, 12.5, 66.67, None, None]
     # 23 of 4000 is 0.575 % exactly; the DOUBLE quotient rounds down
     assert spark.range(1).select(round_half_up(pct(F.lit(23), F.lit(4000)), 2)).first()[0] == 0.57
+
+
+def test_div_half_up_is_exact_on_decimal_ties(spark):
+    from freightlens.functions import div_half_up
+
+    df = spark.createDataFrame([(Decimal("12.35"), Decimal("40.00")), (Decimal("193.05"), Decimal("550.00")),
+                                (Decimal("-12.35"), Decimal("40.00")), (Decimal("10.00"), Decimal("0.00"))],
+                               "c decimal(10,2), w decimal(10,2)")
+    got = [r[0] for r in df.select(div_half_up("c", "w", 4)).collect()]
+    assert got == [0.3088, 0.351, -0.3088, None]   # 12.35 / 40 = 0.30875 exactly
