@@ -123,13 +123,17 @@ def pct_decimal(part: str, whole: str, digits: int = PCT_SCALE) -> Column:
     return (pct_units(part, whole, digits).cast("decimal(20,0)") * unit).cast(f"decimal(20,{digits})")
 
 
-def div_half_up(num: str, den: str, digits: int) -> Column:
-    """``ROUND(num / NULLIF(den, 0), digits)`` for DECIMAL columns, exactly,
-    as DOUBLE: ``sign * ((2 * 10^d * |num| + |den|) div (2 * |den|)) / 10^d``.
-    ``div`` on decimals is exact, so a quotient lying half-way rounds away
-    from zero as the decimal SQL does (a DOUBLE quotient can miss it)."""
+def div_half_up(num: str, den: str, digits: int, scale: int = 2) -> Column:
+    """``ROUND(num / NULLIF(den, 0), digits)`` for decimals with at most
+    ``scale`` places (money and weight have 2), exactly, as DOUBLE.
+
+    Both sides become exact BIGINT counts of ``10^-scale``, then
+    ``sign * ((2 * 10^d * |A| + |B|) div (2 * |B|)) / 10^d``: a quotient
+    lying half-way rounds away from zero as the decimal SQL does (a DOUBLE
+    quotient can miss it), and the per-row work stays on primitive longs.
+    """
     k = 2 * 10 ** digits
-    a, b = (f"abs(CAST({c} AS DECIMAL(38,10)))" for c in (num, den))
-    q = F.expr(f"(CAST({k} AS DECIMAL(38,0)) * {a} + {b}) div nullif(2 * {b}, 0)")
+    a, b = (f"abs(CAST({c} * {10 ** scale} AS BIGINT))" for c in (num, den))
+    q = F.expr(f"(CAST({k} AS BIGINT) * {a} + {b}) div nullif(2 * {b}, 0)")
     signed = F.when((F.col(num) < 0) != (F.col(den) < 0), -q).otherwise(q)
     return signed.cast("double") / F.lit(float(10 ** digits)) + F.lit(0.0)
