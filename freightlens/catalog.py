@@ -16,6 +16,7 @@ from pyspark.sql.types import DecimalType
 
 from freightlens import operators as op
 from freightlens.functions.labels import lane_label
+from freightlens.functions.numeric import from_units, sum_units
 from freightlens.plans.joins import join_dims
 from freightlens.plans.materialize import write_checkpoint_table
 from freightlens.plans.sizing import scaled_shuffle
@@ -128,9 +129,9 @@ def _q(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], Da
 
 def _lane_volumes(i: Inputs) -> DataFrame:
     """Shipped weight per lane: aggregated by ids first, then labelled."""
-    by_ids = i.shipments.groupBy("provider_id", "route_id").agg(F.sum("weight_kg").alias("_w"))
+    by_ids = i.shipments.groupBy("provider_id", "route_id").agg(sum_units("weight_kg").alias("_w"))
     j = join_dims(by_ids, i.providers, i.routes).withColumn("lane", lane_label())
-    return j.groupBy("lane").agg(F.sum("_w").cast("double").alias("volume_kg"))
+    return j.groupBy("lane").agg(from_units(F.sum("_w")).cast("double").alias("volume_kg"))
 
 
 def _worst_provider(i: Inputs) -> DataFrame:

@@ -1,5 +1,7 @@
 from freightlens.functions.numeric import (  # noqa: F401
     dax_divide,
+    from_units,
+    sum_units,
     div_half_up,
     mean_exact,
     mean_half_up,

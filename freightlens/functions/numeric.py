@@ -137,3 +137,17 @@ def div_half_up(num: str, den: str, digits: int, scale: int = 2) -> Column:
     q = F.expr(f"(CAST({k} AS BIGINT) * {a} + {b}) div nullif(2 * {b}, 0)")
     signed = F.when((F.col(num) < 0) != (F.col(den) < 0), -q).otherwise(q)
     return signed.cast("double") / F.lit(float(10 ** digits)) + F.lit(0.0)
+
+
+def sum_units(x, scale: int = 2) -> Column:
+    """Exact sum of a decimal column with at most ``scale`` places, as a
+    BIGINT count of ``10^-scale`` (cents for money): primitive adds instead
+    of wide-decimal buffers in the aggregation, order-free like any integer sum."""
+    c = F.col(x) if isinstance(x, str) else x
+    return F.sum((c * F.lit(Decimal(10) ** scale)).cast("long"))
+
+
+def from_units(x, scale: int = 2, precision: int = 20) -> Column:
+    """A BIGINT count of ``10^-scale`` back to DECIMAL(precision, scale)."""
+    c = F.col(x) if isinstance(x, str) else x
+    return (c.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({precision},{scale})")

@@ -16,7 +16,16 @@ from freightlens.functions.labels import (
     lane_label,
     month_label,
 )
-from freightlens.functions.numeric import PCT_SCALE, mean_exact, mean_half_up, mean_parts, pct_decimal, round_half_up
+from freightlens.functions.numeric import (
+    PCT_SCALE,
+    from_units,
+    mean_exact,
+    mean_half_up,
+    mean_parts,
+    pct_decimal,
+    round_half_up,
+    sum_units,
+)
 from freightlens.operators.measures import rag
 from freightlens.operators.scoring import SCORES, measure_scores
 from freightlens.plans.joins import bounded_broadcast, join_dims
@@ -126,10 +135,11 @@ def lane_overview(v_scorecard: DataFrame, v_detail: DataFrame, v_trend: DataFram
         F.count_if(F.col("customer_complaint")).alias("complaints"),
         round_half_up(F.sum("delay_days").cast("double") / F.nullif(F.count("delay_days").cast("double"),
                                                                      F.lit(0.0)), 2).alias("avg_delay_days"),
-        F.sum("total_cost_eur").alias("spend_eur"))
+        sum_units("total_cost_eur").alias("_spend_c"))
     tr = v_trend.groupBy("provider_name", "lane").agg(
         F.count(F.lit(1)).alias("months"), F.min("month_year").alias("first_month"),
         F.max("month_year").alias("last_month"))
+    det = det.withColumn("spend_eur", from_units("_spend_c")).drop("_spend_c")
     keys = ["provider_name", "lane"]
     return card.join(det, keys, "full").join(tr, keys, "full")
 

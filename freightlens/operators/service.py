@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.functions.labels import NO_DELAY, SLA_BREACHED, SLA_MET, lane_label, month_label
-from freightlens.functions.numeric import pct, pct_half_up, round_half_up
+from freightlens.functions.numeric import div_half_up, from_units, pct, pct_half_up, sum_units
 from freightlens.plans.joins import bounded_broadcast, join_dims
 
 DELIVERED, DELAYED, DAMAGED = "Delivered", "Delayed", "Damaged"
@@ -47,14 +47,14 @@ def delay_pareto(shipments: DataFrame, no_delay_label: str = NO_DELAY) -> DataFr
     """
     g = shipments.groupBy("delay_reason").agg(
         F.count(F.lit(1)).alias("frequency"),
-        F.sum("total_cost_eur").alias("total_freight_affected_eur"),
+        sum_units("total_cost_eur").alias("_cost_c"),
         F.count_if(F.col("customer_complaint")).alias("complaints"))
     everything = Window.partitionBy()
     return (g.withColumn("_total", F.sum("frequency").over(everything))
             .select(F.coalesce(F.col("delay_reason"), F.lit(no_delay_label)).alias("delay_reason"),
                     "frequency",
                     pct_half_up("frequency", "_total", 2).alias("pct_of_total"),
-                    "total_freight_affected_eur",
+                    from_units("_cost_c").alias("total_freight_affected_eur"),
                     "complaints")
             .orderBy(F.col("frequency").desc()))
 
@@ -78,16 +78,15 @@ def roll_up_history(shipments: DataFrame, providers: DataFrame | None = None,
         F.count_if(F.col("status") == DAMAGED).alias("damaged_count"),
         F.sum(lead).alias("_lead_sum"),
         F.count(lead).alias("_lead_n"),
-        F.sum("weight_kg").alias("_weight"),
-        F.sum("total_cost_eur").alias("_cost"))
+        sum_units("weight_kg").alias("_weight_c"),
+        sum_units("total_cost_eur").alias("_cost_c"))
+    # Exact integer sums (days, cents); both means are rounded exactly from them.
     h = g.select(
         "provider_id", "route_id", "month_year", "total_shipments", "on_time_count", "delayed_count",
         "damaged_count",
-        round_half_up(F.col("_lead_sum").cast("double") / F.nullif(F.col("_lead_n").cast("double"), F.lit(0.0)), 2)
-        .cast("decimal(9,2)").alias("avg_lead_time_days"),
-        round_half_up(F.col("_cost").cast("double") / F.nullif(F.col("_weight").cast("double"), F.lit(0.0)), 4)
-        .cast("decimal(12,4)").alias("avg_cost_per_kg"),
-        F.col("_cost").cast("decimal(18,2)").alias("total_revenue_eur"))
+        div_half_up("_lead_sum", "_lead_n", 2, scale=0).cast("decimal(9,2)").alias("avg_lead_time_days"),
+        div_half_up("_cost_c", "_weight_c", 4, scale=0).cast("decimal(12,4)").alias("avg_cost_per_kg"),
+        from_units("_cost_c", 2, 18).alias("total_revenue_eur"))
     if providers is None:
         return h.withColumn("sla_breached", F.lit(False))
     thr = bounded_broadcast(providers.select("provider_id", "sla_threshold"))
