@@ -2,6 +2,16 @@
 
 All helpers return ``Column`` expressions built from built-in functions,
 so they stay inside whole-stage codegen.
+
+The original computes in exact decimals: ``ROUND`` rounds half away from
+zero, and a value lying exactly half-way matters.  Quotients and means are
+therefore rounded with integer arithmetic where the original rounds them
+(``pct_half_up``, ``pct_decimal``, ``div_half_up``, ``mean_half_up``):
+``round(a / b) = (2a + b) div 2b`` for non-negative integers.  Sums over
+the fact are exact integers (``sum_units``).  DOUBLE is used where the
+original uses it too (the report measures) or for values that are not
+rounded; ``round_half_up`` then applies one fixed sequence of IEEE
+operations, so every engine gets the same bits.
 """
 
 from __future__ import annotations
