@@ -71,3 +71,18 @@ def test_sql_written_against_the_core_schema_runs(spark, providers, routes):
     want = sorted((r.provider_name, r.lane, r.total_shipments, r.on_time, r.on_time_pct)
                   for r in m.on_time().collect())
     assert got == want
+
+
+def test_model_loads_the_core_tables_from_csv(spark, providers, routes):
+    base = tempfile.mkdtemp(prefix="fl-model-csv-")
+    for name, df in _tables(spark, providers, routes).items():
+        (df.write.option("header", True).option("nullValue", "NULL").mode("overwrite")
+         .csv(os.path.join(base, name)))
+    m = ProcurementModel.load(spark, base, fmt="csv")
+    assert m.shipments.count() == 24 and dict(m.quotes.dtypes)["base_rate_eur_per_kg"] == "decimal(8,4)"
+    assert m.scorecard().count() == 3 and m.sla_alerts().count() == 6
+    assert sorted(r.provider_name for r in m.on_time().collect()) == sorted(
+        r.provider_name for r in ProcurementModel(**{
+            "providers": providers, "routes": routes, **{k: v for k, v in _tables(spark, providers, routes).items()
+                                                         if k in ("quotes", "shipments")},
+            "history": _tables(spark, providers, routes)["performance_history"]}).on_time().collect())
