@@ -61,3 +61,28 @@ def test_plan_has_no_cross_product_and_no_python(spark, name):
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                  "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan, f"{name}: {node}"
+
+
+def _single_partition_inputs(plan: str) -> list[str]:
+    """For each ``Exchange SinglePartition`` the text of the subtree below it."""
+    lines = plan.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            sub = []
+            for nxt in lines[i + 1:]:
+                if len(nxt) - len(nxt.lstrip(" :+-")) <= depth:
+                    break
+                sub.append(nxt)
+            out.append("\n".join(sub))
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_single_partition_steps_only_see_aggregated_rows(spark, name):
+    """A single-partition exchange (global window or rank) must sit above an
+    aggregation, never directly on fact rows."""
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for sub in _single_partition_inputs(plan):
+        assert "HashAggregate" in sub or "ObjectHashAggregate" in sub or "SortAggregate" in sub, (name, sub[:300])
