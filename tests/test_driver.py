@@ -86,3 +86,21 @@ def test_single_partition_steps_only_see_aggregated_rows(spark, name):
     plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for sub in _single_partition_inputs(plan):
         assert "HashAggregate" in sub or "ObjectHashAggregate" in sub or "SortAggregate" in sub, (name, sub[:300])
+
+
+def test_invariants_on_the_test_data(spark):
+    q = E.queries()
+    for r in q["quote_spread"](spark, SF).collect():
+        assert r.rate_spread >= 0 and r.spread_pct >= 0
+        assert r.cheapest_rate <= r.avg_rate <= r.priciest_rate
+    for r in q["on_time"](spark, SF).collect():
+        assert r.on_time + r.delayed <= r.total_shipments and 0 <= r.on_time_pct <= 100
+    shares = [r.pct_of_total for r in q["delay_pareto"](spark, SF).collect()]
+    assert abs(sum(shares) - 100) <= 0.005 * len(shares)
+    # the rank partitions are scenario x route; a route is the destination of the lane
+    vs = q["volume_scenarios"](spark, SF).collect()
+    part = lambda r: (r.scenario_label, r.lane.split(" → ")[1])
+    assert {part(r) for r in vs if r.cost_rank == 1} == {part(r) for r in vs}
+    for r in q["scorecard"](spark, SF).collect():
+        for s in (r.cost_score, r.reliability_score, r.lead_time_score):
+            assert s is None or 0 <= s <= 100
