@@ -71,7 +71,7 @@ def volume_scenarios(quotes: DataFrame, providers: DataFrame, routes: DataFrame,
     """
     # Sizes are DECIMAL literals: with DECIMAL rates the cost stays exact, as
     # in the original arithmetic; with DOUBLE rates it is DOUBLE.
-    rows = F.array(*[F.struct(F.lit(Decimal(str(kg))).cast("decimal(12,3)").alias("scenario_kg"),
+    rows = F.array(*[F.struct(F.lit(Decimal(str(kg))).cast("decimal(9,3)").alias("scenario_kg"),
                               F.lit(str(label)).alias("scenario_label"))
                      for kg, label in scenarios])
     sc = quotes.sparkSession.range(1).select(F.inline(rows))

@@ -135,8 +135,7 @@ def weight_band(qty, bounds=BAND_BOUNDS):
     lo, hi = bounds
     label = (F.when(q < lo, F.lit(f"0-{lo}")).when(q < hi, F.lit(f"{lo}-{hi}"))
              .otherwise(F.lit(f"{hi}+")))
-    minimum = (F.when(q < lo, F.lit(0.0)).when(q < hi, F.lit(float(lo)))
-               .otherwise(F.lit(float(hi))))
+    minimum = (F.when(q < lo, F.lit(0)).when(q < hi, F.lit(lo)).otherwise(F.lit(hi))).cast("decimal(8,2)")
     return label, minimum
 
 
@@ -146,9 +145,10 @@ def quotes_from_facts(facts: DataFrame) -> DataFrame:
     band, minimum = weight_band("l_quantity")
     return (facts.withColumn("weight_band_kg", band).withColumn("min_shipment_kg", minimum)
             .groupBy("provider_id", "route_id", "weight_band_kg", "min_shipment_kg")
-            .agg(round_half_up(F.min(safe_div("l_extendedprice", "l_quantity")), 4).alias("base_rate_eur_per_kg"),
-                 round_half_up(F.max("l_tax") * 100, 2).alias("fuel_surcharge_pct"),
-                 round_half_up(F.max("l_discount") * 100, 2).alias("volume_discount_pct"),
+            .agg(round_half_up(F.min(safe_div("l_extendedprice", "l_quantity")), 4)
+                 .cast("decimal(12,4)").alias("base_rate_eur_per_kg"),
+                 round_half_up(F.max("l_tax") * 100, 2).cast("decimal(5,2)").alias("fuel_surcharge_pct"),
+                 round_half_up(F.max("l_discount") * 100, 2).cast("decimal(5,2)").alias("volume_discount_pct"),
                  F.min("ship_date").alias("effective_date"),
                  F.max("ship_date").alias("expiry_date"))
             .withColumn("quote_source", F.lit("shipment history")))
