@@ -161,6 +161,7 @@ def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
         "mom_change": lambda i: op.mom_change(i.v_trend),
         "rolling_calendar": lambda i: op.rolling_calendar(i.v_trend),
         "lane_savings": lambda i: op.lane_savings(i.v_scorecard, _lane_volumes(i)),
+        "lane_savings_total": lambda i: op.lane_savings_total(op.lane_savings(i.v_scorecard, _lane_volumes(i))),
         "potential_saving": lambda i: op.potential_saving(i.v_scorecard),
         "rag_status": lambda i: op.rag_status(i.v_scorecard, RAG_GOOD, RAG_AT_RISK),
         "sensitivity": lambda i: op.sensitivity(op.scorecard(i.history, i.providers)),

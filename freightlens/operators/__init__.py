@@ -2,6 +2,7 @@ from freightlens.operators.alerts import rolling_on_time, sla_alerts  # noqa: F4
 from freightlens.operators.measures import (  # noqa: F401
     kpis,
     lane_savings,
+    lane_savings_total,
     mom_change,
     potential_saving,
     rag,

@@ -117,6 +117,16 @@ def lane_savings(v_scorecard: DataFrame, volumes: DataFrame, current: DataFrame
                     .alias("annual_saving_eur")))
 
 
+def lane_savings_total(savings: DataFrame) -> DataFrame:
+    """The headline of C17: the saving summed over all lanes, and the lane count.
+
+    Sums the per-lane savings as exact cents, so the total does not depend
+    on summation order."""
+    cents = F.round(F.col("annual_saving_eur") * F.lit(100.0)).cast("long")
+    return savings.agg(F.count(F.lit(1)).alias("lanes"),
+                       (F.sum(cents).cast("double") / F.lit(100.0) + F.lit(0.0)).alias("total_annual_saving_eur"))
+
+
 def potential_saving(v_scorecard: DataFrame, volume_kg: float = DEFAULT_ANNUAL_VOLUME_KG) -> DataFrame:
     """``(max - min) cost per kg over all rows * volume``, 0 places."""
     return v_scorecard.agg(F.max("avg_cost_per_kg").alias("max_cost_per_kg"),

@@ -45,3 +45,11 @@ def test_rag_status_bounds(spark):
     assert got == {"A": "🔴 Breach", "B": "🟢 Good", "C": "🟢 Good"}
     got = dict(rows(rag_status(_vsc(spark), good=99, at_risk=85), "provider_name", "sla_status"))
     assert got == {"A": "🟡 At Risk", "B": "🟢 Good", "C": "🟡 At Risk"}
+
+
+def test_lane_savings_total(spark):
+    from freightlens.operators import lane_savings_total
+
+    vol = spark.createDataFrame([("L1", 1000.0), ("L2", 500.0)], "lane string, volume_kg double")
+    r = lane_savings_total(lane_savings(_vsc(spark), vol)).first()
+    assert (r.lanes, r.total_annual_saving_eur) == (2, 200.0)
