@@ -1,10 +1,18 @@
-"""DuckDB SQL for the corpus queries that SQL can express."""
+"""DuckDB SQL for the corpus queries that SQL can express.
+
+Each statement follows the query's definition directly - all pairs, all lines,
+all templates - without the filters, sketches or hashes of the operator.
+Learned scores, token ids, page trees and relaxed searches have none; tests
+hold those queries against brute force.
+"""
 
 from __future__ import annotations
 
 # Runs of characters other than space and U+0009-U+000D.
 WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# Runs of characters other than ASCII that is no letter or digit.
+TERMS = r"list_filter(string_split_regex({}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 
 def minhash_sql(table: str = "documents", words: int = 2, percent: int = 80) -> str:
@@ -23,5 +31,73 @@ SELECT base.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, r.c AS component_id, b
 FROM base JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = base.doc_id LEFT JOIN size ON size.doc_id = base.doc_id"""
 
 
+# Expected phrases and notices, stated here on their own.
+PHRASES = {"apache license": "apache", "cc by": "cc-by", "gnu general public license": "gpl", "mit license": "mit"}
+NOTICES = """
+apache-2.0: licensed under the apache license version 2 0
+mit: released under the mit license
+mit: permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
+gpl-3.0: this work is licensed under the gnu general public license version 3
+gpl-2.0: this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2
+cc-by-nc-4.0: licensed under cc by nc 4 0
+cc-by-sa-4.0: licensed under cc by sa 4 0
+cc-by-4.0: this work is licensed under a creative commons attribution 4 0 international license
+bsd: redistribution and use in source and binary forms with or without modification are permitted
+mpl-2.0: this source code form is subject to the terms of the mozilla public license v 2 0
+"""
+
+
+def license_sql() -> str:
+    def places(phrase: str) -> str:
+        words = phrase.split()
+        same = " AND ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(words))
+        return f"list_filter(range(1, len(w) - {len(words)} + 2), lambda i: {same})"
+
+    notices = ", ".join(f"('{a}', ['{"', '".join(sorted(set(t.split())))}'])" for a, t in (x.split(": ") for x in NOTICES.strip().split("\n")))
+    labels = " UNION ALL ".join(f"SELECT k, '{label}' AS label FROM base WHERE len({places(p)}) > 0" for p, label in PHRASES.items())
+    found = " || ".join(places(p) for p in PHRASES)
+    return f"""
+WITH base AS (SELECT row_number() OVER () AS k, doc_id, {LOWER} AS t, {TERMS.format(LOWER)} AS w FROM documents),
+place AS (SELECT k, {found} AS p FROM base),
+phrase AS ({labels}),
+notice(label, words) AS (VALUES {notices}),
+line AS (SELECT k, list_distinct({TERMS.format("l")}) AS have FROM (SELECT k, unnest(string_split(t, chr(10))) AS l FROM base)),
+hit AS (SELECT k, label, len(list_intersect(have, words)) AS n, len(words) AS size FROM line CROSS JOIN notice WHERE 100 * n >= 80 * size),
+own AS (SELECT k, max(n / size) AS best FROM hit GROUP BY k),
+every AS (SELECT k, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT k, label FROM phrase UNION SELECT k, label FROM hit) GROUP BY k),
+basic AS (SELECT k, string_agg(label, ',' ORDER BY label) AS labels FROM phrase GROUP BY k)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(p)::BIGINT AS n_base, (list_min(p) - 1)::BIGINT AS first_word, (list_max(p) - 1)::BIGINT AS last_word,
+       coalesce(basic.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+       CASE WHEN len(p) > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score
+FROM base JOIN place USING (k) LEFT JOIN own USING (k) LEFT JOIN every USING (k) LEFT JOIN basic USING (k)"""
+
+
+# Production weights of the mix; other sources share the rest evenly.
+SHARES = {"src0": 0.20, "src1": 0.10, "src2": 0.10, "src3": 0.02}
+MIX_SEED = 17
+
+
+def mix_sql() -> str:
+    """Poisson counts by comparing each document's uniform value with its source's cumulative table."""
+    bits = "('0x' || substr(md5({}), 1, 13))::BIGINT"
+    named = "CASE source " + " ".join(f"WHEN '{s}' THEN {w}::DOUBLE" for s, w in SHARES.items()) + " END"
+    doc = "coalesce(d.doc_id::VARCHAR, 'null')"
+    return f"""
+WITH RECURSIVE size AS (SELECT source, coalesce(sum(length(text)), 0)::DOUBLE AS size, {named} AS named FROM documents GROUP BY source),
+whole AS (SELECT sum(size) AS total, sum(named) AS taken, sum(CASE WHEN named IS NULL THEN 1.0::DOUBLE END) AS others FROM size),
+rate AS (SELECT source, CASE WHEN size > 0 THEN greatest(0.0::DOUBLE, coalesce(named, (1.0::DOUBLE - coalesce(taken, 0.0::DOUBLE)) / others)) * 1.0::DOUBLE * total / size
+                             ELSE 0.0::DOUBLE END AS rate FROM size, whole),
+part AS (SELECT source, rate / parts AS mean, parts FROM (SELECT source, rate, greatest(1, ceil(rate / 500))::BIGINT AS parts FROM rate)),
+cdf AS (SELECT source, mean, parts, 0::BIGINT AS k, exp(-mean) AS p, exp(-mean) AS c FROM part
+        UNION ALL SELECT source, mean, parts, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) FROM cdf WHERE k < ceil(mean + 12 * sqrt(mean) + 12)),
+drawn AS (SELECT d.*, rowid_ AS r, unnest(range(1, parts + 1)) AS piece FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents) d
+          JOIN part ON part.source IS NOT DISTINCT FROM d.source),
+each AS (SELECT d.r, count(c) AS n FROM drawn d LEFT JOIN cdf ON cdf.source IS NOT DISTINCT FROM d.source
+           AND c < ({bits.format(f"'{MIX_SEED}:' || d.piece || ':' || {doc}")} + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE GROUP BY d.r),
+rows AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, each.n::INTEGER AS copies, unnest(range(1, each.n + 1))::INTEGER AS copy
+         FROM (SELECT *, row_number() OVER () AS r FROM documents) d JOIN each USING (r))
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, d.copies, d.copy, {bits.format(f"'{MIX_SEED}:order:' || {doc} || ':' || d.copy")} AS shuffle_key FROM rows d"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_dedup": minhash_sql()}
+    return {"op1_minhash_dedup": minhash_sql(), "op4_license_scan": license_sql(), "op5_source_mix": mix_sql()}

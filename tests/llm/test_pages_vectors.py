@@ -1,0 +1,159 @@
+"""HTML extraction, URL filter and nearest neighbours."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from freightlens.llm import html_tree, urls, vptree
+from freightlens.llm.common import Scratch
+from tests.llm.conftest import prose
+
+PAGES = "page_id long, url string, html string"
+
+
+def text_of(html, low=()):
+    return html_tree.main_text(html_tree.parse(html)[0], list(low))
+
+
+# ---------------------------------------------------------------- pages
+
+@pytest.mark.parametrize("html, text", [
+    (None, ""), ("", ""), ("<p>a &amp; b&nbsp;&lt;c&gt;</p>", "a & b <c>"), ("<p>a\n  b<br>c</p><p>d", "a b c\nd"),
+    ("<nav><a>x</a></nav><article><h1>T</h1><p><b>one<br><p>two</article><footer>&copy; f</footer>", "T\none\ntwo"),
+    ("<div class='ad'>buy</div><div class='side-bar sidebar'><p>s</p></div><main>m<script>if (a < b) x('<p>')</script> n</main>", "m n"),
+    ("<!-- <p>c</p> --><p>a<p>b<ul><li>x<li>y</ul>", "a\nb\nx\ny"), ("<article><p>cut &am", "cut &am"), ("<p>x</p><p cla", "x"),
+    ("<form><p>name</p><input></form><p>kept</p><section id='comments'><p>first!</p></section>", "kept"),
+    ("<p hidden>h</p><p style='display: none'>i</p><p>2 < 3 &#233;</p>", "2 < 3 é"),
+    ("<article><header><h1>Title</h1></header><p>x</p></article><header>Site</header>", "Title\nx"),
+    ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("plain text", "plain text"),
+])
+def test_blocks_of_single_pages(html, text):
+    assert text_of(html) == text
+
+
+def test_a_branch_that_is_the_same_everywhere_goes_only_on_its_site(spark):
+    def page(i, strip):
+        return (f"<html><body><div class='{strip}'><p>Read our terms</p><p>Call us</p></div><div class='story'><h1>{prose(4, i)}</h1>"
+                f"<p>{prose(30, i)}</p><p>{prose(20, i + 500)}</p></div></body></html>")
+
+    rows = [(i, f"http://a.example/{i}", page(i, "zz")) for i in range(40)]
+    rows += [(100 + i, f"http://b{i}.example/", page(i, "zz")) for i in range(5)]  # sites of one page
+    out = {r.page_id: r.text for r in html_tree.extract(spark.createDataFrame(rows, PAGES).repartition(3), Scratch(spark, "test")).collect()}
+    for i in range(40):
+        assert out[i] == "\n".join([prose(4, i), prose(30, i), prose(20, i + 500)])
+    assert all(out[100 + i].startswith("Read our terms") for i in range(5))
+
+
+def test_articles_stay_where_a_site_repeats_them(spark):
+    rows = [(i, "http://a.example/x", f"<body><nav>m</nav><article><h1>T</h1><p>{prose(30, 1)}</p></article></body>") for i in range(30)]
+    out = html_tree.extract(spark.createDataFrame(rows, PAGES), Scratch(spark, "test")).collect()
+    assert {r.text for r in out} == {f"T\n{prose(30, 1)}"}
+
+
+def test_page_edge_rows(spark, con):
+    rows = [(1, None, None), (1, None, None), (None, "http://x/", "<p>a"), (2, "no scheme", "<p>" + "long " * 50_000), (3, "http://", "")]
+    df = spark.createDataFrame(rows, PAGES).selectExpr("*", "1 as host", "2 as low", "'t' as text", "3 as path")
+    out = html_tree.extract(df, Scratch(spark, "test")).collect()
+    assert sorted((r.text for r in out), key=len) == ["", "", "", "a", ("long " * 50_000).strip()]
+    assert html_tree.extract(spark.createDataFrame([], PAGES), Scratch(spark, "test")).count() == 0
+
+
+def test_driver_pages(spark, con):
+    rows = con.sql("SELECT page_id, url, html FROM pages").fetchall()
+    out = {r.page_id: r.text for r in html_tree.extract(spark.createDataFrame(rows, PAGES), Scratch(spark, "test")).collect()}
+    for i, _, html in rows:
+        article = html[html.index("<article>"):].split("</article>")[0]
+        assert out[i] == text_of(article) and out[i]
+
+
+# ---------------------------------------------------------------- URLs
+
+def verdict(host, path):
+    fits = [r for r in urls.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fits, key=lambda r: len(r.text), default=None)
+    return (best.text, best.verdict) if best else (None, None)
+
+
+URLS = ["http://www.example.org/es/1", "https://EXAMPLE.org/en/12?x#y", "http://a.com/fr/", "http://com/de/x", "http://b.org", "http://b.org/?q", None, "nothing",
+        "http://cheappillsonline.example.net/x", "http://cheap-pills.net/", "http://weather-news.net/", "ftp://h://x/y", "http://xorg/es/", "http://?a", "http://a.com/de"]
+
+
+def test_rules_and_parts(spark):
+    df = spark.createDataFrame([(i, u, "<p>weather news today</p>") for i, u in enumerate(URLS)] + [(None, None, None)], PAGES).selectExpr("*", "1 as host", "2 as verdict")
+    out = {r.page_id: r for r in urls.judge(df, urls.fit(df)).collect()}
+    assert len(out) == len(URLS) + 1
+    for i, u in enumerate(URLS):
+        rest = u.split("://", 1)[1] if u and "://" in u else ""
+        host = min((rest.split(c)[0] for c in "/?#"), key=len)
+        path = min((rest[len(host):].split(c)[0] for c in "?#"), key=len)
+        assert (out[i].host, out[i].path) == (host.lower(), path)
+        rule, decided = verdict(host.lower(), path)
+        assert out[i].rule == rule and (decided is None or out[i].verdict == decided)
+    assert out[8].verdict == out[9].verdict == "block" and out[10].verdict == out[6].verdict == "allow"
+    assert out[8].words == ["cheap", "pills", "online", "example", "x"]
+
+
+def test_segmentation_is_the_most_probable_split():
+    model = urls.Model({w: -float(c) for w, c in {"new": 3, "news": 4, "sport": 4, "sports": 5, "s": 6, "port": 5}.items()}, -20.0)
+    assert urls.segment("newssports", model) == ["news", "sports"]
+    assert urls.segment("", model) == [] and urls.segment("qqq", model) == ["qqq"]
+
+
+def test_urls_empty_table(spark):
+    df = spark.createDataFrame([], PAGES)
+    assert urls.judge(df, urls.fit(df)).count() == 0
+
+
+# ---------------------------------------------------------------- vectors
+
+def brute(rows, k):
+    good = [(i, np.array(v, dtype=float)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = {}
+    for q, x in good:
+        if q % 20 == 0:
+            out[q] = sorted((-(x * y).sum(), i) for i, y in good if i != q)[:k]
+    return out
+
+
+def vectors(n=1500, dim=16):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(12, dim))
+    return [(i, (centres[i % 12] + 0.5 * rng.normal(size=dim)).astype(np.float32).tolist()) for i in range(n)]
+
+
+def found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+def test_factor_one_is_exact_with_copies_and_bad_vectors(spark):
+    rows = vectors()
+    rows += [(5000 + i, rows[40][1]) for i in range(60)] + [(7000, None), (7020, [0.0] * 16), (7040, [float("nan")] + [1.0] * 15), (None, rows[1][1]), (7060, [None] + [1.0] * 15),
+                                                            (7080, [float("inf")] * 16)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as shard", "2 as block", "'x' as rank").repartition(3)
+    got = found(vptree.nearest(df, F.col("vec_id") % 20 == 0, factor=1.0, shard_rows=400, query_rows=30))
+    want = brute(rows, 20)
+    assert got.keys() == want.keys()
+    for q, near in want.items():
+        assert [i for _, i in got[q]] == [i for _, i in near]
+        assert np.allclose([s for s, _ in got[q]], [s for s, _ in near], rtol=0, atol=1e-12)
+
+
+def test_recall_of_the_relaxed_search(spark):
+    rows = vectors(6000, 32)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = found(vptree.nearest(df, F.col("vec_id") % 20 == 0))
+    want = brute(rows, 20)
+    recall = np.mean([len({i for _, i in got[q]} & {i for _, i in near}) / 20 for q, near in want.items()])
+    assert recall >= 0.9
+
+
+def test_fewer_candidates_and_empty_tables(spark):
+    schema = "vec_id long, embedding array<float>"
+    three = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [1.0, 0.0])], schema)
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in vptree.nearest(three, F.col("vec_id") == 0).orderBy("rank").collect()] == [(0, 1, 2, 1.0), (0, 2, 1, 0.5)]
+    assert vptree.nearest(spark.createDataFrame([], schema), F.lit(True)).count() == 0
+    assert vptree.nearest(spark.createDataFrame([(0, None)], schema), F.lit(True)).count() == 0
