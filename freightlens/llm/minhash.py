@@ -11,16 +11,17 @@ The work on Spark:
    the band hashes.  Texts with equal sets are collapsed to the smallest id
    (``min`` is combined before the shuffle).
 2. Candidates come from band buckets without listing a bucket's pairs: every
-   member is compared with the smallest id of its bucket, then, where a bucket
-   still holds several components, with one pivot of each of ``PIVOTS`` slots.
-   Only pairs of different components that are left then are compared one by
-   one, if their set sizes allow the similarity.
-3. Candidates are confirmed on the full sets, links are merged into
+   member is first compared with the smallest id of its bucket.
+3. Buckets that then still hold several components: up to ``SMALL`` members,
+   their pairs of different components are compared; above, the members outside
+   the bucket's largest component are compared with all members, block by block
+   inside tasks, and only links found are returned.
+4. Candidates are confirmed on the full sets, links are merged into
    components by distributed rounds.
 
-Given the bands, no link is lost: after step 2 every bucket pair has been
-compared or joined.  A pair at the threshold 0.8 shares no bucket with
-probability (1 - 0.8^6)^36 = 2e-5.
+Given the bands, no link is lost: after step 3 every pair of a bucket has been
+compared or is joined already.  A pair at the threshold 0.8 shares no bucket
+with probability (1 - 0.8^6)^36 = 2e-5.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ from freightlens.llm.common import (U64, Scratch, Words, connected_components, l
 
 ROWS_PER_BAND = 6
 BANDS = 36  # half of minima, half of maxima
-PIVOTS = 8
+SMALL = 16  # members of a bucket whose pairs are listed; at most 15 for each member
+# Rows of a block comparison, and columns of its incidence matrices at a time.
+BLOCK_LEFT, BLOCK_RIGHT, COLUMNS = 256, 512, 1 << 14
 SEED = 20240
 
 SIGNED = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
@@ -122,6 +125,57 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
     return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
+def common_counts(va: np.ndarray, oa: np.ndarray, vb: np.ndarray, ob: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of two lists of sets, by matrix products over
+    a bounded number of shingles at a time."""
+    shared = np.intersect1d(va, vb)
+    rows = [np.repeat(np.arange(len(o) - 1), np.diff(o)) for o in (oa, ob)]
+    out = np.zeros((len(oa) - 1, len(ob) - 1), dtype=np.int64)
+    for at in range(0, len(shared), COLUMNS):
+        part = shared[at:at + COLUMNS]
+        sides = []
+        for v, row, n in ((va, rows[0], len(oa) - 1), (vb, rows[1], len(ob) - 1)):
+            column = np.minimum(np.searchsorted(part, v), len(part) - 1)
+            hit = part[column] == v
+            m = np.zeros((n, len(part)), dtype=np.float32)
+            m[row[hit], column[hit]] = 1
+            sides.append(m)
+        out += (sides[0] @ sides[1].T).astype(np.int64)  # counts below 2^24 are exact
+    return out
+
+
+def block_links(rows: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between different components inside large buckets.
+
+    ``rows(bucket, doc_id, component, main, size, strays)``: members outside the
+    bucket's ``main`` component meet all members, in tiles of bounded size.  Of
+    the links between two components a tile returns one.
+    """
+
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        left = t.column("left").to_numpy(zero_copy_only=False)
+        x, y = t.filter(pa.array(left)), t.filter(pa.array(~left))
+        a, b = [], []
+        if x.num_rows and y.num_rows:
+            (va, oa), (vb, ob) = (shingle_sets(Words(s.column("text").combine_chunks()), words) for s in (x, y))
+            n = common_counts(va, oa, vb, ob)
+            union = np.diff(oa)[:, None] + np.diff(ob)[None, :] - n
+            ca, cb = (s.column("component").to_numpy() for s in (x, y))
+            i, j = np.nonzero((100 * n >= percent * union) & (ca[:, None] != cb[None, :]))
+            _, first = np.unique(np.stack([ca[i], cb[j]]), axis=1, return_index=True)
+            a, b = x.column("doc_id").to_numpy()[i[first]], y.column("doc_id").to_numpy()[j[first]]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    block = lambda n, size, salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.ceil(F.col(n) / size)).cast("int")
+    every = lambda n, size: F.explode(F.sequence(F.lit(0), F.ceil(F.col(n) / size).cast("int") - 1))
+    rows = rows.join(docs.select("doc_id", "text"), "doc_id")
+    keep = ["bucket", "doc_id", "component", "text"]
+    left = rows.where("component <> main").select(*keep, F.lit(True).alias("left"), block("strays", BLOCK_LEFT, 1).alias("i"), every("size", BLOCK_RIGHT).alias("j"))
+    right = rows.select(*keep, F.lit(False).alias("left"), every("strays", BLOCK_LEFT).alias("i"), block("size", BLOCK_RIGHT, 2).alias("j"))
+    return left.unionByName(right).groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``.
 
@@ -150,39 +204,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     copies = (known.join(same.where("copies > 1"), ["fp1", "fp2", "n_shingles"])
               .where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     links = scratch.write(copies.distinct(), "copies")
-    texts = docs.where("doc_id is not null")
+    # Whole texts are shuffled once, to keep those that share a bucket.
+    texts = scratch.write(docs.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
 
-    # Smallest member of each bucket, then a pivot per slot, then what is left.
     star = members.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = links.union(scratch.write(confirm(star, texts, words, percent), "links-0"))
-    label = connected_components(links, scratch, "cc-0")
-    for turn in (1, 2):
-        placed = (members.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                  .select("bucket", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")))
-        mixed = (placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                 .where("x < y").select("bucket"))
-        open_ = scratch.write(placed.join(mixed, "bucket", "left_semi"), f"open-{turn}")
-        if open_.isEmpty():
-            break
-        left = open_.toDF("bucket", "a", "na", "ca")
-        if turn == 1:
-            pivots = (open_.groupBy("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(PIVOTS)).alias("slot"))
-                      .agg(F.min(F.struct("doc_id", "n_shingles", "component")).alias("p")))
-            left = pivots.select("bucket", F.col("p.doc_id").alias("a"), F.col("p.n_shingles").alias("na"),
-                                 F.col("p.component").alias("ca"))
-        pairs = (left.join(open_, "bucket").where("ca <> component")
-                 .where(f"100 * least(na, n_shingles) >= {percent} * greatest(na, n_shingles)"))
-        if turn == 2:
-            pairs = pairs.where("a < doc_id")
-        pairs = pairs.select("a", F.col("doc_id").alias("b")).distinct()
-        found = scratch.write(confirm(pairs, texts, words, percent), f"links-{turn}")
-        if found.isEmpty():
-            if turn == 1:
-                continue
-            break
-        links = links.union(found)
-        label = connected_components(links, scratch, f"cc-{turn}")
-    scratch.drop("members", "open-1", "open-2")
+    links = links.union(scratch.write(confirm(star, texts, words, percent), "links-star"))
+    label = connected_components(links, scratch, "cc-star")
+
+    # Buckets with several components.
+    placed = (members.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+              .select("bucket", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")))
+    parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (parts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("size"),
+                                         F.max("n").alias("most"), F.count(F.lit(1)).alias("components")).where("components > 1")
+             .select("bucket", "main", "size", (F.col("size") - F.col("most")).alias("strays")))
+    open_ = scratch.write(placed.join(mixed, "bucket"), "open")
+    small, large = open_.where(F.col("size") <= SMALL), open_.where(F.col("size") > SMALL)
+    other = small.select("bucket", F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("component").alias("c"))
+    pairs = (small.join(other, "bucket").where("component <> c and doc_id < b")
+             .where(f"100 * least(n_shingles, m) >= {percent} * greatest(n_shingles, m)")
+             .select(F.col("doc_id").alias("a"), "b").distinct())
+    found = scratch.write(confirm(pairs, texts, words, percent).union(block_links(large, texts, words, percent)), "links-open")
+    if not found.isEmpty():
+        label = connected_components(links.union(found), scratch, "cc-open")
+    scratch.drop("members", "open", "texts")
     return (signed.select("doc_id", "n_shingles").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))

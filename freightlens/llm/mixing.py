@@ -48,10 +48,11 @@ def rates(docs: DataFrame, weights: dict[str, float], epochs: float = 1.0) -> Da
     for name, w in weights.items():
         named = F.when(F.col("source") == name, F.lit(float(w))).otherwise(named)
     size = size.withColumn("named", named)
-    whole = size.agg(F.sum("size").alias("total"), F.sum("named").alias("taken"),
-                     F.sum(F.when(F.col("named").isNull(), 1.0)).alias("others"))
+    whole = size.agg(F.struct(F.sum("size").alias("total"), F.sum("named").alias("taken"),
+                              F.sum(F.when(F.col("named").isNull(), 1.0)).alias("others"))).scalar()
+    size = size.withColumn("whole", whole).select("*", "whole.*")
     share = F.coalesce("named", (F.lit(1.0) - F.coalesce("taken", F.lit(0.0))) / F.col("others"))
-    return size.crossJoin(whole).select(  # one row of totals
+    return size.select(
         "source", "size", F.when(F.col("size") > 0, F.greatest(F.lit(0.0), share) * F.lit(float(epochs)) * F.col("total") / F.col("size"))
         .otherwise(0.0).alias("rate"))
 
@@ -81,12 +82,12 @@ def replicate(docs: DataFrame, weights: dict[str, float], scratch: Scratch, epoc
     """
     docs = docs.select(*[c for c in docs.columns if c not in ("copy", "copies", "shuffle_key")])
     table = scratch.write(with_tables(rates(docs, weights, epochs)).coalesce(1), "rates")  # a row per source: the planner sees its size
-    table = table.select(F.struct("source", "parts", "cdf").alias("mix"))
-    drawn = docs.join(table, docs["source"].eqNullSafe(F.col("mix.source")))
+    table = table.select(F.struct("source", "parts", "cdf").alias("__mix"))
+    drawn = docs.join(table, docs["source"].eqNullSafe(F.col("__mix.source")))
     draw = lambda part: uniform(F.lit(seed), part, F.col("doc_id"))
-    copies = F.aggregate(F.sequence(F.lit(1), F.col("mix.parts")), F.lit(0),
-                         lambda acc, part: acc + F.size(F.filter("mix.cdf", lambda c: c < draw(part))))
-    return (drawn.withColumn("copies", copies.cast("int")).where("copies > 0").drop("mix")
+    copies = F.aggregate(F.sequence(F.lit(1), F.col("__mix.parts")), F.lit(0),
+                         lambda acc, part: acc + F.size(F.filter("__mix.cdf", lambda c: c < draw(part))))
+    return (drawn.withColumn("copies", copies.cast("int")).where("copies > 0").drop("__mix")
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
             .withColumn("shuffle_key", bits(F.lit(seed), F.lit("order"), F.col("doc_id"), F.col("copy")))
             .repartition("shuffle_key").sortWithinPartitions("shuffle_key", "doc_id", "copy"))

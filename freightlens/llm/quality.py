@@ -24,9 +24,10 @@ from freightlens.llm.common import Scratch, Words, mix, slices, STEP, U64
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
-MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_echo_words long"
 # Measure: the part of the fence that does not depend on the data.
-SLACK = {"symbols_per_word": 0.10, "dup_line_share": 0.30, "repeat_word_share": 0.20, "chars_per_word": 6.0}
+SLACK = {"symbols_per_word": 0.10, "dup_line_share": 0.30, "repeat_word_share": 0.25, "echo_word_share": 0.20, "chars_per_word": 6.0}
+SHORT = 5  # lines added to a text's own, so that one equal pair of a few lines says little
 SPREAD = 3.0
 
 
@@ -77,7 +78,8 @@ def measure_column(text: Column) -> Column:
 
     Words are runs without space and U+0009-U+000D.  ``n_dup_lines``: lines
     (split at \\n) with a word that equal an earlier line; ``n_repeat_words``:
-    words in 8-word windows found at least twice in the text.
+    words in 8-word windows found at least twice in the text; ``n_echo_words``:
+    words equal to the word before.
     """
 
     @F.arrow_udf(MEASURES)
@@ -95,8 +97,11 @@ def measure_column(text: Column) -> Column:
                 at = np.frombuffer(offsets, dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
                 marks = np.concatenate(([0], np.cumsum(symbol[np.frombuffer(data or b"", dtype=np.uint8)])))
                 lines, dups = _lines(texts)
-                out.append((words.counts, np.diff(chars[words.offsets]), np.diff(marks[at]), dups, _repeats(words), lines))
-            columns = [pa.array(np.concatenate([o[k] for o in out]) if out else [], pa.int64()) for k in range(6)]
+                row = words.rows()
+                echo = row[1:][(words.codes[1:] == words.codes[:-1]) & (row[1:] == row[:-1])]
+                out.append((words.counts, np.diff(chars[words.offsets]), np.diff(marks[at]), dups, _repeats(words), lines,
+                            np.bincount(echo, minlength=len(words))))
+            columns = [pa.array(np.concatenate([o[k] for o in out]) if out else [], pa.int64()) for k in range(7)]
             yield pa.StructArray.from_arrays(columns, names=[c.split()[0] for c in MEASURES.split(", ")])
 
     return measure.asNondeterministic()(text)
@@ -105,8 +110,9 @@ def measure_column(text: Column) -> Column:
 def shares(m: Column) -> dict[str, Column]:
     words = F.greatest(m["n_words"], F.lit(1))
     return {"symbols_per_word": m["n_symbols"] / words,
-            "dup_line_share": m["n_dup_lines"] / F.greatest(m["n_lines"], F.lit(1)),
+            "dup_line_share": m["n_dup_lines"] / (m["n_lines"] + SHORT),
             "repeat_word_share": m["n_repeat_words"] / words,
+            "echo_word_share": m["n_echo_words"] / words,
             "chars_per_word": m["word_chars"] / words}
 
 
@@ -146,12 +152,12 @@ def judge(docs: DataFrame, scratch: Scratch) -> DataFrame:
     measured = docs.select("lang", "source", measure_column(F.col("text")).alias("m"))
     limits = scratch.write(fences(measured).coalesce(1), "fences")  # a row per group: the planner sees its size
     names = [f"fence_{k}" for k in SLACK]
-    limits = limits.select(F.struct("lang", "source", *names).alias("quality_fence"))
+    limits = limits.select(F.struct("lang", "source", *names).alias("__fence"))
     rows = docs.withColumn("quality_m", measure_column(F.col("text")))
-    rows = rows.join(limits, rows["lang"].eqNullSafe(F.col("quality_fence.lang")) & rows["source"].eqNullSafe(F.col("quality_fence.source")), "left")
-    above = [F.coalesce(v > F.col(f"quality_fence.fence_{k}"), F.lit(False)) for k, v in shares(F.col("quality_m")).items()]
+    rows = rows.join(limits, rows["lang"].eqNullSafe(F.col("__fence.lang")) & rows["source"].eqNullSafe(F.col("__fence.source")), "left")
+    above = [F.coalesce(v > F.col(f"__fence.fence_{k}"), F.lit(False)) for k, v in shares(F.col("quality_m")).items()]
     failed = base_failed(F.col("quality_m"))
     verdict = ~failed
     for a in above:
         verdict = verdict & ~a
-    return rows.withColumn("quality_base_failed", failed).withColumn("quality_kept", verdict).drop("quality_fence")
+    return rows.withColumn("quality_base_failed", failed).withColumn("quality_kept", verdict).drop("__fence")

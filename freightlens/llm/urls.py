@@ -3,9 +3,9 @@
 Concatenated names are split into words by a unigram model (Viterbi over the
 best split of every prefix), learned from the words of all pages and URLs.
 Words of host and path are scored by multinomial naive Bayes: the blocked class
-is learned from example names (a parameter), the allowed class from the hosts
-of the whole table, each counted once.  Rules come first; the model decides the
-rest.
+is learned from example names (a parameter), smoothed by the allowed class,
+which is the unigram model of the whole table.  Rules come first; the model
+decides the rest.
 
 The model is the only thing sent to the tasks; it is bounded by its vocabulary
 (``VOCABULARY`` words of at most ``LONGEST`` letters, the most frequent first).
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -29,16 +30,21 @@ from freightlens.llm.common import Words, ascii_lower, lower_ascii, slices
 
 VOCABULARY = 100_000
 LONGEST = 24
+# Weight of the allowed class in the blocked one, in sizes of the examples, and
+# the log odds of a page without words.
+SMOOTHING = 20.0
+PRIOR = -1.8
 
-# Examples of names of unwanted sites, by topic.
+# Examples of names of unwanted sites, by topic.  One doubtful
+# word is not enough for a verdict, so telling words stand in several names.
 BLOCK_EXAMPLES = """
-adult x xxx porn sex sexy nude cams escort hentai erotic milf webcam adult video tube
-casino bets bet betting free bets poker slots jackpot roulette gambling lottery bonus spins wager bookmaker
-cheap pills pills viagra cialis pharmacy meds drugs online pharmacy cheap meds tramadol steroids weight loss
-spam farm spam link farm seo links backlinks traffic bot clickbait doorway
-ads track ads tracker tracking adserver banner popup click affiliate doubleclick pixel
-warez crack keygen serial torrent cracked nulled hack cheats
-payday loans fast cash easy money get rich crypto scam replica watches fake rolex malware phishing
+adult video adult cams porn tube porn sex sex cams xxx adult xxx tube sexy nude nude cams escort hentai erotic milf webcam escort hentai erotic milf
+casino bets casino poker bets betting betting bonus poker roulette slots jackpot slots casino lottery win gambling gambling wager bookmaker bookmaker free spins
+cheap pills pills pharmacy viagra cialis viagra pills cialis online pharmacy cheap meds meds tramadol tramadol steroids steroids weight loss drugs
+spam farm spam bot link farm seo links backlinks backlinks seo spam clickbait clickbait traffic doorway
+ads track ads tracker tracker tracking adserver ads adserver banner popup popup click affiliate affiliate doubleclick doubleclick pixel track
+warez crack warez keygen keygen cracked cracked nulled nulled torrent torrent hack cheats serial
+payday loans payday cash money fast easy rich scam crypto scam replica watches replica rolex malware malware phishing phishing fake
 """.split()
 # Words of ordinary names, so that they are known to the splitter.
 ALLOW_EXAMPLES = """
@@ -90,7 +96,7 @@ class Model:
     unknown: float = -12.0
     block: dict[str, float] = field(default_factory=dict)  # log odds of blocked against allowed
     block_unknown: float = 0.0
-    prior: float = -2.0
+    prior: float = PRIOR
 
 
 def segment(name: str, model: Model) -> list[str]:
@@ -138,8 +144,8 @@ def count_words(pages: DataFrame) -> DataFrame:
 
 def fit(pages: DataFrame, block_examples: list[str] | None = None, allow_examples: list[str] | None = None,
         vocabulary: int = VOCABULARY) -> Model:
-    """Learn the splitter from all of ``pages(url, html)`` and the classifier from
-    its distinct hosts and the example names."""
+    """Learn the splitter and the allowed class from all of ``pages(url, html)``,
+    the blocked class from the example names."""
     block_examples = BLOCK_EXAMPLES if block_examples is None else block_examples
     allow_examples = ALLOW_EXAMPLES if allow_examples is None else allow_examples
     counts = count_words(pages)
@@ -150,25 +156,12 @@ def fit(pages: DataFrame, block_examples: list[str] | None = None, allow_example
         known[w] = known.get(w, 0) + floor
     whole = sum(known.values())
     model = Model({w: math.log(n / whole) for w, n in known.items() if len(w) > 1 or n > whole / 1000}, math.log(0.5 / whole))
-    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
-
-    @F.arrow_udf("array<string>")
-    def split_hosts(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in parts:
-            yield pa.array([words_of(h or "", "", lambda w: segment(w, model)) for h in part.to_pylist()], pa.list_(pa.string()))
-
-    seen = (hosts.select(F.explode(F.array_distinct(split_hosts.asNondeterministic()(F.col("host")))).alias("word")).groupBy("word").count()
-            .orderBy(F.desc("count"), "word").limit(vocabulary).collect())
-    bad: dict[str, float] = {}
-    for w in block_examples:
-        bad[w] = bad.get(w, 0) + 1
-    good = {w: 1.0 for w in allow_examples}
-    for r in seen:
-        if r.word not in bad:  # a host's share of unwanted words is not evidence for the allowed class
-            good[r.word] = good.get(r.word, 0) + r["count"]
-    names = {*bad, *good}
-    nb, ng = sum(bad.values()) + len(names), sum(good.values()) + len(names)
-    model.block = {w: math.log((bad.get(w, 0) + 1) / nb) - math.log((good.get(w, 0) + 1) / ng) for w in names}
+    examples = Counter(block_examples)
+    size = sum(examples.values())
+    model.block_unknown = math.log(SMOOTHING / (1 + SMOOTHING))
+    for w, n in examples.items():
+        p = known[w] / whole
+        model.block[w] = math.log((n / size + SMOOTHING * p) / (1 + SMOOTHING) / p)
     return model
 
 

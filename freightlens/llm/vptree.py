@@ -120,7 +120,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, factor: float = F
     x = x.where(F.size("embedding") == dim)
     place = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40))
     points = x.select("vec_id", "embedding", (place % shards).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    queries = x.where("is_query").select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("shard"),
+    queries = x.where("is_query").select("vec_id", "embedding", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
                                          (F.floor(place / shards) % blocks).cast("int").alias("block"))
 
     def search(mine: pa.Table, asked: pa.Table) -> pa.Table:
