@@ -19,7 +19,7 @@ from freightlens.functions.labels import lane_label
 from freightlens.functions.numeric import from_units, sum_units
 from freightlens.plans.joins import join_dims
 from freightlens.plans.materialize import write_checkpoint_table
-from freightlens.plans.sizing import scaled_shuffle
+from freightlens.plans.sizing import input_bytes, partitions_for, scaled_shuffle
 from freightlens.sources import testdata as td
 
 # Parameters of the registered queries (chosen for the test data, where the
@@ -31,10 +31,17 @@ SCENARIOS = dict(scenarios=((15, "15kg scenario"), (40, "40kg scenario")), bound
                  band_at_or_below="15-35", band_above="35+")
 
 
+# Slicer choices of the sliced report queries.
+LANES = ("ASIA → EUROPE", "EUROPE → ASIA", "EUROPE → AMERICA", "AFRICA → AFRICA")
+PROVIDERS = ("NATION_2", "NATION_3", "NATION_8")
+# The derived tables have no surrogate keys.
+KEYS = {"quotes": ("provider_id", "route_id", "weight_band_kg"), "performance_history": ("provider_id", "route_id", "month_year")}
+
+
 class Inputs:
     """Core tables for one test-data folder.
 
-    With ``materialize`` the shipment facts (the result of the four
+    With ``materialize`` the shipment facts (the result of the
     fact-to-fact joins), the monthly history, the rate card and the two
     dimensions are written once as parquet into ``spark.checkpoint.dir`` and
     every query scans them: the joins run once per application instead of
@@ -62,7 +69,7 @@ class Inputs:
 
     @property
     def routes(self):
-        return self._get("routes", lambda: td.routes(self.spark, self.sf_dir), store=True, keep=True)
+        return self._get("routes", lambda: td.routes_from_facts(self.facts, self.spark, self.sf_dir), store=True, keep=True)
 
     @property
     def facts(self):
@@ -80,6 +87,17 @@ class Inputs:
     def shipments(self):
         return self._get("shipments", lambda: td.shipments_from_facts(self.facts))
 
+    @property
+    def typed_shipments(self):
+        """The shipments with ``commodity_type``, for the query that returns it."""
+        return td.shipments_from_facts(td.with_part_type(self.facts, self.spark, self.sf_dir))
+
+    @property
+    def line_partitions(self) -> int:
+        """Partitions for a shuffle of one key per shipment."""
+        return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")),
+                   partitions_for(input_bytes(self.spark, [f"{self.sf_dir.rstrip('/')}/lineitem.parquet"])))
+
     @property
     def quotes(self):
         return self._get("quotes", lambda: td.quotes_from_facts(self.facts), store=True, keep=True)
@@ -134,11 +152,24 @@ def _lane_volumes(i: Inputs) -> DataFrame:
     return j.groupBy("lane").agg(from_units(F.sum("_w")).cast("double").alias("volume_kg"))
 
 
-def _worst_provider(i: Inputs) -> DataFrame:
-    """Providers ranked last by the weighted scorecard: the drill-through target."""
+def _worst_shipments(i: Inputs) -> DataFrame:
+    """Shipments of the providers ranked last by the weighted scorecard (the
+    drill-through target), chosen by id before any dimension is joined."""
     s = op.scorecard(i.history, i.providers)
-    worst = s.agg(F.max("final_rank").alias("final_rank"))
-    return s.join(worst, "final_rank", "left_semi").select("provider_name")
+    worst = s.join(s.agg(F.max("final_rank").alias("final_rank")), "final_rank", "left_semi").select("provider_name")
+    ids = i.providers.join(worst, "provider_name", "left_semi").select("provider_id")
+    return i.shipments.join(ids, "provider_id", "left_semi")
+
+
+def _known_shipments(i: Inputs) -> DataFrame:
+    """Shipments of ``PROVIDERS`` with a known route, as in the detail view."""
+    ids = i.providers.where(F.col("provider_name").isin(*PROVIDERS)).select("provider_id")
+    return i.shipments.join(ids, "provider_id", "left_semi").join(i.routes.select("route_id"), "route_id", "left_semi")
+
+
+def _integrity(i: Inputs) -> DataFrame:
+    tables = {"providers": i.providers, "routes": i.routes, "quotes": i.quotes, "shipments": i.shipments, "performance_history": i.history}
+    return op.integrity_report(tables, KEYS, i.line_partitions)
 
 
 def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
@@ -148,14 +179,14 @@ def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
         "quote_spread": lambda i: op.quote_spread(i.quotes, i.providers, i.routes),
         "volume_scenarios": lambda i: op.volume_scenarios(i.quotes, i.providers, i.routes, **SCENARIOS),
         "delay_pareto": lambda i: op.delay_pareto(i.shipments),
-        "monthly_rollup": lambda i: i.history,
+        "monthly_rollup": lambda i: op.roll_up_history(i.shipments, i.providers, lead_days=td.lead_time_days()),
         "monthly_trend": lambda i: op.monthly_trend(i.history, i.providers, i.routes),
         "scorecard": lambda i: op.scorecard(i.history, i.providers),
         "sla_alerts": lambda i: op.sla_alerts(i.history, i.providers, i.routes),
         "rolling_on_time": lambda i: op.rolling_on_time(i.history, i.providers, i.routes),
         "v_scorecard": lambda i: i.v_scorecard,
         "v_trend": lambda i: i.v_trend,
-        "v_detail": lambda i: i.v_detail,
+        "v_detail": lambda i: op.v_detail(i.typed_shipments, i.providers, i.routes),
         "kpi_cards": lambda i: op.kpis(i.v_scorecard),
         "measure_scores": lambda i: op.measure_scores(i.v_scorecard),
         "mom_change": lambda i: op.mom_change(i.v_trend),
@@ -168,14 +199,20 @@ def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
         "report_summary": lambda i: op.report_summary(i.v_scorecard, good=RAG_GOOD, at_risk=RAG_AT_RISK),
         "report_radar": lambda i: op.report_radar(op.measure_scores(i.v_scorecard)),
         "report_trend": lambda i: op.report_trend(i.history, i.providers, i.routes),
-        "shipment_log": lambda i: op.shipment_log(i.v_detail, _worst_provider(i)),
-        "status_breakdown": lambda i: op.status_breakdown(i.v_detail),
-        "complaints": lambda i: op.complaints(i.v_detail),
-        "lane_overview": lambda i: op.lane_overview(i.v_scorecard, i.v_detail, i.v_trend),
+        "shipment_log": lambda i: op.shipment_log(op.v_detail(_worst_shipments(i), i.providers, i.routes)),
+        "status_breakdown": lambda i: op.status_by_provider(i.shipments, i.providers, i.routes),
+        "complaints": lambda i: op.complaints_by_provider(i.shipments, i.providers, i.routes),
+        "lane_overview": lambda i: op.lane_overview(i.v_scorecard, i.shipments, i.v_trend, i.providers, i.routes),
         "dim_provider": lambda i: op.dim_values("provider_name", i.v_scorecard, i.v_trend,
                                                 i.v_detail),
         "dim_lane": lambda i: op.dim_values("lane", i.v_scorecard, i.v_trend, i.v_detail),
-        "integrity": lambda i: op.integrity_report(i.shipments, i.providers, i.routes),
+        "integrity": _integrity,
+        "ranked_quotes": lambda i: op.ranked_quotes(i.quotes, i.providers, i.routes),
+        "kpi_cards_sliced": lambda i: op.kpis(i.v_scorecard, lanes=LANES),
+        "report_summary_sliced": lambda i: op.report_summary(i.v_scorecard, lanes=LANES, good=RAG_GOOD, at_risk=RAG_AT_RISK),
+        "report_radar_sliced": lambda i: op.report_radar(op.measure_scores(i.v_scorecard, lanes=LANES)),
+        "report_trend_sliced": lambda i: op.report_trend(i.history, i.providers, i.routes, LANES, PROVIDERS),
+        "delay_pareto_drilled": lambda i: op.delay_pareto(_known_shipments(i)),
     }
 
 

@@ -70,9 +70,9 @@ def mean_exact(x, scale: int | None = None) -> Column:
 
 
 def dax_divide(num, den, alternate: float = 0.0) -> Column:
-    """DAX ``DIVIDE(num, den, alternate)``: the alternate only when ``den`` is 0."""
+    """DAX ``DIVIDE(num, den, alternate)``: the alternate when ``den`` is 0 or NULL (blank)."""
     n, d = _c(num).cast("double"), _c(den).cast("double")
-    return F.when(d == 0, F.lit(float(alternate))).otherwise(n / F.nullif(d, F.lit(0.0)))
+    return F.when(F.coalesce(d, F.lit(0.0)) == 0, F.lit(float(alternate))).otherwise(n / F.nullif(d, F.lit(0.0)))
 
 
 def mean_parts(x, scale: int, name: str) -> list[Column]:
@@ -137,27 +137,28 @@ def div_half_up(num: str, den: str, digits: int, scale: int = 2) -> Column:
     """``ROUND(num / NULLIF(den, 0), digits)`` for decimals with at most
     ``scale`` places (money and weight have 2), exactly, as DOUBLE.
 
-    Both sides become exact BIGINT counts of ``10^-scale``, then
+    Both sides become exact integer counts of ``10^-scale`` as DECIMAL(38,0)
+    (a BIGINT product overflows for a group of 4.6e12 EUR), then
     ``sign * ((2 * 10^d * |A| + |B|) div (2 * |B|)) / 10^d``: a quotient
     lying half-way rounds away from zero as the decimal SQL does (a DOUBLE
-    quotient can miss it), and the per-row work stays on primitive longs.
+    quotient can miss it).
     """
     k = 2 * 10 ** digits
-    a, b = (f"abs(CAST({c} * {10 ** scale} AS BIGINT))" for c in (num, den))
-    q = F.expr(f"(CAST({k} AS BIGINT) * {a} + {b}) div nullif(2 * {b}, 0)")
+    a, b = (f"abs(CAST({c} * {10 ** scale} AS DECIMAL(38,0)))" for c in (num, den))
+    q = F.expr(f"(CAST({k} AS DECIMAL(38,0)) * {a} + {b}) div nullif(2 * {b}, 0)")
     signed = F.when((F.col(num) < 0) != (F.col(den) < 0), -q).otherwise(q)
     return signed.cast("double") / F.lit(float(10 ** digits)) + F.lit(0.0)
 
 
 def sum_units(x, scale: int = 2) -> Column:
-    """Exact sum of a decimal column with at most ``scale`` places, as a
-    BIGINT count of ``10^-scale`` (cents for money): primitive adds instead
-    of wide-decimal buffers in the aggregation, order-free like any integer sum."""
+    """Exact sum of a decimal column with at most ``scale`` places, as an
+    integer count of ``10^-scale`` (cents for money) in DECIMAL(28,0): no group
+    is too large for it, and the order of additions does not matter."""
     c = F.col(x) if isinstance(x, str) else x
-    return F.sum((c * F.lit(Decimal(10) ** scale)).cast("long"))
+    return F.sum((c * F.lit(Decimal(10) ** scale)).cast("decimal(18,0)"))
 
 
 def from_units(x, scale: int = 2, precision: int = 20) -> Column:
-    """A BIGINT count of ``10^-scale`` back to DECIMAL(precision, scale)."""
+    """An integer count of ``10^-scale`` back to DECIMAL(precision, scale)."""
     c = F.col(x) if isinstance(x, str) else x
-    return (c.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({precision},{scale})")
+    return (c.cast("decimal(30,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({precision},{scale})")

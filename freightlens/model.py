@@ -85,13 +85,13 @@ class ProcurementModel:
     def export_views(self, out_dir: str) -> None:
         """The three CSV extracts, with header, ``NULL`` and CRLF."""
         base = out_dir.rstrip("/")
-        write_view_csv(self.v_scorecard(), f"{base}/provider_scorecard")
-        write_view_csv(self.v_trend(), f"{base}/monthly_trend")
-        write_view_csv(self.v_detail(), f"{base}/shipment_detail")
+        write_view_csv(self.v_scorecard(), f"{base}/provider_scorecard", "v_scorecard")
+        write_view_csv(self.v_trend(), f"{base}/monthly_trend", "v_trend")
+        write_view_csv(self.v_detail(), f"{base}/shipment_detail", "v_detail")
 
     # --- report measures --------------------------------------------------
-    def kpis(self, by=None) -> DataFrame:
-        return op.kpis(self.v_scorecard(), by)
+    def kpis(self, by=None, lanes=None) -> DataFrame:
+        return op.kpis(self.v_scorecard(), by, lanes)
 
     def measure_scores(self, lanes=None) -> DataFrame:
         return op.measure_scores(self.v_scorecard(), lanes=lanes)
@@ -118,8 +118,8 @@ class ProcurementModel:
     def report_summary(self, lanes=None) -> DataFrame:
         return op.report_summary(self.v_scorecard(), lanes=lanes)
 
-    def report_radar(self) -> DataFrame:
-        return op.report_radar(self.measure_scores())
+    def report_radar(self, lanes=None) -> DataFrame:
+        return op.report_radar(self.measure_scores(lanes))
 
     def report_trend(self, lanes=None, provider_names=None) -> DataFrame:
         return op.report_trend(self.history, self.providers, self.routes, lanes, provider_names)
@@ -132,10 +132,11 @@ class ProcurementModel:
                 "complaints": op.complaints(vd, providers)}
 
     def lane_overview(self) -> DataFrame:
-        return op.lane_overview(self.v_scorecard(), self.v_detail(), self.v_trend())
+        return op.lane_overview(self.v_scorecard(), self.shipments, self.v_trend(), self.providers, self.routes)
 
     def integrity(self) -> DataFrame:
-        return op.integrity_report(self.shipments, self.providers, self.routes)
+        return op.integrity_report({"providers": self.providers, "routes": self.routes, "quotes": self.quotes,
+                                    "shipments": self.shipments, "performance_history": self.history})
 
     def roll_up_history(self) -> DataFrame:
         """The monthly history re-derived from the shipments."""

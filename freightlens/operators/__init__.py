@@ -9,8 +9,10 @@ from freightlens.operators.measures import (  # noqa: F401
     rag_status,
     rolling_calendar,
 )
-from freightlens.operators.rates import landed_rate, quote_spread, volume_scenarios  # noqa: F401
+from freightlens.operators.rates import landed_rate, quote_spread, ranked_quotes, volume_scenarios  # noqa: F401
 from freightlens.operators.reports import (  # noqa: F401
+    complaints_by_provider,
+    status_by_provider,
     complaints,
     dim_values,
     drill_through,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,11 @@ from freightlens.plans.joins import join_dims
 PAIR = ("provider_id", "route_id")
 
 
+def _exact(c: str):
+    """A value with two places as DECIMAL, so that a rate on the line is on it."""
+    return F.round(c, 2).cast("decimal(12,2)")
+
+
 def rolling_on_time(history: DataFrame, providers: DataFrame, routes: DataFrame, window: int = 3) -> DataFrame:
     """On-time % per month and its mean over the last ``window`` rows.
 
@@ -54,15 +61,17 @@ def sla_alerts(history: DataFrame, providers: DataFrame, routes: DataFrame, wind
     (one descending sort, planned as a group limit) and averages them,
     instead of a rolling window plus a second, opposite sort.
     """
-    latest_first = Window.partitionBy(*PAIR).orderBy(F.col("month_year").desc())
-    last = (history.select(*PAIR, "month_year", pct_decimal("on_time_count", "total_shipments").alias("_pct"))
+    latest_first = Window.partitionBy(*PAIR).orderBy(
+        F.col("month_year").desc(), *[F.col(c) for c in ("perf_id",) if c in history.columns],
+        F.col("total_shipments").desc(), F.col("on_time_count").desc())  # of two rows for a month always the same one first
+    last = (history.withColumn("_pct", pct_decimal("on_time_count", "total_shipments"))
             .withColumn("_rn", F.row_number().over(latest_first))
             .filter(F.col("_rn") <= window))
     r = (last.groupBy(*PAIR).agg(*mean_parts("_pct", PCT_SCALE, "r"))
          .select(*PAIR, mean_half_up("r", PCT_SCALE, 2).alias("rolling_3m_otd")))
     j = join_dims(r, providers, routes)
-    below = F.col("rolling_3m_otd") < F.col("sla_threshold")
-    near = F.col("rolling_3m_otd") < F.col("sla_threshold") + F.lit(float(margin))
+    below = _exact("rolling_3m_otd") < _exact("sla_threshold")
+    near = _exact("rolling_3m_otd") < _exact("sla_threshold") + F.lit(Decimal(str(margin))).cast("decimal(10,2)")
     return (j.select("provider_name", lane_label().alias("lane"), "rolling_3m_otd", "sla_threshold",
                      F.when(below, F.lit(ALERT_BREACH)).when(near, F.lit(ALERT_AT_RISK))
                      .otherwise(F.lit(ALERT_OK)).alias("breach_status"),

@@ -18,9 +18,12 @@ from freightlens.functions.labels import (
 from freightlens.functions.numeric import PCT_SCALE, mean_exact, round_half_up
 
 
-def kpis(v_scorecard: DataFrame, by: list[str] | None = None) -> DataFrame:
+def kpis(v_scorecard: DataFrame, by: list[str] | None = None, lanes: list[str] | None = None) -> DataFrame:
     """Total spend, mean on-time %, mean cost per kg, shipments and SLA
-    breaches over the view-1 rows (C14); optionally per ``by`` columns."""
+    breaches over the view-1 rows (C14); optionally per ``by`` columns and
+    for the chosen lanes only."""
+    if lanes:
+        v_scorecard = v_scorecard.filter(F.col("lane").isin(list(lanes)))
     aggs = [F.sum("total_spend_eur").alias("total_spend_eur"),
             mean_exact("avg_on_time_pct", 2).alias("avg_otd_pct"),
             mean_exact("avg_cost_per_kg", 4).alias("avg_cost_per_kg"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from freightlens.functions.labels import DEFAULT_BAND_BOUNDARY, DEFAULT_BANDS, DEFAULT_SCENARIOS, lane_label
 from freightlens.functions.numeric import mean_half_up, mean_parts, round_half_up
 from freightlens.plans.joins import join_dims
-from freightlens.plans.ranking import rank_over
+from freightlens.plans.ranking import bucketed_rank
 
 RATE = "base_rate_eur_per_kg"
 
@@ -38,8 +38,8 @@ def quote_spread(quotes: DataFrame, providers: DataFrame, routes: DataFrame) ->
     """Cheapest, priciest and mean base rate per lane x band, with the
     spread and the providers listed from cheapest to priciest (C3).
 
-    One group holds the quotes of one lane and band, so the ordered list
-    is bounded by the number of providers quoting that lane.
+    The list has an entry per quote of the lane and band, so its length is
+    that of the output format; ``ranked_quotes`` gives the same list as rows.
     """
     q = (join_dims(quotes, providers, routes).withColumn("lane", lane_label())
          .withColumn("_item", F.concat(F.col("provider_name"), F.lit(": €"),
@@ -57,6 +57,13 @@ def quote_spread(quotes: DataFrame, providers: DataFrame, routes: DataFrame) ->
         .orderBy("lane", "weight_band_kg"))
 
 
+def ranked_quotes(quotes: DataFrame, providers: DataFrame, routes: DataFrame) -> DataFrame:
+    """The entries of C3's list as rows: lane, band, provider and rate with its
+    rank, cheapest first.  No task holds a whole lane."""
+    q = join_dims(quotes, providers, routes).select(lane_label().alias("lane"), "weight_band_kg", "provider_name", RATE)
+    return bucketed_rank(q, ["lane", "weight_band_kg"], RATE, out="rate_rank")
+
+
 def volume_scenarios(quotes: DataFrame, providers: DataFrame, routes: DataFrame,
                      scenarios=DEFAULT_SCENARIOS, boundary: float = DEFAULT_BAND_BOUNDARY,
                      band_at_or_below: str = DEFAULT_BANDS[0],
@@ -81,9 +88,8 @@ def volume_scenarios(quotes: DataFrame, providers: DataFrame, routes: DataFrame,
          .join(F.broadcast(sc), "weight_band_kg")
          .filter(F.col("scenario_kg") >= F.col("min_shipment_kg")))
     cost = _with_discount(_with_fuel(F.col("scenario_kg") * F.col(RATE)))
-    # The rank orders by the unrounded cost; a route holding a large share of
-    # all quotes is ranked without sorting it in one task (plans.ranking).
-    ranked = rank_over(j.withColumn("_cost", cost), ["scenario_label", "route_id"], "_cost", out="cost_rank")
+    # The rank orders by the unrounded cost; no route is sorted in one task.
+    ranked = bucketed_rank(j.withColumn("_cost", cost), ["scenario_label", "route_id"], "_cost", out="cost_rank")
     return (ranked.select("scenario_label", "provider_name", lane_label().alias("lane"), "weight_band_kg", RATE,
                           "fuel_surcharge_pct", "volume_discount_pct",
                           round_half_up("_cost", 2).alias("total_cost_eur"), "cost_rank")

@@ -28,21 +28,13 @@ from freightlens.functions.numeric import (
 )
 from freightlens.operators.measures import rag
 from freightlens.operators.scoring import SCORES, measure_scores
-from freightlens.plans.joins import bounded_broadcast, join_dims
+from freightlens.plans.joins import join_dims
 
 
 def report_summary(v_scorecard: DataFrame, weights=DEFAULT_WEIGHTS, lanes: list[str] | None = None,
                    good: float = RAG_DEFAULT_GOOD, at_risk: float = RAG_DEFAULT_AT_RISK) -> DataFrame:
     """Provider summary table: cost, on-time %, lead time, score, rank, flag."""
-    keep = F.col("lane").isin(lanes) if lanes else F.lit(True)
-    v = v_scorecard.filter(keep)
-    means = v.groupBy("provider_name").agg(
-        mean_exact("avg_cost_per_kg", 4).alias("avg_cost_per_kg"),
-        mean_exact("avg_on_time_pct", 2).alias("avg_on_time_pct"),
-        mean_exact("avg_lead_time_days", 2).alias("avg_lead_time_days"))
-    scores = measure_scores(v_scorecard, weights, "zero", lanes).select("provider_name", "weighted_score")
-    j = means.join(scores, "provider_name")
-    return j.select("provider_name",
+    return measure_scores(v_scorecard, weights, "zero", lanes, with_means=True).select("provider_name",
                     round_half_up("avg_cost_per_kg", 4).alias("avg_cost_per_kg"),
                     round_half_up("avg_on_time_pct", 2).alias("avg_on_time_pct"),
                     round_half_up("avg_lead_time_days", 2).alias("avg_lead_time_days"),
@@ -74,10 +66,9 @@ def report_trend(history: DataFrame, providers: DataFrame, routes: DataFrame,
     h = history
     if provider_names:
         ids = providers.filter(F.col("provider_name").isin(list(provider_names))).select("provider_id")
-        h = h.join(bounded_broadcast(ids), "provider_id", "left_semi")
+        h = h.join(ids, "provider_id", "left_semi")
     if lanes:
-        h = join_dims(h, providers.select("provider_id", *[c for c in ("origin_city",) if c in providers.columns]),
-                      routes).filter(lane_label().isin(lanes))
+        h = join_dims(h, routes=routes).filter(lane_label().isin(list(lanes)))
     g = h.groupBy("provider_id", "month_year").agg(
         *mean_parts(pct_decimal("on_time_count", "total_shipments"), PCT_SCALE, "otd"),
         mean_exact("avg_cost_per_kg", 4).alias("_cost"),
@@ -98,7 +89,7 @@ def drill_through(v_detail: DataFrame, providers: DataFrame | list[str] | None =
     if providers is None:
         return v_detail
     if isinstance(providers, DataFrame):
-        return v_detail.join(bounded_broadcast(providers.select("provider_name")), "provider_name", "left_semi")
+        return v_detail.join(providers.select("provider_name"), "provider_name", "left_semi")
     return v_detail.filter(F.col("provider_name").isin(list(providers)))
 
 
@@ -121,21 +112,43 @@ def complaints(v_detail: DataFrame, providers=None) -> DataFrame:
         F.count_if(F.col("customer_complaint")).alias("complaints"))
 
 
-def lane_overview(v_scorecard: DataFrame, v_detail: DataFrame, v_trend: DataFrame) -> DataFrame:
+def _counts_by_ids(shipments: DataFrame, *more: str) -> DataFrame:
+    """Counts and exact sums per provider and route id (and ``more`` columns):
+    labels are attached to these few rows, not to the shipments."""
+    delay = F.datediff("actual_delivery", "promised_delivery")
+    return shipments.groupBy("provider_id", "route_id", *more).agg(
+        F.count(F.lit(1)).alias("shipments"),
+        F.count_if(F.col("status") == "Delayed").alias("delayed"),
+        F.count_if(F.col("customer_complaint")).alias("complaints"),
+        F.sum(delay).alias("_days"), F.count(delay).alias("_known"), sum_units("total_cost_eur").alias("_spend_c"))
+
+
+def status_by_provider(shipments: DataFrame, providers: DataFrame, routes: DataFrame) -> DataFrame:
+    """``status_breakdown`` of all shipments, counted by ids before labelling."""
+    j = join_dims(_counts_by_ids(shipments, "status"), providers.select("provider_id", "provider_name"), routes.select("route_id"))
+    return j.groupBy("provider_name", "status").agg(F.sum("shipments").alias("shipments"))
+
+
+def complaints_by_provider(shipments: DataFrame, providers: DataFrame, routes: DataFrame) -> DataFrame:
+    """``complaints`` over all shipments, counted by ids before labelling."""
+    j = join_dims(_counts_by_ids(shipments), providers.select("provider_id", "provider_name"), routes.select("route_id"))
+    return j.groupBy("provider_name").agg(F.sum("complaints").alias("complaints"))
+
+
+def lane_overview(v_scorecard: DataFrame, shipments: DataFrame, v_trend: DataFrame, providers: DataFrame,
+                  routes: DataFrame) -> DataFrame:
     """One row per provider x lane combining the three facts.
 
     The facts meet only through the conformed keys (provider name, lane).
-    Each is first aggregated to that grain, so joining them cannot fan out,
-    and the full outer joins keep a pair that appears in one fact only.
+    Each is first aggregated to that grain (the shipments by ids before they
+    are labelled), so joining them cannot fan out, and the full outer joins
+    keep a pair that appears in one fact only.
     """
     card = v_scorecard.select("provider_name", "lane", "avg_cost_per_kg", "avg_on_time_pct")
-    det = v_detail.groupBy("provider_name", "lane").agg(
-        F.count(F.lit(1)).alias("shipments"),
-        F.count_if(F.col("status") == "Delayed").alias("delayed"),
-        F.count_if(F.col("customer_complaint")).alias("complaints"),
-        round_half_up(F.sum("delay_days").cast("double") / F.nullif(F.count("delay_days").cast("double"),
-                                                                     F.lit(0.0)), 2).alias("avg_delay_days"),
-        sum_units("total_cost_eur").alias("_spend_c"))
+    det = join_dims(_counts_by_ids(shipments), providers, routes).groupBy("provider_name", lane_label().alias("lane")).agg(
+        *[F.sum(c).alias(c) for c in ("shipments", "delayed", "complaints")],
+        round_half_up(F.sum("_days").cast("double") / F.nullif(F.sum("_known").cast("double"), F.lit(0.0)), 2).alias("avg_delay_days"),
+        F.sum("_spend_c").alias("_spend_c"))
     tr = v_trend.groupBy("provider_name", "lane").agg(
         F.count(F.lit(1)).alias("months"), F.min("month_year").alias("first_month"),
         F.max("month_year").alias("last_month"))
@@ -151,29 +164,45 @@ def dim_values(col: str, *facts: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, parts).distinct()
 
 
-def integrity_report(shipments: DataFrame, providers: DataFrame, routes: DataFrame,
-                     key: str = "shipment_id") -> DataFrame:
-    """Primary-key, foreign-key and NOT NULL violations as rows.
+# Keys and required columns of the core tables (fixed values of the schema).
+PRIMARY_KEYS = {"providers": ("provider_id",), "routes": ("route_id",), "quotes": ("quote_id",), "shipments": ("shipment_id",),
+                "performance_history": ("perf_id",)}
+REQUIRED = {"providers": ("provider_name",), "routes": ("origin_city", "origin_country", "dest_city", "dest_country"),
+            "shipments": ("shipment_date",)}
+REFERENCES = {"provider_id": "providers", "route_id": "routes"}
+
+
+def integrity_report(tables: dict[str, DataFrame], keys: dict[str, tuple[str, ...]] | None = None, partitions: int | None = None) -> DataFrame:
+    """Violations of the constraints of the core tables as rows (S10):
+    ``table_name, check_name, column_name, violations``.
 
-    One pass over the fact counts NULLs and orphans (the dimensions are
-    broadcast with a marker column); a second aggregation finds duplicate
-    keys.  Output: (check_name, column_name, violations).
+    ``null``: primary keys and required columns; ``duplicate``: rows beyond the
+    first of a primary key (``keys`` replaces the schema's); ``orphan``: foreign
+    keys without a row in ``providers`` or ``routes``, counted per pair of ids
+    before the join.  A NULL foreign key is allowed.  Constraints on columns
+    that a table does not have are not checked.  ``partitions``: how many the
+    shuffle of single keys is dealt to.
     """
-    p = bounded_broadcast(providers.select("provider_id", F.lit(True).alias("_p")))
-    r = bounded_broadcast(routes.select("route_id", F.lit(True).alias("_r")))
-    j = shipments.join(p, "provider_id", "left").join(r, "route_id", "left")
-    one = j.agg(
-        F.count_if(F.col(key).isNull()).alias("null:" + key),
-        F.count_if(F.col("shipment_date").isNull()).alias("null:shipment_date"),
-        F.count_if(F.col("provider_id").isNull()).alias("null:provider_id"),
-        F.count_if(F.col("route_id").isNull()).alias("null:route_id"),
-        F.count_if(F.col("provider_id").isNotNull() & F.col("_p").isNull()).alias("orphan:provider_id"),
-        F.count_if(F.col("route_id").isNotNull() & F.col("_r").isNull()).alias("orphan:route_id"))
-    rows = one.unpivot([], one.columns, "check", "violations").select(
-        F.split("check", ":")[0].alias("check_name"), F.split("check", ":")[1].alias("column_name"),
-        "violations")
-    dups = (shipments.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > 1)
-            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("violations"))
-            .select(F.lit("duplicate").alias("check_name"), F.lit(key).alias("column_name"), "violations"))
-    return rows.unionByName(dups)
+    keys = {**PRIMARY_KEYS, **(keys or {})}
+    parts = []
+    row = lambda df, t, check, c: df.select(F.lit(t).alias("table_name"), F.lit(check).alias("check_name"), F.lit(c).alias("column_name"),
+                                            F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
+    for name, df in tables.items():
+        key = [c for c in keys[name] if c in df.columns]
+        needed = [c for c in (*key, *REQUIRED.get(name, ())) if c in df.columns]
+        if needed:
+            one = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in needed]).unpivot([], needed, "column_name", "violations")
+            parts.append(one.select(F.lit(name).alias("table_name"), F.lit("null").alias("check_name"), "column_name", "violations"))
+        if key and len(key) == len(keys[name]):
+            known = df.select(*key).dropna()
+            if partitions:
+                known = known.repartition(partitions, *key)
+            dups = known.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(F.sum(F.col("n") - 1).alias("violations"))
+            parts.append(row(dups, name, "duplicate", ",".join(key)))
+        foreign = [c for c in REFERENCES if c in df.columns and REFERENCES[c] != name and REFERENCES[c] in tables]
+        if foreign:
+            counted = df.groupBy(*foreign).agg(F.count(F.lit(1)).alias("n"))
+            for c in foreign:
+                lost = counted.where(F.col(c).isNotNull()).join(tables[REFERENCES[c]].select(c), c, "left_anti")
+                parts.append(row(lost.agg(F.sum("n").alias("violations")), name, "orphan", c))
+    return reduce(DataFrame.unionByName, parts)

@@ -1,10 +1,9 @@
 """Weighted min-max scorecard (C7), DAX measure scores (C15) and weight
 sensitivity (C20).
 
-Normalising needs the minimum and maximum over all groups.  Those are
-window aggregates over the grouped rows (one row per provider), never over
-the fact rows, so the single window partition holds as many rows as there
-are providers.
+Normalising needs the minimum and maximum over all groups: a one-row
+aggregate over the grouped rows (one row per provider), attached as a scalar
+subquery.
 """
 
 from __future__ import annotations
@@ -22,7 +21,6 @@ from freightlens.functions.numeric import (
     pct_decimal,
     round_half_up,
 )
-from freightlens.plans.joins import bounded_broadcast
 
 SCORES = ("cost_score", "reliability_score", "lead_time_score")
 
@@ -59,7 +57,7 @@ def provider_metrics(history: DataFrame, providers: DataFrame) -> DataFrame:
         *mean_parts("avg_cost_per_kg", 4, "cost"),
         *mean_parts(pct_decimal("on_time_count", "total_shipments"), PCT_SCALE, "otd"),
         *mean_parts("avg_lead_time_days", 2, "lead"))
-    return (g.join(bounded_broadcast(providers.select("provider_id", "provider_name")), "provider_id")
+    return (g.join(providers.select("provider_id", "provider_name"), "provider_id")
             .select("provider_id", "provider_name",
                     mean_half_up("cost", 4).alias("avg_cost_per_kg"),
                     mean_half_up("otd", PCT_SCALE, 2).alias("avg_on_time_pct"),
@@ -73,17 +71,19 @@ def add_scores(metrics: DataFrame, cost: str, otd: str, lead: str, on_zero_range
     ``bounds`` maps each metric to (lo, hi) column names already on the
     rows; without it the bounds are the min and max over all rows.
     """
-    everything = Window.partitionBy()
-    out = metrics
-    for name, col, better in (("cost_score", cost, False), ("reliability_score", otd, True),
-                              ("lead_time_score", lead, False)):
-        if bounds:
-            lo, hi = (F.col(c) for c in bounds[col])
-            lo, hi = F.min(lo).over(everything), F.max(hi).over(everything)
-        else:
-            lo, hi = F.min(col).over(everything), F.max(col).over(everything)
-        out = out.withColumn(name, min_max_score(F.col(col), lo, hi, better, on_zero_range))
-    return out
+    specs = (("cost_score", cost, False), ("reliability_score", otd, True), ("lead_time_score", lead, False))
+    ends = [(bounds[col] if bounds else (col, col)) for _, col, _ in specs]
+    out = metrics.withColumn("_ends", _one_row(metrics, {n: e for (n, _, _), e in zip(specs, ends)}))
+    for name, col, better in specs:
+        out = out.withColumn(name, min_max_score(F.col(col), F.col(f"_ends.{name}_lo"), F.col(f"_ends.{name}_hi"), better, on_zero_range))
+    return out.drop("_ends")
+
+
+def _one_row(df: DataFrame, ends: dict[str, tuple[str, str]]) -> Column:
+    """``struct(<name>_lo, <name>_hi, ...)``: the minimum of the first and the
+    maximum of the second column of each name, as a one-row subquery."""
+    fields = [f for n, (lo, hi) in ends.items() for f in (F.min(lo).alias(f"{n}_lo"), F.max(hi).alias(f"{n}_hi"))]
+    return df.agg(F.struct(*fields)).scalar()
 
 
 # Weights are applied as integers of 10^-6 (0.40 -> 400000).
@@ -103,17 +103,15 @@ def add_exact_scores(metrics: DataFrame, specs, on_zero_range: str = "null") ->
     better).  Metrics are rounded means, i.e. integers in their units, so
     ``ROUND((hi - x) / (hi - lo) * 100, 2)`` is the integer division
     ``(20000 (hi - x) + (hi - lo)) div 2 (hi - lo)`` in units of 0.01.
-    The bounds are windows over the rows (one per provider).  Each score
-    also keeps its integer form in ``_<name>_u`` for exact weighting.
+    The bounds are a one-row aggregate.  Each score also keeps its integer form in ``_<name>_u`` for exact weighting.
     """
     if on_zero_range not in ("null", "zero"):
         raise ValueError("on_zero_range must be 'null' or 'zero'")
-    everything = Window.partitionBy()
-    out = metrics
-    for name, col, scale, better in specs:
+    out = metrics.withColumns({f"_{name}_x": _units(col, scale) for name, col, scale, _ in specs})
+    ends = _one_row(out, {f"_{name}": (f"_{name}_x", f"_{name}_x") for name, *_ in specs})
+    out = out.withColumn("_ends", ends).select("*", "_ends.*").drop("_ends")
+    for name, _, _, better in specs:
         x, lo, hi = f"_{name}_x", f"_{name}_lo", f"_{name}_hi"
-        out = (out.withColumn(x, _units(col, scale))
-               .withColumn(lo, F.min(x).over(everything)).withColumn(hi, F.max(x).over(everything)))
         num = f"({x} - {lo})" if better else f"({hi} - {x})"
         rng = f"({hi} - {lo})"
         q = F.expr(f"(20000 * CAST({num} AS DECIMAL(38,0)) + {rng}) div nullif(2 * CAST({rng} AS DECIMAL(38,0)), 0)")
@@ -154,26 +152,27 @@ def scorecard(history: DataFrame, providers: DataFrame, weights=DEFAULT_WEIGHTS,
 
 
 def measure_scores(v_scorecard: DataFrame, weights=DEFAULT_WEIGHTS, on_zero_range: str = "zero",
-                   lanes: list[str] | None = None) -> DataFrame:
+                   lanes: list[str] | None = None, with_means: bool = False) -> DataFrame:
     """DAX-style scores per provider over the view-1 rows.
 
     The provider value is the mean of its provider x lane rows (restricted
     to ``lanes`` when a slicer is given); the bounds are the min and max
     over *all* rows, ignoring the slicer (DAX ``ALL``).  Both come from one
     aggregation: per provider the mean plus its own min and max, then a
-    window takes the min of the mins and the max of the maxes.
+    one-row aggregate takes the min of the mins and the max of the maxes.
     """
-    keep = F.col("lane").isin(lanes) if lanes else F.lit(True)
+    keep = F.col("lane").isin(list(lanes)) if lanes else F.lit(True)
     aggs = []
     for col, scale in (("avg_cost_per_kg", 4), ("avg_on_time_pct", 2), ("avg_lead_time_days", 2)):
         aggs += [mean_exact(F.when(keep, F.col(col)), scale).alias(col),
                  F.min(col).alias(f"_lo_{col}"), F.max(col).alias(f"_hi_{col}")]
     g = v_scorecard.groupBy("provider_name").agg(*aggs)
-    if lanes:
-        g = g.filter(F.col("avg_cost_per_kg").isNotNull() | F.col("avg_on_time_pct").isNotNull())
     bounds = {c: (f"_lo_{c}", f"_hi_{c}") for c in ("avg_cost_per_kg", "avg_on_time_pct", "avg_lead_time_days")}
     s = add_scores(g, "avg_cost_per_kg", "avg_on_time_pct", "avg_lead_time_days", on_zero_range, bounds)
-    return s.select("provider_name", *SCORES, weighted(weights).alias("weighted_score"))
+    if lanes:  # the bounds above come from every row; providers without a chosen lane are not shown
+        s = s.filter(F.col("avg_cost_per_kg").isNotNull() | F.col("avg_on_time_pct").isNotNull())
+    means = ("avg_cost_per_kg", "avg_on_time_pct", "avg_lead_time_days") if with_means else ()
+    return s.select("provider_name", *means, *SCORES, weighted(weights).alias("weighted_score"))
 
 
 DEFAULT_GRID = (

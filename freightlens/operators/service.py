@@ -3,12 +3,12 @@ monthly trend (C6) and the monthly roll-up of shipments (C13)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.functions.labels import NO_DELAY, SLA_BREACHED, SLA_MET, lane_label, month_label
 from freightlens.functions.numeric import div_half_up, from_units, pct, pct_half_up, sum_units
-from freightlens.plans.joins import bounded_broadcast, join_dims
+from freightlens.plans.joins import join_dims
 
 DELIVERED, DELAYED, DAMAGED = "Delivered", "Delayed", "Damaged"
 
@@ -42,15 +42,15 @@ def delay_pareto(shipments: DataFrame, no_delay_label: str = NO_DELAY) -> DataFr
     """Frequency, share, cost and complaints per delay reason.
 
     Groups on the raw reason, so a NULL reason and a literal ``No Delay``
-    stay two rows.  The share divides by the total over the grouped rows:
-    a window over one row per reason, not over the shipments.
+    stay two rows.  The share divides by the total over the grouped rows, a
+    one-row aggregate that is joined back: reasons are free text, so their
+    number may grow with the data.
     """
     g = shipments.groupBy("delay_reason").agg(
         F.count(F.lit(1)).alias("frequency"),
         sum_units("total_cost_eur").alias("_cost_c"),
         F.count_if(F.col("customer_complaint")).alias("complaints"))
-    everything = Window.partitionBy()
-    return (g.withColumn("_total", F.sum("frequency").over(everything))
+    return (g.withColumn("_total", g.agg(F.sum("frequency")).scalar())
             .select(F.coalesce(F.col("delay_reason"), F.lit(no_delay_label)).alias("delay_reason"),
                     "frequency",
                     pct_half_up("frequency", "_total", 2).alias("pct_of_total"),
@@ -89,7 +89,7 @@ def roll_up_history(shipments: DataFrame, providers: DataFrame | None = None,
         from_units("_cost_c", 2, 18).alias("total_revenue_eur"))
     if providers is None:
         return h.withColumn("sla_breached", F.lit(False))
-    thr = bounded_broadcast(providers.select("provider_id", "sla_threshold"))
+    thr = providers.select("provider_id", "sla_threshold")
     return (h.join(thr, "provider_id", "left")
             .withColumn("sla_breached",
                         F.coalesce(pct("on_time_count", "total_shipments") < F.col("sla_threshold"), F.lit(False)))

@@ -1,3 +1,3 @@
-from freightlens.plans.joins import bounded_broadcast, join_dims  # noqa: F401
+from freightlens.plans.joins import join_dims  # noqa: F401
 from freightlens.plans.materialize import write_checkpoint_table  # noqa: F401
-from freightlens.plans.ranking import bucketed_rank, rank_over  # noqa: F401
+from freightlens.plans.ranking import bucketed_rank  # noqa: F401

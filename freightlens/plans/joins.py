@@ -1,35 +1,14 @@
-"""Join strategy helpers.
+"""Joins of a fact with the provider and route dimensions.
 
-Dimension tables (providers, routes, scenario lists) are broadcast only
-after their size is checked against a row bound; a larger table is left
-to the planner, which shuffles both sides (sort-merge join) and lets AQE
-split skewed partitions.  Facts are never broadcast.
+No broadcast hint and no size check of our own: Catalyst broadcasts a side
+that its statistics show to be below ``spark.sql.autoBroadcastJoinThreshold``
+bytes, adaptive execution does so for a side that turns out small at run time,
+and splits skewed partitions of a sort-merge join otherwise.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A dimension above this many rows is joined by shuffle instead of broadcast.
-DIM_BROADCAST_MAX_ROWS = 1_000_000
-
-# (application id, plan hash, bound) -> fits; a dimension is measured once
-# per application.  Inputs are treated as immutable while it runs.
-_CHECKED: dict[tuple[str, int, int], bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even
-    when the table is large, and its answer is remembered per plan.
-    """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    fits = _CHECKED.get(key)
-    if fits is None:
-        fits = _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
 
 
 def join_dims(fact: DataFrame, providers: DataFrame | None = None, routes: DataFrame | None = None,
@@ -42,7 +21,7 @@ def join_dims(fact: DataFrame, providers: DataFrame | None = None, routes: DataF
     """
     out = fact
     if providers is not None:
-        out = out.join(bounded_broadcast(providers), "provider_id", how)
+        out = out.join(providers, "provider_id", how)
     if routes is not None:
-        out = out.join(bounded_broadcast(routes), "route_id", how)
+        out = out.join(routes, "route_id", how)
     return out

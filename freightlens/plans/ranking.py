@@ -1,8 +1,7 @@
 """RANK() over partitions that may be too large for one task.
 
 ``RANK() OVER (PARTITION BY p ORDER BY v)`` sorts each partition in a
-single task.  When the largest partition is above a checked bound, the
-rank is computed without that sort:
+single task.  Here, at every size, the rank is computed without that sort:
 
 1. ``D = count(*) GROUP BY p, v`` - one row per distinct value; partial
    aggregation collapses a hot value map-side.
@@ -23,21 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this many rows in one partition the bucketed plan is used.
-MAX_ROWS_PER_RANK_TASK = 2_000_000
 BUCKETS = 64
 
-_CHECKED: dict[tuple[str, int, int], bool] = {}
-
-
-def _largest_partition_fits(df: DataFrame, partition_cols: list[str], max_rows: int) -> bool:
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        biggest = df.groupBy(*partition_cols).count().agg(F.max("count")).first()[0]
-        _CHECKED[key] = biggest is None or biggest <= max_rows
-    return _CHECKED[key]
-
-
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on same-named keys where NULL matches NULL (``<=>``)."""
     r = right.select(*[F.col(c).alias(f"_r_{c}") for c in keys],
@@ -67,13 +53,3 @@ def bucketed_rank(df: DataFrame, partition_cols: list[str], value: str, out: str
               .select(*p, value, (F.lit(1) + F.col("_off") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
                       .cast("int").alias(out)))
     return _join_null_safe(df, ranked, [*p, value])
-
-
-def rank_over(df: DataFrame, partition_cols: list[str], value: str, out: str = "rank",
-              max_rows: int = MAX_ROWS_PER_RANK_TASK) -> DataFrame:
-    """``RANK()`` as a plain window when every partition has at most
-    ``max_rows`` rows (checked once per plan), else ``bucketed_rank``."""
-    if _largest_partition_fits(df, partition_cols, max_rows):
-        w = Window.partitionBy(*partition_cols).orderBy(F.col(value).asc_nulls_first())
-        return df.withColumn(out, F.rank().over(w))
-    return bucketed_rank(df, partition_cols, value, out)

@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 
 # Shuffle bytes per byte of parquet input (decompression, wider rows).
 EXPANSION = 3.0
-# Target shuffle bytes per reduce partition, and an upper bound on the count.
+# Target shuffle bytes per reduce partition.
 TARGET_PARTITION_BYTES = 512 * 1024 * 1024
-MAX_PARTITIONS = 100_000
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
@@ -30,9 +29,8 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     return int(n or 0)
 
 
-def partitions_for(nbytes: int, expansion: float = EXPANSION, target: int = TARGET_PARTITION_BYTES,
-                   cap: int = MAX_PARTITIONS) -> int:
-    return max(1, min(cap, math.ceil(nbytes * expansion / target)))
+def partitions_for(nbytes: int, expansion: float = EXPANSION, target: int = TARGET_PARTITION_BYTES) -> int:
+    return max(1, math.ceil(nbytes * expansion / target))
 
 
 @contextmanager

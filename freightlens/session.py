@@ -9,6 +9,7 @@ the session; a local default is set only when it is missing (tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,7 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                                "(e.g. on HDFS or an object store)")
         d = os.path.join(tempfile.gettempdir(), "freightlens-checkpoints")

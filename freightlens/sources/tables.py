@@ -4,26 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DecimalType, IntegerType, LongType, StringType, StructField, StructType
 
 from freightlens.sources import schemas
 
 
 def apply_defaults(df: DataFrame, table: str) -> DataFrame:
-    """Fill the declared column defaults where the value is missing."""
-    for col, value in schemas.DEFAULTS.get(table, {}).items():
-        if col in df.columns:
-            df = df.withColumn(col, F.coalesce(F.col(col), F.lit(value)))
-    return df
+    """The table's columns in schema order; a column that ``df`` lacks gets its
+    declared default, else NULL (S9).  A stored NULL stays NULL."""
+    defaults = schemas.DEFAULTS.get(table, {})
+    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(defaults.get(f.name)).cast(f.dataType).alias(f.name)
+                       for f in schemas.TABLES[table].fields])
 
 
 def inline_rows(spark: SparkSession, table: str, rows) -> DataFrame:
     """Typed DataFrame from literal rows (S2), tuples in schema order or
-    dicts by column name; missing columns take their declared default."""
+    dicts by column name; a column that a dict omits takes its declared
+    default, an explicit None is NULL."""
     schema = schemas.TABLES[table]
-    names = [f.name for f in schema.fields]
-    data = [tuple(r.get(n) for n in names) if isinstance(r, dict) else tuple(r) for r in rows]
-    return apply_defaults(spark.createDataFrame(data, schema), table)
+    names, defaults = [f.name for f in schema.fields], schemas.DEFAULTS.get(table, {})
+    data = [tuple(r.get(n, defaults.get(n)) for n in names) if isinstance(r, dict) else tuple(r) for r in rows]
+    return spark.createDataFrame(data, schema)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -34,7 +35,8 @@ def append_rows(df: DataFrame, path: str) -> None:
 def _as_boolean(c):
     v = F.lower(F.trim(F.col(c)))
     return (F.when(v.isin("1", "true", "t", "yes"), F.lit(True))
-            .when(v.isin("0", "false", "f", "no"), F.lit(False)).alias(c))
+            .when(v.isin("0", "false", "f", "no"), F.lit(False))
+            .when(v.isNotNull(), F.raise_error(F.concat(F.lit(f"{c}: not a boolean: "), v)).cast("boolean")).alias(c))
 
 
 def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet") -> DataFrame:
@@ -42,16 +44,19 @@ def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet")
 
     In CSV, booleans may be written ``0``/``1`` (MySQL) or ``true``/``false``;
     a boolean read schema would turn the former into NULL without a word,
-    so boolean columns are read as text and converted.
+    so boolean columns are read as text and converted.  A cell that is not of
+    its column's type is an error.  Columns are found by name (the header or
+    the file's schema); absent ones take their defaults.
     """
-    schema = schemas.TABLES[table]
+    fields = {f.name: f for f in schemas.TABLES[table].fields}
     if fmt != "csv":
-        return apply_defaults(spark.read.schema(schema).format(fmt).load(path), table)
-    text = StructType([StructField(f.name, StringType() if isinstance(f.dataType, BooleanType) else f.dataType,
-                                   True) for f in schema.fields])
-    df = spark.read.option("header", True).option("nullValue", "NULL").schema(text).csv(path)
-    df = df.select(*[_as_boolean(f.name) if isinstance(f.dataType, BooleanType) else F.col(f.name)
-                     for f in schema.fields])
+        present = [c for c in spark.read.format(fmt).load(path).columns if c in fields]
+        return apply_defaults(spark.read.schema(StructType([fields[c] for c in present])).format(fmt).load(path), table)
+    header = spark.read.option("header", True).csv(path).columns
+    text = StructType([StructField(c, fields[c].dataType if c in fields and not isinstance(fields[c].dataType, BooleanType) else StringType(), True)
+                       for c in header])
+    df = spark.read.option("header", True).option("nullValue", "NULL").option("mode", "FAILFAST").schema(text).csv(path)
+    df = df.select(*[_as_boolean(c) if isinstance(fields[c].dataType, BooleanType) else F.col(c) for c in header if c in fields])
     return apply_defaults(df, table)
 
 
@@ -67,16 +72,31 @@ def read_view_csv(spark: SparkSession, path: str, view: str) -> DataFrame:
     """Read an exported view (S3): header, ``NULL`` for missing, typed.
 
     Booleans exported as ``0``/``1`` are read as int and cast, because a
-    boolean read schema would silently turn them into NULL.
+    boolean read schema would silently turn them into NULL.  Decimals keep
+    their places but not a width, as totals grow with the data.
     """
     df = (spark.read.option("header", True).option("nullValue", "NULL")
-          .option("mode", "FAILFAST").schema(schemas.VIEW_CSV[view]).csv(path))
+          .option("mode", "FAILFAST").schema(_wide(schemas.VIEW_CSV[view])).csv(path))
     for c in schemas.BOOLEAN_AS_INT.get(view, []):
         df = df.withColumn(c, F.col(c).cast("boolean"))
     return df
 
 
-def write_view_csv(df: DataFrame, path: str, crlf: bool = True) -> None:
-    """Export a view as CSV with a header and the word ``NULL`` for missing."""
+def _wide(schema: StructType) -> StructType:
+    """Integers as LONG and decimals with 38 digits."""
+    def widen(t):
+        return DecimalType(38, t.scale) if isinstance(t, DecimalType) else LongType() if isinstance(t, IntegerType) else t
+    return StructType([StructField(f.name, widen(f.dataType), True) for f in schema.fields])
+
+
+def write_view_csv(df: DataFrame, path: str, view: str | None = None, crlf: bool = True) -> None:
+    """Export a view as CSV with a header and the word ``NULL`` for missing.
+
+    Booleans are written 0/1; with ``view`` its numbers have the places of the
+    view's columns (``97.50``, not ``97.5``)."""
+    kinds = {f.name: f.dataType for f in _wide(schemas.VIEW_CSV[view]).fields} if view else {}
+    df = df.select(*[F.col(f.name).cast("int").alias(f.name) if isinstance(f.dataType, BooleanType) else
+                     F.col(f.name).cast(kinds[f.name]).alias(f.name) if isinstance(kinds.get(f.name), DecimalType) else F.col(f.name)
+                     for f in df.schema.fields])
     (df.write.mode("overwrite").option("header", True).option("nullValue", "NULL")
      .option("emptyValue", "").option("lineSep", "\r\n" if crlf else "\n").csv(path))

@@ -3,12 +3,13 @@
 Mapping (kept fixed so results stay comparable between rounds):
 
 * provider  = supplier nation (25 rows): ``provider_id = n_nationkey``,
-  ``provider_name = n_name``, ``origin_city`` = the nation's region (the
-  provider's hub), ``sla_threshold = 60 + 3 * (n_nationkey % 5)``.
-* route     = customer region (5 rows): ``route_id = r_regionkey``,
-  ``dest_city = r_name``.  The lane label is ``hub → destination``.
+  ``provider_name = n_name``, ``sla_threshold = 60 + 3 * (n_nationkey % 5)``.
+* route     = a pair of regions that occurs in the shipments, the supplier's
+  (``origin_city``) and the customer's (``dest_city``):
+  ``route_id = 1000 * origin region key + destination region key``.
 * shipment  = one lineitem: provider from its supplier, route from its
-  order's customer.  ``status`` is Delayed for return flag R, else
+  supplier and its order's customer.  A line with an unknown order, customer
+  or supplier stays, with a NULL provider or route.  ``status`` is Delayed for return flag R, else
   Delivered; ``delay_reason`` is the order priority of delayed lines;
   ``customer_complaint`` is line status O; ``weight_kg = l_quantity``,
   ``total_cost_eur = l_extendedprice``, ``promised_delivery = o_orderdate``,
@@ -32,10 +33,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.functions.numeric import round_half_up, safe_div
-from freightlens.plans.joins import bounded_broadcast
 
 # Tables read by the shipment-fact build.
-FACT_SOURCES = ("lineitem", "orders", "customer", "supplier", "part", "nation")
+FACT_SOURCES = ("lineitem", "orders", "customer", "supplier", "nation")
 
 # Weight bands of the derived rate card: upper bounds of the first two bands.
 BAND_BOUNDS = (15, 35)
@@ -46,29 +46,37 @@ def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = _read(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
-    r = _read(spark, sf_dir, "region", "r_regionkey", "r_name")
-    return (n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey)
-            .select(F.col("n_nationkey").cast("int").alias("provider_id"),
+    n = _read(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    return n.select(F.col("n_nationkey").cast("int").alias("provider_id"),
                     F.col("n_name").alias("provider_name"),
-                    F.col("r_name").alias("origin_city"),
-                    (F.lit(60) + F.lit(3) * (F.col("n_nationkey") % 5)).cast("double").alias("sla_threshold")))
+                    (F.lit(60) + F.lit(3) * (F.col("n_nationkey") % 5)).cast("double").alias("sla_threshold"))
 
 
-def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+# route_id = ROUTE_BASE * origin region key + destination region key
+ROUTE_BASE = 1000
+
+
+def routes_from_facts(facts: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The routes that occur in the shipments, with both ends."""
     r = _read(spark, sf_dir, "region", "r_regionkey", "r_name")
-    return r.select(F.col("r_regionkey").cast("int").alias("route_id"),
-                    F.col("r_name").alias("dest_city"))
+    ids = facts.where(F.col("route_id").isNotNull()).select("route_id").distinct()
+    end = lambda key, name: r.select(F.col("r_regionkey").cast("int").alias(key), F.col("r_name").alias(name))
+    return (ids.withColumn("_o", F.floor(F.col("route_id") / ROUTE_BASE).cast("int")).withColumn("_d", F.col("route_id") % ROUTE_BASE)
+            .join(end("_o", "origin_city"), "_o").join(end("_d", "dest_city"), "_d").select("route_id", "origin_city", "dest_city"))
+
+
+def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routes_from_facts(shipment_facts(spark, sf_dir), spark, sf_dir)
 
 
 def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitems with provider, route, order and part attributes attached.
+    """Every lineitem with provider, route and order attributes attached.
 
-    ``orders ⋈ customer``, ``lineitem ⋈ orders``, ``lineitem ⋈ supplier``
-    and ``lineitem ⋈ part`` are joins between tables that grow with the
-    data: the planner shuffles both sides on the key, or broadcasts a side
-    that its size estimate (or AQE, at run time) finds small.  Only the
-    25-row nation lookup is broadcast by us, behind a size check.
+    Left joins throughout: no line is lost to a missing or unknown key.
+    ``orders ⋈ customer``, ``lineitem ⋈ orders`` and ``lineitem ⋈ supplier``
+    are joins between tables that grow with the data: the planner shuffles
+    both sides on the key, or broadcasts a side that its size estimate (or
+    AQE, at run time) finds small.
     """
     li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
@@ -77,15 +85,14 @@ def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     nr = _read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
     s = _read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    p = _read(spark, sf_dir, "part", "p_partkey", "p_type")
-    order_route = (o.join(c, o.o_custkey == c.c_custkey)
-                   .join(bounded_broadcast(nr), F.col("c_nationkey") == F.col("n_nationkey"))
-                   .select("o_orderkey", "o_orderdate", "o_orderpriority",
-                           F.col("n_regionkey").cast("int").alias("route_id")))
-    return (li.join(order_route, li.l_orderkey == order_route.o_orderkey)
-            .join(s, li.l_suppkey == s.s_suppkey)
-            .join(p, li.l_partkey == p.p_partkey, "left")
-            .withColumn("provider_id", F.col("s_nationkey").cast("int")))
+    region = lambda key, name: nr.select(F.col("n_nationkey").alias(key), F.col("n_regionkey").cast("int").alias(name))
+    orders = (o.join(c, o.o_custkey == c.c_custkey, "left").join(region("c_nationkey", "_dest"), "c_nationkey", "left")
+              .select("o_orderkey", "o_orderdate", "o_orderpriority", "_dest"))
+    suppliers = s.join(region("s_nationkey", "_origin"), "s_nationkey", "left")
+    return (li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
+            .join(suppliers, li.l_suppkey == suppliers.s_suppkey, "left")
+            .withColumn("provider_id", F.col("s_nationkey").cast("int"))
+            .withColumn("route_id", F.col("_origin") * ROUTE_BASE + F.col("_dest")))
 
 
 RATE_COLUMNS = ("l_quantity", "l_extendedprice", "l_tax", "l_discount")
@@ -100,11 +107,18 @@ def shipment_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         "l_orderkey", "l_linenumber", "provider_id", "route_id",
         F.to_date("l_shipdate").alias("ship_date"), F.to_date("o_orderdate").alias("order_date"),
-        *RATE_COLUMNS, "l_returnflag", "l_linestatus", "o_orderpriority", "p_type")
+        *RATE_COLUMNS, "l_returnflag", "l_linestatus", "o_orderpriority", "l_partkey")
+
+
+def with_part_type(facts: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts with ``p_type``, for the one query that returns it."""
+    p = _read(spark, sf_dir, "part", F.col("p_partkey").alias("l_partkey"), "p_type")
+    return facts.join(p, "l_partkey", "left")
 
 
 def shipments_from_facts(facts: DataFrame) -> DataFrame:
-    """The shipments table (reference schema) derived from the facts."""
+    """The shipments table (reference schema) derived from the facts;
+    ``commodity_type`` is NULL unless the facts have ``p_type``."""
     delayed = F.col("l_returnflag") == "R"
     return facts.select(
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("shipment_id"),
@@ -113,7 +127,7 @@ def shipments_from_facts(facts: DataFrame) -> DataFrame:
         F.col("ship_date").alias("shipment_date"),
         F.col("l_quantity").cast("decimal(10,2)").alias("weight_kg"),
         F.lit(None).cast("decimal(8,3)").alias("volume_cbm"),
-        F.col("p_type").alias("commodity_type"),
+        (F.col("p_type") if "p_type" in facts.columns else F.lit(None).cast("string")).alias("commodity_type"),
         F.col("order_date").alias("promised_delivery"),
         F.col("ship_date").alias("actual_delivery"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(12,2)").alias("freight_cost_eur"),

@@ -75,3 +75,20 @@ def test_div_half_up_is_exact_on_decimal_ties(spark):
                                "c decimal(10,2), w decimal(10,2)")
     got = [r[0] for r in df.select(div_half_up("c", "w", 4)).collect()]
     assert got == [0.3088, 0.351, -0.3088, None]   # 12.35 / 40 = 0.30875 exactly
+
+
+def test_large_groups_do_not_overflow(spark):
+    """600 shipments of 9.9e9 in one group: exact sums and quotients."""
+    from freightlens.functions.numeric import div_half_up, from_units, sum_units
+
+    df = spark.createDataFrame([(Decimal("9900000000.01"), Decimal("3.00"))] * 600, "cost decimal(12,2), kg decimal(10,2)")
+    r = df.agg(sum_units("cost").alias("c"), sum_units("kg").alias("k")).select(
+        from_units("c").alias("total"), div_half_up("c", "k", 4, scale=0).alias("per_kg")).first()
+    assert r.total == Decimal("5940000000006.00") and r.per_kg == 3300000000.0033
+
+
+def test_dax_divide_treats_a_blank_divisor_as_zero(spark):
+    from freightlens.functions.numeric import dax_divide
+
+    df = spark.createDataFrame([(1.0, None), (1.0, 0.0), (1.0, 4.0)], "a double, b double")
+    assert [r.x for r in df.select(dax_divide("a", "b", 7.0).alias("x")).collect()] == [7.0, 7.0, 0.25]

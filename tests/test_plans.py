@@ -7,7 +7,6 @@ import tempfile
 from conftest import D, d, make
 
 from freightlens.operators import on_time_rate, v_detail
-from freightlens.plans.joins import bounded_broadcast
 
 
 def _plan(df):
@@ -23,14 +22,24 @@ def _parquet_shipments(spark):
     return spark.read.parquet(path)
 
 
-def test_bounded_broadcast_checks_the_size(spark, providers):
-    assert bounded_broadcast(providers, 10) is not providers
-    assert bounded_broadcast(providers, 2) is providers
+def test_building_an_operator_runs_no_job(spark, providers, routes):
+    """Every operator is lazy: nothing runs before an action."""
+    from freightlens.operators import quote_spread, volume_scenarios
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-check", "building only")
+    s = make(spark, "shipments", [])
+    q = make(spark, "quotes", [])
+    on_time_rate(s, providers, routes), v_detail(s, providers, routes), quote_spread(q, providers, routes), volume_scenarios(q, providers, routes)
+    assert not tracker.getJobIdsForGroup("lazy-check")
 
 
 def test_v_detail_is_map_only(spark, providers, routes):
     s = _parquet_shipments(spark)
-    p = _plan(v_detail(s, providers, routes))
+    base = tempfile.mkdtemp(prefix="fl-dims-")
+    for name, df in (("p", providers), ("r", routes)):
+        df.write.parquet(os.path.join(base, name))  # stored dimensions: the planner knows their size
+    p = _plan(v_detail(s, spark.read.parquet(f"{base}/p"), spark.read.parquet(f"{base}/r")))
     assert "BroadcastHashJoin" in p
     assert "Exchange hashpartitioning" not in p and "SortMergeJoin" not in p
 

@@ -1,6 +1,6 @@
 import random
 
-from freightlens.plans.ranking import bucketed_rank, rank_over
+from freightlens.plans.ranking import bucketed_rank
 
 
 def _plain(rows):
@@ -23,11 +23,3 @@ def test_bucketed_rank_is_exact_with_a_hot_partition_ties_and_nulls(spark):
     got = {(r.k, r.v): r.rank for r in bucketed_rank(df, ["k"], "v", buckets=16).collect()}
     assert got == _plain(rows)
     assert bucketed_rank(df, ["k"], "v", buckets=16).count() == len(rows)
-
-
-def test_rank_over_picks_the_plain_window_below_the_bound(spark):
-    df = spark.createDataFrame([("x", 2.0), ("x", 1.0), ("x", 2.0), ("y", 3.0)], "k string, v double")
-    small = rank_over(df, ["k"], "v", max_rows=10)
-    big = rank_over(df, ["k"], "v", max_rows=1)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect())) == \
-        [("x", 1.0, 1), ("x", 2.0, 2), ("x", 2.0, 2), ("y", 3.0, 1)]

@@ -1,6 +1,6 @@
 from conftest import D, make, rows
 
-from freightlens.operators import landed_rate, quote_spread, volume_scenarios
+from freightlens.operators import landed_rate, quote_spread, ranked_quotes, volume_scenarios
 
 
 def _quotes(spark):
@@ -64,18 +64,14 @@ def test_volume_scenario_below_every_minimum_gives_no_rows(spark, providers, rou
     assert out.count() == 0
 
 
-def test_volume_scenarios_bucketed_rank_equals_window(spark, providers, routes, monkeypatch):
-    import freightlens.plans.ranking as rk
-
-    sc = ((500, "500kg"), (2000, "2000kg"), (2500, "2500kg"))
-    args = dict(scenarios=sc, boundary=2000, band_at_or_below="500-2000", band_above="2000+")
-    plain = sorted(map(tuple, volume_scenarios(_quotes(spark), providers, routes, **args).collect()))
-    monkeypatch.setattr(rk, "MAX_ROWS_PER_RANK_TASK", 0)
-    monkeypatch.setattr(rk, "_CHECKED", {})
-    import freightlens.operators.rates as rates
-    monkeypatch.setattr(rates, "rank_over", lambda df, p, v, out: rk.rank_over(df, p, v, out, max_rows=0))
-    split = sorted(map(tuple, volume_scenarios(_quotes(spark), providers, routes, **args).collect()))
-    assert plain == split
+def test_ranked_quotes_are_the_list_as_rows(spark, providers, routes):
+    ranks = {}
+    for r in ranked_quotes(_quotes(spark), providers, routes).collect():
+        ranks.setdefault((r.lane, r.weight_band_kg), []).append((r.rate_rank, r.base_rate_eur_per_kg, r.provider_name))
+    for r in quote_spread(_quotes(spark), providers, routes).collect():
+        own = sorted(ranks[r.lane, r.weight_band_kg])
+        assert [x.split(": €")[0] for x in r.provider_rates.split(" | ")] == [p for _, _, p in sorted(own, key=lambda x: (x[1], x[2]))]
+        assert own[0][0] == 1 and own[0][1] == min(x[1] for x in own)
 
 
 def test_volume_scenarios_reference_defaults(spark, providers, routes):

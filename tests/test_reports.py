@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from conftest import D, d, make, rows
 
 from freightlens.operators import (
@@ -27,11 +29,15 @@ def _ship(spark):
 
 
 def test_integrity_report(spark, providers, routes):
-    got = {(r.check_name, r.column_name): r.violations for r in
-           integrity_report(_ship(spark), providers, routes).collect()}
-    assert got == {("null", "shipment_id"): 0, ("null", "shipment_date"): 0, ("null", "provider_id"): 0,
-                   ("null", "route_id"): 1, ("orphan", "provider_id"): 1, ("orphan", "route_id"): 0,
-                   ("duplicate", "shipment_id"): 1}
+    quotes = make(spark, "quotes", [{"quote_id": None, "provider_id": 7, "route_id": None}, {"quote_id": 1, "provider_id": 1, "route_id": 8}])
+    tables = {"providers": providers.unionByName(providers.limit(1)), "routes": routes.withColumn("dest_country", F.lit(None).cast("string")),
+              "quotes": quotes, "shipments": _ship(spark), "performance_history": make(spark, "performance_history", [])}
+    got = {(r.table_name, r.check_name, r.column_name): r.violations for r in integrity_report(tables, partitions=3).collect()}
+    broken = {k: n for k, n in got.items() if n}
+    assert broken == {("providers", "duplicate", "provider_id"): 1, ("routes", "null", "dest_country"): 2, ("quotes", "null", "quote_id"): 1,
+                      ("quotes", "orphan", "provider_id"): 1, ("quotes", "orphan", "route_id"): 1,
+                      ("shipments", "orphan", "provider_id"): 1, ("shipments", "duplicate", "shipment_id"): 1}
+    assert ("shipments", "null", "route_id") not in got and len(got) == 5 + 5 + 2 + 4 + 6
 
 
 def test_drill_through_status_and_complaints(spark, providers, routes):
@@ -100,13 +106,17 @@ def test_lane_overview_keeps_pairs_from_any_fact(spark):
 
     card = spark.createDataFrame([("A", "L1", 0.3, 90.0)], "provider_name string, lane string, "
                                  "avg_cost_per_kg double, avg_on_time_pct double")
-    det = spark.createDataFrame([("A", "L1", "Delayed", True, 2, 10.0), ("A", "L1", "Delivered", False, 1, 5.0),
-                                 ("B", "L2", "Delivered", None, None, 1.0)],
-                                "provider_name string, lane string, status string, customer_complaint boolean, "
-                                "delay_days int, total_cost_eur double")
-    tr = spark.createDataFrame([("A", "L1", dt.date(2024, 1, 1)), ("A", "L1", dt.date(2024, 2, 1))],
+    card = card.withColumn("lane", F.lit("X → Y"))
+    p = spark.createDataFrame([(1, "A"), (2, "B")], "provider_id int, provider_name string")
+    r = spark.createDataFrame([(1, "X", "Y"), (2, "X", "Z")], "route_id int, origin_city string, dest_city string")
+    due = dt.date(2024, 1, 1)
+    ships = spark.createDataFrame([(1, 1, "Delayed", True, due, dt.date(2024, 1, 3), 10.0), (1, 1, "Delivered", False, due, dt.date(2024, 1, 2), 5.0),
+                                   (2, 2, "Delivered", None, due, None, 1.0)],
+                                  "provider_id int, route_id int, status string, customer_complaint boolean, promised_delivery date, "
+                                  "actual_delivery date, total_cost_eur double")
+    tr = spark.createDataFrame([("A", "X → Y", dt.date(2024, 1, 1)), ("A", "X → Y", dt.date(2024, 2, 1))],
                                "provider_name string, lane string, month_year date")
-    got = {r.provider_name: r for r in lane_overview(card, det, tr).collect()}
+    got = {r.provider_name: r for r in lane_overview(card, ships, tr, p, r).collect()}
     a, b = got["A"], got["B"]
     assert (a.shipments, a.delayed, a.complaints, a.avg_delay_days, a.spend_eur, a.months) == (2, 1, 1, 1.5, 15.0, 2)
     assert (b.avg_cost_per_kg, b.shipments, b.avg_delay_days, b.months) == (None, 1, None, None)

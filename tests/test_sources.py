@@ -2,6 +2,8 @@ import os
 import tempfile
 from decimal import Decimal
 
+import pytest
+
 from conftest import D, d, make
 
 from freightlens.sources import apply_defaults, read_table, read_view_csv, write_view_csv
@@ -31,12 +33,13 @@ def test_csv_round_trip_null_token_crlf_and_boolean_ints(spark):
 
 def test_defaults_and_typed_table_round_trip(spark):
     df = make(spark, "shipments", [{"shipment_id": 1, "shipment_date": d("2024-01-01"), "customer_complaint": None}])
-    assert apply_defaults(df, "shipments").first().customer_complaint is False
+    assert apply_defaults(df, "shipments").first().customer_complaint is None  # a stored NULL stays
+    assert apply_defaults(df.drop("customer_complaint"), "shipments").first().customer_complaint is False
     path = os.path.join(tempfile.mkdtemp(prefix="fl-tab-"), "shipments")
     write_table(df, path)
     write_table(df, path)  # idempotent rebuild
     back = read_table(spark, path, "shipments")
-    assert back.count() == 1 and back.first().customer_complaint is False
+    assert back.count() == 1 and back.first().customer_complaint is None
     assert dict(back.dtypes)["weight_kg"] == "decimal(10,2)"
 
 
@@ -63,6 +66,24 @@ def test_core_table_csv_with_zero_one_booleans(spark):
         f.write("2,1,1,2024-01-03,100.00,NULL,NULL,2024-01-04,2024-01-06,30.00,2.00,32.00,Delayed,Customs,1\r\n")
         f.write("3,1,1,2024-01-03,100.00,NULL,NULL,2024-01-04,2024-01-04,30.00,2.00,32.00,Delivered,NULL,NULL\r\n")
     got = {r.shipment_id: r for r in read_table(spark, path, "shipments", "csv").collect()}
-    assert [got[i].customer_complaint for i in (1, 2, 3)] == [False, True, False]
+    assert [got[i].customer_complaint for i in (1, 2, 3)] == [False, True, None]
     assert got[2].delay_reason == "Customs" and got[1].delay_reason is None
     assert got[1].total_cost_eur == D("193.05") and got[1].shipment_date == d("2024-01-02")
+
+
+def test_absent_columns_take_their_default_and_bad_cells_are_errors(spark):
+    base = tempfile.mkdtemp(prefix="fl-bad-csv-")
+
+    def read(name, text):
+        with open(os.path.join(base, name), "w", newline="") as f:
+            f.write(text)
+        return read_table(spark, os.path.join(base, name), "shipments", "csv")
+
+    ok = read("a.csv", "shipment_id,shipment_date,total_cost_eur\n1,2024-01-02,5.00\n").first()
+    assert ok.customer_complaint is False and ok.status is None and ok.total_cost_eur == D("5.00")
+    for bad in ("1,2024-01-02,abc,1\n", "1,2024-01-02,5.00,maybe\n"):
+        with pytest.raises(Exception):
+            read("b.csv", "shipment_id,shipment_date,total_cost_eur,customer_complaint\n" + bad).collect()
+    path = os.path.join(base, "narrow")
+    make(spark, "providers", [{"provider_id": 1, "provider_name": "Alpha"}]).select("provider_id", "provider_name").write.parquet(path)
+    assert read_table(spark, path, "providers").first().eu_presence is True
