@@ -1,10 +1,10 @@
 """Toxic passages by maximum-scoring segments over token log-odds.
 
-1. Document frequencies of every token over all documents, and among labelled
-   toxic and clean ones, are counted on Spark.  Log-odds of toxic against
-   clean with an informative Dirichlet prior (the whole corpus) give a z-value
-   per token; tokens of high z score their log-odds, all others a small
-   negative drift.
+1. Document frequencies of every token among the labelled toxic and clean
+   texts, and of the candidates over all documents, are counted on Spark.
+   Log-odds of toxic against clean with an informative Dirichlet prior (the
+   whole corpus) give a z-value per token; tokens of high z score their
+   log-odds, all others a small negative drift.
 2. All maximal scoring segments (Ruzzo and Tompa, linear time) of each text.
 3. Extreme-value statistics: a segment of score S has E = K n exp(-lambda S)
    chance equals in a text of n words, with lambda from the corpus' token
@@ -81,26 +81,49 @@ class Model:
     slope: float = 0.0
 
 
-def document_frequencies(docs: DataFrame) -> DataFrame:
-    """``token, n_all, n_toxic, n_clean`` over ``docs(text, toxic)``: documents
-    that hold the token, counted per batch before the shuffle."""
+def sample_frequencies(sample: DataFrame) -> DataFrame:
+    """``token, n_toxic, n_clean`` over the labelled texts ``sample(text, toxic)``:
+    documents that hold the token, counted per batch before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             words = tokens(b.column("text"))
-            v = max(1, len(words.distinct))
-            rows = np.unique(words.rows() * v + words.codes)
-            row, code = rows // v, rows % v
-            toxic = pc.fill_null(b.column("toxic"), -1).to_numpy(zero_copy_only=False)[row]
-            n = np.bincount(code, minlength=v)
-            seen = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays(
-                [words.distinct.take(pa.array(seen))] + [pa.array(x[seen], pa.int64()) for x in (
-                    n, np.bincount(code[toxic == 1], minlength=v), np.bincount(code[toxic == 0], minlength=v))],
-                names=["token", "n_all", "n_toxic", "n_clean"])
+            row, code = _holders(words)
+            toxic = b.column("toxic").to_numpy(zero_copy_only=False)[row]
+            n = [np.bincount(code[toxic == k], minlength=len(words.distinct)) for k in (1, 0)]
+            seen = (n[0] + n[1]) > 0
+            yield pa.RecordBatch.from_arrays([words.distinct.filter(pa.array(seen)), *[pa.array(x[seen], pa.int64()) for x in n]],
+                                             names=["token", "n_toxic", "n_clean"])
 
-    counts = docs.select("text", "toxic").mapInArrow(count, "token string, n_all long, n_toxic long, n_clean long")
-    return counts.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_clean")])
+    counts = sample.select("text", "toxic").mapInArrow(count, "token string, n_toxic long, n_clean long")
+    return counts.groupBy("token").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
+
+
+def corpus_frequencies(docs: DataFrame, candidates: list[str]) -> tuple[dict[str, int], int]:
+    """Documents of the whole corpus that hold each candidate, and the number of
+    (document, token) pairs at all."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array(candidates, pa.string())
+        total, n = 0, np.zeros(len(candidates), dtype=np.int64)
+        for b in slices(batches, "text"):
+            words = tokens(b.column("text"))
+            _, code = _holders(words)
+            which = pc.fill_null(pc.index_in(words.distinct, names), -1).to_numpy(zero_copy_only=False)[code]
+            n += np.bincount(which[which >= 0], minlength=len(candidates))
+            total += len(code)
+        seen = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *seen], pa.int64()), pa.array([total, *n[seen]], pa.int64())], names=["i", "n"])
+
+    rows = docs.select("text").mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
+    return {candidates[r.i]: r.n for r in rows if r.i >= 0}, sum(r.n for r in rows if r.i < 0)
+
+
+def _holders(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text, token) pairs."""
+    v = max(1, len(words.distinct))
+    pair = np.unique(words.rows() * v + words.codes)
+    return pair // v, pair % v
 
 
 def segment_column(text: Column, lexicon: dict[str, float]) -> Column:
@@ -119,7 +142,7 @@ def segment_column(text: Column, lexicon: dict[str, float]) -> Column:
                 row = np.searchsorted(words.offsets, hits, side="right") - 1
                 found: list[list[dict]] = [[] for _ in range(len(words))]
                 for r in np.unique(row):
-                    places = hits[row == r] if len(hits) < 64 else hits[np.searchsorted(row, r):np.searchsorted(row, r, side="right")]
+                    places = hits[np.searchsorted(row, r):np.searchsorted(row, r, side="right")]
                     at = places - words.offsets[r]
                     scores, gaps = values[which[words.codes[places]]], np.diff(at) - 1
                     line = np.empty(2 * len(at) - 1)
@@ -139,20 +162,19 @@ def evidence(found: Column, model: Model) -> Column:
         F.lit(0.0), F.lit(model.decay) * s["score"] - F.log(F.lit(model.k)) - F.log(found["n_words"].cast("double"))))
 
 
-def _lexicon(freq: DataFrame, n_toxic: int, n_clean: int, n_all: int) -> tuple[dict[str, float], float]:
+def _lexicon(counts: list[tuple[str, int, int]], n_all: dict[str, int], n_toxic: int, n_clean: int, n_docs: int,
+             pairs: int) -> tuple[dict[str, float], float]:
     """Scores of the tokens of the lexicon, and lambda."""
-    nt, nc, na = (float(max(1, x)) for x in (n_toxic, n_clean, n_all))
-    prior = nt + nc  # the prior weighs as much as the labelled sample
-    alpha = F.lit(prior / na) * F.col("n_all")
-    # the odds that a document of a class holds the token, with the prior's documents added
-    odds = lambda y, n: F.log((F.col(y) + alpha * (n / prior)) / (2 * n - F.col(y) - alpha * (n / prior) + 0.5))
-    score = odds("n_toxic", nt) - odds("n_clean", nc)
-    error = F.sqrt(1 / (F.col("n_toxic") + alpha * (nt / prior)) + 1 / (F.col("n_clean") + alpha * (nc / prior)))
-    kept = (freq.where(F.col("n_toxic") >= MIN_DOCS).withColumn("score", score).withColumn("z", F.col("score") / error)
-            .where((F.col("z") >= MIN_Z) & (F.col("score") >= MIN_SCORE)).select("token", "score", "n_all").collect())
-    lexicon = {r.token: r.score for r in kept}
-    total = freq.agg(F.sum("n_all")).first()[0] or 1
-    parts = [(r.n_all / total, r.score) for r in kept]
+    nt, nc = float(n_toxic), float(n_clean)
+    lexicon, parts = {}, []
+    for token, toxic, clean in counts:
+        share = n_all[token] / n_docs  # the prior: as many documents as the sample has, distributed as the corpus
+        at, ac = share * nt, share * nc
+        odds = lambda y, a, n: math.log((y + a) / (2 * n - y - a + 0.5))
+        value = odds(toxic, at, nt) - odds(clean, ac, nc)
+        if value >= MIN_SCORE and value / math.sqrt(1 / (toxic + at) + 1 / (clean + ac)) >= MIN_Z:
+            lexicon[token] = value
+            parts.append((n_all[token] / max(1, pairs), value))
     rest = 1.0 - sum(p for p, _ in parts)
     # lambda: the positive root of sum p exp(lambda s) = 1
     lo, hi = 1e-6, 50.0
@@ -198,14 +220,17 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
         return Model()
     sample = F.broadcast(sample)  # at most about ``train_rows`` ids
     docs = docs.select("doc_id", "text")
-    freq = document_frequencies(docs.join(sample, "doc_id", "left")).persist()
-    lexicon, decay = _lexicon(freq, counts[1], counts[0], docs.count())
-    freq.unpersist()
+    labelled = docs.join(sample, "doc_id")
+    found = sample_frequencies(labelled).where(F.col("n_toxic") >= MIN_DOCS)
+    found = found.where(F.col("n_toxic") * counts[0] > 2 * F.col("n_clean") * counts[1])  # others can't reach MIN_SCORE
+    known = [tuple(r) for r in found.orderBy("token").collect()]
+    n_all, pairs = corpus_frequencies(docs, [t for t, _, _ in known])
+    lexicon, decay = _lexicon(known, n_all, counts[1], counts[0], docs.count(), pairs)
     model = Model(lexicon, decay)
     if not lexicon:
         return model
     # K: clean words see K exp(-lambda s) segments of score s or more per word
-    found = (docs.join(sample, "doc_id").select("toxic", segment_column(F.col("text"), lexicon).alias("f")).persist())
+    found = labelled.select("toxic", segment_column(F.col("text"), lexicon).alias("f")).persist()
     least = min(lexicon.values())
     clean = found.where("toxic = 0").agg(F.sum("f.n_words"), F.sum(F.size(F.filter("f.segments", lambda s: s["score"] >= least)))).first()
     model.k = max(1e-9, ((clean[1] or 0) + 0.5) * math.exp(decay * least) / max(1, clean[0] or 0))
