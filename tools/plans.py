@@ -1,6 +1,6 @@
 """Write PLANS.md: physical plans of the fact build and of representative
 queries, with the planner's automatic broadcast turned off so that the
-joins appear as they would on large tables (only the size-checked
+joins appear as they would on large tables (only the argument-sized
 dimension broadcasts remain).
 
 Usage: python tools/plans.py [sf_dir] > PLANS.md
@@ -19,24 +19,26 @@ from freightlens.session import get_session  # noqa: E402
 from freightlens.sources import testdata as td  # noqa: E402
 
 NOTES = {
-    "build": "Three sort-merge joins move lineitem rows (on order key, supplier key, part key) and one more joins "
-             "orders to customers; the 25-row nation lookup is the only broadcast. This runs once per "
-             "application, with shuffle partitions sized from the input, and is written to the checkpoint folder.",
+    "build": "Left joins of lineitem with orders (with their customer's region) and suppliers (with theirs): "
+             "sort-merge joins on the order and supplier key. This runs once per application, with shuffle "
+             "partitions sized from the input, and is written to the checkpoint folder.",
     "on_time": "Partial count per (provider, route) before the first exchange, so a hot provider leaves one row per "
-               "task; labels come from two broadcast dimensions; the second aggregation merges equal labels over "
-               "a few hundred rows.",
-    "delay_pareto": "One partial aggregation over the fact; the share of total is a window over the aggregated "
-                    "rows (one per reason), the only single-partition step.",
+               "task; labels are joined to these few rows, and equal labels are merged.",
+    "delay_pareto": "One partial aggregation over the fact; the total is a one-row scalar subquery over the same "
+                    "aggregation.",
     "sla_alerts": "WindowGroupLimit keeps the 3 latest months per pair on the map side before the exchange; the "
                   "average reuses the window's partitioning (no second exchange).",
-    "volume_scenarios": "The range join is a broadcast hash join on the band with the `>=` as a join condition; "
-                        "the rank partitions by scenario x route (bucketed exact rank above 2M rows per partition).",
-    "quote_spread": "The ordered provider list is built per lane x band, bounded by the providers of the lane.",
-    "v_detail": "Map-only: the fact scan joins two broadcast dimensions; no exchange.",
-    "scorecard": "Means per provider from the history, then windows over one row per provider.",
-    "lane_overview": "Each fact is aggregated to provider x lane before the facts are joined, so no join fans out.",
-    "integrity": "Nulls and orphans in one pass (broadcast dimensions with a marker column); duplicate keys by a "
-                 "partial count per key.",
+    "volume_scenarios": "The range join is an equi-join on the band with the `>=` as a join condition; the rank is "
+                        "the bucketed exact rank, which sorts no scenario x route in one task.",
+    "quote_spread": "The ordered provider list is built per lane x band; `ranked_quotes` gives it as rows.",
+    "v_detail": "No aggregation; with automatic broadcast off the dimensions and `part` are shuffled joins, "
+                "otherwise the dimensions are broadcast by their size.",
+    "scorecard": "Means per provider from the history; the bounds are a one-row scalar subquery, the rank a window "
+                 "over one row per provider.",
+    "lane_overview": "Each fact is aggregated to provider x lane (the shipments by ids first) before the facts are "
+                     "joined, so no join fans out.",
+    "integrity": "Nulls in one pass per table; orphans from counts per pair of ids; duplicate keys by a count per "
+                 "key over partitions sized from the input.",
 }
 SHOW = [k for k in NOTES if k != "build"]
 
@@ -59,8 +61,8 @@ def main() -> None:
           "split skewed ones or turn a join into a broadcast once it measures the data), generated by "
           "`tools/plans.py`. "
           "The planner's automatic broadcast is off, so joins between tables that grow with the data are "
-          "shown as they run on large inputs. Broadcasts that remain are the dimensions passed through "
-          "`plans.joins.bounded_broadcast` (row count checked) and the argument-sized scenario list.\n")
+          "shown as they run on large inputs. The broadcast that remains is the argument-sized "
+          "scenario list.\n")
     print("## Shipment fact build (once per application)\n")
     print(NOTES["build"] + "\n")
     print("```\n" + tree(td.shipment_facts(spark, sf_dir)) + "\n```\n")
