@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.session import ensure_checkpoint_dir
+from freightlens.plans.materialize import app_folder, remove_folder
 
 U64 = np.uint64
 # The finaliser constants of MurmurHash3 (public domain) and an odd multiplier.
@@ -30,13 +30,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
 class Scratch:
     """Tables written under ``spark.checkpoint.dir`` to cut lineage.
 
-    The files outlive lost executors.  ``write`` returns the table read back;
+    The files outlive lost executors and go when the application ends.  ``write`` returns the table read back;
     ``drop`` removes tables that no later step reads.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/freightlens-llm/{name}-{uuid.uuid4().hex}"
+        self.base = f"{app_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -46,10 +46,8 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for n in names:
-            p = jvm.org.apache.hadoop.fs.Path(self.path(n))
-            p.getFileSystem(conf).delete(p, True)
+            remove_folder(self.spark, self.path(n))
 
 
 def ascii_lower(c: Column) -> Column:

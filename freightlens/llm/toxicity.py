@@ -8,9 +8,9 @@
 2. All maximal scoring segments (Ruzzo and Tompa, linear time) of each text.
 3. Extreme-value statistics: a segment of score S has E = K n exp(-lambda S)
    chance equals in a text of n words, with lambda from the corpus' token
-   distribution and K from clean documents.  A text's evidence is the sum of
-   -ln E over its significant segments (E < 1); a logistic curve fitted on the labelled
-   texts turns it into a probability.
+   distribution and K from clean documents.  A text's evidence is the sum
+   of -ln E over its significant segments (E < 1), on a log scale; a logistic
+   curve fitted on the labelled texts turns it into a probability.
 
 The labelled sample is bounded by ``TRAIN_ROWS`` (chosen by hash), which bounds
 the model: its ids and the lexicon are the only things sent to all tasks.
@@ -157,9 +157,9 @@ def segment_column(text: Column, lexicon: dict[str, float]) -> Column:
 
 
 def evidence(found: Column, model: Model) -> Column:
-    """Sum of -ln E over the segments with E < 1."""
-    return F.aggregate(found["segments"], F.lit(0.0), lambda acc, s: acc + F.greatest(
-        F.lit(0.0), F.lit(model.decay) * s["score"] - F.log(F.lit(model.k)) - F.log(found["n_words"].cast("double"))))
+    """ln(1 + x), x the sum of -ln E over the segments with E < 1."""
+    return F.log1p(F.aggregate(found["segments"], F.lit(0.0), lambda acc, s: acc + F.greatest(
+        F.lit(0.0), F.lit(model.decay) * s["score"] - F.log(F.lit(model.k)) - F.log(found["n_words"].cast("double")))))
 
 
 def _lexicon(counts: list[tuple[str, int, int]], n_all: dict[str, int], n_toxic: int, n_clean: int, n_docs: int,
@@ -234,16 +234,15 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     least = min(lexicon.values())
     clean = found.where("toxic = 0").agg(F.sum("f.n_words"), F.sum(F.size(F.filter("f.segments", lambda s: s["score"] >= least)))).first()
     model.k = max(1e-9, ((clean[1] or 0) + 0.5) * math.exp(decay * least) / max(1, clean[0] or 0))
-    groups = (found.select("toxic", F.round(evidence(F.col("f"), model), 1).alias("x"))
+    groups = (found.select("toxic", F.round(evidence(F.col("f"), model), 2).alias("x"))
               .groupBy("x").agg(F.sum(F.lit(1) - F.col("toxic")), F.sum("toxic")).collect())
     found.unpersist()
-    model.intercept, model.slope = _logistic([(min(r[0], 200.0), r[1], r[2]) for r in groups])
+    model.intercept, model.slope = _logistic([tuple(r) for r in groups])
     return model
 
 
 def probability(found: Column, model: Model) -> Column:
-    x = F.least(evidence(found, model), F.lit(200.0))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * x)))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * evidence(found, model))))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
