@@ -66,14 +66,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
+def utf8_parts(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets from 0 and the bytes of just these texts (a slice shares the
+    buffer of its whole batch)."""
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1] if offsets else np.zeros(1, dtype=np.int32)
+    return at - at[0], np.frombuffer(data or b"", dtype=np.uint8)[at[0]:at[-1]]
+
+
+def from_parts(offsets: np.ndarray, data: np.ndarray) -> pa.StringArray:
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data))
+
+
 def lower_ascii(texts: pa.StringArray) -> pa.StringArray:
-    """A-Z to a-z on the bytes of an Arrow string array (UTF-8 stays valid)."""
-    validity, offsets, data = texts.buffers()
-    if data is None:
-        return texts
-    b = np.frombuffer(data, dtype=np.uint8).copy()
-    b[(b >= 65) & (b <= 90)] += 32
-    return pa.StringArray.from_buffers(len(texts), offsets, pa.py_buffer(b), validity, texts.null_count, texts.offset)
+    """A-Z to a-z on the bytes of an Arrow string array without nulls (UTF-8 stays valid)."""
+    offsets, data = utf8_parts(texts)
+    return from_parts(offsets, data + ((data >= 65) & (data <= 90)).view(np.uint8) * np.uint8(32))
 
 
 class Words:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import Scratch, Words, mix, slices, STEP, U64
+from freightlens.llm.common import STEP, U64, Scratch, Words, mix, slices, utf8_parts
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -93,9 +93,8 @@ def measure_column(text: Column) -> Column:
                 words = Words(texts, lower=False)
                 length = pc.utf8_length(words.distinct).to_numpy(zero_copy_only=False)
                 chars = np.concatenate(([0], np.cumsum(length[words.codes]))) if len(length) else np.zeros(1, dtype=np.int64)
-                _, offsets, data = texts.buffers()
-                at = np.frombuffer(offsets, dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
-                marks = np.concatenate(([0], np.cumsum(symbol[np.frombuffer(data or b"", dtype=np.uint8)])))
+                at, data = utf8_parts(texts)
+                marks = np.concatenate(([0], np.cumsum(symbol[data], dtype=np.int32)))
                 lines, dups = _lines(texts)
                 row = words.rows()
                 echo = row[1:][(words.codes[1:] == words.codes[:-1]) & (row[1:] == row[:-1])]

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import Words, slices
+from freightlens.llm.common import Words, from_parts, slices, utf8_parts
 
 TRAIN_ROWS = 200_000
 MIN_DOCS = 4  # toxic documents that hold a token of the lexicon
@@ -44,12 +44,8 @@ _PLAIN[[i for i in range(128) if not chr(i).isalnum() and i != 39]] = 32
 
 def tokens(texts: pa.Array) -> Words:
     """Lower-case words without ASCII punctuation."""
-    texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.string()), ""))
-    validity, offsets, data = texts.buffers()
-    if data is not None:
-        data = pa.py_buffer(_PLAIN[np.frombuffer(data, dtype=np.uint8)])
-        texts = pa.StringArray.from_buffers(len(texts), offsets, data, validity, texts.null_count, texts.offset)
-    return Words(texts, lower=False)
+    offsets, data = utf8_parts(pc.utf8_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    return Words(from_parts(offsets, _PLAIN[data]), lower=False)
 
 
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
