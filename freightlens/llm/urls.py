@@ -33,6 +33,10 @@ LONGEST = 24
 # Weight of the allowed class in the blocked one, in sizes of the examples, and
 # the log odds of a page without words.
 SMOOTHING = 20.0
+# Words added to those of the pages; an example word has one in 10,000 of them.
+PSEUDO_WORDS = 100_000
+# An example word that the pages hardly use counts as this common.
+RARE = 1e-4
 PRIOR = -1.8
 
 # Examples of names of unwanted sites, by topic.  One doubtful
@@ -127,7 +131,9 @@ def words_of(host: str, path: str, split) -> list[str]:
 
 
 def count_words(pages: DataFrame) -> DataFrame:
-    """``word, n`` over all URLs and page texts without markup, letters only, up to ``LONGEST``."""
+    """``word, n`` over all paths and page texts without markup, letters only, up
+    to ``LONGEST``.  A page's own host is left out: a name must not become a word
+    by being a name."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -138,7 +144,9 @@ def count_words(pages: DataFrame) -> DataFrame:
             keep = (n > 0) & (pc.utf8_length(words.distinct).to_numpy(zero_copy_only=False) <= LONGEST)
             yield pa.RecordBatch.from_arrays([words.distinct.filter(pa.array(keep)), pa.array(n[keep], pa.int64())], names=["word", "n"])
 
-    text = F.concat_ws(" ", "url", "html")
+    host = host_of(F.col("url"))
+    html = F.when(host != "", F.replace(F.col("html"), host, F.lit(" "))).otherwise(F.col("html"))
+    text = F.concat_ws(" ", path_of(F.col("url")), html)
     return pages.select(text.alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -151,16 +159,15 @@ def fit(pages: DataFrame, block_examples: list[str] | None = None, allow_example
     counts = count_words(pages)
     total = counts.agg(F.sum("n")).first()[0] or 0
     known = {r.word: r.n for r in counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()}
-    floor = 1 + total // 10_000  # example words are as common as a frequent word of the pages
     for w in {*block_examples, *allow_examples}:
-        known[w] = known.get(w, 0) + floor
-    whole = sum(known.values())
+        known[w] = known.get(w, 0) + PSEUDO_WORDS // 10_000
+    whole = total + PSEUDO_WORDS
     model = Model({w: math.log(n / whole) for w, n in known.items() if len(w) > 1 or n > whole / 1000}, math.log(0.5 / whole))
     examples = Counter(block_examples)
     size = sum(examples.values())
     model.block_unknown = math.log(SMOOTHING / (1 + SMOOTHING))
     for w, n in examples.items():
-        p = known[w] / whole
+        p = max(known[w] / whole, RARE)
         model.block[w] = math.log((n / size + SMOOTHING * p) / (1 + SMOOTHING) / p)
     return model
 
