@@ -82,8 +82,9 @@ class Block:
     text: str
 
 
-def _presentation(tag: str, raw: str) -> tuple[str, bool]:
-    """The node's name, and whether the element says that it is not main text."""
+def _presentation(tag: str, raw: str, inside: bool) -> tuple[str, bool]:
+    """The node's name, and whether the element says that it is not main text.
+    A header inside an article or main element holds its title."""
     if not raw or raw.isspace():
         return tag, tag in NOISE_TAGS
     words, hidden = [], False
@@ -96,7 +97,8 @@ def _presentation(tag: str, raw: str) -> tuple[str, bool]:
             hidden |= "display:none" in value.replace(" ", "") or "visibility:hidden" in value.replace(" ", "")
         elif name == "hidden" or value == "true":
             hidden = True
-    noise = tag in NOISE_TAGS or hidden or (tag not in _NEVER_NOISE and not NOISE_WORDS.isdisjoint(words))
+    said = NOISE_WORDS.intersection(words) - ({"header"} if inside else set())
+    noise = tag in NOISE_TAGS or hidden or (tag not in _NEVER_NOISE and bool(said))
     return ".".join([tag, *sorted(set(words))]), noise
 
 
@@ -152,10 +154,9 @@ def parse(html: str | None) -> tuple[list[Block], list[Node]]:
                     break
                 if stack[i].tag in ("ul", "ol", "dl", "table", "select"):
                     break
-        name, noise = _presentation(tag, m.group(5))
         above = stack[-1]
+        name, noise = _presentation(tag, m.group(5), above.content)
         inside = above.content or tag in CONTENT_TAGS
-        # a header inside an article holds its title
         noise = above.noise or noise or (tag == "header" and not above.content)
         path = f"{above.path}/{name}" if len(stack) <= DEPTH else above.path
         above.children.append(name)

@@ -25,6 +25,7 @@ def text_of(html, low=()):
     ("<form><p>name</p><input></form><p>kept</p><section id='comments'><p>first!</p></section>", "kept"),
     ("<p hidden>h</p><p style='display: none'>i</p><p>2 < 3 &#233;</p>", "2 < 3 é"),
     ("<article><header><h1>Title</h1></header><p>x</p></article><header>Site</header>", "Title\nx"),
+    ("<article><div class='post-header'><h1>T</h1></div><p>x</p><div class='comment-list'><p>me too</p></div></article><div id='header'>H</div>", "T\nx"),
     ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"), ("plain text", "plain text"),
 ])
 def test_blocks_of_single_pages(html, text):
