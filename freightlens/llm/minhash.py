@@ -194,12 +194,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = scratch.write(signatures(docs, words), "signed")
     known = signed.where("doc_id is not null and n_shingles > 0")
-    same = known.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    # Group results are written before the rows join them: adaptive execution
+    # splits a hot key only where both sides of the join come from a shuffle.
+    same = scratch.write(known.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "same")
     reps = same.select(F.col("rep").alias("doc_id"), "fp1", "fp2")
     buckets = (known.join(reps, ["doc_id", "fp1", "fp2"], "left_semi")
                .select("doc_id", "n_shingles", F.explode("bands").alias("bucket")))
     shared = buckets.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    members = scratch.write(buckets.join(shared.select("bucket", "low"), "bucket"), "members")
+    members = scratch.write(buckets.join(scratch.write(shared.select("bucket", "low"), "shared"), "bucket"), "members")
 
     copies = (known.join(same.where("copies > 1"), ["fp1", "fp2", "n_shingles"])
               .where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
@@ -218,7 +220,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     mixed = (parts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("size"),
                                          F.max("n").alias("most"), F.count(F.lit(1)).alias("components")).where("components > 1")
              .select("bucket", "main", "size", (F.col("size") - F.col("most")).alias("strays")))
-    open_ = scratch.write(placed.join(mixed, "bucket"), "open")
+    open_ = scratch.write(placed.join(scratch.write(mixed, "mixed"), "bucket"), "open")
     small, large = open_.where(F.col("size") <= SMALL), open_.where(F.col("size") > SMALL)
     other = small.select("bucket", F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("component").alias("c"))
     pairs = (small.join(other, "bucket").where("component <> c and doc_id < b")
@@ -227,7 +229,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     found = scratch.write(confirm(pairs, texts, words, percent).union(block_links(large, texts, words, percent)), "links-open")
     if not found.isEmpty():
         label = connected_components(links.union(found), scratch, "cc-open")
-    scratch.drop("members", "open", "texts")
+    scratch.drop("same", "shared", "members", "mixed", "open", "texts")
     return (signed.select("doc_id", "n_shingles").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
