@@ -8,7 +8,8 @@ which is the unigram model of the whole table.  Rules come first; the model
 decides the rest.
 
 The model is the only thing sent to the tasks; it is bounded by its vocabulary
-(``VOCABULARY`` words of at most ``LONGEST`` letters, the most frequent first).
+(at most ``VOCABULARY`` words of at most ``LONGEST`` letters, the most frequent
+ones: a cut at a count, so that only those words reach the driver).
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import Words, ascii_lower, lower_ascii, slices
+from freightlens.llm.common import Scratch, Words, ascii_lower, lower_ascii, slices
 
 VOCABULARY = 100_000
 LONGEST = 24
@@ -156,9 +157,16 @@ def fit(pages: DataFrame, block_examples: list[str] | None = None, allow_example
     the blocked class from the example names."""
     block_examples = BLOCK_EXAMPLES if block_examples is None else block_examples
     allow_examples = ALLOW_EXAMPLES if allow_examples is None else allow_examples
-    counts = count_words(pages)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    known = {r.word: r.n for r in counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()}
+    counts = Scratch(pages.sparkSession, "urls").write(count_words(pages), "words")
+    # Words by steps of a sixteenth of a doubling of their count, a few hundred rows.
+    step = F.floor(F.log2("n") * 16)
+    steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).orderBy(F.desc("step")).collect()
+    total, least, room = sum(r.n for r in steps), None, vocabulary
+    for r in steps:
+        if r.words > room:
+            break
+        least, room = r.step, room - r.words
+    known = {r.word: r.n for r in counts.where(step >= least).collect()} if least is not None else {}
     for w in {*block_examples, *allow_examples}:
         known[w] = known.get(w, 0) + PSEUDO_WORDS // 10_000
     whole = total + PSEUDO_WORDS
