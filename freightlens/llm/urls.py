@@ -7,9 +7,11 @@ is learned from example names (a parameter), smoothed by the allowed class,
 which is the unigram model of the whole table.  Rules come first; the model
 decides the rest.
 
-The model is the only thing sent to the tasks; it is bounded by its vocabulary
-(at most ``VOCABULARY`` words of at most ``LONGEST`` letters, the most frequent
-ones: a cut at a count, so that only those words reach the driver).
+The word table grows with the pages and stays on Spark: the substrings (at most
+``LONGEST`` letters) of each distinct letter run of hosts and paths join it, so
+every counted word takes part in the split, and a run is split once however
+many URLs hold it.  Only the blocked class, whose size is that of the examples,
+is sent to the tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 from freightlens.llm.common import Scratch, Words, ascii_lower, lower_ascii, slices
 
-VOCABULARY = 100_000
 LONGEST = 24
+ROWS = 50_000  # substrings of a batch
 # Weight of the allowed class in the blocked one, in sizes of the examples, and
 # the log odds of a page without words.
 SMOOTHING = 20.0
@@ -102,6 +103,8 @@ class Model:
     block: dict[str, float] = field(default_factory=dict)  # log odds of blocked against allowed
     block_unknown: float = 0.0
     prior: float = PRIOR
+    counts: DataFrame | None = None  # word, n: where the words of a fitted model are
+    whole: int = 1  # sum of the counts
 
 
 def segment(name: str, model: Model) -> list[str]:
@@ -125,16 +128,16 @@ def segment(name: str, model: Model) -> list[str]:
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def words_of(host: str, path: str, split) -> list[str]:
-    """Words of a host (without its last label) and path."""
+def parts_of(host: str, path: str) -> list[str]:
+    """Letter runs of a host (without its last label) and path."""
     name = host.rsplit(".", 1)[0] if "." in host else host
-    return [w for part in _LETTERS.findall(f"{name} {path.lower()}") for w in split(part)]
+    return _LETTERS.findall(f"{name} {path.lower()}")
 
 
 def count_words(pages: DataFrame) -> DataFrame:
     """``word, n`` over all paths and page texts without markup, letters only, up
-    to ``LONGEST``.  A page's own host is left out: a name must not become a word
-    by being a name."""
+    to ``LONGEST``, a row per batch and word.  A page's own host is left out: a
+    name must not become a word by being a name."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -148,38 +151,66 @@ def count_words(pages: DataFrame) -> DataFrame:
     host = host_of(F.col("url"))
     html = F.when(host != "", F.replace(F.col("html"), host, F.lit(" "))).otherwise(F.col("html"))
     text = F.concat_ws(" ", path_of(F.col("url")), html)
-    return pages.select(text.alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return pages.select(text.alias("text")).mapInArrow(count, "word string, n long")
 
 
-def fit(pages: DataFrame, block_examples: list[str] | None = None, allow_examples: list[str] | None = None,
-        vocabulary: int = VOCABULARY) -> Model:
+def fit(pages: DataFrame, block_examples: list[str] | None = None, allow_examples: list[str] | None = None) -> Model:
     """Learn the splitter and the allowed class from all of ``pages(url, html)``,
     the blocked class from the example names."""
     block_examples = BLOCK_EXAMPLES if block_examples is None else block_examples
     allow_examples = ALLOW_EXAMPLES if allow_examples is None else allow_examples
-    counts = Scratch(pages.sparkSession, "urls").write(count_words(pages), "words")
-    # Words by steps of a sixteenth of a doubling of their count, a few hundred rows.
-    step = F.floor(F.log2("n") * 16)
-    steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).orderBy(F.desc("step")).collect()
-    total, least, room = sum(r.n for r in steps), None, vocabulary
-    for r in steps:
-        if r.words > room:
-            break
-        least, room = r.step, room - r.words
-    known = {r.word: r.n for r in counts.where(step >= least).collect()} if least is not None else {}
-    for w in {*block_examples, *allow_examples}:
-        known[w] = known.get(w, 0) + PSEUDO_WORDS // 10_000
-    whole = total + PSEUDO_WORDS
-    model = Model({w: math.log(n / whole) for w, n in known.items() if len(w) > 1 or n > whole / 1000}, math.log(0.5 / whole))
-    examples = Counter(block_examples)
-    size = sum(examples.values())
+    spark, added = pages.sparkSession, PSEUDO_WORDS // 10_000
+    examples = sorted({*block_examples, *allow_examples})
+    own = spark.createDataFrame([(w, added) for w in examples], "word string, n long")
+    counts = Scratch(spark, "urls").write(count_words(pages).union(own).groupBy("word").agg(F.sum("n").alias("n")), "words")
+    whole = (counts.agg(F.sum("n")).first()[0] or 0) - added * len(examples) + PSEUDO_WORDS
+    known = {r.word: r.n for r in counts.where(F.col("word").isin(examples)).collect()}
+    model = Model(unknown=math.log(0.5 / whole), counts=counts, whole=whole)
+    blocked = Counter(block_examples)
+    size = sum(blocked.values())
     model.block_unknown = math.log(SMOOTHING / (1 + SMOOTHING))
-    for w, n in examples.items():
+    for w, n in blocked.items():
         p = max(known[w] / whole, RARE)
         model.block[w] = math.log((n / size + SMOOTHING * p) / (1 + SMOOTHING) / p)
     return model
 
 
+def substrings(parts: DataFrame) -> DataFrame:
+    """``part, word``: the distinct substrings of up to ``LONGEST`` letters of ``parts(part)``."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows: list[tuple[str, str]] = []
+            for p in b.column("part").to_pylist():
+                for w in {p[i:j] for i in range(len(p)) for j in range(i + 1, min(len(p), i + LONGEST) + 1)}:
+                    rows.append((p, w))
+                    if len(rows) >= ROWS:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*rows, strict=True)], names=["part", "word"])
+                        rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*rows, strict=True)], names=["part", "word"])
+
+    return parts.mapInArrow(cut, "part string, word string")
+
+
+def split_parts(parts: DataFrame, model: Model) -> DataFrame:
+    """``part, words`` for every row of ``parts(part)``, which are distinct: the
+    split by all words of ``model.counts``."""
+    whole, unknown = model.whole, model.unknown
+
+    @F.arrow_udf("array<string>")
+    def split(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for names, known in columns:
+            out = []
+            for p, rows in zip(names.to_pylist(), known.to_pylist(), strict=True):
+                out.append(segment(p, Model({r["word"]: math.log(r["n"] / whole) for r in rows or ()}, unknown)))
+            yield pa.array(out, pa.list_(pa.string()))
+
+    usable = model.counts.where((F.length("word") > 1) | (F.col("n") > whole / 1000))
+    known = substrings(parts).join(usable, "word").groupBy("part").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+    return parts.join(known, "part", "left").select("part", split.asNondeterministic()(F.col("part"), F.col("known")).alias("words"))
+
+
 def judge(pages: DataFrame, model: Model, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict, words, block_score`` for every row of
     ``pages(page_id, url)``: the rule's verdict, else block where the odds of
@@ -190,17 +221,34 @@ def judge(pages: DataFrame, model: Model, rules: tuple[Rule, ...] = RULES) -> Da
     other columns are ignored; an empty table gives an empty result.
     """
 
-    @F.arrow_udf("words array<string>, score double")
-    def score(hosts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        split = lru_cache(100_000)(lambda w: tuple(segment(w, model)))
-        for host, path in hosts:
-            words = [words_of(h, p, split) for h, p in zip(host.to_pylist(), path.to_pylist(), strict=True)]
-            odds = [model.prior + sum(model.block.get(x, model.block_unknown) for x in w) for w in words]
-            yield pa.StructArray.from_arrays([pa.array(words, pa.list_(pa.string())), pa.array([1 / (1 + math.exp(-max(-50.0, min(50.0, o)))) for o in odds], pa.float64())],
-                                             names=["words", "score"])
+    block, block_unknown, prior = model.block, model.block_unknown, model.prior
+    scratch = Scratch(pages.sparkSession, "urls")
+
+    def odds(words: list[str]) -> float:
+        x = prior + sum(block.get(w, block_unknown) for w in words)
+        return 1 / (1 + math.exp(-max(-50.0, min(50.0, x))))
+
+    @F.arrow_udf("array<string>")
+    def parts(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for host, path in columns:
+            yield pa.array([parts_of(h, p) for h, p in zip(host.to_pylist(), path.to_pylist(), strict=True)], pa.list_(pa.string()))
+
+    @F.arrow_udf("double")
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for words in columns:
+            yield pa.array([odds(w) for w in words.to_pylist()], pa.float64())
 
     url = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    out = url.select("*", rule_for(F.col("host"), F.col("path"), rules).alias("r"), score.asNondeterministic()(F.col("host"), F.col("path")).alias("m"))
-    own = F.when(F.col("m.score") > 0.5, F.lit("block")).otherwise(F.lit("allow"))
+    # Each table is written before a larger one joins it: adaptive execution
+    # splits a hot host or part only where both sides of the join come from a shuffle.
+    names = url.select("host", "path").distinct()
+    names = scratch.write(names.select("*", F.posexplode(parts.asNondeterministic()(F.col("host"), F.col("path"))).alias("at", "part")), "names")
+    split = scratch.write(split_parts(scratch.write(names.select("part").distinct(), "parts"), model), "split")
+    words = names.join(split, "part").groupBy("host", "path").agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("all"))
+    words = words.select("host", "path", F.flatten(F.col("all.words")).alias("words"))
+    scored = scratch.write(words.select("*", score.asNondeterministic()(F.col("words")).alias("score")), "scored")
+    out = url.join(scored, ["host", "path"], "left").withColumn("r", rule_for(F.col("host"), F.col("path"), rules))
+    block_score = F.coalesce("score", F.lit(odds([])))
+    own = F.when(block_score > 0.5, F.lit("block")).otherwise(F.lit("allow"))
     return out.select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", own).alias("verdict"),
-                      F.col("m.words").alias("words"), F.col("m.score").alias("block_score"))
+                      F.coalesce("words", F.array().cast("array<string>")).alias("words"), block_score.alias("block_score"))

@@ -100,6 +100,15 @@ def test_segmentation_is_the_most_probable_split():
     assert urls.segment("", model) == [] and urls.segment("qqq", model) == ["qqq"]
 
 
+def test_names_split_at_words_rarer_than_a_hundred_thousand_others(spark):
+    letters = "bcdfghjk"
+    common = " ".join("".join(letters[i >> 3 * k & 7] for k in range(6)) for i in range(1 << 17))
+    rows = [(1, "http://a.net/", f"<p>{common} {common}</p>"), (2, "http://b.net/", "<p>quixotic zephyr</p>"), (3, "http://quixoticzephyr.net/", "")]
+    df = spark.createDataFrame(rows, PAGES)
+    out = {r.page_id: r.words for r in urls.judge(df, urls.fit(df)).collect()}
+    assert out[3] == ["quixotic", "zephyr"]
+
+
 def test_urls_empty_table(spark):
     df = spark.createDataFrame([], PAGES)
     assert urls.judge(df, urls.fit(df)).count() == 0
