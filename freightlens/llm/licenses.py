@@ -93,8 +93,8 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: list
         "doc_id", "text",
         F.when(F.col("words_line") == "", 0).otherwise(spaces(F.col("words_line")) + 1).cast("long").alias("n_words"),
         F.when(has_any, F.regexp_count(line, F.lit(f"(?<= )(?:{any_phrase})(?= )"))).otherwise(0).cast("long").alias("n_base"),
-        F.when(has_any, spaces(F.regexp_extract(line, f"^(.*? )(?:{any_phrase}) ", 1)) - 1).cast("long").alias("first_word"),
-        F.when(has_any, spaces(F.regexp_extract(line, f"^(.* )(?:{any_phrase}) ", 1)) - 1).cast("long").alias("last_word"),
+        F.when(has_any, spaces(F.regexp_extract(line, f"(?s)^(.*? )(?:{any_phrase}) ", 1)) - 1).cast("long").alias("first_word"),
+        F.when(has_any, spaces(F.regexp_extract(line, f"(?s)^(.* )(?:{any_phrase}) ", 1)) - 1).cast("long").alias("last_word"),
         base_labels.alias("base_list"),
         "words_line")
 

@@ -176,6 +176,13 @@ def test_license_scan_equals_brute_force(spark, texts):
     assert got == sorted(repr((i, *license_brute(t))) for i, t in rows)
 
 
+def test_phrases_are_found_beyond_line_separators(spark):
+    rows = list(enumerate(["a\u0085 b mit license", "x \u2028 mit license \u0085 y\u2029 cc by z", "mit license \u2029 apache license", "\u2028 cc by"]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r[:8]) for r in licenses.scan(df).collect())
+    assert got == [(i, *license_brute(t)) for i, t in rows]
+
+
 def test_license_empty_table(nothing):
     assert licenses.scan(nothing).count() == 0
 
