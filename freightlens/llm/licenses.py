@@ -1,19 +1,20 @@
 """Licence scan: an exact set-similarity join of text blocks and notice templates.
 
-Blocks are the lines of a text.  A block matches a template if it holds at
-least ``percent`` of the template's distinct words.  The join is exact:
+Blocks are all runs of consecutive words of a text, whatever its lines, as long
+as the template's notice by 100 / ``percent``.  A block matches a template if it
+holds at least ``percent`` of the template's distinct words.  The join is exact:
 
 * template words are ordered by their frequency in the whole corpus, rarest
   first;
 * prefix filter: with ``need`` of ``t`` words asked for, a matching block holds
-  one of the first ``t - need + 1``; only texts and lines with such a word are
-  looked at further, and the join runs on those words;
-* length filter: a block has at least ``need`` words of the templates at all;
+  one of the first ``t - need + 1``; the join runs on the places of those words,
+  each with the words so near that a block can hold both;
+* length filter: these are at least ``need`` words of the templates at all;
 * positional filter: a common word at place i of the template and j of the
-  block (both in frequency order) leaves min(t - i, b - j) common words.
+  words near it (both in frequency order) leaves min(t - i, b - j) common words.
 
 Everything runs on built-in functions.  The templates are parameters, so their
-index is the only side that is broadcast; the words of a common line never meet
+index is the only side that is broadcast; the words of a common notice never meet
 in one task, as blocks are grouped by the text they come from.
 """
 
@@ -70,8 +71,8 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: list
     Words are runs of characters other than ASCII that is no letter or digit.
     ``n_base`` counts all places of the phrases, ``first_word`` and
     ``last_word`` are their smallest and largest start (words from 0, else
-    null).  ``blocks`` lists ``line, label, common`` of every line and template
-    that match; ``score`` is 1 with a phrase, else the best share of a template
+    null).  ``blocks`` lists ``start, label, common`` of the best matching block
+    around each place of a prefix word (the first of equal ones); ``score`` is 1 with a phrase, else the best share of a template
     among the matches, else 0.
 
     Null or empty texts: no words, empty labels, score 0.  A null id stays
@@ -99,40 +100,56 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: list
         "words_line")
 
     # Templates in frequency order; the counts are one small row per template word.
-    sets = [(label, sorted(set(t.split()))) for label, t in templates]
-    vocabulary = sorted({w for _, t in sets for w in t})
+    sets = [(label, sorted(set(t.split())), math.ceil(len(t.split()) * 100 / percent)) for label, t in templates]
+    vocabulary = sorted({w for _, t, _ in sets for w in t})
     counts = {r.word: r.n for r in word_frequency(rows, vocabulary).collect()}
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
     index = []
-    for k, (label, words) in enumerate(sets):
+    for k, (label, words, width) in enumerate(sets):
         ranks = sorted(rank[w] for w in words)
         need = math.ceil(len(ranks) * percent / 100)
-        index += [(ranks[i], i, k, label, ranks, need) for i in range(len(ranks) - need + 1)]
+        index += [(order[ranks[i]], ranks[i], i, k, label, [order[r] for r in ranks], need, width) for i in range(len(ranks) - need + 1)]
     spark = docs.sparkSession
-    index = spark.createDataFrame(index, "rank int, i int, template int, label string, ranks array<int>, need int")
-    prefix = sorted({order[r.rank] for r in index.select("rank").distinct().collect()})
+    index = spark.createDataFrame(index, "word string, rank int, i int, template int, label string, notice array<string>, need int, width int")
+    prefix = sorted({r.word for r in index.select("word").distinct().collect()})
+    reach = max((width for *_, width in sets), default=1) - 1
 
-    # Lines that hold a prefix word, as template words in frequency order.
-    ranks = F.map_from_arrays(F.array(*[F.lit(w) for w in order]), F.array(*[F.lit(rank[w]) for w in order]))
+    # Places of prefix words, with the words near them.
+    rarer = F.map_from_arrays(F.array(*[F.lit(w) for w in order]), F.array(*[F.lit(rank[w]) for w in order]))
     own = F.array(*[F.lit(w) for w in order])
     starts = F.array(*[F.lit(w) for w in prefix])
     key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("hash"))
-    candidate = found.where(F.arrays_overlap(F.split("words_line", " "), starts))
-    lines = candidate.select(key.alias("key"), F.posexplode(F.split("text", "\n")).alias("line", "block"))
-    blocks = (lines.select("key", "line", F.array_intersect(F.split(normal(F.col("block")), " "), own).alias("words"))
-              .where(F.arrays_overlap("words", starts))
-              .select("key", "line", F.array_sort(F.transform("words", lambda w: ranks[w])).alias("block")))
-    hits = (blocks.select("key", "line", "block", F.posexplode("block").alias("j", "rank"))
-            .join(F.broadcast(index), "rank")
-            .where(F.size("block") >= F.col("need"))
-            .where(F.least(F.size("ranks") - F.col("i"), F.size("block") - F.col("j")) >= F.col("need"))
-            .groupBy("key", "line", "template").agg(F.first("label").alias("label"), F.first("need").alias("need"), F.first("ranks").alias("ranks"),
-                                                    F.size(F.array_intersect(F.first("block"), F.first("ranks"))).alias("common"))
-            .where("common >= need"))
+    texts = found.select(key.alias("key"), F.split("words_line", " ").alias("words")).where(F.arrays_overlap("words", starts))
+    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(prefix), i)), lambda i: i.isNotNull())
+
+    def near(words: Column, at: Column, reach: int | Column) -> tuple[Column, Column]:
+        """The first place within ``reach`` of ``at``, and the words from there."""
+        first = F.greatest(at - reach, F.lit(0))
+        return first, F.slice(words, first + 1, at - first + 1 + reach)
+
+    def around(at: Column) -> Column:
+        first, words = near(F.col("words"), at, F.lit(reach))
+        return F.struct(at.alias("at"), first.alias("first"), words.alias("near"))
+
+    blocks = (texts.select("key", F.explode(F.transform(places, around)).alias("p"))
+              .select("key", "p.at", "p.first", "p.near", F.element_at("p.near", F.col("p.at") - F.col("p.first") + 1).alias("word")))
+    common = blocks.join(F.broadcast(index), "word")
+    at = F.col("at") - F.col("first")
+    first, words = near(F.col("near"), at, F.col("width") - 1)
+    common = common.select("key", (F.col("at") - at + first).alias("first"), (at - first).alias("at"), words.alias("near"), "rank", "i", "label", "notice", "need", "width")
+    block = F.transform(F.array_intersect("near", own), lambda w: rarer[w])
+    rest = F.size(F.filter(block, lambda r: r >= F.col("rank")))  # b - j
+    best = F.array_max(F.transform(F.sequence(F.lit(0), F.col("at")), lambda i: F.struct(
+        F.size(F.array_intersect(F.slice("near", i + 1, F.col("width")), F.col("notice"))).alias("common"), (-i).alias("before"))))
+    hits = (common.where(F.size(F.array_intersect("near", "notice")) >= F.col("need"))
+            .where(F.least(F.size("notice") - F.col("i"), rest) >= F.col("need"))
+            .select("key", "label", "need", "first", F.size("notice").alias("size"), best.alias("best"))
+            .where(F.col("best.common") >= F.col("need"))
+            .select("key", "label", "size", (F.col("first") - F.col("best.before")).alias("start"), F.col("best.common").alias("common")))
     labelled = hits.groupBy("key").agg(
-        F.array_sort(F.collect_set("label")).alias("own_labels"), F.max(F.col("common") / F.size("ranks")).alias("best"),
-        F.array_sort(F.collect_list(F.struct("line", "label", "common"))).alias("blocks"))
+        F.array_sort(F.collect_set("label")).alias("own_labels"), F.max(F.col("common") / F.col("size")).alias("best"),
+        F.array_sort(F.collect_set(F.struct("start", "label", "common"))).alias("blocks"))
     narrow = found.select("doc_id", F.xxhash64("text").alias("hash"), "n_words", "n_base", "first_word", "last_word", "base_list")
     k = labelled.select(F.col("key.doc_id").alias("its"), F.col("key.hash").alias("hash"), "own_labels", "best", "blocks")
     out = narrow.join(k, (narrow["hash"] == k["hash"]) & narrow["doc_id"].eqNullSafe(k["its"]), "left")

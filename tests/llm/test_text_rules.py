@@ -183,6 +183,20 @@ def test_phrases_are_found_beyond_line_separators(spark):
     assert got == [(i, *license_brute(t)) for i, t in rows]
 
 
+def test_notices_cross_lines_and_scattered_words_are_none(spark):
+    notices = {label: t for label, t in licenses.TEMPLATES if label in ("mit", "bsd", "mpl-2.0", "gpl-2.0")}
+    rows = []
+    for i, (label, notice) in enumerate(notices.items()):
+        w = notice.split()
+        wrapped = "\n".join(" * " + " ".join(w[j:j + 5]) for j in range(0, len(w), 5))
+        far = " ".join(f"{x} {prose(40, j)}" for j, x in enumerate(w))
+        rows += [(10 * i, wrapped, label, 1.0), (10 * i + 1, prose(200, i) + "\n" + wrapped + "\n" + prose(90, i), label, 1.0), (10 * i + 2, far, "", 0.0)]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(df).collect()}
+    want = {i: ("gpl,gpl-2.0" if label == "gpl-2.0" else label, score) for i, _, label, score in rows}
+    assert got == want
+
+
 def test_license_empty_table(nothing):
     assert licenses.scan(nothing).count() == 0
 
