@@ -4,11 +4,12 @@ The element trees of a host's pages are merged: a node is a path of tags with
 their presentation (class and role words, digits removed).  Over the pages of
 the host a node has
 
-* presentation entropy: of the sequences of child elements it was seen with;
-* content entropy: of the texts of the blocks below it;
+* presentation entropy: of the sequences of child elements it has on a page;
+* content entropy: of the texts of the blocks below it on a page;
 
-each divided by the largest possible, so that 0 is "the same on every page"
-and 1 "different everywhere".  Its importance mixes the two: a node with many
+each the (quadratic) chance that two pages with the node differ, so that 0 is
+"the same on every page" and 1 "different everywhere" whatever their number;
+pages with equal html count once.  Its importance mixes the two: a node with many
 styles is judged by them, one with a single style by the content below it.
 Branches of low importance are removed from every page of the host.  Elements
 that say what they are (``nav``, ``footer``, a class word ``ad`` ...) have that
@@ -176,30 +177,32 @@ def _style(children: list[str]) -> str:
 
 
 def statistics(pages: DataFrame) -> DataFrame:
-    """``host, path, kind, value, n``: how often a node of a host's merged tree
-    had a sequence of children (kind 0) or a text in a block below it (kind 1).
-    Nodes that are noise by name need none."""
+    """``host, path, kind, value, n``: on how many different pages the nodes of a
+    path in a host's merged tree had these children (kind 0) or these texts in
+    the blocks below them (kind 1).  Nodes that are noise by name need none."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "html"):
             seen: Counter = Counter()
             for host, html in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
                 blocks, nodes = parse(html)
+                parts: dict[tuple[str, int], list[str]] = {}
                 for n in nodes:
                     if n.children and not n.noise:
-                        seen[host, n.path, 0, hash_text(_style(n.children))] += 1
+                        parts.setdefault((n.path, 0), []).append(_style(n.children))
                 for x in blocks:
                     if not x.noise:
-                        value, path = hash_text(x.text), x.path
+                        value, path = str(hash_text(x.text)), x.path
                         while path:
-                            seen[host, path, 1, value] += 1
+                            parts.setdefault((path, 1), []).append(value)
                             path = path.rpartition("/")[0]
+                seen.update((host, path, kind, hash_text("\n".join(values))) for (path, kind), values in parts.items())
             keys = list(seen)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.int64()))] + [pa.array(list(seen.values()), pa.int64())],
                 names=["host", "path", "kind", "value", "n"])
 
-    return (pages.select("host", "html").mapInArrow(collect, "host string, path string, kind int, value long, n long")
+    return (pages.select("host", "html").distinct().mapInArrow(collect, "host string, path string, kind int, value long, n long")
             .groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n")))
 
 
@@ -210,11 +213,12 @@ def hash_text(text: str) -> int:
 
 
 def importance(stats: DataFrame) -> DataFrame:
-    """``host, path, seen, presentation, content, importance`` of every node."""
+    """``host, path, seen, presentation, content, importance`` of every node;
+    ``seen`` is the number of pages with it."""
     x = F.col("n").cast("double")
-    each = stats.groupBy("host", "path", "kind").agg(F.sum("n").alias("total"), F.sum(x * F.log(x)).alias("weighted"), F.count(F.lit(1)).alias("styles"))
+    each = stats.groupBy("host", "path", "kind").agg(F.sum("n").alias("total"), F.sum(x * (x - 1)).alias("equal"), F.count(F.lit(1)).alias("styles"))
     total = F.col("total").cast("double")
-    entropy = F.when(F.col("total") > 1, (F.log(total) - F.col("weighted") / total) / F.log(total)).otherwise(1.0)
+    entropy = F.when(F.col("total") > 1, 1 - F.col("equal") / (total * (total - 1))).otherwise(1.0)
     pick = lambda kind, c: F.max(F.when(F.col("kind") == kind, c))
     node = each.withColumn("entropy", F.greatest(F.lit(0.0), entropy)).groupBy("host", "path").agg(
         F.max("total").alias("seen"), pick(0, F.col("entropy")).alias("presentation"), pick(0, F.col("styles")).alias("styles"), pick(1, F.col("entropy")).alias("content"))
@@ -257,7 +261,7 @@ def extract(pages: DataFrame, scratch: Scratch, low: float = LOW, min_pages: int
     Character references are decoded, white space inside a block becomes one
     space, blocks are joined in page order by a line feed.  Null or empty html
     gives an empty text; pages without a host (null URL) form a site of their
-    own; repeated rows give equal texts (and count twice for their site); other
+    own; repeated rows give equal texts (and count once for their site); other
     columns are ignored; an empty table gives an empty result.
     """
     pages = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))

@@ -51,6 +51,18 @@ def test_articles_stay_where_a_site_repeats_them(spark):
     assert {r.text for r in out} == {f"T\n{prose(30, 1)}"}
 
 
+def test_statistics_count_different_pages(spark):
+    strip = "<div class='zz'><p>Read our terms</p></div>"
+    story = lambda i: f"<div class='story'><p>{prose(30, i)}</p></div>"
+    rows = [(1, "http://a.example/", "<body><table><tr>" + "<td>yes</td>" * 8 + f"</tr></table>{story(1)}</body>")]
+    rows += [(1000 + i, f"http://b.example/{i}", f"<body><h2>Part {i % 3}</h2>{story(i)}</body>") for i in range(300)]
+    rows += [(2000 + i, f"http://c.example/{i}", f"<body>{strip}{story(max(0, i - 590))}</body>") for i in range(600)]
+    out = {r.page_id: r.text for r in html_tree.extract(spark.createDataFrame(rows, PAGES).repartition(3), Scratch(spark, "test")).collect()}
+    assert out[1] == "yes\n" * 8 + prose(30, 1)
+    assert all(out[1000 + i] == f"Part {i % 3}\n{prose(30, i)}" for i in range(300))
+    assert all(out[2000 + i] == prose(30, max(0, i - 590)) for i in range(600))
+
+
 def test_page_edge_rows(spark, con):
     rows = [(1, None, None), (1, None, None), (None, "http://x/", "<p>a"), (2, "no scheme", "<p>" + "long " * 50_000), (3, "http://", "")]
     df = spark.createDataFrame(rows, PAGES).selectExpr("*", "1 as host", "2 as low", "'t' as text", "3 as path")
