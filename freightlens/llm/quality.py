@@ -6,8 +6,10 @@ sketch per task - and their quartiles give the fences: upper quartile plus
 ``SPREAD`` interquartile ranges, but at least ``SLACK`` above the median.  The
 fences are joined back on (lang, source); a text above one is rejected.
 
-A group that is junk for more than a quarter would raise its own fence, so the
-fence of its language (the same sketches merged further) bounds it.
+A group of ``ENOUGH`` texts has its own fence, a smaller one leans on that of its
+language (the same sketches merged further) by its size.  A group that is junk
+for more than a quarter would raise its own fence: where more than ``JUNK`` of the
+texts fail the base rule, the fence of the language bounds it.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 SLACK = {"symbols_per_word": 0.10, "dup_line_share": 0.30, "repeat_word_share": 0.25, "echo_word_share": 0.20, "chars_per_word": 6.0}
 SHORT = 5  # lines added to a text's own, so that one equal pair of a few lines says little
 SPREAD = 3.0
+ENOUGH = 50
+JUNK = 0.25
 
 
 def _repeats(words: Words) -> np.ndarray:
@@ -125,16 +129,22 @@ def fences(measured: DataFrame) -> DataFrame:
     Only texts with a word take part; a null language or source is a group of
     its own."""
     names = list(SLACK)
-    measured = measured.where("m.n_words > 0").select("lang", "source", *[v.alias(k) for k, v in shares(F.col("m")).items()])
-    group = measured.groupBy("lang", "source").agg(*[F.kll_sketch_agg_double(k).alias(k) for k in names])
+    measured = measured.where("m.n_words > 0").select("lang", "source", base_failed(F.col("m")).cast("int").alias("failed"), *[v.alias(k) for k, v in shares(F.col("m")).items()])
+    group = measured.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), F.avg("failed").alias("junk"), *[F.kll_sketch_agg_double(k).alias(k) for k in names])
     language = group.groupBy(F.col("lang").alias("its")).agg(*[F.kll_merge_agg_double(k).alias(f"of_{k}") for k in names])
 
     def fence(sketch: str, k: str) -> Column:
         q = lambda p: F.kll_sketch_get_quantile_double(F.col(sketch), F.lit(p))
         return F.greatest(q(0.5) + SLACK[k], q(0.75) + SPREAD * (q(0.75) - q(0.25)))
 
+    own = F.least(F.lit(1.0), F.col("n") / ENOUGH)
+
+    def limit(k: str) -> Column:
+        mine, its = fence(k, k), fence(f"of_{k}", k)
+        return F.when(F.col("junk") > JUNK, F.least(mine, its)).otherwise(own * mine + (1 - own) * its)
+
     return (group.join(language, F.col("lang").eqNullSafe(F.col("its")))
-            .select("lang", "source", *[F.least(fence(k, k), fence(f"of_{k}", k)).alias(f"fence_{k}") for k in names]))
+            .select("lang", "source", *[limit(k).alias(f"fence_{k}") for k in names]))
 
 
 def judge(docs: DataFrame, scratch: Scratch) -> DataFrame:

@@ -54,6 +54,18 @@ def test_fences_follow_language_and_source(spark):
     assert {999, 998} <= gone and len(gone - {999, 998}) <= 2
 
 
+def test_a_clean_source_of_a_tenth_of_its_language_stays(spark):
+    rows = [(i, prose(50, i), "en", "plain") for i in range(540)]
+    rows += [(1000 + i, " ".join(w + "#" * (j % 2) for j, w in enumerate(prose(50, i).split())), "en", "code") for i in range(60)]
+    rows += [(9999, "| " * 300 + prose(100, 78), "en", "code")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    judged = quality.judge(df, Scratch(spark, "test")).where("not quality_base_failed")
+    gone = {r.doc_id for r in judged.where("not quality_kept").collect()}
+    assert not [i for i in gone if 1000 <= i < 1060]
+    gone = {r.doc_id for r in quality.judge(df, Scratch(spark, "test")).where("not quality_kept").collect()}
+    assert 9999 in gone
+
+
 def test_clean_documents_stay_and_junk_goes(spark, con, texts):
     df = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string")
     kept = {r.doc_id: r.quality_kept for r in quality.judge(df, Scratch(spark, "test")).collect()}
