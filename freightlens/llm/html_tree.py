@@ -265,7 +265,7 @@ def extract(pages: DataFrame, scratch: Scratch, low: float = LOW, min_pages: int
     columns are ignored; an empty table gives an empty result.
     """
     pages = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    removable = scratch.write(low_paths(importance(statistics(pages)), low, min_pages).coalesce(1), "low")  # a row per host: the planner sees its size
+    removable = scratch.write(low_paths(importance(statistics(pages)), low, min_pages), "low")  # a row per host: the planner sees its size
 
     @F.arrow_udf("string")
     def text(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:

@@ -63,6 +63,18 @@ def test_statistics_count_different_pages(spark):
     assert all(out[2000 + i] == prose(30, max(0, i - 590)) for i in range(600))
 
 
+def test_removable_paths_are_not_written_by_one_task(spark):
+    plans = []
+
+    class Seen(Scratch):
+        def write(self, df, name):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            return super().write(df, name)
+
+    html_tree.extract(spark.createDataFrame([(1, "http://a/", "<p>a")], PAGES), Seen(spark, "test"))
+    assert plans and not any("Repartition 1, false" in p for p in plans)
+
+
 def test_page_edge_rows(spark, con):
     rows = [(1, None, None), (1, None, None), (None, "http://x/", "<p>a"), (2, "no scheme", "<p>" + "long " * 50_000), (3, "http://", "")]
     df = spark.createDataFrame(rows, PAGES).selectExpr("*", "1 as host", "2 as low", "'t' as text", "3 as path")
