@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.llm import html_tree, licenses, minhash, mixing, packing, quality, tokens, toxicity, urls, vptree
+from freightlens.llm import fim, html_tree, licenses, minhash, mixing, packing, quality, tokens, toxicity, urls, vptree
 from freightlens.llm.common import Scratch, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, urls.fit(pages)).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(read_table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "fim")
+    back = fim.restore(cut, F.col("fim.output"), F.col("fim.form"))
+    return back.select("doc_id", *[F.col(f"fim.{c}").alias(c) for c in ("n", "form", "prefix_chars", "middle_chars", "output_sha256")],
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_minhash_dedup, op2_toxicity, op3_html_main_text, op4_license_scan, op5_source_mix,
-                                    op6_quality_rules, op7_token_files, op8_nearest, op9_packing, op10_url_filter)}
+                                    op6_quality_rules, op7_token_files, op8_nearest, op9_packing, op10_url_filter, op13_fill_in_middle)}

@@ -99,5 +99,23 @@ rows AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, each.n::INTEGER A
 SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, d.copies, d.copy, {bits.format(f"'{MIX_SEED}:order:' || {doc} || ':' || d.copy")} AS shuffle_key FROM rows d"""
 
 
+def middle_sql() -> str:
+    """Units by one regular expression, pieces joined anew; the restored text is the text."""
+    h = [f"('0x' || substr(k, {1 + 8 * i}, 8))::BIGINT" for i in range(4)]
+    part = lambda a, b: f"array_to_string(u[{a}:{b}], '')"
+    return f"""
+WITH base AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                     sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+cut AS (SELECT doc_id, t, u, len(u)::BIGINT AS n, least({h[0]} % (len(u) + 1), {h[1]} % (len(u) + 1)) AS a, greatest({h[0]} % (len(u) + 1), {h[1]} % (len(u) + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR {h[2]} % 100 >= 90 THEN 'plain'
+             WHEN {h[3]} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM base),
+piece AS (SELECT *, {part("1", "a")} AS p, {part("a + 1", "b")} AS m, {part("b + 1", "n")} AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM piece"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_dedup": minhash_sql(), "op4_license_scan": license_sql(), "op5_source_mix": mix_sql()}
+    return {"op1_minhash_dedup": minhash_sql(), "op4_license_scan": license_sql(), "op5_source_mix": mix_sql(),
+            "op13_fill_in_middle": middle_sql()}
