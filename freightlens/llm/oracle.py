@@ -116,6 +116,18 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS
 FROM piece"""
 
 
+def warc_sql() -> str:
+    """First page of equal html by comparing the texts; base 32 digit by digit."""
+    bits = "('0x' || substr(h, (i * 5)::INTEGER + 1, 5))::BIGINT"
+    digit = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({} >> (15 - 5 * (j % 4))) & 31)::INTEGER + 1, 1)".format(bits.replace("i * 5", "(j // 4) * 5"))
+    return f"""
+WITH base AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+first AS (SELECT t, min(page_id) AS id FROM base GROUP BY t)
+SELECT page_id, strlen(t)::BIGINT AS payload_bytes, array_to_string(list_transform(range(0, 32), lambda j: {digit}), '') AS payload_digest,
+       CASE WHEN page_id = id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> id THEN id END AS refers_to
+FROM base JOIN first USING (t)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_minhash_dedup": minhash_sql(), "op4_license_scan": license_sql(), "op5_source_mix": mix_sql(),
-            "op13_fill_in_middle": middle_sql()}
+            "op12_warc_archive": warc_sql(), "op13_fill_in_middle": middle_sql()}
