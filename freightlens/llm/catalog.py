@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.llm import fim, html_tree, licenses, minhash, mixing, packing, quality, tokens, toxicity, urls, vptree, warc
+from freightlens.llm import fim, html_tree, licenses, minhash, mixing, packing, quality, term_pipeline, tokens, toxicity, urls, vptree, warc
 from freightlens.llm.common import Scratch, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, urls.fit(pages)).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_pipeline.search(read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark", "item_id", "text"),
+                                Scratch(spark, "search"), k=50)
+
+
 def op12_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = Scratch(spark, "warc").path("archive")
     warc.write(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), folder, min_bytes=0)
@@ -86,4 +91,4 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_minhash_dedup, op2_toxicity, op3_html_main_text, op4_license_scan, op5_source_mix,
                                     op6_quality_rules, op7_token_files, op8_nearest, op9_packing, op10_url_filter,
-                                    op12_warc_archive, op13_fill_in_middle)}
+                                    op11_lexical_search, op12_warc_archive, op13_fill_in_middle)}
