@@ -12,7 +12,8 @@ narrow digest rows, and keeps one copy of each payload per map task before
 anything is shuffled.  ``read`` joins headers with payloads on the address,
 checks that every payload still hashes to its address and has the length and
 SHA-1 that its header states, and takes a record's fields from its header
-bytes; ``records`` gives the bytes of each record as a WARC file holds them.
+bytes (payloads are hashed where they are stored, so a reader of fields alone
+shuffles no payload); ``records`` gives the bytes of each record as a WARC file holds them.
 
 Both joins have one row per address on one side, so an address that a third
 of all records share is a skewed join, which adaptive execution splits.  All
@@ -24,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freightlens.plans.materialize import remove_folder
+
 RESPONSE, REVISIT = "response", "revisit"
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -105,6 +108,7 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = DATE) -
     content = rows.groupBy(F.sha2("payload", 256).alias("address")).agg(F.any_value("payload").alias("payload"))
     (content.join(first, "address").select("address", "payload", F.col("first.record_id").alias("response_id"), F.col("first.page_id").alias("response_page"))
      .write.mode("overwrite").parquet(f"{folder}/payloads"))
+    remove_folder(spark, f"{folder}/digests")
 
 
 HEADERS = "address string, header binary"
@@ -129,19 +133,19 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     """
     headers = spark.read.schema(HEADERS).parquet(f"{folder}/headers")
     payloads = spark.read.schema(PAYLOADS).parquet(f"{folder}/payloads")
-    sound = F.when(F.sha2("payload", 256) == F.col("address"), F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("payload differs from address "), "address")))
-    content = payloads.select("address", sound.alias("payload"), "response_id", "response_page").select(
-        "*", base32_sha1(F.col("payload")).alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
+    wrong = F.raise_error(F.concat(F.lit("payload differs from address "), "address"))
+    digest = F.when(F.sha2("payload", 256) == F.col("address"), base32_sha1(F.col("payload"))).otherwise(wrong)
+    content = payloads.select("*", digest.alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
     text = F.decode("header", "utf-8")
     http_bytes = F.regexp_extract(text, "(?s)\\r\\n\\r\\n.*\\r\\nContent-Length: ([0-9]+)\\r\\n\\r\\n$", 1).cast("long")
     j = headers.join(content, "address", "left").withColumn("record_type", value(text, "WARC-Type")).withColumn("_refers", value(text, "WARC-Refers-To"))
     stated = (F.concat(F.lit("sha1:"), "payload_digest").eqNullSafe(value(text, "WARC-Payload-Digest"))
               & F.col("payload_bytes").eqNullSafe(http_bytes)
               & ((F.col("record_type") == RESPONSE) | F.col("_refers").eqNullSafe(F.col("response_id"))))
-    checked = F.when(stated, F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("header and payload differ for "), "address")))
+    checked = F.when(stated, F.col("payload_bytes")).otherwise(F.raise_error(F.concat(F.lit("header and payload differ for "), "address")).cast("long"))
     return j.select(value(text, PAGE_FIELD).cast("long").alias("page_id"), value(text, "WARC-Target-URI").alias("url"), "record_type",
                     F.when(F.col("record_type") == REVISIT, F.col("response_page")).alias("refers_to"), "payload_digest",
-                    F.octet_length(checked).cast("long").alias("payload_bytes"), checked.alias("payload"), "header", "address")
+                    checked.alias("payload_bytes"), "payload", "header", "address")
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
