@@ -12,7 +12,7 @@ buffers that never change: its text and the sentinels, both as UTF-8 bytes.
   descriptors over the output's bytes, and applies the inverse permutation.
 
 Units are runs of A-Z, a-z and single other characters.  All positions of a
-slice of texts are found at once on its bytes, and a slice holds about 8 MB of
+slice of texts are found at once on its bytes, and a slice holds about 1 MB of
 text (a longer text comes alone), so memory is bounded by the longest text.
 Rows are independent: nothing is shuffled.
 """
@@ -38,6 +38,8 @@ PREFIX, MIDDLE, SUFFIX = 0, 1, 2
 ARRANGEMENTS = {"psm": (PREFIX, SUFFIX, MIDDLE), "spm": (SUFFIX, PREFIX, MIDDLE)}
 #: The sentinel of a piece.
 MARK_OF = {PREFIX: 0, SUFFIX: 1, MIDDLE: 2}
+#: Text bytes worked on at once.
+SLICE_BYTES = 1 << 20
 
 FIM = ("struct<n:bigint,form:string,prefix_chars:bigint,middle_chars:bigint,"
        "pieces:array<struct<buffer:string,start:bigint,length:bigint>>,output:string,output_sha256:string>")
@@ -72,7 +74,7 @@ class Units:
         self.starts = np.flatnonzero(first & ~joined)
         self.base = np.searchsorted(self.starts, self.at)
         self.counts = np.diff(self.base)
-        self.chars = np.concatenate(([0], np.cumsum(first, dtype=np.int64)))
+        self.chars = np.concatenate(([0], np.cumsum(first, dtype=np.int32)))
 
     def place(self, units: np.ndarray) -> np.ndarray:
         """Byte where the unit of this number starts in each text; the end of the text for its unit count."""
@@ -147,7 +149,7 @@ def transform(docs: DataFrame, seed: str = "1", marks: tuple[str, str, str] = MA
     marks_buffer = memoryview(b"".join(raw))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, text):
+        for b in slices(batches, text, SLICE_BYTES):
             texts = pc.fill_null(b.column(text).cast(pa.string()), "")
             h = np.array(b.column("fim").flatten().to_numpy(zero_copy_only=False), dtype=np.int64).reshape(-1, 4)
             units = Units(texts)
@@ -160,7 +162,7 @@ def transform(docs: DataFrame, seed: str = "1", marks: tuple[str, str, str] = MA
                 marked |= pc.match_substring(texts, m).to_numpy(zero_copy_only=False)
             plain = (n == 0) | marked | (h[:, 2] % 100 >= 100 - plain_percent)
             forms = np.where(plain, "plain", np.where(h[:, 3] % 100 < spm_percent, "spm", "psm"))
-            rows = []
+            rows, all_pieces, ends = [], [], [0]
             whole = memoryview(units.data)
             for i, form in enumerate(forms.tolist()):
                 own = whole[int(start[i]):int(end[i])]
@@ -168,9 +170,12 @@ def transform(docs: DataFrame, seed: str = "1", marks: tuple[str, str, str] = MA
                 pieces = [("text", 0, size)] if form == "plain" else arrange([(0, a), (a, z - a), (z, size - z)], form, raw)
                 buffers = {"text": own, "marks": marks_buffer}
                 prefix, middle = (None, None) if form == "plain" else (units.chars[cut[i]] - units.chars[start[i]], units.chars[back[i]] - units.chars[cut[i]])
-                rows.append((int(n[i]), form, prefix, middle, [dict(zip(("buffer", "start", "length"), p, strict=True)) for p in pieces],
-                             b"".join(stream(pieces, buffers)).decode(), sha256(stream(pieces, buffers))))
-            columns = [pa.array([r[k] for r in rows], kind.field(k).type) for k in range(kind.num_fields)]
+                all_pieces += pieces
+                ends.append(len(all_pieces))
+                rows.append((int(n[i]), form, prefix, middle, b"".join(stream(pieces, buffers)).decode(), sha256(stream(pieces, buffers))))
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()))]
+            each = [pa.array([p[k] for p in all_pieces], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))]
+            columns.insert(4, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(each, names=["buffer", "start", "length"])))
             yield _with_column(b, "fim", pa.StructArray.from_arrays(columns, fields=list(kind)))
 
     return docs.withColumn("fim", F.array(*draws(F.col(key), seed))).mapInArrow(run, schema)
@@ -189,7 +194,7 @@ def restore(df: DataFrame, output: Column, form: Column, marks: tuple[str, str,
     @F.arrow_udf("string")
     def rebuilt(outputs: pa.Array, forms: pa.Array) -> pa.Array:
         done = []
-        for b in slices([pa.record_batch([outputs, forms], names=["output", "form"])], "output"):
+        for b in slices([pa.record_batch([outputs, forms], names=["output", "form"])], "output", SLICE_BYTES):
             texts = pc.fill_null(b.column(0).cast(pa.string()), "")
             at, data = utf8_parts(texts)
             whole = data.tobytes()
