@@ -19,6 +19,7 @@ from freightlens.functions.labels import lane_label
 from freightlens.functions.numeric import from_units, sum_units
 from freightlens.plans.joins import join_dims
 from freightlens.plans.materialize import write_checkpoint_table
+from freightlens.plans.ranking import range_rank
 from freightlens.plans.sizing import input_bytes, partitions_for, scaled_shuffle
 from freightlens.sources import testdata as td
 
@@ -169,7 +170,7 @@ def _known_shipments(i: Inputs) -> DataFrame:
 
 def _integrity(i: Inputs) -> DataFrame:
     tables = {"providers": i.providers, "routes": i.routes, "quotes": i.quotes, "shipments": i.shipments, "performance_history": i.history}
-    return op.integrity_report(tables, KEYS, i.line_partitions)
+    return op.integrity_report(tables, KEYS, {"shipments": i.line_partitions})
 
 
 def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
@@ -177,7 +178,7 @@ def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
         "landed_rate": lambda i: op.landed_rate(i.quotes, i.providers, i.routes),
         "on_time": lambda i: op.on_time_rate(i.shipments, i.providers, i.routes),
         "quote_spread": lambda i: op.quote_spread(i.quotes, i.providers, i.routes),
-        "volume_scenarios": lambda i: op.volume_scenarios(i.quotes, i.providers, i.routes, **SCENARIOS),
+        "volume_scenarios": lambda i: op.volume_scenarios(i.quotes, i.providers, i.routes, **SCENARIOS, rank=range_rank),
         "delay_pareto": lambda i: op.delay_pareto(i.shipments),
         "monthly_rollup": lambda i: op.roll_up_history(i.shipments, i.providers, lead_days=td.lead_time_days()),
         "monthly_trend": lambda i: op.monthly_trend(i.history, i.providers, i.routes),
@@ -207,7 +208,7 @@ def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
                                                 i.v_detail),
         "dim_lane": lambda i: op.dim_values("lane", i.v_scorecard, i.v_trend, i.v_detail),
         "integrity": _integrity,
-        "ranked_quotes": lambda i: op.ranked_quotes(i.quotes, i.providers, i.routes),
+        "ranked_quotes": lambda i: op.ranked_quotes(i.quotes, i.providers, i.routes, rank=range_rank),
         "kpi_cards_sliced": lambda i: op.kpis(i.v_scorecard, lanes=LANES),
         "report_summary_sliced": lambda i: op.report_summary(i.v_scorecard, lanes=LANES, good=RAG_GOOD, at_risk=RAG_AT_RISK),
         "report_radar_sliced": lambda i: op.report_radar(op.measure_scores(i.v_scorecard, lanes=LANES)),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -40,41 +41,51 @@ def quote_spread(quotes: DataFrame, providers: DataFrame, routes: DataFrame) ->
 
     The list has an entry per quote of the lane and band, so its length is
     that of the output format; ``ranked_quotes`` gives the same list as rows.
+    It is put together on two levels: the quotes are cut into ranges by lane,
+    band, rate and provider, each range lists its own part of a lane, and the
+    parts (at most one per range) are joined in the order of the ranges.  No
+    task sorts a whole lane.  A quote without a rate comes first.
     """
     q = (join_dims(quotes, providers, routes).withColumn("lane", lane_label())
          .withColumn("_item", F.concat(F.col("provider_name"), F.lit(": €"),
                                        F.col(RATE).cast("decimal(12,4)").cast("string"))))
-    lo, hi = F.min(RATE), F.max(RATE)
-    return (q.groupBy("lane", "weight_band_kg").agg(
+    q = q.repartitionByRange("lane", "weight_band_kg", RATE, "provider_name").withColumn("_part", F.spark_partition_id())
+    parts = q.groupBy("lane", "weight_band_kg", "_part").agg(
+        F.min(RATE).alias("_lo"), F.max(RATE).alias("_hi"), *mean_parts(RATE, 4, "rate"),
+        F.expr(f"listagg(_item, ' | ') WITHIN GROUP (ORDER BY {RATE}, provider_name)").alias("_items"))
+    lo, hi = F.min("_lo"), F.max("_hi")
+    return (parts.groupBy("lane", "weight_band_kg").agg(
         round_half_up(lo, 4).alias("cheapest_rate"),
         round_half_up(hi, 4).alias("priciest_rate"),
-        *mean_parts(RATE, 4, "rate"),
+        F.sum("_rate_s").alias("_rate_s"), F.sum("_rate_n").alias("_rate_n"),
         round_half_up(hi - lo, 4).alias("rate_spread"),
         round_half_up((hi - lo) / F.nullif(lo, F.lit(0)) * 100, 2).alias("spread_pct"),
-        F.expr(f"listagg(_item, ' | ') WITHIN GROUP (ORDER BY {RATE}, provider_name)").alias("provider_rates"))
+        F.expr("listagg(_items, ' | ') WITHIN GROUP (ORDER BY _part)").alias("provider_rates"))
         .select("lane", "weight_band_kg", "cheapest_rate", "priciest_rate", mean_half_up("rate", 4).alias("avg_rate"),
                 "rate_spread", "spread_pct", "provider_rates")
         .orderBy("lane", "weight_band_kg"))
 
 
-def ranked_quotes(quotes: DataFrame, providers: DataFrame, routes: DataFrame) -> DataFrame:
+def ranked_quotes(quotes: DataFrame, providers: DataFrame, routes: DataFrame, rank: Callable[..., DataFrame] = bucketed_rank) -> DataFrame:
     """The entries of C3's list as rows: lane, band, provider and rate with its
-    rank, cheapest first.  No task holds a whole lane."""
+    rank, cheapest first.  No task holds a whole lane.  ``rank``: ``bucketed_rank``
+    is lazy, ``range_rank`` stores the rows and evaluates the inputs for that alone."""
     q = join_dims(quotes, providers, routes).select(lane_label().alias("lane"), "weight_band_kg", "provider_name", RATE)
-    return bucketed_rank(q, ["lane", "weight_band_kg"], RATE, out="rate_rank")
+    return rank(q, ["lane", "weight_band_kg"], RATE, out="rate_rank")
 
 
 def volume_scenarios(quotes: DataFrame, providers: DataFrame, routes: DataFrame,
                      scenarios=DEFAULT_SCENARIOS, boundary: float = DEFAULT_BAND_BOUNDARY,
                      band_at_or_below: str = DEFAULT_BANDS[0],
-                     band_above: str = DEFAULT_BANDS[1]) -> DataFrame:
+                     band_above: str = DEFAULT_BANDS[1], rank: Callable[..., DataFrame] = bucketed_rank) -> DataFrame:
     """Total cost of each quote for each shipment size, ranked per route (C4).
 
     The reference joins on ``scenario_kg >= min_shipment_kg`` and then keeps
     the band picked by an OR rule.  Here each scenario is first mapped to
     its band, which turns the theta join into an equi-join on the band
     (hash join) followed by the ``>=`` filter.  The scenario list is an
-    argument, so its size is known and it is broadcast.
+    argument, so its size is known and it is broadcast.  ``rank`` as in
+    ``ranked_quotes``.
     """
     # Sizes are DECIMAL literals: with DECIMAL rates the cost stays exact, as
     # in the original arithmetic; with DOUBLE rates it is DOUBLE.
@@ -89,7 +100,7 @@ def volume_scenarios(quotes: DataFrame, providers: DataFrame, routes: DataFrame,
          .filter(F.col("scenario_kg") >= F.col("min_shipment_kg")))
     cost = _with_discount(_with_fuel(F.col("scenario_kg") * F.col(RATE)))
     # The rank orders by the unrounded cost; no route is sorted in one task.
-    ranked = bucketed_rank(j.withColumn("_cost", cost), ["scenario_label", "route_id"], "_cost", out="cost_rank")
+    ranked = rank(j.withColumn("_cost", cost), ["scenario_label", "route_id"], "_cost", out="cost_rank")
     return (ranked.select("scenario_label", "provider_name", lane_label().alias("lane"), "weight_band_kg", RATE,
                           "fuel_surcharge_pct", "volume_discount_pct",
                           round_half_up("_cost", 2).alias("total_cost_eur"), "cost_rank")

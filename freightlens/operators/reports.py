@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.functions.labels import (
@@ -172,37 +172,70 @@ REQUIRED = {"providers": ("provider_name",), "routes": ("origin_city", "origin_c
 REFERENCES = {"provider_id": "providers", "route_id": "routes"}
 
 
-def integrity_report(tables: dict[str, DataFrame], keys: dict[str, tuple[str, ...]] | None = None, partitions: int | None = None) -> DataFrame:
+def _key_rows(df: DataFrame, key: list[str], partitions: int | None) -> DataFrame:
+    """One row, ``dups``: rows beyond the first of each key without a NULL."""
+    known = df.select(*key).dropna()
+    if partitions:
+        known = known.repartition(partitions, *key)
+    return known.groupBy(*key).agg((F.count(F.lit(1)) - 1).alias("n")).agg(F.sum("n").alias("dups"))
+
+
+def integrity_report(tables: dict[str, DataFrame], keys: dict[str, tuple[str, ...]] | None = None,
+                     partitions: dict[str, int] | int | None = None) -> DataFrame:
     """Violations of the constraints of the core tables as rows (S10):
     ``table_name, check_name, column_name, violations``.
 
     ``null``: primary keys and required columns; ``duplicate``: rows beyond the
     first of a primary key (``keys`` replaces the schema's); ``orphan``: foreign
-    keys without a row in ``providers`` or ``routes``, counted per pair of ids
-    before the join.  A NULL foreign key is allowed.  Constraints on columns
-    that a table does not have are not checked.  ``partitions``: how many the
-    shuffle of single keys is dealt to.
+    keys without a row in ``providers`` or ``routes``.  A NULL foreign key is
+    allowed.  Constraints on columns that a table does not have are not checked.
+
+    A table is read once: grouping sets give the rows per key and, per pair of
+    foreign keys, the rows and NULLs.  The pairs of all tables together meet
+    the two parent tables once.  ``partitions`` names tables (a number: all)
+    whose single keys are to be dealt to so many tasks; their keys are counted
+    in a pass of their own, which reads the key alone.
     """
     keys = {**PRIMARY_KEYS, **(keys or {})}
-    parts = []
-    row = lambda df, t, check, c: df.select(F.lit(t).alias("table_name"), F.lit(check).alias("check_name"), F.lit(c).alias("column_name"),
-                                            F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
+    partitions = dict.fromkeys(tables, partitions) if isinstance(partitions, int) else partitions or {}
+    parents = {c: t for c, t in REFERENCES.items() if t in tables}
+    checks, parts = [], []
     for name, df in tables.items():
         key = [c for c in keys[name] if c in df.columns]
-        needed = [c for c in (*key, *REQUIRED.get(name, ())) if c in df.columns]
-        if needed:
-            one = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in needed]).unpivot([], needed, "column_name", "violations")
-            parts.append(one.select(F.lit(name).alias("table_name"), F.lit("null").alias("check_name"), "column_name", "violations"))
-        if key and len(key) == len(keys[name]):
-            known = df.select(*key).dropna()
-            if partitions:
-                known = known.repartition(partitions, *key)
-            dups = known.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(F.sum(F.col("n") - 1).alias("violations"))
-            parts.append(row(dups, name, "duplicate", ",".join(key)))
-        foreign = [c for c in REFERENCES if c in df.columns and REFERENCES[c] != name and REFERENCES[c] in tables]
-        if foreign:
-            counted = df.groupBy(*foreign).agg(F.count(F.lit(1)).alias("n"))
-            for c in foreign:
-                lost = counted.where(F.col(c).isNotNull()).join(tables[REFERENCES[c]].select(c), c, "left_anti")
-                parts.append(row(lost.agg(F.sum("n").alias("violations")), name, "orphan", c))
-    return reduce(DataFrame.unionByName, parts)
+        whole = bool(key) and len(key) == len(keys[name])
+        needed = list(dict.fromkeys(c for c in (*key, *REQUIRED.get(name, ())) if c in df.columns))
+        foreign = [c for c, t in parents.items() if c in df.columns and t != name]
+        checks += [(name, "null", c) for c in needed] + [(name, "duplicate", ",".join(key))] * whole + [(name, "orphan", c) for c in foreign]
+        own = df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], *[F.col(c).alias(f"_f{c}") for c in foreign],
+                        *[F.col(c).isNull().alias(f"_n{c}") for c in needed])
+        k, f = [F.col(f"_k{i}") for i in range(len(key))], [F.col(f"_f{c}") for c in foreign]
+        apart = whole and name in partitions
+        sets = [f] + ([k] if whole and not apart else [])
+        groups = own.groupingSets(sets, *f, *(k if len(sets) > 1 else [])).agg(
+            F.grouping_id().alias("_g"), F.count(F.lit(1)).alias("n"), *[F.count_if(f"_n{c}").alias(f"_n{c}") for c in needed]) if f or len(sets) > 1 else own.agg(
+            F.lit(0).alias("_g"), F.count(F.lit(1)).alias("n"), *[F.count_if(f"_n{c}").alias(f"_n{c}") for c in needed])
+        # the pairs' set lacks the key columns (the lowest bits), the keys' set has them
+        pairs = F.col("_g") == (2 ** len(k) - 1 if len(sets) > 1 else 0)
+        present = reduce(lambda a, b: a & b, [c.isNotNull() for c in k], F.lit(True))
+        dups = F.sum(F.when(~pairs & present, F.col("n") - 1)) if len(sets) > 1 else F.lit(None).cast("long")
+        small = groups.groupBy(*[c.alias(f"of_{x}") for c, x in zip(f, foreign, strict=True)]).agg(
+            F.sum(F.when(pairs, F.col("n"))).alias("n"), dups.alias("dups"), *[F.sum(F.when(pairs, F.col(f"_n{c}"))).alias(f"null_{c}") for c in needed])
+        parts.append(small.withColumn("t", F.lit(name)))
+        if apart:
+            parts.append(_key_rows(df, key, partitions[name]).withColumn("t", F.lit(name)))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    for c, t in parents.items():
+        if f"of_{c}" in rows.columns:
+            rows = rows.join(tables[t].select(F.col(c).alias(f"of_{c}"), F.lit(True).alias(f"known_{c}")).distinct(), f"of_{c}", "left")
+
+    def violations(name: str, check: str, c: str) -> Column:
+        if check == "orphan":
+            n = F.when(F.col(f"of_{c}").isNotNull() & F.col(f"known_{c}").isNull(), F.col("n"))
+        else:
+            n = F.col("dups" if check == "duplicate" else f"null_{c}")
+        return F.coalesce(F.sum(F.when(F.col("t") == name, n)), F.lit(0))
+
+    found = rows.agg(*[violations(*x).cast("bigint").alias(f"v{i}") for i, x in enumerate(checks)])
+    listed = F.array(*[F.struct(F.lit(t).alias("table_name"), F.lit(k).alias("check_name"), F.lit(c).alias("column_name"), F.col(f"v{i}").alias("violations"))
+                       for i, (t, k, c) in enumerate(checks)])
+    return found.select(F.inline(listed))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from freightlens.functions.labels import NO_DELAY, SLA_BREACHED, SLA_MET, lane_label, month_label
 from freightlens.functions.numeric import div_half_up, from_units, pct, pct_half_up, sum_units
 from freightlens.plans.joins import join_dims
+from freightlens.plans.totals import with_total
 
 DELIVERED, DELAYED, DAMAGED = "Delivered", "Delayed", "Damaged"
 
@@ -42,20 +43,19 @@ def delay_pareto(shipments: DataFrame, no_delay_label: str = NO_DELAY) -> DataFr
     """Frequency, share, cost and complaints per delay reason.
 
     Groups on the raw reason, so a NULL reason and a literal ``No Delay``
-    stay two rows.  The share divides by the total over the grouped rows, a
-    one-row aggregate that is joined back: reasons are free text, so their
-    number may grow with the data.
+    stay two rows.  The shipments are read once: ROLLUP gives the reasons and
+    their total together.  Reasons are free text, so their number may grow
+    with the data; no task sees all of them.
     """
-    g = shipments.groupBy("delay_reason").agg(
+    g = with_total(shipments, ["delay_reason"], [
         F.count(F.lit(1)).alias("frequency"),
         sum_units("total_cost_eur").alias("_cost_c"),
-        F.count_if(F.col("customer_complaint")).alias("complaints"))
-    return (g.withColumn("_total", g.agg(F.sum("frequency")).scalar())
-            .select(F.coalesce(F.col("delay_reason"), F.lit(no_delay_label)).alias("delay_reason"),
-                    "frequency",
-                    pct_half_up("frequency", "_total", 2).alias("pct_of_total"),
-                    from_units("_cost_c").alias("total_freight_affected_eur"),
-                    "complaints")
+        F.count_if(F.col("customer_complaint")).alias("complaints")], {"_total": "frequency"})
+    return (g.select(F.coalesce(F.col("delay_reason"), F.lit(no_delay_label)).alias("delay_reason"),
+                     "frequency",
+                     pct_half_up("frequency", "_total", 2).alias("pct_of_total"),
+                     from_units("_cost_c").alias("total_freight_affected_eur"),
+                     "complaints")
             .orderBy(F.col("frequency").desc()))
 
 
