@@ -7,6 +7,8 @@ result types match the DuckDB oracle in ``freightlens.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -18,7 +20,8 @@ from freightlens import operators as op
 from freightlens.functions.labels import lane_label
 from freightlens.functions.numeric import from_units, sum_units
 from freightlens.plans.joins import join_dims
-from freightlens.plans.materialize import write_checkpoint_table
+from freightlens.operators import history_store
+from freightlens.plans.materialize import app_folder, write_checkpoint_table
 from freightlens.plans.ranking import range_rank
 from freightlens.plans.sizing import input_bytes, partitions_for, scaled_shuffle
 from freightlens.sources import testdata as td
@@ -35,6 +38,11 @@ SCENARIOS = dict(scenarios=((15, "15kg scenario"), (40, "40kg scenario")), bound
 # Slicer choices of the sliced report queries.
 LANES = ("ASIA → EUROPE", "EUROPE → ASIA", "EUROPE → AMERICA", "AFRICA → AFRICA")
 PROVIDERS = ("NATION_2", "NATION_3", "NATION_8")
+MONTHS = tuple(dt.date(1996, m, 1) for m in (1, 2, 3))
+# On-time share that the chosen providers miss in some months of the test data.
+MISSED_SHARE = 65.0
+# First day of the shipments that the stored history gets later.
+NEW_FROM = "1998-01-01"
 # The derived tables have no surrogate keys.
 KEYS = {"quotes": ("provider_id", "route_id", "weight_band_kg"), "performance_history": ("provider_id", "route_id", "month_year")}
 
@@ -54,11 +62,11 @@ class Inputs:
         self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
         self._cache: dict[str, DataFrame] = {}
 
-    def _get(self, name, build, store: bool = False, keep: bool = False):
+    def _get(self, name, build, store: bool = False, keep: bool = False, partition_by: list[str] | None = None):
         if name not in self._cache:
             df = build()
             if store and self.materialize:
-                df = write_checkpoint_table(df, name)
+                df = write_checkpoint_table(df, name, partition_by)
                 if keep:  # small tables: keep in memory, re-read from the parquet if lost
                     df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._cache[name] = df
@@ -82,7 +90,20 @@ class Inputs:
         # The build shuffles whole fact tables: size the partitions from the input.
         paths = [f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in td.FACT_SOURCES]
         with scaled_shuffle(self.spark, paths):
-            return self._get("facts", build, store=True)
+            return self._get("facts", build, store=True, partition_by=[td.MONTH])
+
+    @property
+    def stored_sources(self):
+        """Lines and orders bucketed by order."""
+        if "stored_sources" not in self._cache:
+            paths = [f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders")]
+            with scaled_shuffle(self.spark, paths) as buckets:
+                self._cache["stored_sources"] = td.bucketed_sources(self.spark, self.sf_dir, buckets)
+        return self._cache["stored_sources"]
+
+    def shipments_in(self, months):
+        """The shipments of some months, read from those months' partitions."""
+        return td.shipments_from_facts(td.facts_in_months(self.facts, months))
 
     @property
     def shipments(self):
@@ -168,6 +189,25 @@ def _known_shipments(i: Inputs) -> DataFrame:
     return i.shipments.join(ids, "provider_id", "left_semi").join(i.routes.select("route_id"), "route_id", "left_semi")
 
 
+def _kept_up_to_date(i: Inputs) -> DataFrame:
+    """The monthly history of a store built from the shipments before ``NEW_FROM``, to which the later ones are added."""
+    path = f"{app_folder(i.spark)}/history-store-{uuid.uuid4().hex}"
+    new = F.coalesce(F.col("shipment_date") >= F.lit(NEW_FROM).cast("date"), F.lit(False))
+    history_store.create(i.shipments.where(~new), path, lead_days=td.lead_time_days())
+    history_store.add(i.shipments.where(new), path, "new", lead_days=td.lead_time_days())
+    return history_store.history(i.spark, path, i.providers)
+
+
+def _order_punctuality(i: Inputs) -> DataFrame:
+    """Per order priority: orders with lines, those delivered whole on time, and
+    their lines; lines are grouped by order and joined with the orders in place."""
+    lines, orders = i.stored_sources
+    per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_returnflag") != "R").alias("on_time"))
+    j = per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
+    return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"), F.count_if(F.col("n") == F.col("on_time")).alias("whole_orders_on_time"),
+                                            F.sum("n").alias("lines"), F.sum("on_time").alias("lines_on_time"))
+
+
 def _integrity(i: Inputs) -> DataFrame:
     tables = {"providers": i.providers, "routes": i.routes, "quotes": i.quotes, "shipments": i.shipments, "performance_history": i.history}
     return op.integrity_report(tables, KEYS, {"shipments": i.line_partitions})
@@ -213,6 +253,11 @@ def _query_table() -> dict[str, Callable[[Inputs], DataFrame]]:
         "report_summary_sliced": lambda i: op.report_summary(i.v_scorecard, lanes=LANES, good=RAG_GOOD, at_risk=RAG_AT_RISK),
         "report_radar_sliced": lambda i: op.report_radar(op.measure_scores(i.v_scorecard, lanes=LANES)),
         "report_trend_sliced": lambda i: op.report_trend(i.history, i.providers, i.routes, LANES, PROVIDERS),
+        "status_in_months": lambda i: op.status_by_provider(i.shipments_in(MONTHS), i.providers, i.routes),
+        "complaints_in_missed_months": lambda i: op.complaints_by_provider(i.shipments_in(op.missed_months(i.history, i.providers, PROVIDERS, MISSED_SHARE)),
+                                                                           i.providers, i.routes),
+        "rollup_kept_up_to_date": _kept_up_to_date,
+        "order_punctuality": _order_punctuality,
         "delay_pareto_drilled": lambda i: op.delay_pareto(_known_shipments(i)),
     }
 

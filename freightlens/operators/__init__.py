@@ -1,3 +1,4 @@
+from freightlens.operators import history_store  # noqa: F401
 from freightlens.operators.alerts import rolling_on_time, sla_alerts  # noqa: F401
 from freightlens.operators.measures import (  # noqa: F401
     kpis,
@@ -18,6 +19,7 @@ from freightlens.operators.reports import (  # noqa: F401
     drill_through,
     integrity_report,
     lane_overview,
+    missed_months,
     report_radar,
     report_summary,
     report_trend,

@@ -135,6 +135,15 @@ def complaints_by_provider(shipments: DataFrame, providers: DataFrame, routes: D
     return j.groupBy("provider_name").agg(F.sum("complaints").alias("complaints"))
 
 
+def missed_months(history: DataFrame, providers: DataFrame, provider_names: list[str], share: float) -> DataFrame:
+    """``ship_month``: the months in which the chosen providers together
+    delivered less than ``share`` percent on time."""
+    ids = providers.where(F.col("provider_name").isin(list(provider_names))).select("provider_id")
+    g = history.join(ids, "provider_id", "left_semi").groupBy(F.col("month_year").alias("ship_month")).agg(
+        F.sum("on_time_count").alias("_on"), F.sum("total_shipments").alias("_all"))
+    return g.where(100 * F.col("_on") < F.lit(float(share)) * F.col("_all")).select("ship_month")
+
+
 def lane_overview(v_scorecard: DataFrame, shipments: DataFrame, v_trend: DataFrame, providers: DataFrame,
                   routes: DataFrame) -> DataFrame:
     """One row per provider x lane combining the three facts.

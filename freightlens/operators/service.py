@@ -59,19 +59,15 @@ def delay_pareto(shipments: DataFrame, no_delay_label: str = NO_DELAY) -> DataFr
             .orderBy(F.col("frequency").desc()))
 
 
-def roll_up_history(shipments: DataFrame, providers: DataFrame | None = None,
-                    lead_days: Column | None = None) -> DataFrame:
-    """Monthly KPI roll-up of shipments into the performance-history shape.
+# Sums of the monthly history that add up: days to months, batches to a whole.
+PARTS = ("total_shipments", "on_time_count", "delayed_count", "damaged_count", "_lead_sum", "_lead_n", "_weight_c", "_cost_c")
 
-    A shipment counts in the month of its ``shipment_date``.  Cost per kg
-    is SUM(cost) / SUM(weight) of the month (weighted), rounded to 4
-    places; lead time is the mean of ``lead_days`` (default: days from
-    shipment to actual delivery), rounded to 2.  ``sla_breached`` flags a
-    month whose on-time % is below the provider's threshold.
-    """
+
+def history_parts(shipments: DataFrame, lead_days: Column | None = None, *more: str) -> DataFrame:
+    """``PARTS`` per provider, route and month (and ``more`` columns): counts and
+    exact integer sums (days, cents)."""
     lead = lead_days if lead_days is not None else F.datediff("actual_delivery", "shipment_date")
-    g = shipments.groupBy("provider_id", "route_id",
-                          F.trunc("shipment_date", "month").alias("month_year")).agg(
+    return shipments.groupBy("provider_id", "route_id", F.trunc("shipment_date", "month").alias("month_year"), *more).agg(
         F.count(F.lit(1)).alias("total_shipments"),
         F.count_if(F.col("status") == DELIVERED).alias("on_time_count"),
         F.count_if(F.col("status") == DELAYED).alias("delayed_count"),
@@ -80,8 +76,11 @@ def roll_up_history(shipments: DataFrame, providers: DataFrame | None = None,
         F.count(lead).alias("_lead_n"),
         sum_units("weight_kg").alias("_weight_c"),
         sum_units("total_cost_eur").alias("_cost_c"))
-    # Exact integer sums (days, cents); both means are rounded exactly from them.
-    h = g.select(
+
+
+def history_of_parts(parts: DataFrame, providers: DataFrame | None = None) -> DataFrame:
+    """The history rows of ``history_parts``; both means are rounded exactly from the sums."""
+    h = parts.select(
         "provider_id", "route_id", "month_year", "total_shipments", "on_time_count", "delayed_count",
         "damaged_count",
         div_half_up("_lead_sum", "_lead_n", 2, scale=0).cast("decimal(9,2)").alias("avg_lead_time_days"),
@@ -96,6 +95,21 @@ def roll_up_history(shipments: DataFrame, providers: DataFrame | None = None,
             .drop("sla_threshold"))
 
 
+def roll_up_history(shipments: DataFrame, providers: DataFrame | None = None,
+                    lead_days: Column | None = None) -> DataFrame:
+    """Monthly KPI roll-up of shipments into the performance-history shape.
+
+    A shipment counts in the month of its ``shipment_date``.  Cost per kg
+    is SUM(cost) / SUM(weight) of the month (weighted), rounded to 4
+    places; lead time is the mean of ``lead_days`` (default: days from
+    shipment to actual delivery), rounded to 2.  ``sla_breached`` flags a
+    month whose on-time % is below the provider's threshold.  The history's
+    columns hold a group of up to 10^16 EUR; a larger one is an error.
+    ``history_store`` keeps the same roll-up up to date.
+    """
+    return history_of_parts(history_parts(shipments, lead_days), providers)
+
+
 def monthly_trend(history: DataFrame, providers: DataFrame, routes: DataFrame) -> DataFrame:
     """History rows with month label and on-time % to 2 places."""
     j = join_dims(history, providers, routes)

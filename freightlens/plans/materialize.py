@@ -55,8 +55,8 @@ def write_checkpoint_table(df: DataFrame, name: str, partition_by: list[str] | N
     """
     spark = df.sparkSession
     path = f"{app_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if partition_by:  # rows of a partition meet in few tasks: small ones together, a large one in several
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

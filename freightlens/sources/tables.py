@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DecimalType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DataType, DecimalType, IntegerType, LongType, StringType, StructField, StructType
 
 from freightlens.sources import schemas
 
@@ -60,6 +60,59 @@ def read_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet")
     return apply_defaults(df, table)
 
 
+def _cell(c: str, t: DataType) -> tuple[Column, Column]:
+    """The cell of column ``c`` as type ``t``, and what is wrong with it (null: nothing)."""
+    raw = F.col(c)
+    if isinstance(t, BooleanType):
+        v = F.lower(F.trim(raw))
+        value = F.when(v.isin("1", "true", "t", "yes"), F.lit(True)).when(v.isin("0", "false", "f", "no"), F.lit(False))
+    elif isinstance(t, DecimalType):  # too many places or digits are wrong, not rounded
+        wide = F.expr(f"try_cast(`{c}` AS DECIMAL(38,{t.scale}))")
+        value = F.expr(f"try_cast(`{c}` AS {t.simpleString()})")
+        value = F.when(value.eqNullSafe(wide) & (F.expr(f"try_cast(`{c}` AS DECIMAL(38,18))") == value), value)
+    else:
+        value = F.expr(f"try_cast(`{c}` AS {t.simpleString()})")
+    wrong = F.when(raw.isNotNull() & value.isNull(), F.concat(F.lit(f"{c}: not {t.simpleString()}: "), raw))
+    return value.alias(c), wrong
+
+
+def read_with_rejects(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """The good rows of a core table in CSV, and the rejects.
+
+    The good rows are those ``read_table`` would give.  A reject is
+    ``file, line, reasons``: the source file, the line's cells as JSON and an
+    array of what is wrong - a cell that is not of its column's type (with a
+    boolean's or decimal's own rules), a required column that is NULL, or a line
+    with more or fewer cells than the header.  Every line is in exactly one of
+    the two, and neither needs a shuffle.  ``read_table`` stays the strict
+    reader, which stops at the first bad cell.
+    """
+    fields = {f.name: f for f in schemas.TABLES[table].fields}
+    header = spark.read.option("header", True).csv(path).columns
+    text = StructType([*[StructField(c, StringType(), True) for c in header], StructField("_corrupt", StringType(), True)])
+    raw = (spark.read.option("header", True).option("nullValue", "NULL").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+           .schema(text).csv(path).withColumn("_file", F.col("_metadata.file_path")))
+    cells = {c: _cell(c, fields[c].dataType) for c in header if c in fields}
+    required = [F.when(F.col(c).isNull(), F.lit(f"{c}: missing")) for c in cells if not fields[c].nullable]
+    broken = F.when(F.col("_corrupt").isNotNull(), F.lit("line: not as many cells as the header"))
+    checked = raw.withColumn("_reasons", F.array_compact(F.array(broken, *[wrong for _, wrong in cells.values()], *required)))
+    good = apply_defaults(checked.where(F.size("_reasons") == 0).select(*[value for value, _ in cells.values()]), table)
+    line = F.to_json(F.struct(*[F.col(c) for c in header], F.col("_corrupt")))
+    rejects = checked.where(F.size("_reasons") > 0).select(F.col("_file").alias("file"), line.alias("line"), F.col("_reasons").alias("reasons"))
+    return good, rejects
+
+
+def quarantine(rejects: DataFrame, path: str, load: str) -> DataFrame:
+    """Append rejects to a quarantine table, in the partition of this load, and
+    return its counts: ``load, file, reason, rows`` (a line counts once for
+    each of its reasons).  The partition of a load that is run again is replaced."""
+    spark = rejects.sparkSession
+    (rejects.withColumn("load", F.lit(load)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(path))
+    kept = spark.read.schema("file string, line string, reasons array<string>, load string").parquet(path).where(F.col("load") == load)
+    reason = F.regexp_extract("reason", "^([^:]*: [^:]*)", 1)
+    return kept.select("load", "file", F.explode("reasons").alias("reason")).withColumn("reason", reason).groupBy("load", "file", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Idempotent rebuild (S8): replace whatever was at ``path``."""
     w = df.write.mode("overwrite")

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlens.functions.numeric import round_half_up, safe_div
+from freightlens.plans.bucketing import store_bucketed
 
 # Tables read by the shipment-fact build.
 FACT_SOURCES = ("lineitem", "orders", "customer", "supplier", "nation")
@@ -41,8 +42,22 @@ FACT_SOURCES = ("lineitem", "orders", "customer", "supplier", "nation")
 BAND_BOUNDS = (15, 35)
 
 
+# Types of the source tables: a scan does not take them from the files, and a
+# file with another type is an error.
+SOURCES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*cols)
+    return spark.read.schema(SOURCES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*cols)
 
 
 def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,26 +84,45 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routes_from_facts(shipment_facts(spark, sf_dir), spark, sf_dir)
 
 
-def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                 "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+                 "l_linestatus", "l_shipdate")
+
+
+def _regions(spark: SparkSession, sf_dir: str, key: str, name: str) -> DataFrame:
+    nr = _read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
+    return nr.select(F.col("n_nationkey").alias(key), F.col("n_regionkey").cast("int").alias(name))
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders with the region they go to."""
+    o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    c = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    return (o.join(c, o.o_custkey == c.c_custkey, "left").join(_regions(spark, sf_dir, "c_nationkey", "_dest"), "c_nationkey", "left")
+            .select("o_orderkey", "o_orderdate", "o_orderpriority", "_dest"))
+
+
+def bucketed_sources(spark: SparkSession, sf_dir: str, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Lines and orders stored in equally many buckets of the order key: every
+    later join of the two, and every grouping by order, runs without a shuffle."""
+    return (store_bucketed(_lines(spark, sf_dir), "lines", ["l_orderkey"], buckets),
+            store_bucketed(_orders(spark, sf_dir), "orders", ["o_orderkey"], buckets))
+
+
+def enriched_lines(spark: SparkSession, sf_dir: str, stored: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Every lineitem with provider, route and order attributes attached.
 
     Left joins throughout: no line is lost to a missing or unknown key.
     ``orders ⋈ customer``, ``lineitem ⋈ orders`` and ``lineitem ⋈ supplier``
     are joins between tables that grow with the data: the planner shuffles
     both sides on the key, or broadcasts a side that its size estimate (or
-    AQE, at run time) finds small.
+    AQE, at run time) finds small.  With ``stored`` (``bucketed_sources``)
+    the lines meet their orders without an exchange on either side.
     """
-    li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-               "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-               "l_linestatus", "l_shipdate")
-    o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    c = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    nr = _read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
+    li, orders = stored or (_lines(spark, sf_dir), _orders(spark, sf_dir))
     s = _read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    region = lambda key, name: nr.select(F.col("n_nationkey").alias(key), F.col("n_regionkey").cast("int").alias(name))
-    orders = (o.join(c, o.o_custkey == c.c_custkey, "left").join(region("c_nationkey", "_dest"), "c_nationkey", "left")
-              .select("o_orderkey", "o_orderdate", "o_orderpriority", "_dest"))
-    suppliers = s.join(region("s_nationkey", "_origin"), "s_nationkey", "left")
+    suppliers = s.join(_regions(spark, sf_dir, "s_nationkey", "_origin"), "s_nationkey", "left")
     return (li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
             .join(suppliers, li.l_suppkey == suppliers.s_suppkey, "left")
             .withColumn("provider_id", F.col("s_nationkey").cast("int"))
@@ -98,16 +132,31 @@ def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 RATE_COLUMNS = ("l_quantity", "l_extendedprice", "l_tax", "l_discount")
 
 
-def shipment_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+# The facts are stored by the month of their ship date.
+MONTH = "ship_month"
+
+
+def shipment_facts(spark: SparkSession, sf_dir: str, stored: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """One row per lineitem with the join results attached: the narrow set
     of raw columns from which every shipments column and the rate card are
     derived.  This is what gets materialised; derived columns are computed
-    on read, so columns no query uses are neither stored nor read."""
-    e = enriched_lines(spark, sf_dir)
+    on read, so columns no query uses are neither stored nor read.
+    ``ship_month``, the first day of the month, is the partition column;
+    ``stored`` as in ``enriched_lines``."""
+    e = enriched_lines(spark, sf_dir, stored)
     return e.select(
         "l_orderkey", "l_linenumber", "provider_id", "route_id",
         F.to_date("l_shipdate").alias("ship_date"), F.to_date("o_orderdate").alias("order_date"),
-        *RATE_COLUMNS, "l_returnflag", "l_linestatus", "o_orderpriority", "l_partkey")
+        *RATE_COLUMNS, "l_returnflag", "l_linestatus", "o_orderpriority", "l_partkey", F.trunc(F.to_date("l_shipdate"), "month").alias(MONTH))
+
+
+def facts_in_months(facts: DataFrame, months: list | DataFrame) -> DataFrame:
+    """The facts of the chosen months (first days, or a DataFrame with a column
+    ``ship_month``).  Stored facts are pruned to those partitions: by the plan
+    for a list, at run time for a DataFrame (dynamic partition pruning)."""
+    if isinstance(months, DataFrame):
+        return facts.join(months.select(MONTH), MONTH, "left_semi")
+    return facts.where(F.col(MONTH).isin(list(months)))
 
 
 def with_part_type(facts: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 
 from conftest import D, d, make
 
-from freightlens.sources import apply_defaults, read_table, read_view_csv, write_view_csv
+from freightlens.sources import apply_defaults, quarantine, read_table, read_view_csv, read_with_rejects, write_view_csv
 from freightlens.sources.tables import write_table
 
 
@@ -87,3 +87,52 @@ def test_absent_columns_take_their_default_and_bad_cells_are_errors(spark):
     path = os.path.join(base, "narrow")
     make(spark, "providers", [{"provider_id": 1, "provider_name": "Alpha"}]).select("provider_id", "provider_name").write.parquet(path)
     assert read_table(spark, path, "providers").first().eu_presence is True
+
+
+HEADER = "shipment_id,provider_id,shipment_date,weight_kg,total_cost_eur,customer_complaint"
+GOOD = ["1,1,2024-01-02,550.00,193.05,0", "2,NULL,2024-01-03,NULL,32.00,true", "3,2,2024-01-03,7,32.5,NULL"]
+BAD = {"4,1,2024-01-02,abc,5.00,1": ["weight_kg: not decimal(10,2): abc"],
+       "5,x,2024-13-02,1.00,5.00,maybe": ["provider_id: not int: x", "shipment_date: not date: 2024-13-02", "customer_complaint: not boolean: maybe"],
+       "NULL,1,2024-01-02,1.00,5.00,1": ["shipment_id: missing"],
+       "6,1,2024-01-02,1.005,5.00,1": ["weight_kg: not decimal(10,2): 1.005"],
+       "7,1,2024-01-02": ["line: not as many cells as the header"],
+       "8,1,2024-01-02,1.00,5.00,1,9": ["line: not as many cells as the header"]}
+
+
+def _csv(lines):
+    path = os.path.join(tempfile.mkdtemp(prefix="fl-rej-csv-"), "shipments.csv")
+    with open(path, "w", newline="") as f:
+        f.write("\r\n".join([HEADER, *lines]) + "\r\n")
+    return path
+
+
+def test_bad_rows_go_to_the_rejects_with_their_reasons(spark):
+    lines = [x for pair in zip(GOOD, BAD, strict=False) for x in pair] + list(BAD)[3:]
+    path = _csv(lines)
+    good, rejects = read_with_rejects(spark, path, "shipments")
+    strict = read_table(spark, _csv(GOOD), "shipments", "csv")
+    assert good.dtypes == strict.dtypes and sorted(map(str, good.collect())) == sorted(map(str, strict.collect()))
+    got = rejects.collect()
+    assert sorted(r.reasons for r in got) == sorted(BAD.values())
+    assert all(r.file.endswith("shipments.csv") for r in got) and any('"weight_kg":"abc"' in r.line for r in got)
+    with pytest.raises(Exception):
+        read_table(spark, path, "shipments", "csv").collect()
+    for df in (good, rejects):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quarantine_counts_and_a_repeated_load(spark):
+    table = os.path.join(tempfile.mkdtemp(prefix="fl-quar-"), "rejects")
+    _, rejects = read_with_rejects(spark, _csv([*GOOD, *BAD]), "shipments")
+    for _ in range(2):  # the same load again replaces its rows
+        counts = {r.reason: r.rows for r in quarantine(rejects, table, "day1").collect()}
+        assert counts == {"weight_kg: not decimal(10,2)": 2, "provider_id: not int": 1, "shipment_date: not date": 1, "customer_complaint: not boolean": 1,
+                          "shipment_id: missing": 1, "line: not as many cells as the header": 2}
+    quarantine(read_with_rejects(spark, _csv(list(BAD)[:1]), "shipments")[1], table, "day2")
+    assert spark.read.parquet(table).groupBy("load").count().orderBy("load").collect() == [("day1", 6), ("day2", 1)]
+
+
+def test_rejects_of_a_clean_or_empty_file(spark):
+    for lines in (GOOD, []):
+        good, rejects = read_with_rejects(spark, _csv(lines), "shipments")
+        assert (good.count(), rejects.count()) == (len(lines), 0)
