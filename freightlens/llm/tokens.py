@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freightlens.llm.common import Scratch, Words, slices
@@ -133,6 +133,13 @@ def encoder_for(path: str, end: int, by_word: bool = True) -> Encoder:
 
 # ---------------------------------------------------------------- files
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system, as Spark resolves it: a path without a
+    scheme lies on the cluster's default file system, not on a task's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _open(folder: str) -> tuple[pafs.FileSystem, str]:
     if "://" in folder or folder.startswith("file:"):
         return pafs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder[5:])
@@ -213,6 +220,8 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end: int = 1,
     table writes no shard.
     """
 
+    folder = qualified(docs.sparkSession, folder)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, sequences, n_docs = encoder_for(tokenizer, end, by_word), None, 0
         shard, (fs, base) = TaskContext.get().partitionId(), _open(folder)
@@ -250,6 +259,7 @@ def read_documents(shards: DataFrame, folder: str) -> DataFrame:
     documents before it.  One task reads one or a few shards, a piece at a time."""
     before = F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     files = shards.select("file", F.coalesce(before, F.lit(0)).alias("base"))  # one row per file
+    folder = qualified(shards.sparkSession, folder)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _open(folder)

@@ -104,3 +104,15 @@ def test_step_groups_have_one_context_and_little_difference():
         contexts.setdefault(g, set()).add(context)
     assert all(len(c) == 1 for c in contexts.values()) and max(tokens_of.values()) <= 8192
     assert sum(n for *_, n in left) < 2048
+
+
+def test_a_path_without_a_scheme_lies_on_the_default_file_system(spark):
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert tokens.qualified(spark, "/shared/x") == "file:/shared/x"
+    conf.set("fs.defaultFS", "hdfs://127.0.0.1:9")  # never connected to
+    try:
+        assert tokens.qualified(spark, "/shared/x") == "hdfs://127.0.0.1:9/shared/x"
+        assert tokens.qualified(spark, "file:/own/x") == "file:/own/x"
+    finally:
+        conf.set("fs.defaultFS", before)
