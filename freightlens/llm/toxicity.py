@@ -49,23 +49,34 @@ def tokens(texts: pa.Array) -> Words:
 
 
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments ``(first, last, score)`` of a sequence."""
-    parts: list[list] = []  # first, last, total before, total after
+    """All maximal scoring segments ``(first, last, score)`` of a sequence.
+
+    Each open segment links to the nearest earlier one with a smaller total
+    before it, so the segments between are passed over at once: linear time.
+    """
+    first: list[int] = []
+    last: list[int] = []
+    left: list[float] = []  # total before the segment
+    right: list[float] = []  # total at its end
+    link: list[int] = []
     total = 0.0
     for i, s in enumerate(scores):
         if s > 0:
-            part = [i, i, total, total + s]
+            start, before, after = i, total, total + s
+            j = len(first) - 1
             while True:
-                j = len(parts) - 1
-                while j >= 0 and parts[j][2] >= part[2]:
-                    j -= 1
-                if j < 0 or parts[j][3] >= part[3]:
-                    parts.append(part)
+                while j >= 0 and left[j] >= before:
+                    j = link[j]
+                if j < 0 or right[j] >= after:
                     break
-                part = [parts[j][0], part[1], parts[j][2], part[3]]
-                del parts[j:]
+                start, before, up = first[j], left[j], link[j]  # joined with all from there on
+                for x in (first, last, left, right, link):
+                    del x[j:]
+                j = up
+            for x, v in zip((first, last, left, right, link), (start, i, before, after, j), strict=True):
+                x.append(v)
         total += s
-    return [(a, b, r - l) for a, b, l, r in parts]
+    return [(a, b, r - l) for a, b, l, r in zip(first, last, left, right, strict=True)]
 
 
 @dataclass

@@ -1,5 +1,6 @@
 """Toxicity, quality, licence and mixing operators."""
 
+import random
 import re
 from collections import Counter
 
@@ -151,6 +152,18 @@ def test_held_out_accuracy_on_driver_labels(spark, con, texts):
     assert len(wrong) <= 0.05 * len(label)
 
 
+def test_segments_of_a_long_text_take_linear_time():
+    """Rising and falling scores leave many open segments; the former walk back took minutes for these."""
+    import time
+
+    rng = random.Random(1)
+    for scores in ([0.5 if i % 2 else -0.4 for i in range(400_000)], [1.0 if i % 2 else -1.5 for i in range(400_000)],
+                   [rng.choice([2.0, -2.1]) for _ in range(400_000)], [x for i in range(200_000) for x in (1.0 + i % 7, -8.0)]):
+        began = time.perf_counter()
+        found = toxicity.maximal_segments(scores)
+        assert time.perf_counter() - began < 15 and found
+
+
 # ---------------------------------------------------------------- licences
 
 def license_brute(text):
@@ -164,13 +177,14 @@ def license_brute(text):
         places += at
         base |= {label} if at else set()
     own, best = set(), 0.0
-    for line in low.split("\n"):
-        have = set(cut(line))
-        for label, t in licenses.TEMPLATES:
-            t = set(t.split())
-            if 100 * len(have & t) >= licenses.PERCENT * len(t):
-                own.add(label)
-                best = max(best, len(have & t) / len(t))
+    for label, notice in licenses.TEMPLATES:
+        t, width = set(notice.split()), -(-len(notice.split()) * 100 // licenses.PERCENT)
+        if len(t & set(words)) * 100 < licenses.PERCENT * len(t):
+            continue
+        most = max(len(t & set(words[i:i + width])) for i in range(len(words)))  # over all blocks of so many words
+        if 100 * most >= licenses.PERCENT * len(t):
+            own.add(label)
+            best = max(best, most / len(t))
     return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | own)),
             1.0 if places else best)
 
@@ -195,6 +209,26 @@ def test_phrases_are_found_beyond_line_separators(spark):
     assert got == [(i, *license_brute(t)) for i, t in rows]
 
 
+def test_wrapped_and_scattered_notices_equal_brute_force_and_sql(spark):
+    """Where lines and blocks differ: notices over lines, cut, mixed with other words, or scattered."""
+    rows = []
+    for i, (_, notice) in enumerate(licenses.TEMPLATES):
+        w = notice.split()
+        rows += [(10 * i, "\n".join(" # " + " ".join(w[j:j + 4]) for j in range(0, len(w), 4))), (10 * i + 1, " ".join(f"{x} {prose(40, j)}" for j, x in enumerate(w))),
+                 (10 * i + 2, prose(90, i) + "\n" + " ".join(w[:-(len(w) // 6) or None]) + " " + prose(30, i)), (10 * i + 3, " x ".join(w)),
+                 (10 * i + 4, " ".join(x + (" y" if j % 4 == 3 else "") for j, x in enumerate(w))), (10 * i + 5, " ".join(w[:len(w) // 2]) + "\n" + prose(300, i) + " ".join(w[len(w) // 2:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r[:8]) for r in licenses.scan(df).collect())
+    assert got == sorted((i, *license_brute(t)) for i, t in rows)
+    import duckdb
+
+    c = duckdb.connect()
+    c.register("documents", df.toPandas())
+    from freightlens.llm.oracle import license_sql
+    assert sorted(c.sql(license_sql()).fetchall()) == got
+    assert 8 < sum(bool(r[6]) for r in got) < len(got) - 8
+
+
 def test_notices_cross_lines_and_scattered_words_are_none(spark):
     notices = {label: t for label, t in licenses.TEMPLATES if label in ("mit", "bsd", "mpl-2.0", "gpl-2.0")}
     rows = []
