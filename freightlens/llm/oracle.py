@@ -1,6 +1,6 @@
 """DuckDB SQL for the corpus queries that SQL can express.
 
-Each statement follows the query's definition directly - all pairs, all lines,
+Each statement follows the query's definition directly - all pairs, all blocks,
 all templates - without the filters, sketches or hashes of the operator.
 Learned scores, token ids, page trees and relaxed searches have none; tests
 hold those queries against brute force.
@@ -53,16 +53,19 @@ def license_sql() -> str:
         same = " AND ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(words))
         return f"list_filter(range(1, len(w) - {len(words)} + 2), lambda i: {same})"
 
-    notices = ", ".join(f"('{a}', ['{"', '".join(sorted(set(t.split())))}'])" for a, t in (x.split(": ") for x in NOTICES.strip().split("\n")))
+    # a block: so many words in a row that a notice in it may hold a quarter of other words
+    notices = ", ".join(f"('{a}', ['{"', '".join(sorted(set(t.split())))}'], {-(-len(t.split()) * 100 // 80)})"
+                        for a, t in (x.split(": ") for x in NOTICES.strip().split("\n")))
     labels = " UNION ALL ".join(f"SELECT k, '{label}' AS label FROM base WHERE len({places(p)}) > 0" for p, label in PHRASES.items())
     found = " || ".join(places(p) for p in PHRASES)
     return f"""
 WITH base AS (SELECT row_number() OVER () AS k, doc_id, {LOWER} AS t, {TERMS.format(LOWER)} AS w FROM documents),
 place AS (SELECT k, {found} AS p FROM base),
 phrase AS ({labels}),
-notice(label, words) AS (VALUES {notices}),
-line AS (SELECT k, list_distinct({TERMS.format("l")}) AS have FROM (SELECT k, unnest(string_split(t, chr(10))) AS l FROM base)),
-hit AS (SELECT k, label, len(list_intersect(have, words)) AS n, len(words) AS size FROM line CROSS JOIN notice WHERE 100 * n >= 80 * size),
+notice(label, words, width) AS (VALUES {notices}),
+cand AS (SELECT k, w, label, words, width, len(words) AS size FROM base CROSS JOIN notice WHERE 100 * len(list_intersect(list_distinct(w), words)) >= 80 * size),
+hit AS (SELECT k, label, size, list_max(list_transform(range(1, len(w) + 1), lambda i: len(list_intersect(list_distinct(w[i:i + width - 1]), words)))) AS n
+        FROM cand WHERE 100 * n >= 80 * size),
 own AS (SELECT k, max(n / size) AS best FROM hit GROUP BY k),
 every AS (SELECT k, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT k, label FROM phrase UNION SELECT k, label FROM hit) GROUP BY k),
 basic AS (SELECT k, string_agg(label, ',' ORDER BY label) AS labels FROM phrase GROUP BY k)
