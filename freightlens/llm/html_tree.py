@@ -11,25 +11,35 @@ each the (quadratic) chance that two pages with the node differ, so that 0 is
 "the same on every page" and 1 "different everywhere" whatever their number;
 pages with equal html count once.  Its importance mixes the two: a node with many
 styles is judged by them, one with a single style by the content below it.
-Branches of low importance are removed from every page of the host.  Elements
-that say what they are (``nav``, ``footer``, a class word ``ad`` ...) have that
-importance 0 beforehand, as such texts may differ from page to page; ``article``
-and ``main`` keep their text blocks.  A host needs ``MIN_PAGES`` pages with the
-node for its own statistics to count.
-
-On Spark: page statistics are combined per batch and per host and path, the
-removable paths of a host are one row, and pages join it by host.
+Branches of low importance are removed from every page of the host.
+
+Inside ``article`` and ``main`` the leaves are judged one by one: the importance
+of a text is the chance that another page of the site does not have it, so a
+notice that stands in every article goes.  Where such texts are more than half
+of an article, the pages are copies of each other and it stays whole.
+
+What an element says of itself comes first: ``nav``, ``footer``, ``form``,
+``script`` and the like, hidden elements, and whole class or role words such as
+``ad`` or ``comment-list`` are not main text, as such texts may differ from page
+to page.  A part of a class word (``has-sidebar``) and the id of a heading or
+paragraph say nothing.  A page with nothing besides elements named so by a class
+keeps their text.  A host needs ``MIN_PAGES`` pages with the node, or with
+articles, for its own statistics to count.
+
+On Spark: pages give rows of 64-bit hashes, equal pages fall together, and the
+removable nodes and texts of a host are one row, which its pages join.  Parsing
+is linear in the html.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +49,7 @@ from freightlens.llm.urls import host_of
 MIN_PAGES = 8
 LOW = 0.2
 GAMMA = 0.9
-DEPTH = 24  # deeper elements count as part of the node at this depth
+HALF = 0.5
 
 # Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,87 +66,136 @@ NOISE_WORDS = frozenset("ad ads advert advertisement advertising adsense adslot
                         "copyright disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notification outbrain paging pagination popup "
                         "promo promoted promotion related respond share sharing sidebar signup skip social sponsor sponsored subscribe taboola toolbar topbar widget "
                         "alert complementary contentinfo dialog search".split())
+# Words beside which a noise word is still the whole sense of a class word.
+PLAIN_WORDS = frozenset("area articles bar block bottom box button buttons container content form global inner item items left link links list main message outer page panel "
+                        "post posts primary right row secondary section site slot text thread top unit wrap wrapper".split())
 # Kept in spite of such a word: the page's own body or article.
 _NEVER_NOISE = frozenset(["html", "body", "article", "main"])
-
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>?|<(" + RAW + r")\b[^>]*>.*?(?:</\2\s*>|\Z)|"
-                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-_ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_WORD = re.compile(r"[a-z]+")
-_CUT_TAG = re.compile(r"<[/!?a-zA-Z][^>]*\Z")  # a tag at the end of a page that was cut
-
-
-@dataclass
+# The id of these is an anchor, made of their text.
+_ANCHORS = frozenset("p h1 h2 h3 h4 h5 h6 a span b i em strong dt dd td th li".split())
+
+_TAGS = (r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(" + RAW + r")\b[^>]*>.*?(?:</\2\s*>|\Z)|"
+         r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|"
+         r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")  # the last: a quote that is never closed
+_TOKEN = re.compile(r"<!\[CDATA\[(.*?)\]\]>|" + _TAGS, re.S | re.I)
+_TOKEN_LATE = re.compile(r"(\Zx)?" + _TAGS, re.S | re.I)  # after the last end of a CDATA section
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+_DIGITS = re.compile(r"\d+")
+_PARTS = re.compile(r"[-_]+")
+_TAG_START = re.compile(r"<[/!?a-zA-Z]")
+#: How an element is known not to be main text: not at all, by a class word, by its kind.
+NOT, SAID, IS = 0, 1, 2
+
+
+@dataclass(slots=True)
 class Node:
     tag: str
-    path: str
-    noise: bool
-    content: bool
+    path: int  # hash of the path
+    above: "Node | None"
+    noise: int
+    content: bool  # inside an article or main element
     children: list[str] = field(default_factory=list)
+    block: int = 0  # place of the block element that it is in, or is
+    texts: int = 0  # sum of the hashes of the blocks below
+    filled: bool = False  # whether there are such blocks
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
-    path: str
-    noise: bool
+    node: Node
     content: bool  # a text block of an article or main element
     text: str
 
+    @property
+    def noise(self) -> int:
+        return self.node.noise
+
+
+def _says_noise(word: str) -> bool:
+    """Whether a whole class word names something other than main text."""
+    parts = [x for x in _PARTS.split(_DIGITS.sub("", word)) if x]
+    return any(x in NOISE_WORDS for x in parts) and all(x in NOISE_WORDS or x in PLAIN_WORDS for x in parts)
+
 
-def _presentation(tag: str, raw: str, inside: bool) -> tuple[str, bool]:
-    """The node's name, and whether the element says that it is not main text.
+def _presentation(tag: str, raw: str, inside: bool) -> tuple[str, int]:
+    """The node's name, and whether the element is known not to be main text.
     A header inside an article or main element holds its title."""
+    kind = IS if tag in NOISE_TAGS else NOT
     if not raw or raw.isspace():
-        return tag, tag in NOISE_TAGS
-    words, hidden = [], False
+        return tag, kind
+    words, said = [], False
+    seen: set[str] = set()
     for name, a, b, c in _ATTRIBUTE.findall(raw):
-        value = (a or b or c).lower()
-        name = name.lower()
-        if name in ("class", "id", "role"):
-            words += _WORD.findall(value)
+        name, value = name.lower(), (a or b or c).lower()
+        if name in seen:
+            continue
+        seen.add(name)
+        if name in ("class", "role"):
+            own = value.split()
+            words += [w for w in (_DIGITS.sub("", x) for x in own) if w]
+            said |= any(_says_noise(x) and not (inside and "header" in _PARTS.split(x)) for x in own)
+        elif name == "id":
+            said |= tag not in _ANCHORS and _says_noise(value) and not (inside and "header" in _PARTS.split(value))
         elif name == "style":
-            hidden |= "display:none" in value.replace(" ", "") or "visibility:hidden" in value.replace(" ", "")
-        elif name == "hidden" or value == "true":
-            hidden = True
-    said = NOISE_WORDS.intersection(words) - ({"header"} if inside else set())
-    noise = tag in NOISE_TAGS or hidden or (tag not in _NEVER_NOISE and bool(said))
-    return ".".join([tag, *sorted(set(words))]), noise
+            value = "".join(value.split())
+            kind = IS if "display:none" in value or "visibility:hidden" in value else kind
+        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+            kind = IS
+    if said and kind == NOT and tag not in _NEVER_NOISE:
+        kind = SAID
+    return ".".join([tag, *sorted(set(words))]), kind
+
+
+def hash_text(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def _signed(x: int) -> int:
+    return ((x + (1 << 63)) & ((1 << 64) - 1)) - (1 << 63)
 
 
 def parse(html: str | None) -> tuple[list[Block], list[Node]]:
-    """The blocks of text of a page in order, and its elements."""
+    """The blocks of text of a page in order, and its elements (each after the one it is in)."""
     html = html or ""
-    cut = _CUT_TAG.search(html)
+    cut = _TAG_START.search(html, html.rfind(">") + 1)  # a tag at the end of a page that was cut
     if cut:
         html = html[:cut.start()]
-    root = Node("", "", False, False)
+    late = html.rfind("]]>")
+    root = Node("", hash_text(""), None, NOT, False)
     stack, nodes, blocks, run = [root], [root], [], []
+    places: dict[str, list[int]] = {}  # of the open elements of a name
 
     def flush() -> None:
         text = " ".join(unescape("".join(run)).split())
         run.clear()
         if text:
             top = stack[-1]
-            at = next((n for n in reversed(stack) if n.tag in BLOCKS), root)
-            blocks.append(Block(top.path, top.noise, top.content and at.tag in TEXT_BLOCKS, text))
+            blocks.append(Block(top, top.content and stack[top.block].tag in TEXT_BLOCKS, text))
 
     def close(at: int) -> None:
-        if any(n.tag in BLOCKS for n in stack[at:]):
+        if stack[-1].block >= at:  # a block is among them
             flush()
+        for n in stack[at:]:
+            places[n.tag].pop()
         del stack[at:]
 
+    def innermost(*tags: str) -> int:
+        """Place of the last open element of these names; 0: none."""
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     end = 0
-    for m in _TOKEN.finditer(html):
+    while m := (_TOKEN if end <= late else _TOKEN_LATE).search(html, end):
         if m.start() > end:
             run.append(html[end:m.start()])
         end = m.end()
         if m.group(1) is not None:
             run.append(m.group(1).replace("&", "&amp;"))
-        tag = (m.group(4) or "").lower()
+        shut, tag, raw = (m.group(3), m.group(4), m.group(5)) if m.group(4) else (m.group(6), m.group(7), m.group(8))
+        tag = (tag or "").lower()
         if not tag:
             continue
-        if m.group(3):
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+        if shut:
+            at = innermost(tag)
             if at:
                 close(at)
             continue
@@ -144,26 +203,24 @@ def parse(html: str | None) -> tuple[list[Block], list[Node]]:
         if tag == "br":
             run.append(" ")
         if block:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
-            if at and all(n.tag not in BLOCKS for n in stack[at + 1:]):
+            at = innermost("p")
+            if at and stack[-1].block == at:
                 close(at)  # a block ends an open paragraph
             flush()
         if tag in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in CLOSES[tag]:
-                    close(i)
-                    break
-                if stack[i].tag in ("ul", "ol", "dl", "table", "select"):
-                    break
+            at = innermost(*CLOSES[tag])
+            if at > innermost("ul", "ol", "dl", "table", "select"):
+                close(at)
         above = stack[-1]
-        name, noise = _presentation(tag, m.group(5), above.content)
-        inside = above.content or tag in CONTENT_TAGS
-        noise = above.noise or noise or (tag == "header" and not above.content)
-        path = f"{above.path}/{name}" if len(stack) <= DEPTH else above.path
+        name, kind = _presentation(tag, raw, above.content)
+        if tag == "header" and not above.content:
+            kind = IS
+        node = Node(tag, hash_text(f"{above.path}/{name}"), above, max(above.noise, kind), above.content or tag in CONTENT_TAGS)
         above.children.append(name)
-        node = Node(tag, path, noise, inside)
         nodes.append(node)
-        if tag not in VOID and not m.group(5).endswith("/"):
+        if tag not in VOID and not raw.endswith("/"):
+            node.block = len(stack) if block else above.block
+            places.setdefault(tag, []).append(len(stack))
             stack.append(node)
     if end < len(html):
         run.append(html[end:])
@@ -176,51 +233,60 @@ def _style(children: list[str]) -> str:
     return " ".join(c for i, c in enumerate(children) if not i or children[i - 1] != c)
 
 
+#: Kinds of statistics: children, texts below, a text of an article, pages with an article.
+STYLE, CONTENT, LEAF, ARTICLE = 0, 1, 2, 3
+
+
+def page_rows(html: str | None) -> set[tuple[int, int, int, int]]:
+    """``(path, above, kind, value)`` of a page: the children and the texts below
+    of its nodes that are not noise, and the texts of its article."""
+    blocks, nodes = parse(html)
+    for b in blocks:
+        if not b.noise:
+            b.node.texts, b.node.filled = b.node.texts + hash_text(b.text), True
+    for n in reversed(nodes):
+        if n.above is not None and n.filled:
+            n.above.texts, n.above.filled = n.above.texts + n.texts, True
+    styles: dict[int, list[str]] = {}
+    contents: dict[int, int] = {}
+    above = {}
+    for n in nodes:
+        if not n.noise:
+            above[n.path] = n.above.path if n.above else 0
+            if n.children:
+                styles.setdefault(n.path, []).append(_style(n.children))
+            if n.filled:
+                contents[n.path] = contents.get(n.path, 0) + n.texts
+    rows = {(p, above[p], STYLE, hash_text("\n".join(x))) for p, x in styles.items()}
+    rows |= {(p, above[p], CONTENT, _signed(x)) for p, x in contents.items()}
+    leaves = {hash_text(b.text) for b in blocks if b.content and not b.noise}
+    return rows | {(x, 0, LEAF, 0) for x in leaves} | ({(0, 0, ARTICLE, 0)} if leaves else set())
+
+
 def statistics(pages: DataFrame) -> DataFrame:
-    """``host, path, kind, value, n``: on how many different pages the nodes of a
-    path in a host's merged tree had these children (kind 0) or these texts in
-    the blocks below them (kind 1).  Nodes that are noise by name need none."""
+    """``host, path, above, kind, value, n``: on how many different pages of a
+    host the nodes of a path had these children or texts below (``page_rows``)."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "html"):
-            seen: Counter = Counter()
-            for host, html in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
-                blocks, nodes = parse(html)
-                parts: dict[tuple[str, int], list[str]] = {}
-                for n in nodes:
-                    if n.children and not n.noise:
-                        parts.setdefault((n.path, 0), []).append(_style(n.children))
-                for x in blocks:
-                    if not x.noise:
-                        value, path = str(hash_text(x.text)), x.path
-                        while path:
-                            parts.setdefault((path, 1), []).append(value)
-                            path = path.rpartition("/")[0]
-                seen.update((host, path, kind, hash_text("\n".join(values))) for (path, kind), values in parts.items())
-            keys = list(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.int64()))] + [pa.array(list(seen.values()), pa.int64())],
-                names=["host", "path", "kind", "value", "n"])
-
-    return (pages.select("host", "html").distinct().mapInArrow(collect, "host string, path string, kind int, value long, n long")
-            .groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n")))
+            rows = {(host, hash_text(html or ""), *r) for host, html in set(zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True)) for r in page_rows(html)}
+            kinds = (pa.string(), *[pa.int64()] * 3, pa.int32(), pa.int64())
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["host", "page", "path", "above", "kind", "value"])
 
-
-def hash_text(text: str) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+    return (pages.select("host", "html").mapInArrow(collect, "host string, page long, path long, above long, kind int, value long").distinct()
+            .groupBy("host", "path", "above", "kind", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
 def importance(stats: DataFrame) -> DataFrame:
-    """``host, path, seen, presentation, content, importance`` of every node;
+    """``host, path, above, seen, presentation, content, importance`` of every node;
     ``seen`` is the number of pages with it."""
     x = F.col("n").cast("double")
-    each = stats.groupBy("host", "path", "kind").agg(F.sum("n").alias("total"), F.sum(x * (x - 1)).alias("equal"), F.count(F.lit(1)).alias("styles"))
+    each = stats.where(F.col("kind") <= CONTENT).groupBy("host", "path", "above", "kind").agg(F.sum("n").alias("total"), F.sum(x * (x - 1)).alias("equal"), F.count(F.lit(1)).alias("styles"))
     total = F.col("total").cast("double")
     entropy = F.when(F.col("total") > 1, 1 - F.col("equal") / (total * (total - 1))).otherwise(1.0)
     pick = lambda kind, c: F.max(F.when(F.col("kind") == kind, c))
-    node = each.withColumn("entropy", F.greatest(F.lit(0.0), entropy)).groupBy("host", "path").agg(
+    node = each.withColumn("entropy", F.greatest(F.lit(0.0), entropy)).groupBy("host", "path", "above").agg(
         F.max("total").alias("seen"), pick(0, F.col("entropy")).alias("presentation"), pick(0, F.col("styles")).alias("styles"), pick(1, F.col("entropy")).alias("content"))
     weight = F.pow(F.lit(GAMMA), F.col("styles"))
     mixed = (1 - weight) * F.coalesce("presentation", F.lit(0.0)) + weight * F.coalesce("content", F.lit(0.0))
@@ -228,30 +294,40 @@ def importance(stats: DataFrame) -> DataFrame:
                            .when(F.col("content").isNull(), F.col("presentation")).otherwise(F.greatest(mixed, GAMMA * F.col("content"))))
 
 
-def low_paths(nodes: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``host, low``: the topmost removable paths of a host's tree."""
-    return (nodes.where((F.col("importance") < low) & (F.col("seen") >= min_pages) & F.col("content").isNotNull())
-            .groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low")))
+def removable(stats: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``host, low, texts``: a host's removable nodes (without those whose parent
+    is removable too) and the removable texts of its articles."""
+    nodes = importance(stats).where((F.col("importance") < low) & (F.col("seen") >= min_pages) & F.col("content").isNotNull()).select("host", "path", "above")
+    parents = nodes.select(F.col("host").alias("its"), F.col("path").alias("above"))
+    top = nodes.join(parents, nodes["host"].eqNullSafe(parents["its"]) & (nodes["above"] == parents["above"]), "left_anti")
+    pages = stats.where(F.col("kind") == ARTICLE).select(F.col("host").alias("its"), F.col("n").alias("pages"))
+    leaves = stats.where(F.col("kind") == LEAF).select("host", "path", "n").join(pages, F.col("host").eqNullSafe(F.col("its")))
+    texts = leaves.where((F.col("pages") >= min_pages) & (1 - F.col("n") / F.col("pages") < low)).select("host", F.lit(None).cast("long").alias("path"), F.col("path").alias("text"))
+    both = top.select("host", "path", F.lit(None).cast("long").alias("text")).unionByName(texts)
+    return both.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low"), F.array_sort(F.collect_set("text")).alias("texts"))
 
 
-def main_text(blocks: list[Block], low: list[str]) -> str:
-    """Blocks that are neither noise by name nor below a removed branch.  Text
-    blocks of an article go only if their own node is removable, and a page
-    whose every block would go keeps those that are not noise by name."""
-    named = [b for b in blocks if not b.noise]
-    branches = set(low)
+def main_text(page: tuple[list[Block], list[Node]], low: list[int] | None = None, texts: list[int] | None = None) -> str:
+    """Blocks that are not noise, nor below a removed node, nor removed texts of an article.
 
-    def removed(b: Block) -> bool:
-        if b.content:
-            return False
-        path = b.path
-        while path:
-            if path in branches:
-                return True
-            path = path.rpartition("/")[0]
-        return False
-
-    kept = [b for b in named if not removed(b)] if branches else named
+    The texts of an article go one by one, and only if they are no more than
+    half of it.  A page whose every block would go keeps those that are not
+    noise; one that has none keeps those that only a class word calls noise.
+    """
+    blocks, nodes = page
+    named = [b for b in blocks if not b.noise] or [b for b in blocks if b.noise == SAID]
+    gone, branches = set(), set(low or ())
+    if branches:
+        for n in nodes:  # a node comes after the one it is in
+            if n.path in branches or (n.above is not None and id(n.above) in gone):
+                gone.add(id(n))
+    shared = set(texts or ())
+    leaves = [b for b in named if b.content]
+    if shared:
+        repeated = sum(len(b.text) for b in leaves if hash_text(b.text) in shared)
+        if repeated > HALF * sum(len(b.text) for b in leaves):
+            shared = set()
+    kept = [b for b in named if not (hash_text(b.text) in shared if b.content and shared else not b.content and id(b.node) in gone)]
     return "\n".join(b.text for b in kept or named)
 
 
@@ -265,11 +341,15 @@ def extract(pages: DataFrame, scratch: Scratch, low: float = LOW, min_pages: int
     columns are ignored; an empty table gives an empty result.
     """
     pages = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    removable = scratch.write(low_paths(importance(statistics(pages)), low, min_pages), "low")  # a row per host: the planner sees its size
+    stats = scratch.write(statistics(pages), "statistics")
+    found = scratch.write(removable(stats, low, min_pages), "low")  # a row per host: the planner sees its size
+    scratch.drop("statistics")
 
     @F.arrow_udf("string")
-    def text(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for html, low in parts:
-            yield pa.array([main_text(parse(h)[0], x or []) for h, x in zip(html.to_pylist(), low.to_pylist(), strict=True)], pa.string())
+    def text(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for columns in parts:
+            yield pa.array([main_text(parse(h), x, t) for h, x, t in zip(*[c.to_pylist() for c in columns], strict=True)], pa.string())
 
-    return pages.join(removable, "host", "left").select("page_id", "url", text.asNondeterministic()(F.col("html"), F.col("low")).alias("text"))
+    found = found.withColumnRenamed("host", "its")
+    joined = pages.join(found, F.col("host").eqNullSafe(F.col("its")), "left")
+    return joined.select("page_id", "url", text.asNondeterministic()(F.col("html"), F.col("low"), F.col("texts")).alias("text"))

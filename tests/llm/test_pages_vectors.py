@@ -12,7 +12,7 @@ PAGES = "page_id long, url string, html string"
 
 
 def text_of(html, low=()):
-    return html_tree.main_text(html_tree.parse(html)[0], list(low))
+    return html_tree.main_text(html_tree.parse(html), list(low))
 
 
 # ---------------------------------------------------------------- pages
@@ -32,6 +32,108 @@ def test_blocks_of_single_pages(html, text):
     assert text_of(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ('<p title="the hidden valley">kept</p><p data-hidden="no">too</p>', "kept\ntoo"), ('<div id="page" class="has-sidebar"><article><p>a</p></article></div>', "a"),
+    ('<p id="comment-letters-of-paul">x</p><div class="video-search"><p>v</p></div><h2 id="related-work">R</h2><p id="notice-period">n</p>', "x\nv\nR\nn"),
+    ('<article><p class="x>Hello</p><p>More</p></article>', "Hello\nMore"), ("<p a='x>y</p><p>z", "y\nz"), ("<div class='comment-list'><p>c</p></div><p>k</p>", "k"),
+    ("<div class='site-footer'>f</div><div class='ad2'>a</div><div id='comments'>c</div><p>k</p>", "k"), ("<div class='search'><p>all there is</p></div><nav>n</nav>", "all there is"),
+    ("<p aria-hidden='false' data-x=\"class='ad'\">k</p><p aria-hidden='true'>g</p>", "k"), ("<p>a<![CDATA[b <i> c]]>d</p>", "ab <i> cd"), ("<p>a<![CDATA[b <i>c</i>]] d", "ac]] d"),
+    ("<div " * 3 + ">x</div>", "x"), ("<ul><li>a<ol><li>b</ol><li>c</ul><dl><dt>d<dd>e</dl>", "a\nb\nc\nd\ne"), ("<p>a<b>b<i>c<div>d</div>", "abc\nd"),
+])
+def test_only_what_an_element_says_as_a_whole_counts(html, text):
+    assert text_of(html) == text
+
+
+def test_long_and_broken_pages_parse_in_linear_time():
+    import time
+
+    for html in ("<![CDATA[" * 100_000, "<![CDATA[" * 100_000 + "]]>", "<script " * 100_000, "<a" * 200_000 + ">", "<b>x" * 100_000 + "<p>y" * 50_000, "<div>x" * 100_000,
+                 "<p class=\"" * 100_000 + "x", "<p a='\">" * 100_000, "<b><p>" * 50_000, "<!-" * 100_000, "<ul><li>" * 50_000 + "</ul>" * 50_000, "</p>" * 200_000, "&amp" * 100_000):
+        began = time.perf_counter()
+        html_tree.page_rows(html)
+        text_of(html, [1])
+        assert time.perf_counter() - began < 20, html[:12]
+
+
+def test_a_notice_in_every_article_goes_and_copies_stay_whole(spark):
+    notice = "<p>Please read our house rules before you write</p>"
+    own = lambda i: f"<article><h1>{prose(4, i)}</h1><p>{prose(30, i)}</p>{notice}<p>{prose(20, i + 500)}</p></article>"
+    rows = [(i, f"http://a.example/{i}", own(i)) for i in range(40)]
+    rows += [(100 + i, f"http://b.example/{i}", f"<article><p>{prose(50, 7)}</p><p>{prose(40, 8)}</p><p>copy {i}</p></article>") for i in range(30)]  # near copies
+    rows += [(200 + i, f"http://c{i}.example/", own(i)) for i in range(3)]  # sites of one page: no statistics
+    rows += [(300 + i, f"http://d.example/{i}", own(i) if i % 10 == 0 else own(i).replace(notice, "")) for i in range(60)]  # on a tenth of the pages
+    out = {r.page_id: r.text for r in html_tree.extract(spark.createDataFrame(rows, PAGES).repartition(3), Scratch(spark, "test")).collect()}
+    said = "\nPlease read our house rules before you write"
+    story = lambda i, with_: f"{prose(4, i)}\n{prose(30, i)}{said if with_ else ''}\n{prose(20, i + 500)}"
+    assert all(out[i] == story(i, False) for i in range(40))
+    assert all(out[100 + i] == f"{prose(50, 7)}\n{prose(40, 8)}\ncopy {i}" for i in range(30))
+    assert all(out[200 + i] == story(i, True) for i in range(3))
+    assert all(out[300 + i] == story(i, i % 10 == 0) for i in range(60))
+    # without the statistics the notices stay
+    alone = {r[0]: text_of(r[2]) for r in rows}
+    assert all(alone[i] != out[i] for i in range(40))
+
+
+def brute_removable(rows, low, min_pages):
+    """The style tree by its definition, from the pages' paths written out in full."""
+    from collections import defaultdict
+
+    sites = defaultdict(dict)
+    for host, html in {(h, x) for h, x in rows}:
+        blocks, nodes = html_tree.parse(html)
+        full = {}
+        for n in nodes:
+            full[id(n)] = (*full[id(n.above)], n.path) if n.above else ()
+        page = defaultdict(lambda: [[], []])
+        for n in nodes:
+            if not n.noise and n.children:
+                page[full[id(n)]][0].append([c for i, c in enumerate(n.children) if not i or n.children[i - 1] != c])
+        for b in blocks:
+            if not b.noise:
+                for d in range(len(full[id(b.node)]) + 1):
+                    page[full[id(b.node)][:d]][1].append(b.text)
+        sites[host][html] = (page, {b.text for b in blocks if b.content and not b.noise})
+    out = {}
+    for host, pages in sites.items():
+        paths = {p for page, _ in pages.values() for p in page}
+        found = set()
+        for p in paths:
+            styles = [repr(page[p][0]) for page, _ in pages.values() if p in page and page[p][0]]
+            texts = [repr(sorted(page[p][1])) for page, _ in pages.values() if p in page and page[p][1]]
+
+            def differ(x):
+                pairs = [(a, b) for i, a in enumerate(x) for b in x[:i]]
+                return sum(a != b for a, b in pairs) / len(pairs) if pairs else 1.0
+
+            if not texts or max(len(styles), len(texts)) < min_pages:
+                continue
+            h, c = differ(styles), differ(texts)
+            w = html_tree.GAMMA ** len(set(styles))
+            if (max((1 - w) * h + w * c, html_tree.GAMMA * c) if styles else c) < low:
+                found.add(p)
+        with_article = [t for _, t in pages.values() if t]
+        shared = {t for x in with_article for t in x if len(with_article) >= min_pages and 1 - sum(t in y for y in with_article) / len(with_article) < low}
+        out[host] = ({p[-1] for p in found if p and p[:-1] not in found}, {html_tree.hash_text(t) for t in shared})
+    return {h: x for h, x in out.items() if x != (set(), set())}
+
+
+def test_removable_nodes_equal_a_brute_force_style_tree(spark):
+    import random
+
+    rng = random.Random(5)
+    bits = ["<p>same</p>", "<div class='x1'><p>same</p><p>{}</p></div>", "<ul class='y'><li>one</li><li>two</li></ul>", "<section><div class='z'><p>fix</p></div><p>{}</p></section>",
+            "<nav>menu</nav>", "<div class='ad'>{}</div>", "<article><h1>{}</h1><p>rule one</p><p>{}</p></article>", "<table><tr><td>yes<td>no</table>"]
+    rows = []
+    for i in range(160):
+        parts = [b.replace("{}", f"t{rng.randrange(60)}") for b in bits if rng.random() < 0.8]
+        rows.append((f"h{i % 4}" if i % 9 else None, "<body>" + "".join(parts) + "</body>"))
+    rows += rows[:30]
+    df = spark.createDataFrame(rows, "host string, html string").repartition(3)
+    for low, least in ((0.2, 8), (0.5, 3), (0.05, 20)):
+        got = {r.host: (set(r.low), set(r.texts)) for r in html_tree.removable(html_tree.statistics(df), low, least).collect()}
+        assert got == brute_removable(rows, low, least) and got
+
+
 def test_a_branch_that_is_the_same_everywhere_goes_only_on_its_site(spark):
     def page(i, strip):
         return (f"<html><body><div class='{strip}'><p>Read our terms</p><p>Call us</p></div><div class='story'><h1>{prose(4, i)}</h1>"
