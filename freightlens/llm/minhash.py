@@ -42,7 +42,10 @@ SMALL = 16  # members of a bucket whose pairs are listed; at most 15 for each me
 BLOCK_LEFT, BLOCK_RIGHT, COLUMNS = 256, 512, 1 << 14
 SEED = 20240
 
-SIGNED = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
+#: Rows that the members of one hub are dealt to when pairs are confirmed.
+SALTS = 1024
+
+SIGNED = "doc_id long, text_hash long, n_shingles long, fp1 long, fp2 long, bands array<long>"
 
 
 def permutations(count: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -93,36 +96,47 @@ def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS
                 fp2[full] = np.add.reduceat(mix(values + U64(1)), starts)
                 kept = band_hashes(*minmax(values, np.append(starts, len(values)), per_side), rows)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(fp1.view(np.int64)), pa.array(fp2.view(np.int64)),
+                [b.column("doc_id"), b.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(fp1.view(np.int64)), pa.array(fp2.view(np.int64)),
                  lists(kept.ravel(), np.concatenate(([0], np.cumsum(full * bands))), pa.int64())],
-                names=["doc_id", "n_shingles", "fp1", "fp2", "bands"])
+                names=["doc_id", "text_hash", "n_shingles", "fp1", "fp2", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, SIGNED)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(sign, SIGNED)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` with 100 * intersection >= percent * union of the full
-    sets.  ``a`` may be a hub: its join comes first, where rows are small."""
+    sets of ``texts(doc_id, text)``.
+
+    ``a`` may be a hub of very many pairs: its members are dealt to ``SALTS``
+    groups, and a group's rows arrive sorted, the hub's text first and once, so
+    that a task holds one hub's set at a time.
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text_b"):
-            a, texts = b.column("a").to_numpy(), b.column("text_a")
-            _, first, where = np.unique(a, return_index=True, return_inverse=True)
-            va, oa = shingle_sets(Words(texts.take(pa.array(first))), words)
-            vb, ob = shingle_sets(Words(b.column("text_b")), words)
-            good = np.zeros(len(a), dtype=bool)
-            for i, k in enumerate(where):
-                x, y = va[oa[k]:oa[k + 1]], vb[ob[i]:ob[i + 1]]
-                lo, hi = sorted((len(x), len(y)))
+        hub = np.zeros(0, dtype=U64)
+        for b in slices(batches, "text"):
+            values, offsets = shingle_sets(Words(b.column("text")), words)
+            is_hub = b.column("b").is_null().to_numpy(zero_copy_only=False)
+            good = np.zeros(b.num_rows, dtype=bool)
+            for i in range(b.num_rows):
+                own = values[offsets[i]:offsets[i + 1]]
+                if is_hub[i]:
+                    hub = own
+                    continue
+                lo, hi = sorted((len(hub), len(own)))
                 if lo and 100 * lo >= percent * hi:
-                    both = np.count_nonzero(x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y)
-                    good[i] = 100 * both >= percent * (len(x) + len(y) - both)
+                    both = np.count_nonzero(hub[np.minimum(np.searchsorted(hub, own), len(hub) - 1)] == own)
+                    good[i] = 100 * both >= percent * (len(hub) + len(own) - both)
+            hub = hub.copy()  # not a view of the whole slice
             yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(good)), b.column("b").filter(pa.array(good))],
                                              names=["a", "b"])
 
-    texts = docs.select("doc_id", "text")
-    a, b = (texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+    dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    a, b = (texts.select(F.col("doc_id").alias(k), "text") for k in "ab")
+    hubs = dealt.select("a", "salt").distinct().join(a, "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+    members = dealt.join(b, "b").select("a", "salt", "b", "text")
+    return (hubs.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
+            .mapInArrow(check, "a long, b long"))
 
 
 def common_counts(va: np.ndarray, oa: np.ndarray, vb: np.ndarray, ob: np.ndarray) -> np.ndarray:
@@ -176,30 +190,24 @@ def block_links(rows: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     return left.unionByName(right).groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``.
-
-    Words are lower-cased (A-Z only) runs without ASCII white space; the set of
-    a text is its distinct ``words``-word shingles (with fewer words the whole
-    sequence).  Two texts are linked if 100 * intersection >= percent * union;
-    ``component_id`` is the smallest id reachable, ``kept`` says that it is the
-    row's own.
+def grouped(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, first`` for every row of
+    ``docs(doc_id, text)``; ``near_duplicates`` says what they mean, ``first``
+    marks one row of each component, of its smallest id.
 
-    Null or empty texts: size 0, linked with nothing, kept.  A null id: no
-    component (null), kept.  Rows that repeat an id are one node: each is
-    returned, the links of all their texts count.  Other columns are ignored;
-    an empty table gives an empty result.
+    The nodes are rows: rows that share an id but not the text are linked by
+    their own texts alone.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = scratch.write(signatures(docs, words), "signed")
-    known = signed.where("doc_id is not null and n_shingles > 0")
+    signed = scratch.write(signatures(docs, words).withColumn("row", F.monotonically_increasing_id()), "signed")
+    # From here on a row's number stands for it, under the name doc_id.
+    known = signed.where("doc_id is not null and n_shingles > 0").select(F.col("row").alias("doc_id"), "n_shingles", "fp1", "fp2", "bands")
     # Group results are written before the rows join them: adaptive execution
     # splits a hot key only where both sides of the join come from a shuffle.
     same = scratch.write(known.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "same")
-    reps = same.select(F.col("rep").alias("doc_id"), "fp1", "fp2")
-    buckets = (known.join(reps, ["doc_id", "fp1", "fp2"], "left_semi")
-               .select("doc_id", "n_shingles", F.explode("bands").alias("bucket")))
+    reps = same.select(F.col("rep").alias("doc_id"))
+    buckets = known.join(reps, "doc_id", "left_semi").select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     members = scratch.write(buckets.join(scratch.write(shared.select("bucket", "low"), "shared"), "bucket"), "members")
 
@@ -207,7 +215,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
               .where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     links = scratch.write(copies.distinct(), "copies")
     # Whole texts are shuffled once, to keep those that share a bucket.
-    texts = scratch.write(docs.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    ids = signed.select(F.col("row").alias("node"), F.col("doc_id").alias("id"), "text_hash")
+    wanted = members.select(F.col("doc_id").alias("node")).distinct().join(ids, "node")
+    whole = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), "text").join(wanted, ["id", "text_hash"])
+    texts = scratch.write(whole.select(F.col("node").alias("doc_id"), "text"), "texts")
 
     star = members.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = links.union(scratch.write(confirm(star, texts, words, percent), "links-star"))
@@ -229,16 +240,39 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     found = scratch.write(confirm(pairs, texts, words, percent).union(block_links(large, texts, words, percent)), "links-open")
     if not found.isEmpty():
         label = connected_components(links.union(found), scratch, "cc-open")
+    linked = label.join(ids.select("node", "id"), "node")
+    first = scratch.write(linked.groupBy("component").agg(F.min(F.struct("id", "node")).alias("first")), "first")
     scratch.drop("same", "shared", "members", "mixed", "open", "texts")
-    return (signed.select("doc_id", "n_shingles").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    rows = (signed.select("doc_id", "text_hash", "n_shingles", F.col("row").alias("node")).join(label, "node", "left").join(first, "component", "left"))
+    return rows.select("doc_id", "text_hash", "n_shingles", F.coalesce("first.id", "doc_id").alias("component_id"),
+                       F.coalesce(F.col("first.node") == F.col("node"), F.lit(True)).alias("first"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``.
+
+    Words are lower-cased (A-Z only) runs without ASCII white space; the set of
+    a text is its distinct ``words``-word shingles (with fewer words the whole
+    sequence).  Two texts are linked if 100 * intersection >= percent * union;
+    ``component_id`` is the smallest id reachable, ``kept`` says that it is the
+    row's own.
+
+    Null or empty texts: size 0, linked with nothing, kept.  A null id: no
+    component (null), kept.  Rows that repeat an id are linked each by its own
+    text.  Other columns are ignored; an empty table gives an empty result.
+    """
+    return (grouped(docs, words, percent).select("doc_id", "n_shingles", "component_id")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates: the smallest
-    id, once.  Rows without an id or without words all stay (a repeated id
-    stays once).  All columns are kept as they are."""
-    gone = near_duplicates(docs, words, percent).where("not kept").select("doc_id").distinct()
-    has_id = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return has_id.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """``docs`` with one row of each group of near-duplicates, one of its
+    smallest id.  Rows without an id all stay, and so do texts without words;
+    rows that repeat both id and text stay once, rows that repeat an id with
+    another text are judged by that text.  All columns are kept as they are."""
+    known = grouped(docs, words, percent).where("doc_id is not null")
+    gone = known.groupBy("doc_id", "text_hash").agg(F.bool_or("first").alias("stays")).where("not stays")
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    keyed = docs.where("doc_id is not null").withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64("text")})
+    return (keyed.join(gone, ["__id", "__hash"], "left_anti").dropDuplicates(["__id", "__hash"])
+            .select(*docs.columns).unionByName(docs.where("doc_id is null")))

@@ -68,6 +68,35 @@ def test_dropping_keeps_one_of_each_group_and_all_columns(edge):
     assert out.where("doc_id is null").count() == 2
 
 
+def test_an_id_with_several_texts_loses_none(spark):
+    a, b, c, x = (prose(60, k) for k in (1, 2, 3, 4))
+    rows = [(1, a), (1, b), (2, b), (2, x), (3, c), (3, c), (4, x + " end"), (None, b), (5, ""), (5, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = sorted((repr(r.doc_id), r.text or "-") for r in minhash.drop_near_duplicates(df).collect())
+    assert left == sorted([("1", a), ("1", b), ("2", x), ("3", c), ("None", b), ("5", "-"), ("5", "-")])
+    out = {(r.doc_id, r.text_hash): r.component_id for r in minhash.grouped(df).collect() if r.doc_id}
+    h = {r.text: r.h for r in spark.createDataFrame(rows, "doc_id long, text string").selectExpr("text", "xxhash64(text) AS h").collect()}
+    assert (out[2, h[b]], out[2, h[x]], out[4, h[x + " end"]], out[1, h[a]], out[3, h[c]]) == (1, 2, 2, 1, 3)
+    plain = spark.createDataFrame([(1, a), (1, b), (2, b), (3, c)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in minhash.drop_near_duplicates(plain).collect()) == sorted([(1, a), (1, b), (3, c)])
+
+
+def test_confirming_a_hub_of_many_pairs_over_many_batches(spark):
+    base = prose(120, 5)
+    texts = [(0, base)] + [(i, base + f" w{i}" if i % 3 else prose(90, i)) for i in range(1, 3000)]
+    pairs = [(0, i) for i in range(1, 3000)] + [(1, 2), (3, 6), (2, 7)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = minhash.confirm(spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame(texts, "doc_id long, text string"), 5, 80)
+        found = sorted((r.a, r.b) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    sets = dict(texts)
+    near = lambda a, b: (lambda x, y: 100 * len(x & y) >= 80 * len(x | y))(shingles(sets[a], 5), shingles(sets[b], 5))
+    assert found == sorted(p for p in pairs if near(*p)) and 1000 < len(found) < 2500
+
+
 def test_empty_table(nothing):
     assert minhash.near_duplicates(nothing).count() == 0
     assert minhash.drop_near_duplicates(nothing).count() == 0
