@@ -36,6 +36,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -80,6 +81,7 @@ _TAGS = (r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(" + RAW + r")\b[^>]*>.*?(?:</\2\s*>|
 _TOKEN = re.compile(r"<!\[CDATA\[(.*?)\]\]>|" + _TAGS, re.S | re.I)
 _TOKEN_LATE = re.compile(r"(\Zx)?" + _TAGS, re.S | re.I)  # after the last end of a CDATA section
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+_TELLING = re.compile("class|role|id|style", re.I)  # "id" is in "hidden" too
 _DIGITS = re.compile(r"\d+")
 _PARTS = re.compile(r"[-_]+")
 _TAG_START = re.compile(r"<[/!?a-zA-Z]")
@@ -117,11 +119,12 @@ def _says_noise(word: str) -> bool:
     return any(x in NOISE_WORDS for x in parts) and all(x in NOISE_WORDS or x in PLAIN_WORDS for x in parts)
 
 
+@lru_cache(maxsize=1 << 14)
 def _presentation(tag: str, raw: str, inside: bool) -> tuple[str, int]:
     """The node's name, and whether the element is known not to be main text.
     A header inside an article or main element holds its title."""
     kind = IS if tag in NOISE_TAGS else NOT
-    if not raw or raw.isspace():
+    if not _TELLING.search(raw):
         return tag, kind
     words, said = [], False
     seen: set[str] = set()
@@ -150,6 +153,11 @@ def hash_text(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
+@lru_cache(maxsize=1 << 16)
+def _path(above: int, name: str) -> int:
+    return hash_text(f"{above}/{name}")
+
+
 def _signed(x: int) -> int:
     return ((x + (1 << 63)) & ((1 << 64) - 1)) - (1 << 63)
 
@@ -188,12 +196,14 @@ def parse(html: str | None) -> tuple[list[Block], list[Node]]:
         if m.start() > end:
             run.append(html[end:m.start()])
         end = m.end()
-        if m.group(1) is not None:
-            run.append(m.group(1).replace("&", "&amp;"))
-        shut, tag, raw = (m.group(3), m.group(4), m.group(5)) if m.group(4) else (m.group(6), m.group(7), m.group(8))
-        tag = (tag or "").lower()
+        section, _, shut, tag, raw, bad_shut, bad_tag, bad_raw = m.groups()
+        if section is not None:
+            run.append(section.replace("&", "&amp;"))
+        if bad_tag:
+            shut, tag, raw = bad_shut, bad_tag, bad_raw
         if not tag:
             continue
+        tag = tag.lower()
         if shut:
             at = innermost(tag)
             if at:
@@ -215,7 +225,7 @@ def parse(html: str | None) -> tuple[list[Block], list[Node]]:
         name, kind = _presentation(tag, raw, above.content)
         if tag == "header" and not above.content:
             kind = IS
-        node = Node(tag, hash_text(f"{above.path}/{name}"), above, max(above.noise, kind), above.content or tag in CONTENT_TAGS)
+        node = Node(tag, _path(above.path, name), above, max(above.noise, kind), above.content or tag in CONTENT_TAGS)
         above.children.append(name)
         nodes.append(node)
         if tag not in VOID and not raw.endswith("/"):
