@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import reduce
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from freightlens.plans.materialize import app_folder, remove_folder
 
 U64 = np.uint64
+RELEASE_BYTES = 32 << 20
 # The finaliser constants of MurmurHash3 (public domain) and an odd multiplier.
 MIX_A, MIX_B, STEP = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53), U64(0x9E3779B97F4A7C15)
 
@@ -148,17 +150,33 @@ def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return x[keep], np.concatenate(([0], np.cumsum(keep)))[offsets]
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on between
+    tasks, and what they keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc; elsewhere nothing to do
+    if trim:
+        trim(0)
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``max_bytes`` of text (a longer text
-    comes alone), so that memory per step is bounded."""
+    comes alone), so that memory per step is bounded; freed memory is given
+    back once ``RELEASE_BYTES`` of text have passed, and at the end."""
+    passed = 0
     for b in batches:
         if not b.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
-        group = np.cumsum(sizes.astype(np.int64)) // max_bytes
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [b.num_rows]))
+        total = np.cumsum(sizes.astype(np.int64))
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(total // max_bytes)) + 1, [b.num_rows]))
         for i, j in zip(cuts[:-1], cuts[1:], strict=True):
             yield b.slice(i, j - i)
+        passed += int(total[-1])
+        if passed > RELEASE_BYTES:
+            passed = 0
+            release()
+    release()
 
 
 def lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.ListArray:

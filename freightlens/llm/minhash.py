@@ -44,6 +44,8 @@ SEED = 20240
 
 #: Rows that the members of one hub are dealt to when pairs are confirmed.
 SALTS = 1024
+#: Text bytes worked on at once.
+SLICE_BYTES = 2 << 20
 
 SIGNED = "doc_id long, text_hash long, n_shingles long, fp1 long, fp2 long, bands array<long>"
 
@@ -84,7 +86,7 @@ def signatures(docs: DataFrame, words: int, bands: int = BANDS, rows: int = ROWS
     per_side = bands // 2 * rows
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE_BYTES):
             values, offsets = shingle_sets(Words(b.column("text")), words)
             sizes = np.diff(offsets)
             full = sizes > 0
@@ -114,7 +116,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub = np.zeros(0, dtype=U64)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE_BYTES):
             values, offsets = shingle_sets(Words(b.column("text")), words)
             is_hub = b.column("b").is_null().to_numpy(zero_copy_only=False)
             good = np.zeros(b.num_rows, dtype=bool)

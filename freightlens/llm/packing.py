@@ -24,12 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.llm.common import slices
-from freightlens.llm.tokens import SLICE_BYTES, encoder_for
+from freightlens.llm.tokens import encoder_for
 
 TIERS = (2048, 1024, 512, 256)
 CHUNK_TOKENS = 4_000_000
 STEP_TOKENS = 16 * 2048
 
+# Bytes of text encoded at once.
+SLICE_BYTES = 8 << 20
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, context int, step_group long"
 
 # A piece: (item number, start within the item, length).
