@@ -1,15 +1,16 @@
 """Quality rules with thresholds learned per language and source.
 
-One pass computes each text's measures.  KLL sketches of every measure are
-built per (lang, source) - partial sketches are merged, so a hot source is one
-sketch per task - and their quartiles give the fences: upper quartile plus
-``SPREAD`` interquartile ranges, but at least ``SLACK`` above the median.  The
-fences are joined back on (lang, source); a text above one is rejected.
-
-A group of ``ENOUGH`` texts has its own fence, a smaller one leans on that of its
-language (the same sketches merged further) by its size.  A group that is junk
-for more than a quarter would raise its own fence: where more than ``JUNK`` of the
-texts fail the base rule, the fence of the language bounds it.
+One pass computes each text's measures.  KLL sketches of every share are built
+per (lang, source) over the texts that pass the base rule - partial sketches are
+merged, so a hot source is one sketch per task - and written once.  Their
+quantiles give a group's fence: the upper one (``UPPER``) plus ``SPREAD`` times
+its distance from the median.  No cutoff is fixed for any share.
+
+A group of m such texts takes 1 - exp(-m / ``LEAN``) of its own fence and the rest
+from its language's, whose sketches are the same ones merged further.  The fences
+are joined back on (lang, source).  A share of few words or lines says little: a
+text is rejected where its count less ``SIGMA`` standard errors (those of a
+Poisson count) is still above the fence.
 """
 
 from __future__ import annotations
@@ -27,12 +28,12 @@ from freightlens.llm.common import STEP, U64, Scratch, Words, mix, slices, utf8_
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_echo_words long"
-# Measure: the part of the fence that does not depend on the data.
-SLACK = {"symbols_per_word": 0.10, "dup_line_share": 0.30, "repeat_word_share": 0.25, "echo_word_share": 0.20, "chars_per_word": 6.0}
-SHORT = 5  # lines added to a text's own, so that one equal pair of a few lines says little
+SHARES = ("symbols_per_word", "dup_line_share", "repeat_word_share", "echo_word_share", "chars_per_word")
+UPPER = 0.9
 SPREAD = 3.0
-ENOUGH = 50
-JUNK = 0.25
+LEAN = 15
+SIGMA = 2.0
+
 
 
 def _repeats(words: Words) -> np.ndarray:
@@ -110,61 +111,67 @@ def measure_column(text: Column) -> Column:
     return measure.asNondeterministic()(text)
 
 
+def _counted(m: Column) -> dict[str, tuple[Column, Column]]:
+    """Per share what is counted and out of how many."""
+    one = F.lit(1)
+    words, lines = F.greatest(m["n_words"], one), F.greatest(m["n_lines"], one)
+    return dict(zip(SHARES, ((m["n_symbols"], words), (m["n_dup_lines"], lines), (m["n_repeat_words"] / WINDOW, words / WINDOW),
+                             (m["n_echo_words"], words), (m["word_chars"], words)), strict=True))
+
+
 def shares(m: Column) -> dict[str, Column]:
-    words = F.greatest(m["n_words"], F.lit(1))
-    return {"symbols_per_word": m["n_symbols"] / words,
-            "dup_line_share": m["n_dup_lines"] / (m["n_lines"] + SHORT),
-            "repeat_word_share": m["n_repeat_words"] / words,
-            "echo_word_share": m["n_echo_words"] / words,
-            "chars_per_word": m["word_chars"] / words}
+    return {k: count / of for k, (count, of) in _counted(m).items()}
+
+
+def lower_bounds(m: Column) -> dict[str, Column]:
+    """The shares less ``SIGMA`` standard errors; the mean word length as it is."""
+    return {k: count / of if k == "chars_per_word" else (count - SIGMA * F.sqrt(count)) / of for k, (count, of) in _counted(m).items()}
 
 
 def base_failed(m: Column) -> Column:
     return (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
 
 
-def fences(measured: DataFrame) -> DataFrame:
-    """``lang, source, fence_<measure>`` from ``measured(lang, source, m)``.
-
-    Only texts with a word take part; a null language or source is a group of
-    its own."""
-    names = list(SLACK)
-    measured = measured.where("m.n_words > 0").select("lang", "source", base_failed(F.col("m")).cast("int").alias("failed"), *[v.alias(k) for k, v in shares(F.col("m")).items()])
-    group = measured.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), F.avg("failed").alias("junk"), *[F.kll_sketch_agg_double(k).alias(k) for k in names])
-    language = group.groupBy(F.col("lang").alias("its")).agg(*[F.kll_merge_agg_double(k).alias(f"of_{k}") for k in names])
+def sketches(measured: DataFrame) -> DataFrame:
+    """``lang, source, n`` and a sketch per share of ``measured(lang, source, m)``,
+    over the texts that pass the base rule; a null language or source is a group
+    of its own."""
+    good = measured.where(~base_failed(F.col("m"))).select("lang", "source", *[v.alias(k) for k, v in shares(F.col("m")).items()])
+    return good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(k).alias(k) for k in SHARES])
 
-    def fence(sketch: str, k: str) -> Column:
-        q = lambda p: F.kll_sketch_get_quantile_double(F.col(sketch), F.lit(p))
-        return F.greatest(q(0.5) + SLACK[k], q(0.75) + SPREAD * (q(0.75) - q(0.25)))
 
-    own = F.least(F.lit(1.0), F.col("n") / ENOUGH)
+def fences(group: DataFrame) -> DataFrame:
+    """``lang, source, fence_<share>`` from ``sketches``."""
+    language = group.groupBy(F.col("lang").alias("its")).agg(*[F.kll_merge_agg_double(k).alias(f"of_{k}") for k in SHARES])
 
-    def limit(k: str) -> Column:
-        mine, its = fence(k, k), fence(f"of_{k}", k)
-        return F.when(F.col("junk") > JUNK, F.least(mine, its)).otherwise(own * mine + (1 - own) * its)
+    def fence(sketch: str) -> Column:
+        upper, middle = (F.kll_sketch_get_quantile_double(F.col(sketch), F.lit(p)) for p in (UPPER, 0.5))
+        return upper + SPREAD * (upper - middle)
 
+    own = 1 - F.exp(-F.col("n") / LEAN)
     return (group.join(language, F.col("lang").eqNullSafe(F.col("its")))
-            .select("lang", "source", *[limit(k).alias(f"fence_{k}") for k in names]))
+            .select("lang", "source", *[(own * fence(k) + (1 - own) * fence(f"of_{k}")).alias(f"fence_{k}") for k in SHARES]))
 
 
 def judge(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``docs(..., text, lang, source)`` with ``quality_m`` (``MEASURES``),
     ``quality_base_failed`` and ``quality_kept``.
 
-    A text is kept if the base rules hold and no share is above its group's
-    fence.  Null or empty texts fail the base rule; null languages and sources
+    A text is kept if the base rules hold and no share's lower bound is above its
+    group's fence.  Null or empty texts fail the base rule; null languages and sources
     are groups of their own; repeated rows are judged alike; columns of these
     three names are replaced, others stay; an empty table stays empty.
     """
     own = ("quality_m", "quality_base_failed", "quality_kept")
     docs = docs.select(*[c for c in docs.columns if c not in own])
     measured = docs.select("lang", "source", measure_column(F.col("text")).alias("m"))
-    limits = scratch.write(fences(measured).coalesce(1), "fences")  # a row per group: the planner sees its size
-    names = [f"fence_{k}" for k in SLACK]
+    group = scratch.write(sketches(measured), "sketches")
+    limits = scratch.write(fences(group), "fences")  # a row per group: the planner sees its size
+    names = [f"fence_{k}" for k in SHARES]
     limits = limits.select(F.struct("lang", "source", *names).alias("__fence"))
     rows = docs.withColumn("quality_m", measure_column(F.col("text")))
     rows = rows.join(limits, rows["lang"].eqNullSafe(F.col("__fence.lang")) & rows["source"].eqNullSafe(F.col("__fence.source")), "left")
-    above = [F.coalesce(v > F.col(f"__fence.fence_{k}"), F.lit(False)) for k, v in shares(F.col("quality_m")).items()]
+    above = [F.coalesce(v > F.col(f"__fence.fence_{k}"), F.lit(False)) for k, v in lower_bounds(F.col("quality_m")).items()]
     failed = base_failed(F.col("quality_m"))
     verdict = ~failed
     for a in above:

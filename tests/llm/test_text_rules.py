@@ -1,5 +1,6 @@
 """Toxicity, quality, licence and mixing operators."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -67,6 +68,75 @@ def test_a_clean_source_of_a_tenth_of_its_language_stays(spark):
     assert 9999 in gone
 
 
+def kept_brute(rows):
+    """``kept`` by exact quantiles over plain Python measures of ``rows(id, text, lang, source)``."""
+    measured = [(*measures(t), g, s) for _, t, g, s in rows]
+    ratios = lambda m: (m[2] / m[0], m[3] / max(1, m[5]), m[4] / m[0], m[6] / m[0], m[1] / m[0])
+    low = lambda c, n: (c - 2 * c ** 0.5) / n
+    good = [m for m in measured if m[0] >= 20 and 100 * m[4] <= 30 * m[0]]
+
+    def fence(own):
+        out = []
+        for v in zip(*map(ratios, own), strict=True):
+            upper, middle = (sorted(v)[max(0, math.ceil(p * len(v) - 1e-9) - 1)] for p in (0.9, 0.5))
+            out.append(upper + 3 * (upper - middle))
+        return out
+
+    kept, known = [], {}
+    for m in measured:
+        if m not in good:
+            kept.append(False)
+            continue
+        g, s = m[-2:]
+        if (g, s) not in known:
+            own, its = [x for x in good if x[-2:] == (g, s)], [x for x in good if x[-2] == g]
+            w = 1 - math.exp(-len(own) / 15)
+            known[g, s] = [w * a + (1 - w) * b for a, b in zip(fence(own), fence(its), strict=True)]
+        bounds = (low(m[2], m[0]), low(m[3], max(1, m[5])), low(m[4] / 8, m[0] / 8), low(m[6], m[0]), m[1] / m[0])
+        kept.append(all(b <= f + 1e-9 for b, f in zip(bounds, known[g, s], strict=True)))
+    return kept
+
+
+def test_kept_equals_exact_quantiles(spark, texts):
+    """Up to some two hundred values a sketch is exact."""
+    rows = [(i, t, g, s) for i, (_, t, g, s) in enumerate([*texts, *EDGE])]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3), Scratch(spark, "test"))
+    got = {r.doc_id: r.quality_kept for r in got.collect()}
+    want = kept_brute(rows)
+    assert [got[i] for i in range(len(rows))] == want and 20 < sum(want) < len(rows)
+
+
+@pytest.mark.parametrize("n", [1, 5, 19, 20, 21, 49, 50, 51, 300])
+def test_fence_of_a_small_group_leans_on_its_language(spark, n):
+    """One formula at every size: the fence moves from the language's to the group's own without a step."""
+    rows = [(i, prose(50, i), "en", "plain") for i in range(200)]
+    rows += [(1000 + i, " ".join(w + "#" for w in prose(50, i).split()), "en", "code") for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    m = df.select("lang", "source", quality.measure_column(F.col("text")).alias("m"))
+    got = {r.source: r.fence_symbols_per_word for r in quality.fences(Scratch(spark, "test").write(quality.sketches(m), "s")).collect()}
+    its = 1.0 if n > 200 else 4.0 if n > 22 else 0.0  # the upper quantile is 1 once more than a tenth are code, the median once more than half are
+    assert got["code"] == pytest.approx(1 - math.exp(-n / 15) + math.exp(-n / 15) * its)
+
+
+def test_few_marks_say_little(spark):
+    rows = [(i, prose(50, i), "en", "a") for i in range(60)] + [(100, prose(49, 70) + " ##", "en", "a"), (101, prose(40, 71) + " #" * 30, "en", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert [r.doc_id for r in quality.judge(df, Scratch(spark, "test")).where("not quality_kept").collect()] == [101]
+
+
+def test_measures_run_twice_and_no_single_task(spark):
+    plans = []
+
+    class Seen(Scratch):
+        def write(self, df, name):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            return super().write(df, name)
+
+    out = quality.judge(spark.createDataFrame([(1, "a b", "en", "s")], "doc_id long, text string, lang string, source string"), Seen(spark, "test"))
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert sum("ArrowEvalPython" in p for p in plans) == 2 and not any("Repartition 1, false" in p for p in plans)
+
+
 def test_clean_documents_stay_and_junk_goes(spark, con, texts):
     df = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string")
     kept = {r.doc_id: r.quality_kept for r in quality.judge(df, Scratch(spark, "test")).collect()}
