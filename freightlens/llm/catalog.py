@@ -55,7 +55,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vptree.nearest(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+    return vptree.nearest(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0, Scratch(spark, "nearest"), k=20)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

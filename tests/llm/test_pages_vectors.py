@@ -270,7 +270,7 @@ def test_factor_one_is_exact_with_copies_and_bad_vectors(spark):
     rows += [(5000 + i, rows[40][1]) for i in range(60)] + [(7000, None), (7020, [0.0] * 16), (7040, [float("nan")] + [1.0] * 15), (None, rows[1][1]), (7060, [None] + [1.0] * 15),
                                                             (7080, [float("inf")] * 16)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as shard", "2 as block", "'x' as rank").repartition(3)
-    got = found(vptree.nearest(df, F.col("vec_id") % 20 == 0, factor=1.0, shard_rows=400, query_rows=30))
+    got = found(vptree.nearest(df, F.col("vec_id") % 20 == 0, Scratch(spark, "test"), factor=1.0, shard_rows=400, query_rows=30))
     want = brute(rows, 20)
     assert got.keys() == want.keys()
     for q, near in want.items():
@@ -281,7 +281,7 @@ def test_factor_one_is_exact_with_copies_and_bad_vectors(spark):
 def test_recall_of_the_relaxed_search(spark):
     rows = vectors(6000, 32)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = found(vptree.nearest(df, F.col("vec_id") % 20 == 0))
+    got = found(vptree.nearest(df, F.col("vec_id") % 20 == 0, Scratch(spark, "test")))
     want = brute(rows, 20)
     recall = np.mean([len({i for _, i in got[q]} & {i for _, i in near}) / 20 for q, near in want.items()])
     assert recall >= 0.9
@@ -290,6 +290,62 @@ def test_recall_of_the_relaxed_search(spark):
 def test_fewer_candidates_and_empty_tables(spark):
     schema = "vec_id long, embedding array<float>"
     three = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [1.0, 0.0])], schema)
-    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in vptree.nearest(three, F.col("vec_id") == 0).orderBy("rank").collect()] == [(0, 1, 2, 1.0), (0, 2, 1, 0.5)]
-    assert vptree.nearest(spark.createDataFrame([], schema), F.lit(True)).count() == 0
-    assert vptree.nearest(spark.createDataFrame([(0, None)], schema), F.lit(True)).count() == 0
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in vptree.nearest(three, F.col("vec_id") == 0, Scratch(spark, "test")).orderBy("rank").collect()] == [(0, 1, 2, 1.0), (0, 2, 1, 0.5)]
+    assert vptree.nearest(spark.createDataFrame([], schema), F.lit(True), Scratch(spark, "test")).count() == 0
+    assert vptree.nearest(spark.createDataFrame([(0, None)], schema), F.lit(True), Scratch(spark, "test")).count() == 0
+
+
+def mixed_norms(n, dim, seed=4):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, dim))
+    return [(i, ((centres[i % 12] + 0.5 * rng.normal(size=dim)) * rng.uniform(0.2, 5)).tolist()) for i in range(n)]
+
+
+def test_factor_one_is_exact_over_many_regions_with_mixed_norms(spark):
+    rows = mixed_norms(3000, 8)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = found(vptree.nearest(df, F.col("vec_id") % 20 == 0, Scratch(spark, "test"), factor=1.0, shard_rows=100, query_rows=7, sample_rows=500))
+    want = brute(rows, 20)
+    assert got.keys() == want.keys() and all([i for _, i in got[q]] == [i for _, i in near] for q, near in want.items())
+
+
+def test_recall_of_each_query_with_mixed_norms(spark):
+    rows = mixed_norms(12_000, 32)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got, want = found(vptree.nearest(df, F.col("vec_id") % 20 == 0, Scratch(spark, "test"), shard_rows=1000)), brute(rows, 20)
+    recall = [len({i for _, i in got[q]} & {i for _, i in near}) / 20 for q, near in want.items()]
+    assert np.mean(recall) >= 0.9 and min(recall) >= 0.5, (np.mean(recall), min(recall))
+
+
+def test_a_query_visits_only_regions_within_reach(spark):
+    """Ten clusters far apart: all but the own region stay unvisited at any size."""
+    visits = []
+
+    class Seen(Scratch):
+        def write(self, df, name):
+            out = super().write(df, name)
+            visits.extend([out.count()] if name == "routed" else [])
+            return out
+
+    for n in (1500, 6000):
+        rng = np.random.default_rng(3)
+        at = rng.normal(size=(10, 16))
+        rows = [(i, (at[i % 10] / np.linalg.norm(at[i % 10]) + 0.01 * rng.normal(size=16)).tolist()) for i in range(n)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        vptree.nearest(df, F.col("vec_id") % 20 == 0, Seen(spark, "test"), shard_rows=n // 30).count()
+    assert visits[0] < 75 * 15 and visits[1] < 300 * 15
+
+
+def test_each_length_is_searched_among_its_own_and_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.5, 0.5]), (2, [3.0, 1.0]), (2, [3.0, 1.0]), (20, [1.0, 2.0, 3.0]), (21, [0.0, 0.0, 1.0]), (40, [5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in vptree.nearest(df, F.col("vec_id") % 20 == 0, Scratch(spark, "test")).collect())
+    assert got == [(0, 1, 2, 1.0), (0, 1, 2, 3.0), (0, 2, 1, 0.5), (0, 2, 1, 0.5), (20, 1, 21, 3.0)]
+
+
+def test_copies_and_ties_by_the_hundred(spark):
+    """Equal vectors in numbers above k, equal scores of different vectors: the smaller ids."""
+    rows = [(i, [1.0, float(i % 3)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got, want = found(vptree.nearest(df, F.col("vec_id") % 20 == 0, Scratch(spark, "test"), factor=1.0, shard_rows=50, query_rows=3)), brute(rows, 20)
+    assert {q: [i for _, i in n] for q, n in got.items()} == {q: [i for _, i in n] for q, n in want.items()}
