@@ -32,7 +32,7 @@ BATCH = 512
 SLICE_BYTES = 32 << 20
 JOINED = 1000
 # The table of known words is emptied beyond this size.
-KNOWN_WORDS = 2_000_000
+KNOWN_WORDS = 500_000
 
 # Words that may be encoded next to each other in one call: printable ASCII and
 # Latin-1 letters, which no normaliser merges or reorders; and the parts into
