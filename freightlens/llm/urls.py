@@ -7,10 +7,10 @@ is learned from example names (a parameter), smoothed by the allowed class,
 which is the unigram model of the whole table.  Rules come first; the model
 decides the rest.
 
-The word table grows with the pages and stays on Spark: the substrings (at most
-``LONGEST`` letters) of each distinct letter run of hosts and paths join it, so
-every counted word takes part in the split, and a run is split once however
-many URLs hold it.  Only the blocked class, whose size is that of the examples,
+The word table grows with the pages and stays on Spark: the substrings of each
+distinct letter run of hosts and paths join it, those of a length that some
+counted word has, so every counted word takes part in the split, and a run is
+split once however many URLs hold it.  Only the blocked class, whose size is that of the examples,
 is sent to the tasks.
 """
 
@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 
 from freightlens.llm.common import Scratch, Words, ascii_lower, lower_ascii, slices
 
-LONGEST = 24
-ROWS = 50_000  # substrings of a batch
+# Letters of a batch of substrings.
+BATCH_LETTERS = 1 << 20
+# What a letter of an unknown word costs.
+LETTER = 2.5
 # Weight of the allowed class in the blocked one, in sizes of the examples, and
 # the log odds of a page without words.
 SMOOTHING = 20.0
@@ -110,14 +112,20 @@ class Model:
 def segment(name: str, model: Model) -> list[str]:
     """The most probable split of a name into words (letters only).  An unknown
     word costs more with every letter."""
-    n = len(name)
+    n, lengths = len(name), sorted({len(w) for w in model.words})
     best, back = [0.0] + [-math.inf] * n, [0] * (n + 1)
+    run, since = -math.inf, 0  # the best split so far that ends in an unknown word, and where that begins
     for j in range(1, n + 1):
-        for i in range(max(0, j - LONGEST), j):
-            w = name[i:j]
-            s = best[i] + model.words.get(w, model.unknown - 2.5 * (j - i))
-            if s > best[j]:
-                best[j], back[j] = s, i
+        if best[j - 1] + model.unknown > run:
+            run, since = best[j - 1] + model.unknown, j - 1
+        run -= LETTER
+        best[j], back[j] = run, since
+        for size in lengths:
+            if size > j:
+                break
+            p = model.words.get(name[j - size:j])
+            if p is not None and best[j - size] + p > best[j]:
+                best[j], back[j] = best[j - size] + p, j - size
     out, j = [], n
     while j:
         out.append(name[back[j]:j])
@@ -134,18 +142,22 @@ def parts_of(host: str, path: str) -> list[str]:
     return _LETTERS.findall(f"{name} {path.lower()}")
 
 
+# Scripts, styles, tags and all else but letters; a '<' that opens no tag is one of the rest.
+_NO_WORDS = r"(?is)<(?:script|style)\b.*?(?:</[^>]*>|\z)|<[^<>]*>|[^\pL<]+|<"
+
+
 def count_words(pages: DataFrame) -> DataFrame:
-    """``word, n`` over all paths and page texts without markup, letters only, up
-    to ``LONGEST``, a row per batch and word.  A page's own host is left out: a
+    """``word, n`` over all paths and page texts without markup, letters only, a
+    row per batch and word.  A page's own host is left out: a
     name must not become a word by being a name."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             texts = pc.fill_null(b.column("text"), "")
-            texts = pc.replace_substring_regex(texts, r"(?is)<(?:script|style).*?</|<[^>]*>|[^\pL]+", " ")
+            texts = pc.replace_substring_regex(texts, _NO_WORDS, " ")
             words = Words(lower_ascii(texts), lower=False)
             n = np.bincount(words.codes, minlength=len(words.distinct))
-            keep = (n > 0) & (pc.utf8_length(words.distinct).to_numpy(zero_copy_only=False) <= LONGEST)
+            keep = n > 0
             yield pa.RecordBatch.from_arrays([words.distinct.filter(pa.array(keep)), pa.array(n[keep], pa.int64())], names=["word", "n"])
 
     host = host_of(F.col("url"))
@@ -175,27 +187,38 @@ def fit(pages: DataFrame, block_examples: list[str] | None = None, allow_example
     return model
 
 
-def substrings(parts: DataFrame) -> DataFrame:
-    """``part, word``: the distinct substrings of up to ``LONGEST`` letters of ``parts(part)``."""
+def substrings(parts: DataFrame, lengths: list[int]) -> DataFrame:
+    """``id, word``: the substrings of these lengths of ``parts(id, part)``, in
+    batches of bounded size; one that recurs far apart in a part may come again."""
+
+    def batch(rows: set[tuple[int, str]]) -> pa.RecordBatch:
+        ids, words = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.string())], names=["id", "word"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: set[tuple[int, str]] = set()
+        held = 0
         for b in batches:
-            rows: list[tuple[str, str]] = []
-            for p in b.column("part").to_pylist():
-                for w in {p[i:j] for i in range(len(p)) for j in range(i + 1, min(len(p), i + LONGEST) + 1)}:
-                    rows.append((p, w))
-                    if len(rows) >= ROWS:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*rows, strict=True)], names=["part", "word"])
-                        rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*rows, strict=True)], names=["part", "word"])
-
-    return parts.mapInArrow(cut, "part string, word string")
+            for i, p in zip(b.column("id").to_pylist(), b.column("part").to_pylist(), strict=True):
+                for size in lengths:
+                    if size > len(p):
+                        break
+                    for at in range(len(p) - size + 1):
+                        rows.add((i, p[at:at + size]))
+                        held += size
+                        if held >= BATCH_LETTERS:
+                            yield batch(rows)
+                            rows, held = set(), 0
+        if rows:
+            yield batch(rows)
+
+    return parts.mapInArrow(cut, "id long, word string")
 
 
 def split_parts(parts: DataFrame, model: Model) -> DataFrame:
-    """``part, words`` for every row of ``parts(part)``, which are distinct: the
-    split by all words of ``model.counts``."""
+    """``part, words`` for every row of ``parts(id, part)``, both distinct: the
+    split by all words of ``model.counts``.  Only the lengths of words go to the
+    driver: k of them take a table of at least k * k / 2 letters."""
     whole, unknown = model.whole, model.unknown
 
     @F.arrow_udf("array<string>")
@@ -207,8 +230,9 @@ def split_parts(parts: DataFrame, model: Model) -> DataFrame:
             yield pa.array(out, pa.list_(pa.string()))
 
     usable = model.counts.where((F.length("word") > 1) | (F.col("n") > whole / 1000))
-    known = substrings(parts).join(usable, "word").groupBy("part").agg(F.collect_list(F.struct("word", "n")).alias("known"))
-    return parts.join(known, "part", "left").select("part", split.asNondeterministic()(F.col("part"), F.col("known")).alias("words"))
+    lengths = sorted(r[0] for r in usable.select(F.length("word")).distinct().collect())
+    known = substrings(parts, lengths).join(usable, "word").groupBy("id").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    return parts.join(known, "id", "left").select("part", split.asNondeterministic()(F.col("part"), F.col("known")).alias("words"))
 
 
 def judge(pages: DataFrame, model: Model, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -243,7 +267,8 @@ def judge(pages: DataFrame, model: Model, rules: tuple[Rule, ...] = RULES) -> Da
     # splits a hot host or part only where both sides of the join come from a shuffle.
     names = url.select("host", "path").distinct()
     names = scratch.write(names.select("*", F.posexplode(parts.asNondeterministic()(F.col("host"), F.col("path"))).alias("at", "part")), "names")
-    split = scratch.write(split_parts(scratch.write(names.select("part").distinct(), "parts"), model), "split")
+    runs = scratch.write(names.select("part").distinct().withColumn("id", F.monotonically_increasing_id()), "parts")
+    split = scratch.write(split_parts(runs, model), "split")
     words = names.join(split, "part").groupBy("host", "path").agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("all"))
     words = words.select("host", "path", F.flatten(F.col("all.words")).alias("words"))
     scored = scratch.write(words.select("*", score.asNondeterministic()(F.col("words")).alias("score")), "scored")

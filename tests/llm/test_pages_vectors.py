@@ -235,6 +235,61 @@ def test_names_split_at_words_rarer_than_a_hundred_thousand_others(spark):
     assert out[3] == ["quixotic", "zephyr"]
 
 
+def brute_split(name, words, unknown):
+    """The best split by trying every last word."""
+    best = [(0.0, [])]
+    for j in range(1, len(name) + 1):
+        best.append(max(((best[i][0] + words.get(name[i:j], unknown - urls.LETTER * (j - i)), best[i][1] + [name[i:j]]) for i in range(j)), key=lambda x: x[0]))
+    return best[-1][1]
+
+
+def test_verdicts_equal_brute_force_counts_split_and_naive_bayes(spark):
+    import math
+    import random
+    import re
+    from collections import Counter
+
+    rng = random.Random(5)
+    long = "donaudampfschifffahrtsgesellschaft"  # over 30 letters
+    vocabulary = ["river", "boat", "cheap", "pills", "travel", "casino", long, "garden", "news", "win"]
+    rows = [(i, f"http://{rng.choice(['www.', ''])}{''.join(rng.choices(vocabulary, k=3))}{rng.choice(['', 'qz'])}.example.net/{rng.choice(vocabulary)}/{i}.html",
+             f"<p>{' '.join(rng.choices(vocabulary, k=60))}</p>") for i in range(60)]
+    examples, plain = ["cheap", "pills", "pills", "casino", "win"], ["www", "news"]
+    df = spark.createDataFrame(rows, PAGES).repartition(3)
+    got = {r.page_id: r for r in urls.judge(df, urls.fit(df, examples, plain)).collect()}
+
+    counts, own = Counter(), {*examples, *plain}
+    for _, url, html in rows:
+        host, path = re.match(r"\w+://([^/]*)([^?#]*)", url).groups()
+        counts.update(re.findall(r"[a-z]+", re.sub(r"<[^>]*>", " ", f"{path} {html.replace(host, ' ')}")))
+    counts.update({w: 10 for w in own})
+    whole = sum(counts.values()) - 10 * len(own) + 100_000
+    words = {w: math.log(n / whole) for w, n in counts.items() if len(w) > 1 or n > whole / 1000}
+    seen, size, k, hit = Counter(examples), len(examples), urls.SMOOTHING, 0
+    for i, url, _ in rows:
+        host, path = re.match(r"\w+://([^/]*)([^?#]*)", url).groups()
+        split = [w for part in re.findall(r"[a-z]+", host.rsplit(".", 1)[0] + " " + path) for w in brute_split(part, words, math.log(0.5 / whole))]
+        x = urls.PRIOR
+        for w in split:
+            p = max(counts[w] / whole, urls.RARE)
+            x += math.log((seen[w] / size + k * p) / (1 + k) / p) if w in seen else math.log(k / (1 + k))
+        assert got[i].words == split and got[i].block_score == pytest.approx(1 / (1 + math.exp(-x)))
+        assert got[i].verdict == ("block" if x > 0 else "allow")
+        hit += long in split
+    assert hit > 5 and {r.verdict for r in got.values()} == {"block", "allow"}
+
+
+def test_long_letter_runs_are_split_in_bounded_time(spark):
+    import time
+
+    run = "newsriver" * 3000 + "x" * 3000
+    df = spark.createDataFrame([(1, f"http://{run}.example.net/{run[::-1]}", "<p>" + "news river " * 300 + "</p>")], PAGES)
+    began = time.perf_counter()
+    out = urls.judge(df, urls.fit(df)).collect()[0].words
+    assert out[:6] == ["news", "river"] * 3 and sum(w in ("news", "river") for w in out) == 6000
+    assert time.perf_counter() - began < 60
+
+
 def test_urls_empty_table(spark):
     df = spark.createDataFrame([], PAGES)
     assert urls.judge(df, urls.fit(df)).count() == 0
