@@ -117,14 +117,19 @@ def enriched_lines(spark: SparkSession, sf_dir: str, stored: tuple[DataFrame, Da
     ``orders ⋈ customer``, ``lineitem ⋈ orders`` and ``lineitem ⋈ supplier``
     are joins between tables that grow with the data: the planner shuffles
     both sides on the key, or broadcasts a side that its size estimate (or
-    AQE, at run time) finds small.  With ``stored`` (``bucketed_sources``)
+    AQE, at run time) finds small.  The suppliers, the smaller of the two, come
+    after the orders and without their region: their stage has ended, with its
+    true size, before the lines would be shuffled once more for them.  Times
+    become dates before the shuffle.  With ``stored`` (``bucketed_sources``)
     the lines meet their orders without an exchange on either side.
     """
     li, orders = stored or (_lines(spark, sf_dir), _orders(spark, sf_dir))
+    li = li.withColumn("l_shipdate", F.to_date("l_shipdate"))
+    orders = orders.withColumn("o_orderdate", F.to_date("o_orderdate"))
     s = _read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    suppliers = s.join(_regions(spark, sf_dir, "s_nationkey", "_origin"), "s_nationkey", "left")
     return (li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
-            .join(suppliers, li.l_suppkey == suppliers.s_suppkey, "left")
+            .join(s, li.l_suppkey == s.s_suppkey, "left")
+            .join(_regions(spark, sf_dir, "s_nationkey", "_origin"), "s_nationkey", "left")
             .withColumn("provider_id", F.col("s_nationkey").cast("int"))
             .withColumn("route_id", F.col("_origin") * ROUTE_BASE + F.col("_dest")))
 
@@ -146,8 +151,8 @@ def shipment_facts(spark: SparkSession, sf_dir: str, stored: tuple[DataFrame, Da
     e = enriched_lines(spark, sf_dir, stored)
     return e.select(
         "l_orderkey", "l_linenumber", "provider_id", "route_id",
-        F.to_date("l_shipdate").alias("ship_date"), F.to_date("o_orderdate").alias("order_date"),
-        *RATE_COLUMNS, "l_returnflag", "l_linestatus", "o_orderpriority", "l_partkey", F.trunc(F.to_date("l_shipdate"), "month").alias(MONTH))
+        F.col("l_shipdate").alias("ship_date"), F.col("o_orderdate").alias("order_date"),
+        *RATE_COLUMNS, "l_returnflag", "l_linestatus", "o_orderpriority", "l_partkey", F.trunc("l_shipdate", "month").alias(MONTH))
 
 
 def facts_in_months(facts: DataFrame, months: list | DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Month partitions, dynamic pruning, the kept roll-up and bucketed sources."""
 
+import datetime as dt
 import os
 import tempfile
 
@@ -9,6 +10,8 @@ from conftest import D, d, make
 from freightlens import catalog
 from freightlens.operators import history_store, missed_months, roll_up_history
 from freightlens.plans.bucketing import store_bucketed
+from freightlens.plans.materialize import write_checkpoint_table
+from freightlens.plans.sizing import BUILD_CONF
 from freightlens.sources import testdata as td
 
 SF = "/root/testdata/sf0.001"
@@ -105,3 +108,62 @@ def test_stored_sources_join_without_an_exchange(spark):
 def test_bucketed_table_of_no_rows(spark):
     df = store_bucketed(spark.range(0).withColumnRenamed("id", "k"), "empty", ["k"], 3)
     assert df.collect() == [] and df.groupBy("k").count().collect() == []
+
+
+def _sources(spark):
+    """Small source tables with null, unknown and repeated keys."""
+    day = lambda n: dt.datetime(2024, 1, 1, 17, 30) + dt.timedelta(days=n)
+    rows = {
+        "nation": [(n, f"N{n}", n % 2) for n in range(4)] + [(3, "N3 again", 1), (None, "none", 0)],
+        "customer": [(c, f"C{c}", c % 5, 0.0, "m") for c in range(20)] + [(None, "none", 1, 0.0, "m")],
+        "supplier": [(s, f"S{s}", s % 5 if s % 7 else None, 0.0) for s in range(30)] + [(4, "S4 again", 1, 0.0)],
+        "orders": [(o, o % 25 if o % 9 else None, "O", 1.0, day(o % 40), f"{o % 3}-P") for o in range(100)] + [(7, 3, "O", 1.0, None, None)],
+        "lineitem": [(i % 110 if i % 31 else None, i, i % 33 if i % 13 else None, i % 4, 1.0 + i % 50, 10.0 * i, 0.05, 0.02, "R" if i % 3 else "N", "O", day(i % 90) if i % 17 else None)
+                     for i in range(600)],
+    }
+    path = tempfile.mkdtemp(prefix="fl-src-")
+    for name, r in rows.items():
+        spark.createDataFrame(r, td.SOURCES[name]).write.parquet(f"{path}/{name}.parquet")
+    return path, rows
+
+
+def test_fact_build_shuffles_the_lines_once(spark, monkeypatch):
+    """The lines go to their orders; the suppliers, found small at run time, come to them."""
+    path, rows = _sources(spark)
+    plans = []
+
+    def write(df, *a):
+        df.collect()
+        plans.append(plan(df).split("== Initial Plan ==")[0])
+        return write_checkpoint_table(df, *a)
+
+    monkeypatch.setattr(catalog, "write_checkpoint_table", write)
+    names = ["spark.sql.autoBroadcastJoinThreshold", *BUILD_CONF, "spark.sql.shuffle.partitions"]
+    spark.conf.set(names[0], "-1")
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        facts = catalog.Inputs(spark, path).facts
+        assert {k: spark.conf.get(k, None) for k in names} == before
+    finally:
+        spark.conf.unset(names[0])
+    assert "hashpartitioning(l_orderkey" in plans[0] and "hashpartitioning(l_suppkey" not in plans[0]
+    on = lambda table, key, k=0: [r for r in rows[table] if r[k] == key and key is not None] or [(None,) * 6]
+    want = [(li[1], s[2], n[2] * td.ROUTE_BASE + e[2] if n[2] is not None and e[2] is not None else None, li[10] and li[10].date(), o[4] and o[4].date(), o[5],
+             li[10] and li[10].date().replace(day=1))
+            for li in rows["lineitem"] for o in on("orders", li[0]) for c in on("customer", o[1]) for e in on("nation", c[2])
+            for s in on("supplier", li[2]) for n in on("nation", s[2])]
+    got = facts.select("l_partkey", "provider_id", "route_id", "ship_date", "order_date", "o_orderpriority", td.MONTH).collect()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got)
+
+
+def test_partitioned_table_is_written_without_a_shuffle(spark):
+    df = spark.range(0, 200, 1, 4).selectExpr("id", "nullif(id % 3, 0) as m")
+    spark.sparkContext.setJobGroup("partitioned", "partitioned")
+    try:
+        out = write_checkpoint_table(df, "partitioned", ["m"])
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("partitioned") for s in tracker.getJobInfo(j).stageIds]
+    assert len(stages) == 1
+    assert _same(df, out)
